@@ -15,18 +15,21 @@ from millrace.operators import stats
 # Labels in the order that decides ties.
 SENTIMENTS = ("POSITIVE", "NEGATIVE", "NEUTRAL", "MIXED")
 
-# Fixed values: (type, pattern, score) of the built-in entity finder.
+# Fixed values: (type, pattern, score) of the built-in entity finder. The match is
+# group 1; a leading character class stands for a word boundary, because engines
+# differ on what `\b` means next to accented letters.
+_EDGE = r"(?:^|[^\p{L}\p{N}])"
 ENTITY_PATTERNS = (
-    ("DATE", r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b", 0.99),
-    ("DATE", r"\b(?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}(?:, [0-9]{4})?\b", 0.95),
-    ("LOCATION", r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b", 0.6),
-    ("OTHER", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", 0.98),
-    ("OTHER", r"\bhttps?://[^ \t\r\n]+", 0.97),
-    ("PERSON", r"\b(?:Mr|Mrs|Ms|Dr)\. [A-Z][a-z]+\b", 0.9),
-    ("PERSON", r"\b[A-Z][a-z]+ [A-Z][a-z]+\b", 0.7),
-    ("QUANTITY", r"\$[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?", 0.95),
-    ("QUANTITY", r"\b[0-9]+(?:\.[0-9]+)?%", 0.95),
-    ("QUANTITY", r"\b[0-9]+\b", 0.5),
+    ("DATE", _EDGE + r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 0.99),
+    ("DATE", _EDGE + r"((?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}(?:, [0-9]{4})?)", 0.95),
+    ("LOCATION", _EDGE + r"((?:[0-9]{1,3}\.){3}[0-9]{1,3})", 0.6),
+    ("OTHER", _EDGE + r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})", 0.98),
+    ("OTHER", _EDGE + r"(https?://[^ \t\r\n]+)", 0.97),
+    ("PERSON", _EDGE + r"((?:Mr|Mrs|Ms|Dr)\. \p{Lu}\p{Ll}+)", 0.9),
+    ("PERSON", _EDGE + r"(\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+)", 0.7),
+    ("QUANTITY", r"(\$[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?)", 0.95),
+    ("QUANTITY", _EDGE + r"([0-9]+(?:\.[0-9]+)?%)", 0.95),
+    ("QUANTITY", _EDGE + r"([0-9]+)", 0.5),
 )
 
 
@@ -128,15 +131,13 @@ def score_with(docs: DataFrame, scorer: Callable[[Iterator], Iterator], schema:
 def entities(docs: DataFrame, patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, type, text, score), one row per match, repeats kept."""
-    found = [
-        F.transform(
-            F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)),
-            lambda m, kind=kind, score=score: F.struct(
-                F.lit(kind).alias("type"), m.alias("text"), F.lit(score).alias("score")
-            ),
+    def matches(kind: str, pattern: str, score: float) -> Column:
+        return F.transform(
+            F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)),
+            lambda m: F.struct(F.lit(kind).alias("type"), m.alias("text"), F.lit(score).alias("score")),
         )
-        for kind, pattern, score in patterns
-    ]
+
+    found = [matches(*p) for p in patterns]
     return docs.select(doc_id, F.explode(F.concat(*found)).alias("_e")).select(doc_id, "_e.*")
 
 

@@ -1,2 +1,19 @@
-from millrace.plans import joins, aggregates, ordering, expressions, storage
+"""Registered queries, each beside the equivalent SQL that checks it."""
+
+from millrace.plans import (  # noqa: F401  (importing registers the queries)
+    aggregates,
+    documents,
+    experiments,
+    expressions,
+    features,
+    joins,
+    lifecycle,
+    models,
+    monitoring,
+    ordering,
+    storage,
+    streams,
+)
 from millrace.plans.registry import COVERS, ORACLES, QUERIES
+
+__all__ = ["COVERS", "ORACLES", "QUERIES"]

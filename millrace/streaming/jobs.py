@@ -120,7 +120,7 @@ LIFECYCLE = {
 
 def transitions(deltas: DataFrame, model: str, status: str, rules: Mapping[str, tuple[str, str]] = LIFECYCLE) -> DataFrame:
     """Keyed state function over the deltas: emits (model, from_status, to_status,
-    at) for every valid move and ignores the rest."""
+    moved_at) for every valid move and ignores the rest."""
     kind = deltas.schema[model].dataType.simpleString()
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -133,11 +133,12 @@ def transitions(deltas: DataFrame, model: str, status: str, rules: Mapping[str,
                 moves.append((key[0], current, following, row["first_time"]))
                 current = following
         state.update((current,))
-        yield pd.DataFrame(moves, columns=[model, "from_status", "to_status", "at"])
+        if moves:
+            yield pd.DataFrame(moves, columns=[model, "from_status", "to_status", "moved_at"])
 
     return deltas.groupBy(model).applyInPandasWithState(
         step,
-        f"{model} {kind}, from_status string, to_status string, at timestamp",
+        f"{model} {kind}, from_status string, to_status string, moved_at timestamp",
         "current string",
         "append",
         GroupStateTimeout.NoTimeout,
@@ -148,7 +149,7 @@ def notifications(moves: DataFrame, model: str) -> DataFrame:
     """Message row per state change (delivery is not built)."""
     text = F.format_string("Model %s: %s -> %s", F.col(model).cast("string"),
                            F.when(F.col("from_status") == "", "new").otherwise(F.col("from_status")), "to_status")
-    return moves.select(model, "at", text.alias("message"))
+    return moves.select(model, "moved_at", text.alias("message"))
 
 
 def joined_outcomes(predictions: DataFrame, outcomes: DataFrame, key: str, predicted_at: str, observed_at: str,
