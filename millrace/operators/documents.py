@@ -48,9 +48,9 @@ def pieces(docs: DataFrame, size: int = 5000, doc_id: str = "doc_id", text: str
 
 
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, term, n)."""
+    """(doc_id, term, n); a document without terms gives one row with a NULL term."""
     return (
-        docs.select(doc_id, F.explode(tx.terms(F.col(text))).alias("term"))
+        docs.select(doc_id, F.explode_outer(tx.terms(F.col(text))).alias("term"))
         .groupBy(doc_id, "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -76,7 +76,8 @@ def learn_lexicon(counts: DataFrame, labels: DataFrame, label: str, doc_id: str
     labelled 0, with add-one smoothing."""
     good = F.col(label) == 1
     by_term = (
-        counts.join(labels.select(doc_id, label), doc_id)
+        counts.where("term IS NOT NULL")
+        .join(labels.select(doc_id, label), doc_id)
         .groupBy("term")
         .agg(
             F.sum(F.when(good, F.col("n")).otherwise(0)).alias("pos"),
@@ -92,15 +93,15 @@ def learn_lexicon(counts: DataFrame, labels: DataFrame, label: str, doc_id: str
     return t.select("term", F.round(up - down, 6).alias("weight"))
 
 
-def sentiment(docs: DataFrame, counts: DataFrame, lexicon: DataFrame, cut: float = 0.0, doc_id: str = "doc_id") -> DataFrame:
+def sentiment(counts: DataFrame, lexicon: DataFrame, cut: float = 0.0, doc_id: str = "doc_id") -> DataFrame:
     """Four scores that add up to 1 and the label with the highest one.
 
     A term above `cut` is positive, below -`cut` negative, others (and unknown
     ones) are neutral; the mixed score grows with the smaller of both sides. A
     document without terms is neutral.
     """
-    w, n = F.col("weight"), F.col("n")
-    tally = (
+    w, n = F.col("weight"), F.when(F.col("term").isNotNull(), F.col("n")).otherwise(0)
+    full = (
         counts.join(lexicon, "term", "left")
         .groupBy(doc_id)
         .agg(
@@ -109,7 +110,6 @@ def sentiment(docs: DataFrame, counts: DataFrame, lexicon: DataFrame, cut: float
             F.sum(n).alias("_all"),
         )
     )
-    full = docs.select(doc_id).join(tally, doc_id, "left").fillna(0, ["_p", "_n", "_all"])
     mixed = F.least("_p", "_n") * 2
     raw = {"positive": F.col("_p"), "negative": F.col("_n"), "neutral": F.col("_all") - F.col("_p") - F.col("_n"), "mixed": mixed}
     total = F.col("_all") + mixed
@@ -128,17 +128,23 @@ def score_with(docs: DataFrame, scorer: Callable[[Iterator], Iterator], schema:
 # --------------------------------------------------------------- entities
 
 
-def entities(docs: DataFrame, patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS,
-             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, type, text, score), one row per match, repeats kept."""
+def entity_list(text: Column, patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS) -> Column:
+    """Sorted array of (type, text, score), one entry per match, repeats kept."""
+
     def matches(kind: str, pattern: str, score: float) -> Column:
         return F.transform(
-            F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)),
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
             lambda m: F.struct(F.lit(kind).alias("type"), m.alias("text"), F.lit(score).alias("score")),
         )
 
-    found = [matches(*p) for p in patterns]
-    return docs.select(doc_id, F.explode(F.concat(*found)).alias("_e")).select(doc_id, "_e.*")
+    return F.sort_array(F.concat(*[matches(*p) for p in patterns]))
+
+
+def entities(docs: DataFrame, patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS,
+             doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, type, text, score) rows."""
+    found = docs.select(doc_id, F.explode(entity_list(F.col(text), patterns)).alias("_e"))
+    return found.select(doc_id, "_e.*")
 
 
 def entities_by_type(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -182,18 +188,16 @@ def key_phrases(docs: DataFrame, k: int = 12, doc_id: str = "doc_id", text: str
 # ------------------------------------------------- results and reports
 
 
-def analysis_rows(docs: DataFrame, key: Column, moods: DataFrame, found: DataFrame, phrases: DataFrame,
-                  as_of: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One nested result per document. The lists hold one document's own items."""
-    per_doc = found.groupBy(doc_id).agg(
-        F.sort_array(F.collect_list(F.struct("type", "text", "score"))).alias("_e")
-    )
-    per_phrase = phrases.groupBy(doc_id).agg(
+def analysis_rows(docs: DataFrame, key: Column, moods: DataFrame, phrases: DataFrame, as_of: Column,
+                  patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS,
+                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One nested result per document. The lists hold one document's own items;
+    texts are shuffled once, for the joins on the document id."""
+    per_doc = phrases.groupBy(doc_id).agg(
         F.sort_array(F.collect_list(F.struct("rank", "phrase", "score"))).alias("_p")
     )
     t = F.col(text)
-    joined = docs.join(moods, doc_id, "left").join(per_doc, doc_id, "left").join(per_phrase, doc_id, "left")
-    none_e = F.array().cast("array<struct<text:string,type:string,score:double>>")
+    joined = docs.withColumn("_e", entity_list(t, patterns)).join(moods, doc_id, "left").join(per_doc, doc_id, "left")
     none_p = F.array().cast("array<struct<text:string,score:double>>")
     return joined.select(
         doc_id,
@@ -204,10 +208,7 @@ def analysis_rows(docs: DataFrame, key: Column, moods: DataFrame, found: DataFra
             F.col("sentiment").alias("overall"),
             F.struct(*[F.col(s.lower()).alias(s.capitalize()) for s in SENTIMENTS]).alias("scores"),
         ).alias("sentiment"),
-        F.coalesce(
-            F.transform("_e", lambda e: F.struct(e["text"].alias("text"), e["type"].alias("type"), e["score"].alias("score"))),
-            none_e,
-        ).alias("entities"),
+        F.transform("_e", lambda e: F.struct(e["text"].alias("text"), e["type"].alias("type"), e["score"].alias("score"))).alias("entities"),
         F.coalesce(
             F.transform("_p", lambda p: F.struct(p["phrase"].alias("text"), p["score"].alias("score"))), none_p
         ).alias("key_phrases"),
@@ -284,7 +285,8 @@ def corpus_totals(results: DataFrame) -> DataFrame:
 
 def corpus_report(results: DataFrame) -> DataFrame:
     """(section, position, line) rows of the corpus report. The listing of all
-    documents is one row each, so the report is written by many tasks."""
+    documents is one row each, so the report is written by many tasks. `results`
+    is read several times: pass a stored table."""
     totals = corpus_totals(results)
 
     def row(section: int, lines: Sequence[Column]) -> Column:

@@ -36,19 +36,21 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
-def group_fits(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether every group has at most `limit` rows. The row count, which Parquet
-    answers from its footers, settles small tables without a look at the keys."""
-    if df.count() <= limit:
-        return True
-    return bool(keys) and largest_group(df, keys) <= limit
+def chunks_needed(df: DataFrame, keys: Sequence[str], limit: int) -> int:
+    """0 when every key group has at most `limit` rows, else the number of chunks
+    that brings a chunk down to that. The row count, which Parquet answers from
+    its footers, settles small tables without a look at the keys."""
+    rows = df.count()
+    if rows <= limit or (keys and largest_group(df, keys) <= limit):
+        return 0
+    return -(-rows // limit)
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int) -> DataFrame:
     """`df` written with a chunk id: chunks follow the (keys, order) order and are
     of about equal size, whatever the key sizes. `_tie` spreads rows equal in all
     order columns."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(chunks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = (
         df.withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(parts, *keys, *order, _TIE)
@@ -84,25 +86,21 @@ def asof_join(
     """
     payload = F.struct(F.col(right_time).alias("feature_time"), *features)
     rank = F.struct(*tie, payload) if tie else payload
-    # Copies of one version collapse before any shuffle of whole rows.
-    versions = (
-        right.dropna(subset=[*keys, right_time])
-        .groupBy(*keys, F.col(right_time).alias("_t"))
-        .agg(F.max_by(payload, rank).alias("_v"))
+    versions = right.dropna(subset=[*keys, right_time]).select(
+        *keys, F.col(right_time).alias("_t"), payload.alias("_v"), rank.alias("_rank"), F.lit(0).alias("_side")
     )
     probe = left.select(
-        *[F.col(k) for k in keys],
-        F.col(left_time).alias("_t"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("_row"),
+        *keys, F.col(left_time).alias("_t"), F.struct(*left.columns).alias("_row"), F.lit(1).alias("_side")
     )
-    points = versions.withColumn("_side", F.lit(0)).unionByName(
-        probe.withColumn("_side", F.lit(1)), allowMissingColumns=True
-    )
-    if group_fits(left, keys, limit) and group_fits(right, keys, limit):
-        order = _by(keys).orderBy("_t", "_side")
+    chunks = max(chunks_needed(left, keys, limit), chunks_needed(right, keys, limit))
+    if not chunks:
+        order = _by(keys).orderBy("_t", "_side", "_rank")
+        points = versions.unionByName(probe, allowMissingColumns=True)
         filled = points.withColumn("_v", F.last("_v", ignorenulls=True).over(order))
     else:
-        filled = _carry_forward(points, keys)
+        # Copies of a version fold before whole rows are shuffled.
+        single = versions.groupBy(*keys, "_t", "_side").agg(F.max_by("_v", "_rank").alias("_v"))
+        filled = _carry_forward(single.unionByName(probe, allowMissingColumns=True), keys, chunks)
     result = filled.where("_side = 1")
     if how == "inner":
         result = result.where("_v IS NOT NULL")
@@ -142,9 +140,9 @@ def history_totals(
     return totals.where("_side = 1").select("_row.*", *[F.col(f"{n}_upto").alias(n) for n in sums])
 
 
-def _carry_forward(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _carry_forward(points: DataFrame, keys: Sequence[str], chunks: int) -> DataFrame:
     """Last non-NULL `_v` up to each row, over chunks of (keys, _t, _side)."""
-    rows = chunked(points, keys, ["_t", "_side"])
+    rows = chunked(points, keys, ["_t", "_side"], chunks)
     newest = rows.groupBy(*keys, _CHUNK).agg(
         F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_v")
     )
@@ -171,10 +169,11 @@ def previous_row(
 ) -> DataFrame:
     """Adds `prev_<col>`: the value in the row before, per key. `order` must be
     total within a key for a repeatable answer."""
-    if group_fits(df, keys, limit):
+    chunks = chunks_needed(df, keys, limit)
+    if not chunks:
         window = _by(keys).orderBy(*order)
         return df.withColumns({prefix + c: F.lag(c).over(window) for c in cols})
-    rows = chunked(df, keys, order)
+    rows = chunked(df, keys, order, chunks)
     position = F.struct(*order, _TIE)
     last = rows.groupBy(*keys, _CHUNK).agg(F.max_by(F.struct(*cols), position).alias("_last"))
     carry = last.withColumn("_last", F.lag("_last").over(_by(keys).orderBy(_CHUNK))).where("_last IS NOT NULL")
@@ -199,17 +198,21 @@ def running_totals(
     order: Sequence[str],
     sums: Mapping[str, Column],
     limit: int = GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Adds, for each name in `sums`, `<name>_upto` (running total including the
-    row) and `<name>_total` (total of the key group). `order` must be total."""
+    row) and `<name>_total` (total of the key group). `order` must be total.
+    `chunks` is passed by callers that have measured the groups already."""
     inputs = {f"_in_{n}": c for n, c in sums.items()}
     df = df.withColumns(inputs)
-    if group_fits(df, keys, limit):
+    if chunks is None:
+        chunks = chunks_needed(df, keys, limit)
+    if not chunks:
         upto = _by(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
         added = {f"{n}_upto": F.sum(f"_in_{n}").over(upto) for n in sums}
         added |= {f"{n}_total": F.sum(f"_in_{n}").over(_by(keys)) for n in sums}
         return df.withColumns(added).drop(*inputs)
-    rows = chunked(df, keys, order)
+    rows = chunked(df, keys, order, chunks)
     totals = rows.groupBy(*keys, _CHUNK).agg(*[F.sum(f"_in_{n}").alias(f"_s_{n}") for n in sums])
     before = _by(keys).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
@@ -233,9 +236,10 @@ def running_totals(
 
 def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", limit: int = GROUP_ROWS) -> DataFrame:
     """1-based position per key (whole table without keys)."""
-    if group_fits(df, keys, limit):
+    chunks = chunks_needed(df, keys, limit)
+    if not chunks:
         return df.withColumn(name, F.row_number().over(_by(keys).orderBy(*order)).cast("bigint"))
-    counted = running_totals(df, keys, order, {name: F.lit(1)}, limit=limit)
+    counted = running_totals(df, keys, order, {name: F.lit(1)}, chunks=chunks)
     return counted.withColumnRenamed(f"{name}_upto", name).drop(f"{name}_total")
 
 
@@ -253,6 +257,15 @@ def after_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int
 # ----------------------------------------------------------------- quantiles
 
 
+def _counted_totals(rows: DataFrame, counts: DataFrame, keys: Sequence[str], value: str,
+                    sums: Mapping[str, Column], limit: int) -> DataFrame:
+    """Running totals over per-value counts. A table no longer than the limit needs
+    no look at its counts; beyond it the distinct values per key are measured."""
+    n = rows.count()
+    chunks = 0 if n <= limit else chunks_needed(counts, keys, limit)
+    return running_totals(counts, keys, [value], sums, chunks=chunks)
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -270,7 +283,7 @@ def exact_quantiles(
     """
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, keys, [value], {"c": F.col("_n")}, limit=limit)
+    ranked = _counted_totals(known, counts, keys, value, {"c": F.col("_n")}, limit)
     upto, total, first = F.col("c_upto"), F.col("c_total"), F.col("c_upto") - F.col("_n")
 
     def element(position: Column) -> Column:
@@ -295,13 +308,13 @@ def ks_distance(
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per key: the largest gap between
     the two empirical distribution functions, with both sample sizes."""
+    known = df.where(F.col(value).isNotNull())
     counts = (
-        df.where(F.col(value).isNotNull())
-        .withColumn("_cur", is_current.cast("bigint"))
+        known.withColumn("_cur", is_current.cast("bigint"))
         .groupBy(*keys, value)
         .agg(F.sum(1 - F.col("_cur")).alias("_b"), F.sum("_cur").alias("_c"))
     )
-    cum = running_totals(counts, keys, [value], {"b": F.col("_b"), "c": F.col("_c")}, limit=limit)
+    cum = _counted_totals(known, counts, keys, value, {"b": F.col("_b"), "c": F.col("_c")}, limit)
     gap = F.abs(
         F.try_divide(F.col("b_upto"), F.col("b_total")) - F.try_divide(F.col("c_upto"), F.col("c_total"))
     )
@@ -313,15 +326,12 @@ def ks_distance(
 def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, limit: int = GROUP_ROWS) -> DataFrame:
     """Area under the ROC curve in its rank form: the share of (positive,
     negative) pairs ranked right, a tie counting half. No pair is ever formed."""
-    counts = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*keys, score)
-        .agg(
-            F.sum(F.col(label).cast("bigint")).alias("_p"),
-            F.sum(1 - F.col(label).cast("bigint")).alias("_n"),
-        )
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = known.groupBy(*keys, score).agg(
+        F.sum(F.col(label).cast("bigint")).alias("_p"),
+        F.sum(1 - F.col(label).cast("bigint")).alias("_n"),
     )
-    cum = running_totals(counts, keys, [score], {"p": F.col("_p"), "n": F.col("_n")}, limit=limit)
+    cum = _counted_totals(known, counts, keys, score, {"p": F.col("_p"), "n": F.col("_n")}, limit)
     won = F.col("_p") * (F.col("n_upto") - F.col("_n") / 2.0)
     return cum.groupBy(*keys).agg(
         F.try_divide(F.sum(won), F.max(F.col("p_total") * F.col("n_total"))).alias("auc"),

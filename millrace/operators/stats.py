@@ -54,10 +54,9 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = counts.groupBy("feature").agg(F.max("n").alias("n"))
-    return counts.join(best, ["feature", "n"]).groupBy("feature").agg(
-        F.min("value").alias("mode"), F.max("n").alias("n")
-    )
+    # The least (-n, value) is the largest count with the smallest value.
+    best = counts.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("m"), "value")).alias("_b"))
+    return best.select("feature", F.col("_b.value").alias("mode"), (-F.col("_b.m")).alias("n"))
 
 
 def value_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:

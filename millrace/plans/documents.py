@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as tx
 from millrace.operators import documents as dx, stats
 from millrace.plans.registry import query
-from millrace.session import scratch_path
+from millrace.session import scratch_path, written
 from millrace.sources import writers
 
 CUT = 0.25
@@ -42,13 +42,13 @@ _PHRASES = r"""tk AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') A
 def moods(t):
     counts = dx.term_counts(t.documents)
     lexicon = dx.learn_lexicon(counts, t.labels, "quality")
-    return dx.sentiment(t.documents, counts, lexicon, CUT)
+    return dx.sentiment(counts, lexicon, CUT)
 
 
 def results(t):
     key = F.concat(F.lit("uploads/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return dx.analysis_rows(
-        t.documents, key, moods(t), dx.entities(t.documents), dx.key_phrases(t.documents), F.lit(AS_OF).cast("timestamp")
+        t.documents, key, moods(t), dx.key_phrases(t.documents), F.lit(AS_OF).cast("timestamp")
     )
 
 
@@ -146,7 +146,7 @@ def document_reports(t):
 @query("DOC16 SNK5")
 def corpus_report(t):
     path = scratch_path(t.spark, "report")
-    lines = dx.corpus_report(results(t))
+    lines = dx.corpus_report(written(results(t), "analyses"))
     writers.report(lines.orderBy("section", "position"), path, "line")
     return t.spark.read.text(path).withColumnRenamed("value", "line")
 
