@@ -27,6 +27,16 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
 
 
+def runs(items: str) -> Column:
+    """(item, n) pairs of a SORTED array column: each run of equal items counted
+    within its row, so no shuffle has to bring a document's items together."""
+    a, n = F.col(items), F.size(items)
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+    ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n))
+    pairs = F.zip_with(starts, ends, lambda s, e: F.struct(F.get(a, s).alias("item"), (e - s).cast("bigint").alias("n")))
+    return F.when(n > 0, pairs)
+
+
 def segments(text: Column, size: int = 5000) -> Column:
     """The whole text as consecutive pieces of at most `size` characters, for
     scorers with an input limit; nothing is cut off."""

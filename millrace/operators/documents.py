@@ -11,25 +11,28 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from millrace.functions import text as tx
 from millrace.functions.numeric import safe_ratio
 from millrace.operators import stats
+from millrace.operators.relational import BROADCAST_ROWS, lookup_join
+from millrace.session import written
 
 # Labels in the order that decides ties.
 SENTIMENTS = ("POSITIVE", "NEGATIVE", "NEUTRAL", "MIXED")
 
-# Fixed values: (type, pattern, score) of the built-in entity finder. The match is
+# Fixed values: (type, pattern, score, literal) of the built-in entity finder. Every
+# match contains the literal: a text without it is not searched. The match is
 # group 1; a leading character class stands for a word boundary, because engines
 # differ on what `\b` means next to accented letters.
 _EDGE = r"(?:^|[^\p{L}\p{N}])"
 ENTITY_PATTERNS = (
-    ("DATE", _EDGE + r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 0.99),
-    ("DATE", _EDGE + r"((?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}(?:, [0-9]{4})?)", 0.95),
-    ("LOCATION", _EDGE + r"((?:[0-9]{1,3}\.){3}[0-9]{1,3})", 0.6),
-    ("OTHER", _EDGE + r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})", 0.98),
-    ("OTHER", _EDGE + r"(https?://[^ \t\r\n]+)", 0.97),
-    ("PERSON", _EDGE + r"((?:Mr|Mrs|Ms|Dr)\. \p{Lu}\p{Ll}+)", 0.9),
-    ("PERSON", _EDGE + r"(\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+)", 0.7),
-    ("QUANTITY", r"(\$[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?)", 0.95),
-    ("QUANTITY", _EDGE + r"([0-9]+(?:\.[0-9]+)?%)", 0.95),
-    ("QUANTITY", _EDGE + r"([0-9]+)", 0.5),
+    ("DATE", _EDGE + r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 0.99, "-"),
+    ("DATE", _EDGE + r"((?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}(?:, [0-9]{4})?)", 0.95, " "),
+    ("LOCATION", _EDGE + r"((?:[0-9]{1,3}\.){3}[0-9]{1,3})", 0.6, "."),
+    ("OTHER", _EDGE + r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})", 0.98, "@"),
+    ("OTHER", _EDGE + r"(https?://[^ \t\r\n]+)", 0.97, "://"),
+    ("PERSON", _EDGE + r"((?:Mr|Mrs|Ms|Dr)\. \p{Lu}\p{Ll}+)", 0.9, ". "),
+    ("PERSON", _EDGE + r"(\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+)", 0.7, " "),
+    ("QUANTITY", r"(\$[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?)", 0.95, "$"),
+    ("QUANTITY", _EDGE + r"([0-9]+(?:\.[0-9]+)?%)", 0.95, "%"),
+    ("QUANTITY", _EDGE + r"([0-9]+)", 0.5, ""),
 )
 
 
@@ -47,13 +50,17 @@ def pieces(docs: DataFrame, size: int = 5000, doc_id: str = "doc_id", text: str
     return docs.select(doc_id, F.posexplode(tx.segments(F.col(text), size)).alias("piece", "text"))
 
 
+def item_counts(docs: DataFrame, items: Column, name: str, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, <name>, n): how often each item of an array occurs in its document,
+    counted within the row."""
+    listed = docs.select(doc_id, F.sort_array(items).alias("_items"))
+    counted = listed.select(doc_id, F.explode(tx.runs("_items")).alias("_r"))
+    return counted.select(doc_id, F.col("_r.item").alias(name), F.col("_r.n").alias("n"))
+
+
 def term_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, term, n); a document without terms gives one row with a NULL term."""
-    return (
-        docs.select(doc_id, F.explode_outer(tx.terms(F.col(text))).alias("term"))
-        .groupBy(doc_id, "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(doc_id, term, n)."""
+    return item_counts(docs, tx.terms(F.col(text)), "term", doc_id)
 
 
 def processing_status(docs: DataFrame, key: Column, text: Column, min_chars: int = 10) -> DataFrame:
@@ -71,18 +78,15 @@ def processing_status(docs: DataFrame, key: Column, text: Column, min_chars: int
 # ------------------------------------------------------------- sentiment
 
 
-def learn_lexicon(counts: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
+def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, weight): log-odds of a term in documents labelled 1 against those
-    labelled 0, with add-one smoothing."""
+    labelled 0, with add-one smoothing. Only per-term sums are shuffled."""
+    marked = docs.select(doc_id, text).join(labels.select(doc_id, label), doc_id)
     good = F.col(label) == 1
     by_term = (
-        counts.where("term IS NOT NULL")
-        .join(labels.select(doc_id, label), doc_id)
+        marked.select(label, F.explode(tx.terms(F.col(text))).alias("term"))
         .groupBy("term")
-        .agg(
-            F.sum(F.when(good, F.col("n")).otherwise(0)).alias("pos"),
-            F.sum(F.when(good, 0).otherwise(F.col("n"))).alias("neg"),
-        )
+        .agg(F.count_if(good).alias("pos"), F.count_if(~good).alias("neg"))
     )
     totals = by_term.agg(
         F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("v"))
@@ -93,16 +97,29 @@ def learn_lexicon(counts: DataFrame, labels: DataFrame, label: str, doc_id: str
     return t.select("term", F.round(up - down, 6).alias("weight"))
 
 
-def sentiment(counts: DataFrame, lexicon: DataFrame, cut: float = 0.0, doc_id: str = "doc_id") -> DataFrame:
+def sentiment(docs: DataFrame, lexicon: DataFrame, cut: float = 0.0, doc_id: str = "doc_id", text: str = "text",
+              limit: int = BROADCAST_ROWS) -> DataFrame:
     """Four scores that add up to 1 and the label with the highest one.
 
     A term above `cut` is positive, below -`cut` negative, others (and unknown
     ones) are neutral; the mixed score grows with the smaller of both sides. A
-    document without terms is neutral.
+    document without terms is neutral. `lexicon` is read more than once: pass a
+    stored table.
+
+    Only polar terms are looked up. Up to `limit` of them they are broadcast and a
+    document is scored where it is read; beyond, counted terms are shuffled.
     """
-    w, n = F.col("weight"), F.when(F.col("term").isNotNull(), F.col("n")).otherwise(0)
+    polar = lexicon.where(F.abs("weight") > cut)
+    if polar.count() <= limit:
+        tokens = docs.select(doc_id, F.explode_outer(tx.terms(F.col(text))).alias("term"))
+        tokens = tokens.withColumn("n", F.col("term").isNotNull().cast("bigint"))
+    else:
+        counted = term_counts(docs, doc_id, text)
+        empty = docs.select(doc_id, F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("n"))
+        tokens = counted.unionByName(empty)
+    w, n = F.col("weight"), F.col("n")
     full = (
-        counts.join(lexicon, "term", "left")
+        lookup_join(tokens, polar, "term", limit=limit, spread_by=[doc_id])
         .groupBy(doc_id)
         .agg(
             F.sum(F.when(w > cut, n).otherwise(0)).alias("_p"),
@@ -128,19 +145,23 @@ def score_with(docs: DataFrame, scorer: Callable[[Iterator], Iterator], schema:
 # --------------------------------------------------------------- entities
 
 
-def entity_list(text: Column, patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS) -> Column:
+def entity_list(text: Column, patterns: Sequence[tuple[str, str, float, str]] = ENTITY_PATTERNS) -> Column:
     """Sorted array of (type, text, score), one entry per match, repeats kept."""
 
-    def matches(kind: str, pattern: str, score: float) -> Column:
+    def matches(kind: str, pattern: str, score: float, literal: str) -> Column:
+        searched = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+        if literal:
+            none = F.array().cast("array<string>")
+            searched = F.when(F.contains(text, F.lit(literal)), searched).when(text.isNotNull(), none)
         return F.transform(
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
+            searched,
             lambda m: F.struct(F.lit(kind).alias("type"), m.alias("text"), F.lit(score).alias("score")),
         )
 
     return F.sort_array(F.concat(*[matches(*p) for p in patterns]))
 
 
-def entities(docs: DataFrame, patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS,
+def entities(docs: DataFrame, patterns: Sequence[tuple[str, str, float, str]] = ENTITY_PATTERNS,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, type, text, score) rows."""
     found = docs.select(doc_id, F.explode(entity_list(F.col(text), patterns)).alias("_e"))
@@ -167,20 +188,19 @@ def phrase_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = F.zip_with(
         F.slice("_t", F.lit(1), length), F.slice("_t", F.lit(2), length), lambda a, b: F.concat_ws(" ", a, b)
     )
-    return (
-        listed.select(doc_id, F.explode(pairs).alias("phrase"))
-        .groupBy(doc_id, "phrase")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return item_counts(listed, pairs, "phrase", doc_id)
 
 
-def key_phrases(docs: DataFrame, k: int = 12, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The k phrases of each document with the highest TF-IDF, phrase order on ties."""
+def key_phrases(docs: DataFrame, k: int = 12, doc_id: str = "doc_id", text: str = "text",
+                limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The k phrases of each document with the highest TF-IDF, phrase order on ties.
+    The document frequencies are stored as a table before they are looked up."""
     counts = phrase_counts(docs, doc_id, text)
-    spread = counts.groupBy("phrase").agg(F.count(F.lit(1)).alias("_df"))
+    spread = written(counts.groupBy("phrase").agg(F.count(F.lit(1)).alias("_df")), "frequencies")
     total = docs.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((total + 1) / (F.col("_df") + 1))
-    scored = counts.join(spread, "phrase").select(doc_id, "phrase", F.round(F.col("n") * idf, 6).alias("score"))
+    joined = lookup_join(counts, spread, "phrase", "inner", spread_by=[doc_id], size="_df", limit=limit)
+    scored = joined.select(doc_id, "phrase", F.round(F.col("n") * idf, 6).alias("score"))
     order = W.partitionBy(doc_id).orderBy(F.col("score").desc(), "phrase")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -189,7 +209,7 @@ def key_phrases(docs: DataFrame, k: int = 12, doc_id: str = "doc_id", text: str
 
 
 def analysis_rows(docs: DataFrame, key: Column, moods: DataFrame, phrases: DataFrame, as_of: Column,
-                  patterns: Sequence[tuple[str, str, float]] = ENTITY_PATTERNS,
+                  patterns: Sequence[tuple[str, str, float, str]] = ENTITY_PATTERNS,
                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One nested result per document. The lists hold one document's own items;
     texts are shuffled once, for the joins on the document id."""

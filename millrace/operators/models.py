@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.numeric import dot
 from millrace.operators import evaluate
+from millrace.operators.relational import lookup_join
 
 
 def assembled(df: DataFrame, features: Sequence[str], label: str, name: str = "features") -> DataFrame:
@@ -107,7 +108,7 @@ def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
 def routed_scores(df: DataFrame, models: DataFrame, route: str, vector: str, intercept: str | None = None) -> DataFrame:
     """Each row scored by the linear model it names: one join and a dot product.
     Rows that name no known model get NULL."""
-    joined = df.join(models, route, "left")
+    joined = lookup_join(df, models, route)
     score = dot(F.col(vector), F.col("weights"))
     return joined.withColumn("score", score if intercept is None else score + F.col(intercept)).drop("weights")
 

@@ -19,12 +19,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from millrace.operators.relational import lookup_join
 from millrace.session import written
 
 # Rows one task may sort for a single group.
-GROUP_ROWS = 2_000_000
+GROUP_ROWS = 1_000_000
 
 _CHUNK = "_chunk"
 _TIE = "_tie"
@@ -251,21 +253,16 @@ def after_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int
         "_rn", F.row_number().over(_by(keys).orderBy("_pos"))
     )
     edge = ranked.where(F.col("_rn") <= k).groupBy(*keys).agg(F.max("_pos").alias("_edge"))
-    return df.join(edge, list(keys)).where(position > F.col("_edge")).drop("_edge")
+    if len(keys) == 1:
+        warm = lookup_join(df, edge, keys[0], "inner")
+    else:
+        warm = df.join(edge, list(keys))
+    return warm.where(position > F.col("_edge")).drop("_edge")
 
 
 # ----------------------------------------------------------------- quantiles
 
 
-def _counted_totals(rows: DataFrame, counts: DataFrame, keys: Sequence[str], value: str,
-                    sums: Mapping[str, Column], limit: int) -> DataFrame:
-    """Running totals over per-value counts. A table no longer than the limit needs
-    no look at its counts; beyond it the distinct values per key are measured."""
-    n = rows.count()
-    chunks = 0 if n <= limit else chunks_needed(counts, keys, limit)
-    return running_totals(counts, keys, [value], sums, chunks=chunks)
-
-
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -277,29 +274,77 @@ def exact_quantiles(
     """Exact quantiles per key as one column each; NULL values are skipped.
 
     Values are counted first (map-side), so copies cost nothing, and the counts
-    are ranked. `kind`:
-      interpolated  between the two neighbours of position p*(n-1);
-      positional    the element at 0-based position floor(n*p) of the sorted list.
+    are ranked. For groups over the limit only the value ranges that hold a wanted
+    position are ranked at all.
     """
-    known = df.where(F.col(value).isNotNull())
+    known = df.where(F.col(value).isNotNull()).select(*keys, value)
+    chunks = chunks_needed(known, keys, limit)
+    if chunks:
+        return _selected_quantiles(known, keys, value, probs, kind, chunks)
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = _counted_totals(known, counts, keys, value, {"c": F.col("_n")}, limit)
-    upto, total, first = F.col("c_upto"), F.col("c_total"), F.col("c_upto") - F.col("_n")
+    ranked = running_totals(counts, keys, [value], {"c": F.col("_n")}, chunks=0)
+    return _picked(ranked.withColumn("_total", F.col("c_total")), keys, value, probs, kind)
+
+
+def _positions(total: Column, p: float, kind: str) -> tuple[Column, Column]:
+    """0-based positions of the one or two elements a quantile is made of."""
+    if kind == "positional":
+        at = F.least(F.floor(total * F.lit(p)), total - 1)
+        return at, at
+    exact = (total - 1) * F.lit(float(p))
+    return F.floor(exact), F.ceil(exact)
+
+
+def _picked(ranked: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], kind: str) -> DataFrame:
+    """Quantile columns from counted values with their running total `c_upto`
+    (within the group) and the group's `_total`."""
+    upto, first = F.col("c_upto"), F.col("c_upto") - F.col("_n")
 
     def element(position: Column) -> Column:
         return F.max(F.when((first <= position) & (position < upto), F.col(value).cast("double")))
 
     out = []
     for name, p in probs.items():
+        low, high = _positions(F.col("_total"), p, kind)
         if kind == "positional":
-            out.append(element(F.least(F.floor(total * F.lit(p)), total - 1)).alias(name))
+            out.append(element(low).alias(name))
             continue
-        exact = (total - 1) * F.lit(float(p))
-        low, share = element(F.floor(exact)), F.max(exact - F.floor(exact))
-        out.append((low + (element(F.ceil(exact)) - low) * share).alias(name))
+        share = F.max((F.col("_total") - 1) * F.lit(float(p)) - low)
+        out.append((element(low) + (element(high) - element(low)) * share).alias(name))
     return ranked.groupBy(*keys).agg(*out)
 
 
+def _selected_quantiles(known: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], kind: str,
+                        chunks: int) -> DataFrame:
+    """Exact quantiles without sorting everything: cut the value range into about
+    equally full buckets, count the buckets per key, and rank only the values of
+    buckets that hold a wanted position."""
+    numeric = known.withColumn("_x", F.col(value).cast("double"))
+    marks = [i / chunks for i in range(1, chunks)]
+    cuts = sorted(set(numeric.approxQuantile("_x", marks, min(0.01, 0.25 / chunks))))
+    if cuts:
+        splits = [float("-inf"), *cuts, float("inf")]
+        placed = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(numeric)
+    else:
+        placed = numeric.withColumn("_b", F.lit(0.0))
+    sizes = placed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_m"))
+    # At most `chunks` + 1 rows per key.
+    through = _by(keys).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cells = sizes.select(
+        *keys, "_b", F.sum("_m").over(through).alias("_end"), F.sum("_m").over(_by(keys)).alias("_total"), "_m"
+    ).withColumn("_start", F.col("_end") - F.col("_m"))
+    hit = F.lit(False)
+    for p in probs.values():
+        for at in _positions(F.col("_total"), p, kind):
+            hit = hit | ((F.col("_start") <= at) & (at < F.col("_end")))
+    wanted = cells.where(hit).withColumn("_cell", F.struct(*keys, "_b")).select("_cell", "_start", "_total")
+    near = lookup_join(placed.withColumn("_cell", F.struct(*keys, "_b")), wanted, "_cell", "inner")
+    counts = near.groupBy(*keys, "_b", value, "_start", "_total").agg(F.count(F.lit(1)).alias("_n"))
+    upto = _by([*keys, "_b"]).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.withColumn("c_upto", F.sum("_n").over(upto) + F.col("_start"))
+    return _picked(ranked, keys, value, probs, kind)
+
+
 # ------------------------------------------------- distribution comparison
 
 
@@ -314,7 +359,8 @@ def ks_distance(
         .groupBy(*keys, value)
         .agg(F.sum(1 - F.col("_cur")).alias("_b"), F.sum("_cur").alias("_c"))
     )
-    cum = _counted_totals(known, counts, keys, value, {"b": F.col("_b"), "c": F.col("_c")}, limit)
+    sums = {"b": F.col("_b"), "c": F.col("_c")}
+    cum = running_totals(counts, keys, [value], sums, chunks=chunks_needed(known, keys, limit))
     gap = F.abs(
         F.try_divide(F.col("b_upto"), F.col("b_total")) - F.try_divide(F.col("c_upto"), F.col("c_total"))
     )
@@ -331,7 +377,8 @@ def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, limit:
         F.sum(F.col(label).cast("bigint")).alias("_p"),
         F.sum(1 - F.col(label).cast("bigint")).alias("_n"),
     )
-    cum = _counted_totals(known, counts, keys, score, {"p": F.col("_p"), "n": F.col("_n")}, limit)
+    sums = {"p": F.col("_p"), "n": F.col("_n")}
+    cum = running_totals(counts, keys, [score], sums, chunks=chunks_needed(known, keys, limit))
     won = F.col("_p") * (F.col("n_upto") - F.col("_n") / 2.0)
     return cum.groupBy(*keys).agg(
         F.try_divide(F.sum(won), F.max(F.col("p_total") * F.col("n_total"))).alias("auc"),

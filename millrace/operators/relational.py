@@ -7,6 +7,51 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
+# Rows up to which a measured table is broadcast.
+BROADCAST_ROWS = 200_000
+
+# A key is heavy when it holds more than 1/HEAVY_SHARE of all rows, so there are
+# never more than HEAVY_SHARE heavy keys, whatever the table size.
+HEAVY_SHARE = 10_000
+
+
+def heavy_keys(sizes: DataFrame, n: str = "n") -> DataFrame:
+    """The rows of a (key, n) table that are heavy: at most HEAVY_SHARE of them."""
+    total = sizes.agg(F.sum(n)).scalar()
+    return sizes.where(F.col(n) * HEAVY_SHARE > total)
+
+
+def lookup_join(fact: DataFrame, side: DataFrame, key: str, how: str = "left", spread_by: Sequence[str] = (),
+                size: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a fact table to a side with one row per key, safe against hot keys.
+
+    A side of at most `limit` rows is broadcast. Beyond that the heavy keys, a
+    bounded number, are broadcast, and only the other rows have to meet their
+    side row in a shuffle; heavy rows are spread over all its tasks by a hash of
+    `spread_by` (default: all columns). `size` names the side's column with the
+    fact rows per key, if it has one; else they are counted. The side is read
+    more than once: pass a stored table when it is expensive.
+    """
+    if side.count() <= limit:
+        return fact.join(F.broadcast(side), key, how)
+    cols = [c for c in side.columns if c != key]
+    row = F.struct(*cols)
+    if size:
+        heavy = heavy_keys(side, size)
+    else:
+        sizes = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        heavy = side.join(F.broadcast(heavy_keys(sizes).select(key)), key, "left_semi")
+    heavy = heavy.select(key, row.alias("_heavy"))
+    known = fact.join(F.broadcast(heavy), key, "left")
+    slot = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(HEAVY_SHARE)).cast("int") + 1
+    known = known.withColumn("_slot", F.when(F.col("_heavy").isNotNull(), slot).otherwise(0))
+    others = side.select(key, row.alias("_other"), F.lit(0).alias("_slot"))
+    joined = known.join(others, [key, "_slot"], "left").withColumn("_row", F.coalesce("_heavy", "_other"))
+    if how == "inner":
+        joined = joined.where("_row IS NOT NULL")
+    return joined.select(*fact.columns, *[F.col("_row")[c].alias(c) for c in cols])
+
+
 def top_pairs(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str], k: int) -> DataFrame:
     """First k rows of all (left, right) pairs in (left_order, right_order) order.
 
@@ -33,7 +78,7 @@ def prefixed(df: DataFrame, key: str, prefix: str) -> DataFrame:
 
 def left_with_defaults(base: DataFrame, side: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
     """Left join with a default for every listed column that stays NULL."""
-    joined = base.join(side, key, "left")
+    joined = lookup_join(base, side, key)
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 

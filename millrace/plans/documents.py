@@ -25,7 +25,7 @@ _MOOD = r"""tc AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnes
 def _found_sql() -> str:
     parts = [
         f"SELECT doc_id, '{kind}' AS type, unnest(regexp_extract_all(text, '{pattern}', 1)) AS text, {score}::DOUBLE AS score FROM documents"
-        for kind, pattern, score in dx.ENTITY_PATTERNS
+        for kind, pattern, score, _ in dx.ENTITY_PATTERNS
     ]
     return "found AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -40,15 +40,15 @@ _PHRASES = r"""tk AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') A
 
 
 def moods(t):
-    counts = dx.term_counts(t.documents)
-    lexicon = dx.learn_lexicon(counts, t.labels, "quality")
-    return dx.sentiment(counts, lexicon, CUT)
+    docs = t.spread("documents", "doc_id")
+    lexicon = written(dx.learn_lexicon(docs, t.labels, "quality"), "lexicon")
+    return dx.sentiment(docs, lexicon, CUT)
 
 
 def results(t):
     key = F.concat(F.lit("uploads/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return dx.analysis_rows(
-        t.documents, key, moods(t), dx.key_phrases(t.documents), F.lit(AS_OF).cast("timestamp")
+        t.spread("documents", "doc_id"), key, moods(t), dx.key_phrases(t.spread("documents", "doc_id")), F.lit(AS_OF).cast("timestamp")
     )
 
 
@@ -59,24 +59,24 @@ def document_sentiment(t):
 
 @query("DOC4", f"WITH {_FOUND} SELECT doc_id, type, text, score FROM found")
 def document_entities(t):
-    return dx.entities(t.documents)
+    return dx.entities(t.spread("documents", "doc_id"))
 
 
 @query("DOC5", f"WITH {_PHRASES} SELECT doc_id, phrase, score, rank FROM phrases")
 def key_phrases(t):
-    return dx.key_phrases(t.documents).withColumn("rank", F.col("rank").cast("bigint"))
+    return dx.key_phrases(t.spread("documents", "doc_id")).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query("DOC6 SRT5", f"WITH {_PHRASES} SELECT doc_id, string_agg(phrase, '; ' ORDER BY rank) AS top_phrases FROM phrases WHERE rank <= 10 GROUP BY 1")
 def report_phrases(t):
     # At most ten phrases per document meet in a group.
-    ranked = dx.key_phrases(t.documents, 10).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("rank", "phrase"))).alias("p"))
+    ranked = dx.key_phrases(t.spread("documents", "doc_id"), 10).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("rank", "phrase"))).alias("p"))
     return ranked.select("doc_id", F.array_join(F.col("p.phrase"), "; ").alias("top_phrases"))
 
 
 @query("DOC7 AGG18", f"WITH {_FOUND} SELECT type, text, count(*) AS mentions FROM found GROUP BY 1, 2")
 def entities_by_type(t):
-    return dx.entities_by_type(dx.entities(t.documents))
+    return dx.entities_by_type(dx.entities(t.spread("documents", "doc_id")))
 
 
 @query("DOC8 SNK4 ARR-F3 JSON-F2")
@@ -105,7 +105,7 @@ def sentiment_distribution(t):
 
 @query("DOC11 SRT4", f"WITH {_FOUND} SELECT type, count(*) AS n FROM found GROUP BY 1 ORDER BY n DESC, type LIMIT 5")
 def common_entity_types(t):
-    return dx.common_types(dx.entities(t.documents))
+    return dx.common_types(dx.entities(t.spread("documents", "doc_id")))
 
 
 @query(

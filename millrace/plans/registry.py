@@ -27,6 +27,13 @@ class Tables:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return df.withColumns({c: utc(F.col(c)) for c in _TIMES[name]}) if name in _TIMES else df
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for CPU-heavy work. A scan with fewer splits than cores (few,
+        large row groups) is spread over the cores first; a large one is left alone."""
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
 
 def query(covers: str, sql: str | None = None):
     """Register a function of Tables under its own name. `covers` lists the

@@ -67,7 +67,7 @@ def parquet_scan(t):
 def text_files(t):
     # The scan's layout is one file per document.
     path = scratch_path(t.spark, "texts")
-    t.documents.select("doc_id", "text").repartition("doc_id").write.partitionBy("doc_id").text(path)
+    t.documents.select("doc_id", "text").repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").write.partitionBy("doc_id").text(path)
     files = readers.documents(t.spark, path)
     body = F.regexp_replace("text", r"\n\z", "")  # the line end the text sink adds
     return files.agg(

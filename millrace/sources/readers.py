@@ -8,26 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace.functions.text import basename, parse_payload, parse_score
 
-STATISTICS = T._parse_datatype_string(
-    "features array<struct<name:string,numerical_statistics:struct<mean:double,std:double,min:double,max:double>>>"
-)
-CONSTRAINTS = T._parse_datatype_string(
-    "monitoring_config struct<distribution_constraints:struct<comparison_type:string,threshold:double>>"
-)
-CAPTURE = T._parse_datatype_string(
+# The nested layouts of the documents and capture files.
+STATISTICS = "features array<struct<name:string,numerical_statistics:struct<mean:double,std:double,min:double,max:double>>>"
+CONSTRAINTS = "monitoring_config struct<distribution_constraints:struct<comparison_type:string,threshold:double>>"
+CAPTURE = (
     "captureData struct<endpointInput:struct<data:string,encoding:string>,"
     "endpointOutput:struct<data:string,encoding:string>>,"
     "eventMetadata struct<eventId:string,inferenceTime:string>"
 )
 
 
-def csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+def csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=header)
 
 
 def label_first(spark: SparkSession, path: str, label: str, features: Sequence[str], kind: str = "double") -> DataFrame:
     """Header-less positional matrix: label in column 0, then the features."""
-    schema = T.StructType([T.StructField(c, T._parse_datatype_string(kind)) for c in [label, *features]])
+    schema = ", ".join(f"`{c}` {kind}" for c in [label, *features])
     return csv(spark, path, schema, header=False)
 
 

@@ -66,6 +66,7 @@ def captures(df: DataFrame, path: str, key: str, time: Column, features: Sequenc
     """Calls as capture events in JSON lines, one folder per hour. Ranges of (hour,
     id) keep the file count low and still split a busy hour over tasks."""
     chosen = sampled(df, key, pct)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     encoding = F.lit("CSV").alias("encoding")
     chosen.select(
         F.struct(
@@ -77,4 +78,4 @@ def captures(df: DataFrame, path: str, key: str, time: Column, features: Sequenc
             F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("inferenceTime"),
         ).alias("eventMetadata"),
         F.date_format(time, "yyyy-MM-dd-HH").alias("hour"),
-    ).repartitionByRange("hour", "eventMetadata.eventId").write.mode("overwrite").partitionBy("hour").json(path)
+    ).repartitionByRange(parts, "hour", "eventMetadata.eventId").write.mode("overwrite").partitionBy("hour").json(path)
