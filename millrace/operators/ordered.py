@@ -379,9 +379,11 @@ def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, limit:
     )
     sums = {"p": F.col("_p"), "n": F.col("_n")}
     cum = running_totals(counts, keys, [score], sums, chunks=chunks_needed(known, keys, limit))
+    # Pair numbers outgrow a bigint long before a table does: count them in double.
     won = F.col("_p") * (F.col("n_upto") - F.col("_n") / 2.0)
+    pairs = F.col("p_total").cast("double") * F.col("n_total")
     return cum.groupBy(*keys).agg(
-        F.try_divide(F.sum(won), F.max(F.col("p_total") * F.col("n_total"))).alias("auc"),
+        F.try_divide(F.sum(won), F.max(pairs)).alias("auc"),
         F.max("p_total").alias("positives"),
         F.max("n_total").alias("negatives"),
     )

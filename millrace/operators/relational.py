@@ -18,7 +18,7 @@ HEAVY_SHARE = 10_000
 def heavy_keys(sizes: DataFrame, n: str = "n") -> DataFrame:
     """The rows of a (key, n) table that are heavy: at most HEAVY_SHARE of them."""
     total = sizes.agg(F.sum(n)).scalar()
-    return sizes.where(F.col(n) * HEAVY_SHARE > total)
+    return sizes.where(F.col(n) > total / HEAVY_SHARE)
 
 
 def lookup_join(fact: DataFrame, side: DataFrame, key: str, how: str = "left", spread_by: Sequence[str] = (),
