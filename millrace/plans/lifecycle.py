@@ -97,7 +97,7 @@ def deletion_plan(t):
     "LIF7",
     """WITH c AS (SELECT p_brand, sum(l_quantity / 24.0 * p_retailprice) AS separate, sum(l_quantity / 24.0 * p_retailprice * (1 - l_discount)) AS shared
                   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
-       SELECT p_brand, round(separate, 2) AS separate, round(shared, 2) AS shared, round((separate - shared) * 100.0 / nullif(separate, 0), 4) AS savings_pct FROM c""",
+       SELECT p_brand, round(separate, 6) AS separate, round(shared, 6) AS shared, round((separate - shared) * 100.0 / nullif(separate, 0), 4) AS savings_pct FROM c""",
 )
 def cost_roll_up(t):
     # Usage folds per part first; the price join then moves one row per part.
@@ -110,7 +110,7 @@ def cost_roll_up(t):
     shared = lifecycle.cost(priced, ["p_brand"], F.col("shared_hours"), F.col("p_retailprice"), one).withColumnRenamed("cost", "shared")
     saved = F.try_divide((F.col("separate") - F.col("shared")) * 100.0, F.col("separate"))
     return separate.join(shared, "p_brand").select(
-        "p_brand", F.round("separate", 2).alias("separate"), F.round("shared", 2).alias("shared"), F.round(saved, 4).alias("savings_pct")
+        "p_brand", F.round("separate", 6).alias("separate"), F.round("shared", 6).alias("shared"), F.round(saved, 4).alias("savings_pct")
     )
 
 
