@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR  table folder (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores  (default 8)
-BENCH_RUNS    timed runs per query, the median counts (default 1)
+BENCH_RUNS    timed runs per query (default 3): `queries` holds the medians, `cold`
+              the first runs
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def run(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{
@@ -63,11 +64,14 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     run(spark, "counts_with_share", folder)  # start executors and code generation
-    seconds = {q: round(statistics.median(run(spark, q, folder) for _ in range(runs)), 3) for q in HEADLINE}
+    timed = {q: [run(spark, q, folder) for _ in range(runs)] for q in HEADLINE}
+    seconds = {q: round(statistics.median(s), 3) for q, s in timed.items()}
+    cold = {q: round(s[0], 3) for q, s in timed.items()}
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_wall", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"), "cpus": int(cpus), "runs": runs,
+        "cold": cold,
     }))
 
 

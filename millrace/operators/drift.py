@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -57,27 +59,34 @@ def mean_shift_of_segments(df: DataFrame, cols: Sequence[str], is_current: Colum
 def stability_index(df: DataFrame, cols: Sequence[str], is_current: Column, bins: int = 10,
                     epsilon: float = 1e-4, limit: int = GROUP_ROWS) -> DataFrame:
     """Population Stability Index per feature over bins cut at the baseline's
-    exact quantiles; an empty bin counts as a share of epsilon."""
-    long = stats.long_form(df.withColumn("_cur", is_current), cols, keep=["_cur"]).where("value IS NOT NULL")
+    exact quantiles; an empty bin counts as a share of epsilon.
+
+    The cuts are fitted first (a few numbers per feature column reach the driver),
+    then one pass bins both segments with plain comparisons.
+    """
+    tagged = df.withColumn("_cur", is_current)
+    baseline = stats.long_form(tagged.where(~F.col("_cur")), cols)
     names = {f"q{i}": i / bins for i in range(1, bins)}
-    cuts = exact_quantiles(long.where(~F.col("_cur")), ["feature"], "value", names, limit=limit)
-    edges = cuts.select("feature", F.array(*names).alias("_edges"))
-    # One row per feature column: its size is fixed by the call, not by the data.
-    placed = long.join(F.broadcast(edges), "feature").select(
-        "feature", "_cur", F.size(F.filter("_edges", lambda e: e < F.col("value"))).alias("bin")
-    )
-    counts = placed.groupBy("feature", "bin").agg(
-        F.count_if(~F.col("_cur")).alias("b"), F.count_if(F.col("_cur")).alias("c")
+    cuts = {r.feature: [r[q] for q in names] for r in exact_quantiles(baseline, ["feature"], "value", names, limit=limit).collect()}
+
+    def bin_of(c: str) -> Column:
+        value = F.col(c).cast("double")
+        above = [(F.lit(e) < value).cast("int") for e in cuts.get(c, [])]
+        return F.when(value.isNotNull(), reduce(add, above, F.lit(0))).alias(c)
+
+    placed = tagged.select("_cur", *[bin_of(c) for c in cols]).unpivot("_cur", list(cols), "feature", "bin")
+    counts = placed.where("bin IS NOT NULL").groupBy("feature").agg(
+        F.count_if(~F.col("_cur")).alias("nb"),
+        F.count_if(F.col("_cur")).alias("nc"),
+        *[F.count_if(~F.col("_cur") & (F.col("bin") == i)).alias(f"b{i}") for i in range(bins)],
+        *[F.count_if(F.col("_cur") & (F.col("bin") == i)).alias(f"c{i}") for i in range(bins)],
     )
-    full = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).join(
-        counts, ["feature", "bin"], "left"
-    )
-    totals = counts.groupBy("feature").agg(F.sum("b").alias("nb"), F.sum("c").alias("nc"))
+
     def share(n: str, total: str) -> Column:
         return F.greatest(F.coalesce(F.try_divide(F.col(n), F.col(total)), F.lit(0.0)), F.lit(epsilon))
 
-    b, c = share("b", "nb"), share("c", "nc")
-    return full.join(totals, "feature").groupBy("feature").agg(F.sum((c - b) * F.ln(c / b)).alias("psi"))
+    parts = [(share(f"c{i}", "nc"), share(f"b{i}", "nb")) for i in range(bins)]
+    return counts.select("feature", reduce(add, [(c - b) * F.ln(c / b) for c, b in parts]).alias("psi"))
 
 
 def ks_shift(df: DataFrame, cols: Sequence[str], is_current: Column, limit: int = GROUP_ROWS) -> DataFrame:

@@ -87,27 +87,34 @@ def asof_join(
     Adds the feature columns and `<right_time>` as `feature_time`.
     """
     payload = F.struct(F.col(right_time).alias("feature_time"), *features)
-    rank = F.struct(*tie, payload) if tie else payload
+    ties = {"_tie_by": F.struct(*tie)} if tie else {}
     versions = right.dropna(subset=[*keys, right_time]).select(
-        *keys, F.col(right_time).alias("_t"), payload.alias("_v"), rank.alias("_rank"), F.lit(0).alias("_side")
+        *keys, F.col(right_time).alias("_t"), payload.alias("_v"), F.lit(0).alias("_side"), *[c.alias(n) for n, c in ties.items()]
     )
+    # Columns both sides share travel once, outside the row.
+    shared = {k: k for k in keys if left.schema[k].dataType == right.schema[k].dataType}
+    if left.schema[left_time].dataType == right.schema[right_time].dataType:
+        shared[left_time] = "_t"
+    rest = [c for c in left.columns if c not in shared]
     probe = left.select(
-        *keys, F.col(left_time).alias("_t"), F.struct(*left.columns).alias("_row"), F.lit(1).alias("_side")
+        *keys, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), *([F.struct(*rest).alias("_row")] if rest else [])
     )
     chunks = max(chunks_needed(left, keys, limit), chunks_needed(right, keys, limit))
     if not chunks:
-        order = _by(keys).orderBy("_t", "_side", "_rank")
+        upto = _by(keys).orderBy("_t", "_side", *ties, "_v").rowsBetween(W.unboundedPreceding, W.currentRow)
         points = versions.unionByName(probe, allowMissingColumns=True)
-        filled = points.withColumn("_v", F.last("_v", ignorenulls=True).over(order))
+        filled = points.withColumn("_v", F.last("_v", ignorenulls=True).over(upto))
     else:
         # Copies of a version fold before whole rows are shuffled.
-        single = versions.groupBy(*keys, "_t", "_side").agg(F.max_by("_v", "_rank").alias("_v"))
+        single = versions.groupBy(*keys, "_t", "_side").agg(F.max_by("_v", F.struct(*ties, "_v")).alias("_v"))
         filled = _carry_forward(single.unionByName(probe, allowMissingColumns=True), keys, chunks)
     result = filled.where("_side = 1")
     if how == "inner":
         result = result.where("_v IS NOT NULL")
     return result.select(
-        "_row.*", F.col("_v.feature_time").alias("feature_time"), *[F.col(f"_v.{c}").alias(c) for c in features]
+        *[F.col(shared[c]).alias(c) if c in shared else F.col(f"_row.{c}").alias(c) for c in left.columns],
+        F.col("_v.feature_time").alias("feature_time"),
+        *[F.col(f"_v.{c}").alias(c) for c in features],
     )
 
 
@@ -154,7 +161,7 @@ def _carry_forward(points: DataFrame, keys: Sequence[str], chunks: int) -> DataF
     ).where("_v IS NOT NULL")
     # A carried version opens its chunk: NULL `_t` sorts first.
     opened = rows.unionByName(carry, allowMissingColumns=True)
-    order = _by([*keys, _CHUNK]).orderBy(F.col("_t").asc_nulls_first(), "_side")
+    order = _by([*keys, _CHUNK]).orderBy(F.col("_t").asc_nulls_first(), "_side", _TIE).rowsBetween(W.unboundedPreceding, W.currentRow)
     return opened.withColumn("_v", F.last("_v", ignorenulls=True).over(order)).where("_side >= 0")
 
 
@@ -210,9 +217,11 @@ def running_totals(
     if chunks is None:
         chunks = chunks_needed(df, keys, limit)
     if not chunks:
+        # Both frames share one order, hence one sort and one window operator.
         upto = _by(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        whole = _by(keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         added = {f"{n}_upto": F.sum(f"_in_{n}").over(upto) for n in sums}
-        added |= {f"{n}_total": F.sum(f"_in_{n}").over(_by(keys)) for n in sums}
+        added |= {f"{n}_total": F.sum(f"_in_{n}").over(whole) for n in sums}
         return df.withColumns(added).drop(*inputs)
     rows = chunked(df, keys, order, chunks)
     totals = rows.groupBy(*keys, _CHUNK).agg(*[F.sum(f"_in_{n}").alias(f"_s_{n}") for n in sums])
