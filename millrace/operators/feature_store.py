@@ -132,7 +132,7 @@ def leakage_audit(events: DataFrame, df: DataFrame, keys: Sequence[str], event_t
     # One row per key and event time carries the count: a hot key stays small.
     counted = events.groupBy(*keys, event_time).agg(F.count(F.lit(1)).alias("_n"))
     late = F.when(F.col("feature_time") > F.col(event_time), F.col("_n")).otherwise(0)
-    naive = counted.join(newest, list(keys), "left").agg(
+    naive = relational.lookup_join_by(counted, newest, keys).agg(
         F.sum(late).alias("leaking"), F.sum("_n").alias("n_rows")
     )
     exact = point_in_time(events, df, keys, event_time, feature_time, [feature], tie, limit=limit).agg(

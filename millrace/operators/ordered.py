@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from millrace.operators.relational import lookup_join
+from millrace.operators.relational import lookup_join, lookup_join_by
 from millrace.session import written
 
 # Rows one task may sort for a single group.
@@ -262,10 +262,7 @@ def after_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int
         "_rn", F.row_number().over(_by(keys).orderBy("_pos"))
     )
     edge = ranked.where(F.col("_rn") <= k).groupBy(*keys).agg(F.max("_pos").alias("_edge"))
-    if len(keys) == 1:
-        warm = lookup_join(df, edge, keys[0], "inner")
-    else:
-        warm = df.join(edge, list(keys))
+    warm = lookup_join_by(df, edge, keys, "inner")
     return warm.where(position > F.col("_edge")).drop("_edge")
 
 

@@ -37,19 +37,29 @@ def lookup_join(fact: DataFrame, side: DataFrame, key: str, how: str = "left", s
     cols = [c for c in side.columns if c != key]
     row = F.struct(*cols)
     if size:
-        heavy = heavy_keys(side, size)
+        heavy = heavy_keys(side, size).select(key, row.alias("_heavy"))
     else:
-        sizes = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        heavy = side.join(F.broadcast(heavy_keys(sizes).select(key)), key, "left_semi")
-    heavy = heavy.select(key, row.alias("_heavy"))
-    known = fact.join(F.broadcast(heavy), key, "left")
+        keys = heavy_keys(fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))).select(key)
+        found = side.join(F.broadcast(keys), key, "left_semi").select(key, row.alias("_heavy"))
+        heavy = keys.join(found, key, "left")
+    known = fact.join(F.broadcast(heavy.withColumn("_hot", F.lit(True))), key, "left")
+    # Rows that need no side row any more, or can have none, go anywhere.
+    free = F.col("_hot").isNotNull() | F.col(key).isNull()
     slot = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(HEAVY_SHARE)).cast("int") + 1
-    known = known.withColumn("_slot", F.when(F.col("_heavy").isNotNull(), slot).otherwise(0))
+    known = known.withColumn("_slot", F.when(free, slot).otherwise(0)).drop("_hot")
     others = side.select(key, row.alias("_other"), F.lit(0).alias("_slot"))
-    joined = known.join(others, [key, "_slot"], "left").withColumn("_row", F.coalesce("_heavy", "_other"))
+    joined = known.join(others, [key, "_slot"], "left").withColumn("_found", F.coalesce("_heavy", "_other"))
     if how == "inner":
-        joined = joined.where("_row IS NOT NULL")
-    return joined.select(*fact.columns, *[F.col("_row")[c].alias(c) for c in cols])
+        joined = joined.where("_found IS NOT NULL")
+    return joined.select(*fact.columns, *[F.col("_found")[c].alias(c) for c in cols])
+
+
+def lookup_join_by(fact: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left",
+                   limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The same over several key columns; NULL keys are equal here."""
+    key = F.struct(*keys)
+    keyed = side.select(key.alias("_key"), *[c for c in side.columns if c not in keys])
+    return lookup_join(fact.withColumn("_key", key), keyed, "_key", how, limit=limit).drop("_key")
 
 
 def top_pairs(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str], k: int) -> DataFrame:
@@ -68,7 +78,8 @@ def top_pairs(left: DataFrame, right: DataFrame, left_order: Sequence[str], righ
 
 def lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of `df` whose key is in `ids`; ids without a row are simply absent."""
-    return df.join(ids.select(key).distinct(), key, "left_semi")
+    wanted = ids.select(key).distinct().withColumn("_wanted", F.lit(True))
+    return lookup_join(df, wanted, key, "inner").drop("_wanted")
 
 
 def prefixed(df: DataFrame, key: str, prefix: str) -> DataFrame:

@@ -201,7 +201,7 @@ def formatted_text(t):
 @query(
     "DT-F1 DT-F2 DT-F4 DT-F5",
     """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%H:%M') AS clock, epoch_us(ts) AS us,
-              round((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1000000.0, 3) AS seconds,
+              round((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1000000.0, 6) AS seconds,
               epoch_us(ts - INTERVAL 30 MINUTE) AS earlier_us FROM events""",
 )
 def time_functions(t):
@@ -210,7 +210,7 @@ def time_functions(t):
     return t.events.select(
         "event_id", tm.iso(ts).alias("iso"), tm.clock_label(ts).alias("clock"),
         tm.micros(tm.from_epoch(tm.to_epoch(ts))).alias("us"),
-        F.round(tm.seconds_between(start, ts), 3).alias("seconds"),
+        F.round(tm.seconds_between(start, ts), 6).alias("seconds"),
         tm.micros(ts - F.expr("INTERVAL 30 MINUTES")).alias("earlier_us"),
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from millrace.functions.numeric import change_pct
 from millrace.functions.time import utc
 from millrace.operators.feature_store import FeatureGroup, conform
+from millrace.operators.relational import lookup_join
 from millrace.session import scratch_path
 
 
@@ -63,7 +64,7 @@ def late_rows(df: DataFrame, time: str, arrival: str, batch: str, delay: str) ->
     newest = rows.groupBy("_batch").agg(F.max(time).alias("_newest"))
     earlier = W.orderBy("_batch").rowsBetween(W.unboundedPreceding, -1)
     mark = newest.select("_batch", (F.max("_newest").over(earlier) - F.expr(f"INTERVAL {delay}")).alias("_mark"))
-    return rows.join(mark, "_batch").withColumn("late", F.coalesce(F.col(time) < F.col("_mark"), F.lit(False))).drop("_batch", "_mark")
+    return lookup_join(rows, mark, "_batch").withColumn("late", F.coalesce(F.col(time) < F.col("_mark"), F.lit(False))).drop("_batch", "_mark")
 
 
 def ingest_stream(stream: DataFrame, group: FeatureGroup, path: str) -> DataFrame:
