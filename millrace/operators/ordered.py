@@ -28,6 +28,12 @@ from millrace.session import written
 # Rows one task may sort for a single group.
 GROUP_ROWS = 1_000_000
 
+# Ranges a shuffle is cut into at most; beyond, chunks grow with the table.
+MAX_CHUNKS = 100_000
+
+# Value buckets per round of a quantile selection.
+BUCKETS = 1_000
+
 _CHUNK = "_chunk"
 _TIE = "_tie"
 
@@ -40,12 +46,12 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 def chunks_needed(df: DataFrame, keys: Sequence[str], limit: int) -> int:
     """0 when every key group has at most `limit` rows, else the number of chunks
-    that brings a chunk down to that. The row count, which Parquet answers from
+    that brings a chunk down to that (MAX_CHUNKS at most). The row count, which Parquet answers from
     its footers, settles small tables without a look at the keys."""
     rows = df.count()
     if rows <= limit or (keys and largest_group(df, keys) <= limit):
         return 0
-    return -(-rows // limit)
+    return min(-(-rows // limit), MAX_CHUNKS)
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int) -> DataFrame:
@@ -286,7 +292,7 @@ def exact_quantiles(
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
     chunks = chunks_needed(known, keys, limit)
     if chunks:
-        return _selected_quantiles(known, keys, value, probs, kind, chunks)
+        return _selected_quantiles(known, keys, value, probs, kind, limit)
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(counts, keys, [value], {"c": F.col("_n")}, chunks=0)
     return _picked(ranked.withColumn("_total", F.col("c_total")), keys, value, probs, kind)
@@ -320,34 +326,54 @@ def _picked(ranked: DataFrame, keys: Sequence[str], value: str, probs: Mapping[s
     return ranked.groupBy(*keys).agg(*out)
 
 
+def _bucketed(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds the number of an about equally full value range."""
+    numeric = rows.withColumn("_x", F.col(value).cast("double"))
+    marks = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = sorted(set(numeric.approxQuantile("_x", marks, 0.25 / BUCKETS)))
+    if not cuts:
+        return rows.withColumn(name, F.lit(0.0))
+    splits = [float("-inf"), *cuts, float("inf")]
+    return Bucketizer(splits=splits, inputCol="_x", outputCol=name, handleInvalid="keep").transform(numeric).drop("_x")
+
+
 def _selected_quantiles(known: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], kind: str,
-                        chunks: int) -> DataFrame:
-    """Exact quantiles without sorting everything: cut the value range into about
-    equally full buckets, count the buckets per key, and rank only the values of
-    buckets that hold a wanted position."""
-    numeric = known.withColumn("_x", F.col(value).cast("double"))
-    marks = [i / chunks for i in range(1, chunks)]
-    cuts = sorted(set(numeric.approxQuantile("_x", marks, min(0.01, 0.25 / chunks))))
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        placed = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(numeric)
-    else:
-        placed = numeric.withColumn("_b", F.lit(0.0))
-    sizes = placed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_m"))
-    # At most `chunks` + 1 rows per key.
-    through = _by(keys).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cells = sizes.select(
-        *keys, "_b", F.sum("_m").over(through).alias("_end"), F.sum("_m").over(_by(keys)).alias("_total"), "_m"
-    ).withColumn("_start", F.col("_end") - F.col("_m"))
-    hit = F.lit(False)
-    for p in probs.values():
-        for at in _positions(F.col("_total"), p, kind):
-            hit = hit | ((F.col("_start") <= at) & (at < F.col("_end")))
-    wanted = cells.where(hit).withColumn("_cell", F.struct(*keys, "_b")).select("_cell", "_start", "_total")
-    near = lookup_join(placed.withColumn("_cell", F.struct(*keys, "_b")), wanted, "_cell", "inner")
-    counts = near.groupBy(*keys, "_b", value, "_start", "_total").agg(F.count(F.lit(1)).alias("_n"))
-    upto = _by([*keys, "_b"]).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.withColumn("c_upto", F.sum("_n").over(upto) + F.col("_start"))
+                        limit: int) -> DataFrame:
+    """Exact quantiles without sorting everything. Each round cuts the value range
+    of the remaining rows into buckets, counts them per cell (key and buckets so
+    far) and keeps the rows of cells that hold a wanted position, until a cell
+    has at most `limit` rows; those are ranked. Three rounds narrow a cell a
+    billionfold; more are of no use, what is left then are copies, which count
+    as one."""
+    rows = known.withColumns({"_base": F.lit(0).cast("bigint"), "_total": F.lit(None).cast("bigint")})
+    path = list(keys)
+    for round_ in range(3):
+        bucket = f"_b{round_}"
+        placed = _bucketed(rows, value, bucket)
+        sizes = placed.groupBy(*path, bucket).agg(
+            F.count(F.lit(1)).alias("_m"), F.min("_base").alias("_base"), F.min("_total").alias("_total")
+        )
+        # At most BUCKETS + 1 rows per cell of the round before.
+        through = _by(path).orderBy(bucket).rowsBetween(W.unboundedPreceding, W.currentRow)
+        end = F.col("_base") + F.sum("_m").over(through)
+        cells = sizes.select(
+            *path, bucket, "_m", (end - F.col("_m")).alias("_start"), end.alias("_end"),
+            F.coalesce(F.col("_total"), F.sum("_m").over(_by(path))).alias("_all"),
+        )
+        hit = F.lit(False)
+        for p in probs.values():
+            for at in _positions(F.col("_all"), p, kind):
+                hit = hit | ((F.col("_start") <= at) & (at < F.col("_end")))
+        path.append(bucket)
+        # A few cells per key, read three times below.
+        wanted = written(cells.where(hit), "cells")
+        side = wanted.select(*path, F.col("_start").alias("_base"), F.col("_all").alias("_total"))
+        rows = lookup_join_by(placed.drop("_base", "_total"), side, path, "inner")
+        if (wanted.agg(F.max("_m")).first()[0] or 0) <= limit:
+            break
+    counts = rows.groupBy(*path, value, "_base", "_total").agg(F.count(F.lit(1)).alias("_n"))
+    upto = _by(path).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.withColumn("c_upto", F.sum("_n").over(upto) + F.col("_base"))
     return _picked(ranked, keys, value, probs, kind)
 
 

@@ -122,6 +122,17 @@ def test_quantiles(data, limit, keys):
                     assert r[name] == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
 
 
+def test_selection_in_rounds(spark, monkeypatch):
+    """Few buckets and a small limit force all rounds; copies never fit the limit."""
+    monkeypatch.setattr(ordered, "BUCKETS", 4)
+    values = [float(i * i % 997) for i in range(900)] + [500.0] * 600
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "k int, v double")
+    got = ordered.exact_quantiles(df, ["k"], "v", {"q": 0.37, "m": 0.5}, limit=20)
+    for r in got.collect():
+        mine = [v for i, v in enumerate(values) if i % 2 == r.k]
+        assert (r.q, r.m) == (pytest.approx(np.quantile(mine, 0.37)), pytest.approx(np.quantile(mine, 0.5)))
+
+
 def test_percentiles_of_hundred_calls(spark):
     calls = spark.range(100).select(F.col("id").cast("double").alias("ms"))
     r = ordered.exact_quantiles(calls, [], "ms", {"p50": 0.5, "p95": 0.95}, "positional").first()
