@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -46,8 +46,11 @@ def fit_boosted(df: DataFrame, rounds: int = 100, depth: int = 5, eta: float = 0
     return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=eta, subsamplingRate=subsample, seed=seed).fit(df)
 
 
-def fit_multiclass(df: DataFrame, trees: int = 50, depth: int = 6, seed: int = 42) -> Model:
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(df)
+def fit_multiclass(df: DataFrame, rounds: int = 20, depth: int = 4, eta: float = 0.3, seed: int = 42,
+                   parallelism: int = 4) -> Model:
+    """Boosted trees for many classes: one model per class against the rest."""
+    one = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=eta, seed=seed)
+    return OneVsRest(classifier=one, parallelism=parallelism).fit(df)
 
 
 def scored(model: Model, df: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def boosted_model(t):
 @query("ML4")
 def multiclass_model(t):
     df = mx.vector_column(prepare.assign_split(t.embeddings, "vec_id"), "embedding").withColumn("label", F.col("label").cast("double"))
-    model = mx.fit_multiclass(df.where("split = 'train'"))
+    model = mx.fit_multiclass(df.where("split = 'train'"), rounds=3, depth=3)
     rows = mx.scored_multiclass(model, df)
     return rows.groupBy("split").agg(
         F.avg((F.col("label") == F.col("pred")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n")

@@ -26,6 +26,13 @@ def test_beats_the_majority(table, fit, floor):
     assert rows.where("(p > 0.5) <> (pred = 1) AND p <> 0.5").count() == 0
 
 
+def test_multiclass(spark):
+    df = spark.createDataFrame([([float(c), float(i % 7)], float(c)) for c in range(3) for i in range(30)], "v array<double>, label double")
+    df = mx.vector_column(df, "v")
+    rows = mx.scored_multiclass(mx.fit_multiclass(df, rounds=2, depth=2), df)
+    assert rows.where("pred = label").count() == 90
+
+
 def test_logistic_penalty_is_per_table(table):
     """The weights minimise summed log loss + |w|^2 / (2c)."""
     w = mx.fit_logistic(table, c=0.5)
