@@ -194,12 +194,16 @@ def phrase_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 def key_phrases(docs: DataFrame, k: int = 12, doc_id: str = "doc_id", text: str = "text",
                 limit: int = BROADCAST_ROWS) -> DataFrame:
     """The k phrases of each document with the highest TF-IDF, phrase order on ties.
-    The document frequencies are stored as a table before they are looked up."""
+
+    Most phrases occur in one document only. The stored table of document
+    frequencies leaves them out: a phrase it does not hold has frequency 1.
+    """
     counts = phrase_counts(docs, doc_id, text)
-    spread = written(counts.groupBy("phrase").agg(F.count(F.lit(1)).alias("_df")), "frequencies")
+    spread = counts.groupBy("phrase").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
+    repeated = written(spread, "frequencies")
     total = docs.agg(F.count(F.lit(1))).scalar()
-    idf = F.ln((total + 1) / (F.col("_df") + 1))
-    joined = lookup_join(counts, spread, "phrase", "inner", spread_by=[doc_id], size="_df", limit=limit)
+    idf = F.ln((total + 1) / (F.coalesce("_df", F.lit(1)) + 1))
+    joined = lookup_join(counts, repeated, "phrase", spread_by=[doc_id], size="_df", limit=limit)
     scored = joined.select(doc_id, "phrase", F.round(F.col("n") * idf, 6).alias("score"))
     order = W.partitionBy(doc_id).orderBy(F.col("score").desc(), "phrase")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
