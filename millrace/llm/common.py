@@ -215,3 +215,15 @@ def given_id(name: str = "doc") -> Column:
 
 def partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def share(spark, obj):
+    """Broadcast an object's state; returns a function that rebuilds it on an executor."""
+    state, kind = spark.sparkContext.broadcast(vars(obj)), type(obj)
+
+    def get():
+        own = object.__new__(kind)
+        own.__dict__.update(state.value)
+        return own
+
+    return get

@@ -1,12 +1,22 @@
 """The registered query of each operator and, where SQL can express it, its check."""
 
-from millrace.llm import quality, substring_dedup
+from millrace.llm import decontamination, language_id, near_dedup, quality, secret_scan, sentencepiece_codec, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_toxicity": toxicity.query,
+    "op3_decontamination": decontamination.query,
+    "op4_warc": warc.query,
+    "op5_near_dedup": near_dedup.query,
+    "op6_sentencepiece": sentencepiece_codec.query,
     "op8_quality_rules": quality.query,
+    "op9_secret_scans": secret_scan.query,
+    "op10_language_id": language_id.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op3_decontamination": decontamination.SQL,
+    "op4_warc": warc.SQL,
     "op8_quality_rules": quality.SQL,
+    "op9_secret_scans": secret_scan.SQL,
 }
