@@ -9,7 +9,7 @@ follows the longest text and not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -195,13 +195,20 @@ def runs(breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(breaks)))
 
 
-def keyed(docs, id_col: str = "doc_id", text_col: str = "text"):
+def whole_row(df) -> Column:
+    """All columns as one, so that names of ours cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def keyed(docs, id_col: str = "doc_id", text_col: str = "text", **more: Column):
     """(doc, tag, text): the id with null as the largest number, a hash that tells
-    rows of one id apart, and the text. Other columns do not get in the way."""
+    rows of one id apart, and the text; then `more` (name = column). Other columns do
+    not get in the way."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *[c.alias(name) for name, c in more.items()],
     )
 
 
@@ -227,3 +234,28 @@ def share(spark, obj):
         return own
 
     return get
+
+
+def grouped(fn: Callable[[pa.Table], pa.RecordBatch | None], keys: list[str]):
+    """Apply `fn` to each group of rows that are equal in `keys`; input is sorted by them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = [batch[k].to_numpy() for k in keys]
+            new = np.append(True, np.any([x[1:] != x[:-1] for x in ids], axis=0))
+            for first, size in zip(*runs(new), strict=True):
+                key = tuple(x[first] for x in ids)
+                if held and key != current:
+                    out = fn(pa.Table.from_batches(held).combine_chunks())
+                    if out is not None:
+                        yield out
+                    held = []
+                held.append(batch.slice(first, size))
+                current = key
+        if held and (out := fn(pa.Table.from_batches(held).combine_chunks())) is not None:
+            yield out
+
+    return run

@@ -8,7 +8,7 @@ size. Each round is written to the shared folder, so a lost executor costs one r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.session import written
@@ -18,21 +18,23 @@ ROUNDS = 60
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in `edges` (columns a, b); component is the least node."""
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
-    state = _state(e)
+    e, state = _kept(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     for _ in range(ROUNDS):
         both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m"))
-        e = both.join(least, "hi").where("lo > hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
+        e = both.join(least, "hi").where("lo > hi AND lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         least = e.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = e.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = written(moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
-        before, state = state, _state(e)
+        before = state
+        e, state = _kept(moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
         if state == before:
             roots = e.select(F.col("lo").alias("node")).distinct()
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
     raise RuntimeError("components did not settle")
 
 
-def _state(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+def _kept(e: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and a checksum of them taken on the way."""
+    seen = Observation()
+    e = written(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")), "edges")
+    return e, (seen.get["n"], seen.get["h"])

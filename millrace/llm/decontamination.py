@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER, Words, given_id, keyed, mix, shingle_rows, slices, text_buffers
+from millrace.llm.common import LOWER, Words, given_id, keyed, mix, shingle_rows, slices, text_buffers, whole_row
 from millrace.llm.near_dedup import shingle_sets
 
 SHINGLE, PERCENT = 5, 80
@@ -130,6 +130,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     return out.distinct()
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, text_col: str = "text",
+                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that hold no item, dropped where they are read."""
+    rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
+    for ids, texts in _item_blocks(keyed(benchmark, item_col, item_text_col)):
+        shared = docs.sparkSession.sparkContext.broadcast((ids, texts))
+        rows = rows.mapInArrow(_clean(shared, shingle, percent), rows.schema)
+    return rows.select("row.*")
+
+
+def _clean(shared, shingle: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(*shared.value, shingle, percent)
+        for batch in batches:
+            data, offsets = text_buffers(batch["text"])
+            clean = np.ones(batch.num_rows, bool)
+            for a, b in slices(offsets):
+                row, _, _ = held_items(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], items, shingle, percent)
+                clean[a + row] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return contaminated(docs, items).select(given_id().alias("doc_id"), given_id("item").alias("item_id"), "n_shared", "n_item")

@@ -6,8 +6,8 @@
    thrown into one bin by hash i, from round t on all of them into bin i - t. A bin
    keeps its earliest and least hash. A set stops when all bins are full, so round 0
    nearly does it for long texts, and 2 t rounds always do.
-3. Bands of `ROWS` coordinates are keys. Classes that share a key are chained in sorted
-   order over range partitions (a hot key spans several), and the chains' components are
+3. Bands of `ROWS` coordinates are keys. Classes that share a key are sorted into
+   range partitions (a hot key spans several) and linked to the first; the links' components are
    the families: two sets that are similar enough share a family except with probability
    (1 - J^4)^32, below 1e-7 at J = 0.8 and 1e-10 at J = 0.85.
 4. Links are confirmed on the full sets. A family of bounded size is compared within
@@ -18,19 +18,19 @@
 
 Defined results: null, empty and blank texts have no shingles and are linked with
 nothing; a text of fewer words than a shingle is one shingle. Rows that repeat a doc_id
-share a component; so do the rows without doc_id, which has no smaller id.
+share a component. A row without doc_id cannot be named in a component: it is kept, linked with nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER, NO_ID, Words, given_id, keyed, mix, partitions, runs, shingle_rows, slices, text_buffers
+from millrace.llm.common import LOWER, NO_ID, Words, given_id, grouped, keyed, mix, partitions, runs, shingle_rows, slices, text_buffers, whole_row
 from millrace.llm.components import components
 from millrace.session import written
 
@@ -93,33 +93,40 @@ def _sketches(shingle: int):
     return run
 
 
-def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links neighbours of equal key; the partition's first and last row come back as
-    (key, a, null), because their neighbour may be in another partition."""
-    names, last = ["key", "a", "b"], None
-    kinds = pa.schema([(c, pa.int64()) for c in names])
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links every row to the first one of its key, in rows sorted by (key, doc). The partition's
+    first and last key come back as (key, a, null), because they may go on in another one."""
+    kinds = pa.schema([(c, pa.int64()) for c in ("key", "a", "b")])
+
+    def rows(key, a, b) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, a, b)], schema=kinds)
+
+    head = None  # key and first document of the run that reaches into the next batch
     for batch in batches:
         key, doc = batch["key"].to_numpy(), batch["doc"].to_numpy()
         if not len(key):
             continue
-        if last is None:
-            yield pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([doc[0]]), pa.nulls(1, pa.int64())], schema=kinds)
-        else:
-            key, doc = np.append(last[0], key), np.append(last[1], doc)
-        same = np.flatnonzero((key[1:] == key[:-1]) & (doc[1:] != doc[:-1]))
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(same), pa.int64()), pa.array(doc[same]), pa.array(doc[same + 1])], schema=kinds)
-        last = key[-1], doc[-1]
-    if last is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]]), pa.nulls(1, pa.int64())], schema=kinds)
+        if head is None:
+            yield rows([key[0]], [doc[0]], [None])
+        first, size = runs(np.append(True, key[1:] != key[:-1]))
+        root = doc[first].copy()
+        if head is not None and head[0] == key[0]:
+            root[0] = head[1]
+        to = np.repeat(root, size)
+        apart = np.flatnonzero(to != doc)
+        yield rows([None] * len(apart), to[apart], doc[apart])
+        head = key[-1], root[-1]
+    if head is not None:
+        yield rows([head[0]], [head[1]], [None])
 
 
 def families(classes: DataFrame) -> DataFrame:
     """(node, component) of the classes that share a band key with another one."""
     n = partitions(classes.sparkSession)
     keys = classes.select("doc", F.explode("bands").alias("key"))
-    out = written(keys.repartitionByRange(n, "key", "doc").sortWithinPartitions("key", "doc").mapInArrow(_chained, "key long, a long, b long"), "chains")
-    ends = out.where("b IS NULL")
-    across = ends.select("key", "a").join(ends.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
+    out = written(keys.repartitionByRange(n, "key", "doc").sortWithinPartitions("key", "doc").mapInArrow(_linked, "key long, a long, b long"), "links")
+    ends = out.where("b IS NULL").select("key", "a")
+    across = ends.join(ends.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
     return components(out.where("b IS NOT NULL").select("a", "b").unionByName(across))
 
 
@@ -142,31 +149,6 @@ class _Sets:
         return first + np.flatnonzero(100 * shared >= percent * (self.size[i] + self.size[first:last] - shared))
 
 
-def _grouped(fn: Callable[[pa.Table], pa.RecordBatch | None], keys: list[str]):
-    """Apply `fn` to each group of rows that are equal in `keys`; input is sorted by them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current = [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = [batch[k].to_numpy() for k in keys]
-            new = np.append(True, np.any([x[1:] != x[:-1] for x in ids], axis=0))
-            for first, size in zip(*runs(new), strict=True):
-                key = tuple(x[first] for x in ids)
-                if held and key != current:
-                    out = fn(pa.Table.from_batches(held).combine_chunks())
-                    if out is not None:
-                        yield out
-                    held = []
-                held.append(batch.slice(first, size))
-                current = key
-        if held and (out := fn(pa.Table.from_batches(held).combine_chunks())) is not None:
-            yield out
-
-    return run
-
-
 def _pairs(a: list, b: list) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]) if len(a) else None
 
@@ -209,7 +191,7 @@ def _block_links(percent: int, shingle: int):
 def _blocks(rows: DataFrame, percent: int, shingle: int) -> DataFrame:
     n = partitions(rows.sparkSession)
     dealt = rows.repartition(n, "fam", "qb", "mb").sortWithinPartitions("fam", "qb", "mb")
-    return dealt.select("fam", "qb", "mb", "role", "doc", "label", "text").mapInArrow(_grouped(_block_links(percent, shingle), ["fam", "qb", "mb"]), "a long, b long")
+    return dealt.select("fam", "qb", "mb", "role", "doc", "label", "text").mapInArrow(grouped(_block_links(percent, shingle), ["fam", "qb", "mb"]), "a long, b long")
 
 
 def _cell(salt: int, cells) -> F.Column:
@@ -238,14 +220,12 @@ def large_family_links(members: DataFrame, percent: int, shingle: int) -> DataFr
     return known.select("doc", "label").join(final, "label", "left").select("doc", F.coalesce("component", "label").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text",
-                    family_members: int = FAMILY_MEMBERS) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links of
-    Jaccard similarity >= percent / 100) and kept (the document with that id)."""
-    spark = docs.sparkSession
-    rows, n = keyed(docs, id_col, text_col), partitions(spark)
+def _judged(rows: DataFrame, percent: int, shingle: int, family_members: int) -> DataFrame:
+    """(doc, tag, n, component) of keyed rows."""
+    n = partitions(rows.sparkSession)
+    rows = rows.select("doc", "tag", "text")
     sketched = written(rows.mapInArrow(_sketches(shingle), "doc long, tag long, n long, s1 long, s2 long, bands array<long>"), "sketches")
-    by_set = sketched.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("doc", "tag")).alias("rep"), F.first("bands").alias("bands"))
+    by_set = sketched.where((F.col("n") > 0) & (F.col("doc") != NO_ID)).groupBy("s1", "s2", "n").agg(F.min(F.struct("doc", "tag")).alias("rep"), F.first("bands").alias("bands"))
     classes = written(by_set.select("s1", "s2", "n", "rep.doc", "rep.tag", "bands"), "classes")
     family = families(classes)
     members = classes.join(family.select(F.col("node").alias("doc"), F.col("component").alias("fam")), "doc").select("fam", "doc", "tag", "n")
@@ -254,15 +234,33 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col
     members = written(members.drop("n").join(sizes.drop("shingles"), "fam"), "families")
     texts = rows.join(members, ["doc", "tag"]).select("fam", "members", "large", "doc", "text")
     some = texts.where("NOT large").select("fam", "doc", "text").repartition(n, "fam").sortWithinPartitions("fam", "doc")
-    part = some.mapInArrow(_grouped(_whole_family(percent, shingle), ["fam"]), "a long, b long").select(F.col("a").alias("doc"), F.col("b").alias("component"))
+    part = some.mapInArrow(grouped(_whole_family(percent, shingle), ["fam"]), "a long, b long").select(F.col("a").alias("doc"), F.col("b").alias("component"))
     if members.where("large").limit(1).count():
         part = part.unionByName(large_family_links(texts.where("large").select("fam", "members", "doc", "text"), percent, shingle))
     found = part.groupBy("doc").agg(F.min("component").alias("component"))
+    # Classes of one doc_id (rows that repeat it) share what any of them reaches.
     class_of = classes.select("s1", "s2", "n", F.col("doc").alias("rep")).join(found.withColumnRenamed("doc", "rep"), "rep", "left")
     class_of = class_of.select("s1", "s2", "n", F.coalesce("component", "rep").alias("component"))
-    out = sketched.select("doc", "n", "s1", "s2").join(class_of, ["s1", "s2", "n"], "left").withColumn("component", F.coalesce("component", "doc"))
+    out = sketched.select("doc", "tag", "n", "s1", "s2").join(class_of, ["s1", "s2", "n"], "left")
+    named = F.when(F.col("doc") != NO_ID, F.col("component"))
+    return out.select("doc", "tag", "n", F.coalesce(named, "doc").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                    family_members: int = FAMILY_MEMBERS) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links of
+    Jaccard similarity >= percent / 100) and kept (the document with that id)."""
+    out = _judged(keyed(docs, id_col, text_col), percent, shingle, family_members)
     return out.select(given_id().alias("doc_id"), F.col("n").alias("n_shingles"), given_id("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept"))
 
 
+def representatives(docs: DataFrame, percent: int = 80, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stand for their group, one for each doc_id and, without doc_id, for each text."""
+    rows = keyed(docs, id_col, text_col, row=whole_row(docs))
+    kept = _judged(rows, percent, shingle, FAMILY_MEMBERS).where("doc = component").select("doc", "tag").distinct()
+    one = kept.where(F.col("doc") != NO_ID).groupBy("doc").agg(F.min("tag").alias("tag")).unionByName(kept.where(F.col("doc") == NO_ID))
+    return rows.join(one, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).select("row.*")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -29,7 +29,7 @@ from re import _parser as tree
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import given_id, keyed
+from millrace.llm.common import given_id, keyed, whole_row
 
 ALTERNATIVES = 64  # literal strings followed at once while a query is derived
 
@@ -166,9 +166,10 @@ def _shortened(rule: Rule) -> Rule:
     return Rule(rule.kind, f"{m[1]}{{{rule.least},}}") if m and not rule.group else rule
 
 
-def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, text and found, an array of (start, rank, kind, end) by start, then rule order."""
-    rows = keyed(docs, id_col, text_col)
+def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
+    """Per document: doc_id, text and found, an array of (start, rank, kind, end) by start, then rule order;
+    then `more` (name = column of docs)."""
+    rows = keyed(docs, id_col, text_col, **more)
     indexed = [r for r in rules if trigram_query(r.pattern)]
     known = candidates(postings(rows, indexed), indexed)
     joined = rows.join(known.hint("shuffle_hash"), ["doc", "tag"], "left")
@@ -178,7 +179,7 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "
     rank = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     ordered = F.array_sort(F.transform(F.flatten(F.array(*[F.coalesce(s, none) for s in spans])), lambda x: F.struct(
         x["start"].alias("start"), rank[x["kind"]].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end"))))
-    return joined.select(given_id().alias("doc_id"), "text", ordered.alias("found"))
+    return joined.select(given_id().alias("doc_id"), "text", ordered.alias("found"), *more)
 
 
 def joined_spans(found: Column, kinds: Sequence[str] | None = None) -> Column:
@@ -198,6 +199,18 @@ def redacted(text: Column, found: Column) -> Column:
     return F.when(F.size(found) == 0, text).otherwise(F.concat(done["out"], cut(done["at"], F.length(text))))
 
 
+def without_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """`docs` with every secret replaced; a null text stays null, `chars_col` (if there) counts the new text."""
+    out = find_secrets(docs, rules, id_col, text_col, row=whole_row(docs))
+    text = F.when(F.col(f"row.`{text_col}`").isNotNull(), redacted(F.col("text"), F.col("found")))
+    row = F.col("row").withField(f"`{text_col}`", text)
+    out = out.select(row.alias("row"), (F.size("found") > 0).alias("changed"))
+    if chars_col in docs.columns:
+        chars = F.when(F.col("changed"), F.length(f"row.`{text_col}`").cast(docs.schema[chars_col].dataType)).otherwise(F.col(f"row.`{chars_col}`"))
+        out = out.select(F.col("row").withField(f"`{chars_col}`", chars).alias("row"))
+    return out.select("row.*")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     out = find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     base = [r.kind for r in BASE]
