@@ -232,7 +232,8 @@ def _judged(rows: DataFrame, percent: int, shingle: int, family_members: int) ->
     sizes = members.groupBy("fam").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
     sizes = sizes.withColumn("large", (F.col("members") > family_members) | (F.col("shingles") > FAMILY_SHINGLES))
     members = written(members.drop("n").join(sizes.drop("shingles"), "fam"), "families")
-    texts = rows.join(members, ["doc", "tag"]).select("fam", "members", "large", "doc", "text")
+    # By shuffle at any size: the members grow with the documents.
+    texts = rows.join(members.hint("shuffle_hash"), ["doc", "tag"]).select("fam", "members", "large", "doc", "text")
     some = texts.where("NOT large").select("fam", "doc", "text").repartition(n, "fam").sortWithinPartitions("fam", "doc")
     part = some.mapInArrow(grouped(_whole_family(percent, shingle), ["fam"]), "a long, b long").select(F.col("a").alias("doc"), F.col("b").alias("component"))
     if members.where("large").limit(1).count():
