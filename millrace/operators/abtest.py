@@ -107,7 +107,8 @@ def head_to_head(df: DataFrame, variant: str, a: str, b: str, metrics: dict[str,
         F.col("value_a") > F.col("value_b")
     )
     tie = F.col("value_a") == F.col("value_b")
-    return table.withColumn("winner", F.when(tie, "tie").when(a_wins, a).otherwise(b))
+    known = F.col("value_a").isNotNull() & F.col("value_b").isNotNull()
+    return table.withColumn("winner", F.when(tie, "tie").when(a_wins, a).when(known, b))
 
 
 def promotion(df: DataFrame, variant: str, correct: Column, champion: str, challenger: str, margin: float = 0.02) -> DataFrame:

@@ -6,6 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, IndexToString, StringIndexer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions import text as tx
@@ -75,18 +79,91 @@ def processing_status(docs: DataFrame, key: Column, text: Column, min_chars: int
     return docs.withColumn("status", status)
 
 
+# ------------------------------------------------- personal data, language, category
+
+
+# Fixed values: (type, pattern) of personal data, in the order they are replaced.
+PERSONAL = (
+    ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"),
+    ("PHONE", r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}"),
+    ("ADDRESS", r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"),
+    ("NUMBER", r"[0-9]{9,}"),
+)
+
+
+def redact_personal(docs: DataFrame, text: str = "text", patterns: Sequence[tuple[str, str]] = PERSONAL) -> DataFrame:
+    """Every find replaced by its type in brackets, and `n_<type>` with the number of finds. A type is
+    looked for in what the types before it have left."""
+    for kind, pattern in patterns:
+        found = F.size(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).cast("bigint")
+        docs = docs.withColumns({f"n_{kind.lower()}": F.coalesce(found, F.lit(0)), text: F.regexp_replace(text, pattern, f"[{kind}]")})
+    return docs
+
+
+def language_profiles(docs: DataFrame, language: str = "lang", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(term, profile): how often each language uses a term; one entry per language."""
+    known = term_counts(docs, doc_id, text).join(docs.where(F.col(language).isNotNull()).select(doc_id, language), doc_id)
+    counts = known.groupBy("term", language).agg(F.sum("n").alias("c"))
+    return counts.groupBy("term").agg(F.collect_list(F.struct(F.col(language).alias("language"), "c")).alias("profile"))
+
+
+def guess_language(docs: DataFrame, profiles: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, guess): the language whose term frequencies (with add-one smoothing) make the text
+    likeliest, among those that share a term with it; the first by name on a tie. `profiles` is read
+    more than once: pass a stored table."""
+    sizes = profiles.select("term", F.explode("profile").alias("p")).groupBy("p.language").agg(F.sum("p.c").alias("n"))
+    terms = profiles.agg(F.count(F.lit(1))).scalar()
+    cost = F.ln(F.col("n") + terms)
+    counted = term_counts(docs, doc_id, text)
+    hits = lookup_join(counted, profiles, "term", "inner", spread_by=[doc_id]).select(doc_id, "n", F.explode("profile").alias("p"))
+    per = hits.groupBy(doc_id, "p.language").agg(F.sum(F.col("n") * F.ln(F.col("p.c") + 1)).alias("hit"))
+    length = counted.groupBy(doc_id).agg(F.sum("n").alias("length"))
+    scored = per.join(length, doc_id).join(sizes, "language").select(doc_id, "language", F.round(F.col("hit") - F.col("length") * cost, 6).alias("score"))
+    return scored.groupBy(doc_id).agg(F.min_by("language", F.struct(-F.col("score"), "language")).alias("guess"))
+
+
+def fit_router(docs: DataFrame, category: str, text: str = "text", features: int = 1 << 14, rounds: int = 20) -> PipelineModel:
+    """A classifier of texts: hashed term frequencies, inverse document frequencies, logistic regression."""
+    stages = [
+        StringIndexer(inputCol=category, outputCol="_label", stringOrderType="alphabetAsc"),
+        HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=features),
+        IDF(inputCol="_tf", outputCol="_x", minDocFreq=2),
+        LogisticRegression(featuresCol="_x", labelCol="_label", predictionCol="_routed", maxIter=rounds, regParam=0.01),
+    ]
+    model = Pipeline(stages=stages).fit(docs.where(F.col(category).isNotNull()).withColumn("_terms", tx.terms(F.col(text))))
+    return PipelineModel([*model.stages[1:], IndexToString(inputCol="_routed", outputCol="route", labels=model.stages[0].labels)])
+
+
+def routed(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
+    """Adds `route`, the category the model sends a document to; a text without terms gets its prior."""
+    terms = F.coalesce(tx.terms(F.col(text)), F.array().cast("array<string>"))
+    out = model.transform(docs.withColumn("_terms", terms))
+    return out.select(*docs.columns, "route")
+
+
+def topics(docs: DataFrame, k: int = 8, words: int = 10, text: str = "text", vocabulary: int = 20_000, rounds: int = 10, seed: int = 42) -> DataFrame:
+    """(topic, rank, term, weight): the leading terms of k topics (latent Dirichlet allocation over term counts)."""
+    terms = docs.select(tx.terms(F.col(text)).alias("_terms")).where(F.size("_terms") > 0)
+    counter = CountVectorizer(inputCol="_terms", outputCol="features", vocabSize=vocabulary, minDF=2).fit(terms)
+    model = LDA(k=k, maxIter=rounds, seed=seed, optimizer="online").fit(counter.transform(terms))
+    listed = model.describeTopics(words).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "_t"))
+    table = docs.sparkSession.createDataFrame(list(enumerate(counter.vocabulary)), "_i int, term string")  # at most `vocabulary` rows
+    listed = listed.join(table, F.col("_t.termIndices") == F.col("_i"))
+    return listed.select("topic", (F.col("rank") + 1).alias("rank"), "term", F.col("_t.termWeights").alias("weight"))
+
+
 # ------------------------------------------------------------- sentiment
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, weight): log-odds of a term in documents labelled 1 against those
-    labelled 0, with add-one smoothing. Only per-term sums are shuffled."""
-    marked = docs.select(doc_id, text).join(labels.select(doc_id, label), doc_id)
+    labelled 0, with add-one smoothing. Terms are counted within their row first: the
+    join to the labels moves counts, never texts."""
+    marked = term_counts(docs, doc_id, text).join(labels.select(doc_id, label), doc_id)
     good = F.col(label) == 1
-    by_term = (
-        marked.select(label, F.explode(tx.terms(F.col(text))).alias("term"))
-        .groupBy("term")
-        .agg(F.count_if(good).alias("pos"), F.count_if(~good).alias("neg"))
+    by_term = marked.groupBy("term").agg(
+        F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("pos"),
+        F.coalesce(F.sum(F.when(~good, F.col("n"))), F.lit(0)).alias("neg"),
     )
     totals = by_term.agg(
         F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("v"))
@@ -302,8 +379,8 @@ def corpus_totals(results: DataFrame) -> DataFrame:
         safe_ratio(ents, n).alias("avg_entities"),
         phr.alias("total_phrases"),
         safe_ratio(phr, n).alias("avg_phrases"),
-        F.max_by(F.struct(tx.basename(F.col("document")).alias("document"), pos.alias("score")), F.struct(pos, -F.col("doc_id"))).alias("most_positive"),
-        F.max_by(F.struct(tx.basename(F.col("document")).alias("document"), neg.alias("score")), F.struct(neg, -F.col("doc_id"))).alias("most_negative"),
+        F.min_by(F.struct(tx.basename(F.col("document")).alias("document"), pos.alias("score")), stats.extreme_order(-pos, F.col("doc_id"))).alias("most_positive"),
+        F.min_by(F.struct(tx.basename(F.col("document")).alias("document"), neg.alias("score")), stats.extreme_order(-neg, F.col("doc_id"))).alias("most_negative"),
     )
 
 

@@ -119,20 +119,21 @@ def prediction_drift(df: DataFrame, segment: str, score: str, normal: str, drift
 def violation_report(*, shift: DataFrame | None = None, psi: DataFrame | None = None, ks: DataFrame | None = None,
                      conformance: DataFrame | None = None, psi_limit: float = 0.2, ks_limit: float = 0.1,
                      completeness_limit: float = 1.0) -> DataFrame:
-    """(feature, check_name, baseline, current, severity) of all checks, in one schema."""
+    """(feature, check_name, baseline, current, severity) of all checks, in one schema. A measure
+    that is NULL, as when no rows came in, is `unknown`."""
     null = F.lit(None).cast("double")
     parts = []
     if shift is not None:
         level = F.when(F.col("status") == "DRIFT", "alert").when(F.col("status") == "N/A", "unknown").otherwise("ok")
         parts.append(shift.select("feature", F.lit("mean_shift").alias("check_name"), "baseline", "current", level.alias("severity")))
     if psi is not None:
-        level = F.when(F.col("psi") > psi_limit, "alert").otherwise("ok")
+        level = F.when(F.col("psi") > psi_limit, "alert").when(F.col("psi").isNull(), "unknown").otherwise("ok")
         parts.append(psi.select("feature", F.lit("psi").alias("check_name"), F.lit(psi_limit).alias("baseline"), F.col("psi").alias("current"), level.alias("severity")))
     if ks is not None:
-        level = F.when(F.col("ks") > ks_limit, "alert").otherwise("ok")
+        level = F.when(F.col("ks") > ks_limit, "alert").when(F.col("ks").isNull(), "unknown").otherwise("ok")
         parts.append(ks.select("feature", F.lit("ks").alias("check_name"), F.lit(ks_limit).alias("baseline"), F.col("ks").alias("current"), level.alias("severity")))
     if conformance is not None:
-        level = F.when(F.col("completeness") < completeness_limit, "alert").otherwise("ok")
+        level = F.when(F.col("completeness") < completeness_limit, "alert").when(F.col("completeness").isNull(), "unknown").otherwise("ok")
         parts.append(conformance.select(F.col("column_name").alias("feature"), F.lit("completeness").alias("check_name"), F.lit(completeness_limit).alias("baseline"), F.coalesce("completeness", null).alias("current"), level.alias("severity")))
     report = parts[0]
     for part in parts[1:]:
@@ -150,7 +151,8 @@ def retrain_decision(report: DataFrame, min_features: int = 1, by: Sequence[str]
 
 def quality_by_period(df: DataFrame, period: Column, value: str, raw: str, kind: str, baseline_mean: Column,
                       threshold: float = 20.0) -> DataFrame:
-    """Per period: rows, missing values, type failures and mean shift of a feature."""
+    """Per period: rows, missing values, type failures and mean shift of a feature. The alert is
+    NULL where the change is unknown."""
     grouped = df.groupBy(period.alias("period")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(value).isNull()).alias("missing"),
@@ -158,7 +160,7 @@ def quality_by_period(df: DataFrame, period: Column, value: str, raw: str, kind:
         F.avg(value).alias("mean"),
     )
     pct = change_pct(baseline_mean, F.col("mean"))
-    return grouped.withColumn("change_pct", pct).withColumn("alert", F.coalesce(F.abs(pct) > threshold, F.lit(False)))
+    return grouped.withColumn("change_pct", pct).withColumn("alert", F.abs(pct) > threshold)
 
 
 def capture_counts(df: DataFrame, period: Column) -> DataFrame:

@@ -18,13 +18,12 @@ def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _fill(df: DataFrame, fitted: DataFrame, cols: Sequence[str], column: str) -> DataFrame:
-    # One row per column: read as scalar subqueries, so no join touches `df`.
-    filled = {}
-    for c in cols:
-        value = fitted.where(F.col("feature") == c).select(column).scalar()
-        kind = "double" if column == "median" else df.schema[c].dataType
-        filled[c] = F.coalesce(F.col(c).cast(kind), value.cast(kind))
-    return df.withColumns(filled)
+    # The fitted rows folded into one struct: a single scalar subquery, planned
+    # once for all columns, and no join touches `df`.
+    kinds = {c: "double" if column == "median" else df.schema[c].dataType for c in cols}
+    one = fitted.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col(column))).cast(kinds[c]).alias(c) for c in cols]).alias("_v"))
+    value = one.scalar()
+    return df.withColumns({c: F.coalesce(F.col(c).cast(kinds[c]), value[c]) for c in cols})
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:

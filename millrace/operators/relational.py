@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 # Rows up to which a measured table is broadcast.
 BROADCAST_ROWS = 200_000
 
+# Bytes up to which it is broadcast, estimated by its JSON form.
+BROADCAST_BYTES = 64 << 20
+
 # A key is heavy when it holds more than 1/HEAVY_SHARE of all rows, so there are
 # never more than HEAVY_SHARE heavy keys, whatever the table size.
 HEAVY_SHARE = 10_000
@@ -21,21 +24,30 @@ def heavy_keys(sizes: DataFrame, n: str = "n") -> DataFrame:
     return sizes.where(F.col(n) > total / HEAVY_SHARE)
 
 
+def fits_broadcast(side: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a side is small enough to broadcast, in rows and in (estimated) bytes. Looks at
+    no more than `limit` + 1 rows."""
+    size = F.length(F.to_json(F.struct(*side.columns)))
+    n, b = side.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= limit and b <= most_bytes
+
+
 def lookup_join(fact: DataFrame, side: DataFrame, key: str, how: str = "left", spread_by: Sequence[str] = (),
                 size: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a fact table to a side with one row per key, safe against hot keys.
+    """Join a fact table to a side with one row per key, safe against hot keys. The result has
+    the fact's columns, then the side's others, whatever the sizes.
 
-    A side of at most `limit` rows is broadcast. Beyond that the heavy keys, a
-    bounded number, are broadcast, and only the other rows have to meet their
+    A side of at most `limit` rows and BROADCAST_BYTES is broadcast. Beyond that the heavy
+    keys, a bounded number, are broadcast, and only the other rows have to meet their
     side row in a shuffle; heavy rows are spread over all its tasks by a hash of
-    `spread_by` (default: all columns). `size` names the side's column with the
-    fact rows per key, if it has one; else they are counted. The side is read
+    `spread_by` (default: all columns that can be hashed). `size` names the side's column with
+    the fact rows per key, if it has one; else they are counted. The side is read
     more than once: pass a stored table when it is expensive.
     """
-    if side.count() <= limit:
-        return fact.join(F.broadcast(side), key, how)
     cols = [c for c in side.columns if c != key]
-    row = F.struct(*cols)
+    if fits_broadcast(side, limit):
+        return fact.join(F.broadcast(side), key, how).select(*fact.columns, *cols)
+    row = F.struct(*cols) if cols else F.struct(F.lit(True).alias("_any"))
     if size:
         heavy = heavy_keys(side, size).select(key, row.alias("_heavy"))
     else:
@@ -45,7 +57,9 @@ def lookup_join(fact: DataFrame, side: DataFrame, key: str, how: str = "left", s
     known = fact.join(F.broadcast(heavy.withColumn("_hot", F.lit(True))), key, "left")
     # Rows that need no side row any more, or can have none, go anywhere.
     free = F.col("_hot").isNotNull() | F.col(key).isNull()
-    slot = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(HEAVY_SHARE)).cast("int") + 1
+    hashed = spread_by or [f.name for f in fact.schema.fields if "map<" not in f.dataType.simpleString()]
+    # The partition's number keeps copies of one row apart.
+    slot = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(HEAVY_SHARE)).cast("int") + 1
     known = known.withColumn("_slot", F.when(free, slot).otherwise(0)).drop("_hot")
     others = side.select(key, row.alias("_other"), F.lit(0).alias("_slot"))
     joined = known.join(others, [key, "_slot"], "left").withColumn("_found", F.coalesce("_heavy", "_other"))

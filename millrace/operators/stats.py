@@ -83,14 +83,20 @@ def top_k(counts: DataFrame, k: int, n: str = "n", tie: Sequence[str] = ()) -> D
 
 
 def extreme_rows(df: DataFrame, score: str, row_id: str, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows with the greatest and the smallest score, lowest id on a tie."""
-    row = F.struct(row_id, score, *cols)
+    """Rows with the greatest and the smallest score, lowest id on a tie; ids of any
+    type that has an order. Rows without a score are neither."""
+    row, order = F.struct(row_id, score, *cols), extreme_order
     return df.groupBy(*by).agg(
-        F.max_by(row, F.struct(F.col(score), -F.col(row_id))).alias("highest"),
-        F.min_by(row, F.struct(F.col(score), F.col(row_id))).alias("lowest"),
+        F.min_by(row, order(-F.col(score), F.col(row_id))).alias("highest"),
+        F.min_by(row, order(F.col(score), F.col(row_id))).alias("lowest"),
     )
 
 
+def extreme_order(score: Column, row_id: Column) -> Column:
+    """Order for `min_by`: by score, then id; rows without a score are passed over."""
+    return F.when(score.isNotNull(), F.struct(score, row_id))
+
+
 def two_level_mean(df: DataFrame, by: Sequence[str], period: Column, value: str) -> DataFrame:
     """Mean of per-period means (each period counts once) beside the plain mean."""
     periods = (

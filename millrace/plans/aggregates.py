@@ -20,15 +20,12 @@ def labelled(t):
     return t.documents.select("doc_id", "lang", "source", "n_chars").join(t.labels, "doc_id", "left")
 
 
-@query(
-    "AGG1",
-    """SELECT 'customer' AS name, count(*) AS n_rows FROM customer UNION ALL SELECT 'part', count(*) FROM part
-       UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-       UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'documents', count(*) FROM documents""",
-)
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query("AGG1", " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {name}" for name in TABLES))
 def table_sizes(t):
-    names = ["customer", "part", "orders", "lineitem", "events", "documents"]
-    counts = [getattr(t, n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n_rows")) for n in names]
+    counts = [getattr(t, n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n_rows")) for n in TABLES]
     result = counts[0]
     for c in counts[1:]:
         result = result.unionByName(c)
@@ -37,12 +34,14 @@ def table_sizes(t):
 
 @query(
     "AGG2 DQ1 FLT1",
-    f"""WITH {DOCS}, c AS (SELECT count(*) AS n, count(*) - count(lang) AS lang, count(*) - count(n_chars) AS n_chars,
-                                  count(*) - count(quality) AS quality, count(*) - count(toxic) AS toxic FROM docs)
-        SELECT unnest(['lang', 'n_chars', 'quality', 'toxic']) AS column_name, unnest([lang, n_chars, quality, toxic]) AS nulls, n AS n_rows FROM c""",
+    f"""WITH {DOCS}, c AS (SELECT count(*) AS n, count(*) - count(doc_id) AS doc_id, count(*) - count(lang) AS lang, count(*) - count(source) AS source,
+                                  count(*) - count(n_chars) AS n_chars, count(*) - count(quality) AS quality, count(*) - count(toxic) AS toxic FROM docs)
+        SELECT unnest(['doc_id', 'lang', 'source', 'n_chars', 'quality', 'toxic']) AS column_name,
+               unnest([doc_id, lang, source, n_chars, quality, toxic]) AS nulls, n AS n_rows FROM c""",
 )
 def null_profile(t):
-    return quality.null_profile(labelled(t), ["lang", "n_chars", "quality", "toxic"])
+    joined = labelled(t)
+    return quality.null_profile(joined, joined.columns)
 
 
 @query("AGG3", "SELECT c_mktsegment, round(median(c_acctbal), 6) AS median FROM customer GROUP BY 1")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
-from millrace.operators import documents as dx, stats
+from millrace.operators import documents as dx, prepare, stats
 from millrace.plans.registry import query
 from millrace.session import scratch_path, written
 from millrace.sources import writers
@@ -183,6 +183,60 @@ def volume_trend(t):
     return version_changes(daily, ["event_type"], ["day"], "n")
 
 
+@query(
+    "DOC22",
+    f"""WITH {_MOOD}, d AS (SELECT sentiment, doc_id % 28 AS day, count(*) AS n FROM mood GROUP BY 1, 2)
+       SELECT sentiment, day, n, lag(n) OVER (PARTITION BY sentiment ORDER BY day) AS prev_n, n - lag(n) OVER (PARTITION BY sentiment ORDER BY day) AS change FROM d""",
+)
+def sentiment_trend(t):
+    from millrace.operators.feature_store import version_changes
+
+    # The documents carry no date: the id stands in for the day of a month.
+    daily = moods(t).groupBy("sentiment", (F.col("doc_id") % 28).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return version_changes(daily, ["sentiment"], ["day"], "n")
+
+
+def _personal_sql() -> str:
+    step, columns = "SELECT doc_id, text FROM documents", []
+    for kind, pattern in dx.PERSONAL:
+        name = f"n_{kind.lower()}"
+        step = f"SELECT doc_id, {''.join(c + ', ' for c in columns)}len(regexp_extract_all(text, '{pattern}')) AS {name}, regexp_replace(text, '{pattern}', '[{kind}]', 'g') AS text FROM ({step})"
+        columns.append(name)
+    return f"SELECT doc_id, {', '.join(columns)}, md5(text) AS redacted FROM ({step})"
+
+
+@query("DOC20", _personal_sql())
+def personal_data(t):
+    rows = dx.redact_personal(t.spread("documents", "doc_id").select("doc_id", "text"))
+    return rows.withColumn("redacted", F.md5("text")).drop("text")
+
+
+@query(
+    "DOC19",
+    r"""WITH tc AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents) GROUP BY 1, 2),
+      p AS (SELECT term, lang, sum(n) AS c FROM tc JOIN documents USING (doc_id) WHERE lang IS NOT NULL GROUP BY 1, 2),
+      z AS (SELECT lang, sum(c) AS n FROM p GROUP BY 1), v AS (SELECT count(DISTINCT term) AS v FROM p), l AS (SELECT doc_id, sum(n) AS len FROM tc GROUP BY 1),
+      h AS (SELECT doc_id, lang, sum(tc.n * ln(c + 1)) AS hit FROM tc JOIN p USING (term) GROUP BY 1, 2),
+      r AS (SELECT doc_id, h.lang, round(hit - len * ln(z.n + v), 6) AS score FROM h JOIN l USING (doc_id) JOIN z USING (lang), v)
+      SELECT doc_id, lang AS guess FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS k FROM r) WHERE k = 1""",
+)
+def language_guess(t):
+    docs = t.spread("documents", "doc_id")
+    return dx.guess_language(docs, written(dx.language_profiles(docs), "profiles"))
+
+
+@query("DOC23")
+def document_routes(t):
+    docs = prepare.assign_split(t.spread("documents", "doc_id").select("doc_id", "text", "lang"), "doc_id")
+    model = dx.fit_router(docs.where("split = 'train'"), "lang")
+    return dx.routed(docs, model).select("doc_id", "split", "lang", "route")
+
+
+@query("DOC21")
+def corpus_topics(t):
+    return dx.topics(t.spread("documents", "doc_id"))
+
+
 @query("UDF1", "SELECT doc_id, round((length(text) - length(replace(text, ',', '')))::DOUBLE / length(text), 6) AS score FROM documents")
 def user_scorer(t):
     def commas(batches):

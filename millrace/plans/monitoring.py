@@ -38,7 +38,8 @@ def scored(t):
     "DRF1 DRF2 DQ4",
     """SELECT unnest(['l_quantity', 'l_extendedprice', 'l_returnflag']) AS feature, unnest(['double', 'double', 'double']) AS declared_type,
               unnest([avg((l_quantity IS NOT NULL)::INT), avg((l_extendedprice IS NOT NULL)::INT), avg((l_returnflag IS NOT NULL)::INT)]) AS completeness,
-              unnest([1.0::DOUBLE, 1.0::DOUBLE, count(try_cast(l_returnflag AS DOUBLE)) / count(l_returnflag)::DOUBLE]) AS type_conformance,
+              unnest([count(try_cast(l_quantity AS DOUBLE)) / count(l_quantity)::DOUBLE, count(try_cast(l_extendedprice AS DOUBLE)) / count(l_extendedprice)::DOUBLE,
+                      count(try_cast(l_returnflag AS DOUBLE)) / count(l_returnflag)::DOUBLE]) AS type_conformance,
               'Robust' AS comparison_type, 0.1::DOUBLE AS threshold FROM lineitem""",
 )
 def baseline_constraints(t):
@@ -53,9 +54,7 @@ def baseline_constraints(t):
 )
 def mean_shift(t):
     lines = later_lines(t)
-    base = drift.baseline_statistics(lines.where("NOT cur"), LINE_FEATURES)
-    current = drift.baseline_statistics(lines.where("cur"), LINE_FEATURES)
-    rows = drift.mean_shift(base, current, threshold=0.1)
+    rows = drift.mean_shift_of_segments(lines, LINE_FEATURES, F.col("cur"), threshold=0.1)
     return rows.withColumns({c: F.round(c, 4) for c in ("baseline", "current", "change_pct")})
 
 
@@ -106,10 +105,19 @@ def prediction_drift(t):
              v AS (SELECT feature, v, count(*) FILTER (NOT cur) AS b, count(*) FILTER (cur) AS c FROM long GROUP BY 1, 2),
              r AS (SELECT feature, sum(b) OVER w AS fb, sum(c) OVER w AS fc, sum(b) OVER (PARTITION BY feature) AS nb, sum(c) OVER (PARTITION BY feature) AS nc
                    FROM v WINDOW w AS (PARTITION BY feature ORDER BY v)),
-             k AS (SELECT feature, max(abs(fb / nb::DOUBLE - fc / nc::DOUBLE)) AS ks FROM r GROUP BY 1)
+             k AS (SELECT feature, max(abs(fb / nb::DOUBLE - fc / nc::DOUBLE)) AS ks FROM r GROUP BY 1),
+             x AS (SELECT feature, quantile_cont(v, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS edges FROM long WHERE NOT cur GROUP BY 1),
+             xb AS (SELECT l.feature, len(list_filter(edges, lambda e: e < v)) AS bin, cur FROM long l JOIN x USING (feature)),
+             xc AS (SELECT feature, bin, count(*) FILTER (NOT cur) AS b, count(*) FILTER (cur) AS c FROM xb GROUP BY 1, 2),
+             xn AS (SELECT feature, sum(b) AS nb, sum(c) AS nc FROM xc GROUP BY 1),
+             xf AS (SELECT feature, unnest(generate_series(0, 9)) AS bin FROM x),
+             xs AS (SELECT xf.feature, greatest(coalesce(b / nb, 0), 0.0001) AS b, greatest(coalesce(c / nc, 0), 0.0001) AS c
+                    FROM xf JOIN xn USING (feature) LEFT JOIN xc ON xc.feature = xf.feature AND xc.bin = xf.bin),
+             xp AS (SELECT feature, sum((c - b) * ln(c / b)) AS psi FROM xs GROUP BY 1)
         SELECT feature, 'mean_shift' AS check_name, round(b, 4) AS baseline, round(c, 4) AS current,
                CASE WHEN abs((c - b) * 100.0 / b) > 0.1 THEN 'alert' ELSE 'ok' END AS severity FROM m
         UNION ALL SELECT feature, 'completeness', 1.0, round(full_share, 4), CASE WHEN full_share < 1 THEN 'alert' ELSE 'ok' END FROM m
+        UNION ALL SELECT feature, 'psi', 0.001, round(psi, 4), CASE WHEN psi > 0.001 THEN 'alert' ELSE 'ok' END FROM xp
         UNION ALL SELECT feature, 'ks', 0.005, round(ks, 4), CASE WHEN ks > 0.005 THEN 'alert' ELSE 'ok' END FROM k""",
 )
 def violation_report(t):
@@ -120,8 +128,10 @@ def _report(t):
     lines = later_lines(t)
     return drift.violation_report(
         shift=drift.mean_shift_of_segments(lines, LINE_FEATURES, F.col("cur"), threshold=0.1),
+        psi=drift.stability_index(lines, LINE_FEATURES, F.col("cur")),
         ks=drift.ks_shift(lines, LINE_FEATURES, F.col("cur")),
         conformance=quality.conformance(lines, {c: "double" for c in LINE_FEATURES}),
+        psi_limit=0.001,
         ks_limit=0.005,
     )
 
@@ -132,9 +142,17 @@ def _report(t):
              v AS (SELECT feature, v, count(*) FILTER (NOT cur) AS b, count(*) FILTER (cur) AS c FROM long GROUP BY 1, 2),
              r AS (SELECT feature, sum(b) OVER w AS fb, sum(c) OVER w AS fc, sum(b) OVER (PARTITION BY feature) AS nb, sum(c) OVER (PARTITION BY feature) AS nc
                    FROM v WINDOW w AS (PARTITION BY feature ORDER BY v)),
-             k AS (SELECT feature, max(abs(fb / nb::DOUBLE - fc / nc::DOUBLE)) AS ks FROM r GROUP BY 1)
-        SELECT count(*) FILTER (abs((c - b) * 100.0 / b) > 0.1 OR ks > 0.005) AS drifted_features, count(*) FILTER (abs((c - b) * 100.0 / b) > 0.1 OR ks > 0.005) >= 2 AS retrain
-        FROM m JOIN k USING (feature)""",
+             k AS (SELECT feature, max(abs(fb / nb::DOUBLE - fc / nc::DOUBLE)) AS ks FROM r GROUP BY 1),
+             x AS (SELECT feature, quantile_cont(v, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS edges FROM long WHERE NOT cur GROUP BY 1),
+             xb AS (SELECT l.feature, len(list_filter(edges, lambda e: e < v)) AS bin, cur FROM long l JOIN x USING (feature)),
+             xc AS (SELECT feature, bin, count(*) FILTER (NOT cur) AS b, count(*) FILTER (cur) AS c FROM xb GROUP BY 1, 2),
+             xn AS (SELECT feature, sum(b) AS nb, sum(c) AS nc FROM xc GROUP BY 1),
+             xf AS (SELECT feature, unnest(generate_series(0, 9)) AS bin FROM x),
+             xs AS (SELECT xf.feature, greatest(coalesce(b / nb, 0), 0.0001) AS b, greatest(coalesce(c / nc, 0), 0.0001) AS c
+                    FROM xf JOIN xn USING (feature) LEFT JOIN xc ON xc.feature = xf.feature AND xc.bin = xf.bin),
+             xp AS (SELECT feature, sum((c - b) * ln(c / b)) AS psi FROM xs GROUP BY 1),
+             hit AS (SELECT abs((c - b) * 100.0 / b) > 0.1 OR ks > 0.005 OR psi > 0.001 AS drifted FROM m JOIN k USING (feature) JOIN xp USING (feature))
+        SELECT count(*) FILTER (drifted) AS drifted_features, count(*) FILTER (drifted) >= 2 AS retrain FROM hit""",
 )
 def retrain_decision(t):
     return drift.retrain_decision(_report(t), min_features=2)
@@ -188,6 +206,50 @@ def model_quality_monitor(t):
     )
 
 
+_DAILY = """d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, (value > 50)::INT AS y, (json_extract_string(props, '$.k')::INT >= 50)::INT AS pred FROM events)"""
+
+
+@query(
+    "DRF9 DRF13",
+    f"""WITH {_DAILY}, w AS (SELECT day, {CELLS} FROM d GROUP BY 1)
+        SELECT day, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision_score,
+               round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall_score, (tp + tn) / (tp + tn + fp + fn) < (SELECT avg((y = pred)::INT) FROM d) - 0.02 AS degraded FROM w""",
+)
+def daily_model_quality(t):
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = t.events.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), (F.col("value") > 50).cast("int").alias("y"), (k >= 50).cast("int").alias("pred"))
+    base = rows.agg(F.avg((F.col("y") == F.col("pred")).cast("double"))).scalar()
+    m = evaluate.binary_metrics(rows, "y", "pred", by=["day"])
+    return m.select(
+        "day", F.round("accuracy", 6).alias("accuracy"), F.round("precision", 6).alias("precision_score"),
+        F.round("recall", 6).alias("recall_score"), (F.col("accuracy") < base - 0.02).alias("degraded"),
+    )
+
+
+_PERIODS = {"hour": ("1 hour", None), "day": ("1 day", None), "week": ("7 days", "4 days")}
+
+
+@query(
+    "DRF13 DRF8",
+    "WITH base AS (SELECT avg(value) AS m FROM events) " + " UNION ALL ".join(
+        f"""SELECT '{name}' AS schedule, epoch_us(date_trunc('{name}', ts)) AS start_us, count(*) AS n_rows, count(*) - count(value) AS missing,
+            count(*) FILTER (try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL) AS type_failures, round(avg(value), 6) AS mean,
+            round((avg(value) - any_value(m)) * 100.0 / any_value(m), 4) AS change_pct, abs((avg(value) - any_value(m)) * 100.0 / any_value(m)) > 5 AS alert
+            FROM events, base GROUP BY 2""" for name in _PERIODS),
+)
+def scheduled_quality(t):
+    # The same monitor on three schedules; weeks start on Monday.
+    events = t.events.withColumn("k", F.get_json_object("props", "$.k"))
+    base = t.events.agg(F.avg("value")).scalar()
+    result = None
+    for name, (length, start) in _PERIODS.items():
+        at = period_start(F.col("ts"), length, *([start] if start else []))
+        rows = drift.quality_by_period(events, micros(at), "value", "k", "bigint", base, threshold=5.0).withColumnRenamed("period", "start_us")
+        rows = rows.select(F.lit(name).alias("schedule"), *rows.columns).withColumns({"mean": F.round("mean", 6), "change_pct": F.round("change_pct", 4)})
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
 @query(
     "DRF10",
     f"""WITH {SCORED}, g AS (SELECT lang, {CELLS} FROM scored GROUP BY 1)

@@ -75,13 +75,20 @@ def text_files(t):
     )
 
 
-@query("SRC5 SRC6 MTH-F2")
+@query(
+    "SRC5 SRC6 MTH-F2",
+    """SELECT 'source=' || source AS folder, 'parquet' AS suffix, 1 AS files, true AS sized, count(*) AS n_rows FROM documents GROUP BY source""",
+)
 def object_listing(t):
-    files = readers.listing(t.spark, t.folder, "*.parquet")
-    return files.select(
-        "name", "size_bytes", F.round(F.col("size_bytes") / 1024.0, 1).alias("size_kb"),
-        tx.extension(F.col("name")).alias("suffix"),
-    )
+    # A folder per source, written from the documents; the listing is joined to their rows.
+    path = scratch_path(t.spark, "objects")
+    t.documents.select("doc_id", "source").repartition("source").write.partitionBy("source").parquet(path)
+    name = F.regexp_extract("path", "(source=[^/]+)/[^/]+$", 1)
+    files = readers.listing(t.spark, path, "*.parquet", recursive=True)
+    listed = files.groupBy(name.alias("folder"), tx.extension(F.col("name")).alias("suffix")).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.min(F.col("size_bytes") > 0).alias("sized"))
+    rows = t.spark.read.parquet(path).groupBy(F.concat(F.lit("source="), "source").alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return listed.join(rows, "folder").select("folder", "suffix", "files", "sized", "n_rows")
 
 
 @query(
@@ -152,7 +159,8 @@ def group_by_catalogue_name(t):
 )
 def metric_interval(t):
     newest = t.events.agg(F.max("ts")).scalar()
-    rows = readers.metric_scan(t.events, "ts", newest - F.expr("INTERVAL 30 MINUTES"), newest)
+    start = t.events.agg(F.max("ts") - F.expr("INTERVAL 30 MINUTES")).scalar()
+    rows = readers.metric_scan(t.events, "ts", start, newest)
     return rows.select("event_id", "event_type", "value", F.date_format("ts", "HH:mm").alias("clock"))
 
 
@@ -237,7 +245,8 @@ def feature_ingest(t):
         F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("value").cast("string").alias("value"),
         (micros(F.col("ts")) / F.lit(1000000.0)).cast("string").alias("event_time"),
     )
-    feature_store.ingest(raw, group, path)
+    rejects = feature_store.ingest(raw, group, path)
+    rejects.write.parquet(scratch_path(t.spark, "rejects"))
     return t.spark.read.schema(group.schema).parquet(path).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("versions"), F.round(F.max("event_time"), 3).alias("newest"), F.round(F.sum("value"), 2).alias("total")
     )

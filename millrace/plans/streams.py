@@ -1,5 +1,5 @@
-"""Structured Streaming over the given files. Append mode emits closed windows
-only, so the checks leave out windows younger than the watermark."""
+"""Structured Streaming over the given files. Append mode emits closed windows only; `finished`
+adds the windows still open at the end, so every check is over all rows."""
 
 from pyspark.sql import functions as F
 
@@ -14,7 +14,6 @@ from millrace.session import scratch_path
 from millrace.streaming import jobs
 
 DELAY = "15 minutes"
-_CLOSED = "(SELECT max(ts) FROM events) - INTERVAL 15 MINUTE"
 
 
 def _stream(t, name="events", time="ts"):
@@ -51,12 +50,12 @@ def streamed_rules(t):
 
 @query(
     "STR3 WIN4",
-    f"""SELECT epoch_us(time_bucket(INTERVAL 5 MINUTE, ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total, max(value) AS high FROM events
-        GROUP BY time_bucket(INTERVAL 5 MINUTE, ts), event_type HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= {_CLOSED}""",
+    """SELECT epoch_us(time_bucket(INTERVAL 5 MINUTE, ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total, max(value) AS high FROM events
+        GROUP BY time_bucket(INTERVAL 5 MINUTE, ts), event_type""",
 )
 def streamed_windows(t):
-    closed = jobs.drain(jobs.windowed(_stream(t), "ts", DELAY, "5 minutes", ["event_type"], "value"), "windows")
-    return closed.select(micros(F.col("window_start")).alias("start_us"), "event_type", "n", F.round("total", 4).alias("total"), "high")
+    windows = jobs.finished(_stream(t), t.events, lambda df: jobs.windowed(df, "ts", DELAY, "5 minutes", ["event_type"], "value"), "ts", "5 minutes", "windows")
+    return windows.select(micros(F.col("window_start")).alias("start_us"), "event_type", "n", F.round("total", 4).alias("total"), "high")
 
 
 @query(
@@ -78,50 +77,59 @@ def late_events(t):
 )
 def streamed_feature_ingest(t):
     raw = _stream(t).withColumn("event_time", micros(F.col("ts")) / F.lit(1000000.0))
-    history = jobs.ingest_stream(raw, ACTIVITY, scratch_path(t.spark, "history"))
+    history, _ = jobs.ingest_stream(raw, ACTIVITY, scratch_path(t.spark, "history"))
     return latest(history, ACTIVITY, ["event_id"]).drop("event_time")
 
 
+@query(
+    "STR5 FS2",
+    """SELECT event_type, count(*) AS n, min(event_id) AS first_event FROM events WHERE json_extract_string(props, '$.k') LIKE '%9' GROUP BY 1""",
+)
+def streamed_rejects(t):
+    # Ids that end in 9 are no numbers here: these records must come out on the other side.
+    k = F.get_json_object("props", "$.k")
+    raw = _stream(t).withColumn("event_time", micros(F.col("ts")) / F.lit(1000000.0)).withColumn("user_id", F.when(k.endswith("9"), F.concat(F.lit("x"), k)).otherwise(k))
+    _, rejected = jobs.ingest_stream(raw, ACTIVITY, scratch_path(t.spark, "history"))
+    return rejected.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+
+
 @query(
     "STR6 DRF3",
-    f"""WITH b AS (SELECT event_type, avg(value) AS baseline FROM events GROUP BY 1), w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type, count(*) AS n, avg(value) AS mean FROM events GROUP BY 1, 2)
+    """WITH b AS (SELECT event_type, avg(value) AS baseline FROM events GROUP BY 1), w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type, count(*) AS n, avg(value) AS mean FROM events GROUP BY 1, 2)
         SELECT epoch_us(s) AS start_us, event_type, n, round(mean, 6) AS mean, round((mean - baseline) * 100.0 / nullif(baseline, 0), 4) AS change_pct, abs((mean - baseline) * 100.0 / baseline) > 20 AS alert
-        FROM w JOIN b USING (event_type) WHERE s + INTERVAL 6 HOUR <= {_CLOSED}""",
+        FROM w JOIN b USING (event_type)""",
 )
 def streamed_monitor(t):
     baseline = t.events.groupBy("event_type").agg(F.avg("value").alias("mean"))
-    rows = jobs.drain(jobs.monitored(_stream(t), baseline, "ts", DELAY, "6 hours", "event_type", "value"), "monitor")
+    rows = jobs.finished(_stream(t), t.events, lambda df: jobs.monitored(df, baseline, "ts", DELAY, "6 hours", "event_type", "value"), "ts", "6 hours", "monitor")
     return rows.select(
         micros(F.col("window_start")).alias("start_us"), "event_type", "n", F.round("mean", 6).alias("mean"), F.round("change_pct", 4).alias("change_pct"), "alert"
     )
 
 
-_DELTAS = f"""s AS (SELECT user_id AS model_id, ts, CASE WHEN k < 40 THEN 'Completed' WHEN k < 60 THEN 'Failed' WHEN k < 80 THEN 'Approved' ELSE 'Deployed' END AS status
+_MOVES = """s AS (SELECT user_id AS model_id, ts, CASE WHEN k < 40 THEN 'Completed' WHEN k < 60 THEN 'Failed' WHEN k < 80 THEN 'Approved' ELSE 'Deployed' END AS status
          FROM (SELECT *, json_extract_string(props, '$.k')::INT AS k FROM events)),
-  d AS (SELECT model_id, status, time_bucket(INTERVAL 1 DAY, ts) AS day, min(ts) AS first_time FROM s GROUP BY 1, 2, 3 HAVING time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= {_CLOSED}),
-  c AS (SELECT model_id, min(first_time) AS moved_at FROM d WHERE status = 'Completed' GROUP BY 1),
-  a AS (SELECT d.model_id, min(first_time) AS moved_at FROM d JOIN c ON d.model_id = c.model_id AND d.first_time > c.moved_at WHERE status = 'Approved' GROUP BY 1),
-  p AS (SELECT d.model_id, min(first_time) AS moved_at FROM d JOIN a ON d.model_id = a.model_id AND d.first_time > a.moved_at WHERE status = 'Deployed' GROUP BY 1),
+  c AS (SELECT model_id, min(ts) AS moved_at FROM s WHERE status = 'Completed' GROUP BY 1),
+  a AS (SELECT s.model_id, min(ts) AS moved_at FROM s JOIN c ON s.model_id = c.model_id AND s.ts > c.moved_at WHERE status = 'Approved' GROUP BY 1),
+  p AS (SELECT s.model_id, min(ts) AS moved_at FROM s JOIN a ON s.model_id = a.model_id AND s.ts > a.moved_at WHERE status = 'Deployed' GROUP BY 1),
   moves AS (SELECT model_id, '' AS from_status, 'PendingManualApproval' AS to_status, moved_at FROM c UNION ALL SELECT model_id, 'PendingManualApproval', 'Approved', moved_at FROM a
             UNION ALL SELECT model_id, 'Approved', 'Deployed', moved_at FROM p)"""
 
 
 def _moves(t):
     live = lifecycle_events(_Live(t)).select("model_id", "ts", F.col("detail.status").alias("status"))
-    path = scratch_path(t.spark, "deltas")
-    deltas = jobs.drain(jobs.status_deltas(live, "model_id", "status", "ts", DELAY, "1 day"), "deltas", path)
-    stream = jobs.arriving(t.spark, path, deltas.schema)
-    return jobs.drain(jobs.transitions(stream, "model_id", "status"), "moves")
+    path, schema = jobs.moving_events(live, "model_id", "status", "ts")
+    return jobs.drain(jobs.transitions(jobs.arriving(t.spark, f"{path}/*", schema), "model_id", "status", "ts"), "moves")
 
 
-@query("STR7 UDF2", f"WITH {_DELTAS} SELECT model_id, from_status, to_status, epoch_us(moved_at) AS moved_us FROM moves")
+@query("STR7 UDF2", f"WITH {_MOVES} SELECT model_id, from_status, to_status, epoch_us(moved_at) AS moved_us FROM moves")
 def lifecycle_transitions(t):
     return _moves(t).select("model_id", "from_status", "to_status", micros(F.col("moved_at")).alias("moved_us"))
 
 
 @query(
     "STR8",
-    f"""WITH {_DELTAS} SELECT model_id, 'Model ' || model_id || ': ' || CASE from_status WHEN '' THEN 'new' ELSE from_status END || ' -> ' || to_status AS message FROM moves""",
+    f"""WITH {_MOVES} SELECT model_id, 'Model ' || model_id || ': ' || CASE from_status WHEN '' THEN 'new' ELSE from_status END || ' -> ' || to_status AS message FROM moves""",
 )
 def state_notifications(t):
     return jobs.notifications(_moves(t), "model_id").select("model_id", "message")
@@ -129,11 +137,15 @@ def state_notifications(t):
 
 @query(
     "STR9",
-    f"SELECT event_id, event_type, value, 2::BIGINT AS copies FROM events WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {_CLOSED}",
+    "SELECT event_id, event_type, value, 2::BIGINT AS copies FROM events",
 )
 def replay_suppressed(t):
-    replayed = _stream(t).unionByName(_stream(t))
-    once = jobs.drain(jobs.deduplicated(replayed, "event_id", "ts", DELAY, "1 hour", ["event_type", "value"]), "once")
+    def twice(df):
+        return df.unionByName(df)
+
+    once = jobs.finished(
+        twice(_stream(t)), twice(t.events), lambda df: jobs.deduplicated(df, "event_id", "ts", DELAY, "1 hour", ["event_type", "value"]), "ts", "1 hour", "once"
+    )
     return once.drop("ts")
 
 
@@ -146,7 +158,8 @@ def streamed_outcomes(t):
     predictions = _stream(t, "orders", "o_orderdate").select("o_orderkey", "o_orderdate", "o_orderpriority")
     outcomes = _stream(t, "lineitem", "l_shipdate").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag")
     joined = jobs.joined_outcomes(
-        predictions, outcomes, "o_orderkey", "o_orderdate", "l_shipdate", F.struct("l_linenumber", "l_partkey"), "60 DAYS", "90 days"
+        predictions, outcomes, "o_orderkey", "o_orderdate", "l_shipdate", F.struct("l_linenumber", "l_partkey"), "60 DAYS", "90 days",
+        jobs.outcome_salts(t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey"),
     )
     rows = jobs.drain(joined, "outcomes")
     return rows.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("outcomes"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))

@@ -79,7 +79,8 @@ def captures(spark: SparkSession, path: str, features: Sequence[str]) -> DataFra
 
 
 def metric_scan(df: DataFrame, time: str, start: Column, end: Column, dimensions: Mapping[str, object] | None = None) -> DataFrame:
-    """Rows with start <= time < end and equal dimensions; pushed to the files."""
+    """Rows with start <= time < end and equal dimensions; pushed to the files if both bounds
+    are plain values or scalar subqueries (compute an interval inside the subquery)."""
     rows = df.where((F.col(time) >= start) & (F.col(time) < end))
     for name, value in (dimensions or {}).items():
         rows = rows.where(F.col(name) == F.lit(value))

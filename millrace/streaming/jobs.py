@@ -4,7 +4,7 @@ closes), written in append mode."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from millrace.functions.numeric import change_pct
 from millrace.functions.time import utc
 from millrace.operators.feature_store import FeatureGroup, conform
-from millrace.operators.relational import lookup_join
+from millrace.operators.relational import heavy_keys, latest_by, lookup_join
 from millrace.session import scratch_path
 
 
@@ -29,8 +29,9 @@ def arriving(spark: SparkSession, path: str, schema: T.StructType, pattern: str
     return stream.withColumn(time, utc(F.col(time))) if time else stream
 
 
-def drain(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """Process everything available, append to a table, and read that table."""
+def drained(stream: DataFrame, label: str, path: str | None = None) -> tuple[DataFrame, str | None]:
+    """Process everything available, append to a table; returns that table and the final
+    watermark (None if the job has none or got no rows)."""
     spark = stream.sparkSession
     path = path or scratch_path(spark, label)
     query = (
@@ -41,7 +42,34 @@ def drain(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
         .start(path)
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    return spark.read.schema(stream.schema).parquet(path), marks[-1] if marks else None
+
+
+def drain(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Process everything available, append to a table, and read that table."""
+    return drained(stream, label, path)[0]
+
+
+def finished(stream: DataFrame, table: DataFrame, job: Callable[[DataFrame], DataFrame], time: str, period: str, label: str) -> DataFrame:
+    """All windows of a bounded input. The stream emits those that the watermark has closed;
+    `table` holds the same rows at rest, and the windows still open at the end are computed
+    from its newest rows. A row of an open window was never late, so nothing is counted
+    twice or missed; rows that came too late for a closed window are in `dropped`."""
+    closed, mark = drained(job(stream), label)
+    if mark is None:
+        return job(table)
+    end = utc(F.lit(mark).cast("timestamp"))
+    newest = table.where((F.col(time) >= end - F.expr(f"INTERVAL {period}")) & (F.window(time, period)["end"] > end))
+    return closed.unionByName(job(newest))
+
+
+def dropped(result: DataFrame, table: DataFrame, time: str, period: str, by: Sequence[str], n: str = "n") -> DataFrame:
+    """Rows per window and group that arrived too late: all rows less those in the result."""
+    every = table.groupBy(F.window(time, period)["start"].alias("window_start"), *by).agg(F.count(F.lit(1)).alias("_all"))
+    seen = result.select("window_start", *by, F.col(n).alias("_seen"))
+    rows = every.join(seen, ["window_start", *by], "left").withColumn("late", F.col("_all") - F.coalesce("_seen", F.lit(0)))
+    return rows.where("late > 0").drop("_all", "_seen")
 
 
 def windowed(stream: DataFrame, time: str, delay: str, period: str, by: Sequence[str], value: str,
@@ -67,23 +95,44 @@ def late_rows(df: DataFrame, time: str, arrival: str, batch: str, delay: str) ->
     return lookup_join(rows, mark, "_batch").withColumn("late", F.coalesce(F.col(time) < F.col("_mark"), F.lit(False))).drop("_batch", "_mark")
 
 
-def ingest_stream(stream: DataFrame, group: FeatureGroup, path: str) -> DataFrame:
-    """Append accepted records to the group's history table; returns that table."""
-    accepted, _ = conform(stream, group)
-    return drain(accepted, f"ingest-{group.table}", path)
+def ingest_stream(stream: DataFrame, group: FeatureGroup, path: str) -> tuple[DataFrame, DataFrame]:
+    """Append accepted records to the group's history and rejected ones, as they came, to a table
+    beside it; returns both. A batch that is repeated replaces its own files."""
+    spark, raw = stream.sparkSession, stream.schema
+    for name, schema in (("accepted", group.schema), ("rejected", raw)):
+        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}/batch=none")
+
+    def write(batch: DataFrame, number: int) -> None:
+        accepted, rejected = conform(batch, group)
+        accepted.write.mode("overwrite").parquet(f"{path}/accepted/batch={number}")
+        rejected.write.mode("overwrite").parquet(f"{path}/rejected/batch={number}")
+
+    _each_batch(stream, write, f"ingest-{group.table}")
+    history = spark.read.schema(group.schema).parquet(f"{path}/accepted")
+    return history, spark.read.schema(raw).parquet(f"{path}/rejected")
+
+
+def _each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], label: str) -> None:
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", scratch_path(stream.sparkSession, f"{label}-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def monitored(stream: DataFrame, baseline: DataFrame, time: str, delay: str, period: str, by: str, value: str,
               threshold: float = 20.0) -> DataFrame:
-    """Closed windows beside the static baseline mean of their group, with the
-    change and an alert."""
+    """Windows beside the static baseline mean of their group, with the change and an
+    alert (NULL without a baseline)."""
     closed = windowed(stream, time, delay, period, [by], value)
     joined = closed.join(baseline.select(by, F.col("mean").alias("baseline")), by, "left")
     mean = F.col("total") / F.col("n")
     pct = change_pct(F.col("baseline"), mean)
     return joined.select(
         "window_start", by, "n", mean.alias("mean"), "baseline", pct.alias("change_pct"),
-        F.coalesce(F.abs(pct) > threshold, F.lit(False)).alias("alert"),
+        (F.abs(pct) > threshold).alias("alert"),
     )
 
 
@@ -100,17 +149,6 @@ def deduplicated(stream: DataFrame, event_id: str, time: str, delay: str, period
     )
 
 
-def status_deltas(stream: DataFrame, model: str, status: str, time: str, delay: str, period: str) -> DataFrame:
-    """First and last time of every status per model and period: the compact input
-    of the state machine, at most one row per status and period for a model."""
-    return (
-        stream.withWatermark(time, delay)
-        .groupBy(F.window(time, period), model, status)
-        .agg(F.min(time).alias("first_time"), F.max(time).alias("last_time"), F.count(F.lit(1)).alias("n"))
-        .select(F.col("window.start").alias("period_start"), model, status, "first_time", "last_time", "n")
-    )
-
-
 # Status a model must be in -> (event that moves it, next status).
 LIFECYCLE = {
     "": ("Completed", "PendingManualApproval"),
@@ -119,25 +157,75 @@ LIFECYCLE = {
 }
 
 
-def transitions(deltas: DataFrame, model: str, status: str, rules: Mapping[str, tuple[str, str]] = LIFECYCLE) -> DataFrame:
-    """Keyed state function over the deltas: emits (model, from_status, to_status,
-    moved_at) for every valid move and ignores the rest."""
-    kind = deltas.schema[model].dataType.simpleString()
+def _chain(rules: Mapping[str, tuple[str, str]]) -> list[tuple[str, str, str]]:
+    """(status, event, next status) in the order a model passes them."""
+    out, current = [], ""
+    while current in rules:
+        out.append((current, *rules[current]))
+        current = out[-1][2]
+    return out
+
+
+def earliest_moves(events: DataFrame, known: DataFrame, model: str, status: str, time: str,
+                   rules: Mapping[str, tuple[str, str]] = LIFECYCLE) -> DataFrame:
+    """The events that move models on: (model, status, time), at most one per model and rule.
+
+    `known` has (model, _current, _since): what each model was moved to before, and when. For
+    one status after the other, the earliest event that the status waits for and that is later than the
+    model's last move is a minimum per model, folded in each task before the shuffle.
+    """
+    found = None
+    for current, event, following in _chain(rules):
+        wanted = lookup_join(events.where(F.col(status) == event).select(model, time), known, model)
+        fits = (F.coalesce("_current", F.lit("")) == current) & (F.col("_since").isNull() | (F.col(time) > F.col("_since")))
+        moved = wanted.where(fits).groupBy(model).agg(F.min(time).alias("_at"))
+        step = moved.select(model, F.lit(event).alias(status), F.col("_at").alias(time))
+        found = step if found is None else found.unionByName(step)
+        after = moved.select(model, F.lit(following).alias("_next"), "_at")
+        known = known.join(after, model, "full").select(
+            model, F.coalesce("_next", "_current").alias("_current"), F.coalesce("_at", "_since").alias("_since"))
+    return found
+
+
+def moving_events(stream: DataFrame, model: str, status: str, time: str, rules: Mapping[str, tuple[str, str]] = LIFECYCLE) -> tuple[str, T.StructType]:
+    """Write, batch by batch, the events that move a model on; returns path and schema. Within a
+    batch, order of arrival does not matter. A repeated batch replaces its own files."""
+    spark, path = stream.sparkSession, scratch_path(stream.sparkSession, "moving")
+    schema = stream.select(model, status, time).schema
+    following = F.create_map(*[F.lit(x) for _, event, nxt in _chain(rules) for x in (event, nxt)])
+
+    spark.createDataFrame([], schema).write.parquet(f"{path}/batch=0")
+
+    def write(batch: DataFrame, number: int) -> None:
+        past = batch.sparkSession.read.schema(schema).parquet(*[f"{path}/batch={k}" for k in range(number + 1)])
+        last = latest_by(past, [model], [time])
+        known = last.select(model, following[F.col(status)].alias("_current"), F.col(time).alias("_since"))
+        rows = batch.select(model, status, time).where(F.col(status).isin([event for _, event, _ in _chain(rules)]))
+        earliest_moves(rows, known, model, status, time, rules).write.mode("overwrite").parquet(f"{path}/batch={number + 1}")
+
+    _each_batch(stream, write, "moving")
+    return path, schema
+
+
+def transitions(events: DataFrame, model: str, status: str, time: str, rules: Mapping[str, tuple[str, str]] = LIFECYCLE) -> DataFrame:
+    """Keyed state function: emits (model, from_status, to_status, moved_at) for every valid move
+    and ignores the rest. Feed it `moving_events`: a few rows per model, however many came in."""
+    kind = events.schema[model].dataType.simpleString()
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         current = state.get[0] if state.exists else ""
-        rows = pd.concat(list(batches)).sort_values(["first_time", status])
+        rows = pd.concat(list(batches)).sort_values([time, status])
         moves = []
         for _, row in rows.iterrows():
             event, following = rules.get(current, (None, None))
             if row[status] == event:
-                moves.append((key[0], current, following, row["first_time"]))
+                moves.append((key[0], current, following, row[time]))
                 current = following
         state.update((current,))
         if moves:
             yield pd.DataFrame(moves, columns=[model, "from_status", "to_status", "moved_at"])
 
-    return deltas.groupBy(model).applyInPandasWithState(
+    return events.groupBy(model).applyInPandasWithState(
         step,
         f"{model} {kind}, from_status string, to_status string, moved_at timestamp",
         "current string",
@@ -153,18 +241,32 @@ def notifications(moves: DataFrame, model: str) -> DataFrame:
     return moves.select(model, "moved_at", text.alias("message"))
 
 
+def outcome_salts(outcomes: DataFrame, key: str, parts: int = 256) -> DataFrame:
+    """(key, salts) of the heavy keys of past outcomes: a key with a share s of all rows gets
+    s * parts salts. Heavy keys are bounded in number, so the table may be broadcast."""
+    counts = outcomes.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return heavy_keys(counts).select(key, F.greatest(F.ceil(F.col("n") * parts / total).cast("int"), F.lit(1)).alias("salts"))
+
+
 def joined_outcomes(predictions: DataFrame, outcomes: DataFrame, key: str, predicted_at: str, observed_at: str,
-                    outcome_id: Column, within: str, delay: str, salts: int = 4) -> DataFrame:
+                    outcome_id: Column, within: str, delay: str, salts: DataFrame | None = None) -> DataFrame:
     """Predictions joined to the outcomes of the same request seen within a bound.
 
-    A request may have many outcomes, so the outcome side is salted by its id and
-    each prediction is kept once per salt: a hot request spreads over tasks.
+    A request may have many outcomes. `salts` (key, salts) names the hot ones: their
+    outcomes are dealt by id, and only their predictions are kept once per salt.
     """
-    left = predictions.withWatermark(predicted_at, delay).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if salts is None:
+        salts = predictions.sparkSession.createDataFrame([], f"{key} {predictions.schema[key].dataType.simpleString()}, salts int")
+    salts = F.broadcast(salts)
+    count = F.coalesce("salts", F.lit(1))
+    left = predictions.withWatermark(predicted_at, delay).join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1))).drop("salts")
     right = (
         outcomes.withWatermark(observed_at, delay)
-        .withColumn("_salt", F.pmod(F.xxhash64(outcome_id), F.lit(salts)).cast("int"))
-        .withColumnsRenamed({key: "_key", "_salt": "_rsalt"})
+        .join(salts, key, "left")
+        .withColumn("_rsalt", F.pmod(F.xxhash64(outcome_id), count).cast("int"))
+        .drop("salts")
+        .withColumnRenamed(key, "_key")
     )
     on = (
         (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_rsalt"))

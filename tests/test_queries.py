@@ -11,8 +11,6 @@ from millrace.plans import COVERS
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-# Named by the reference as ideas only, see the README.
-SKIPPED = {"DOC20", "DOC21", "DOC23"}
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not mounted")
@@ -53,7 +51,7 @@ def test_every_inventory_row_has_a_query():
     with open(survey, encoding="utf-8") as f:
         ids = {m.group(1) for line in f if (m := re.match(r"\| ([A-Z]+[0-9]*(?:-F)?[0-9]+) \|", line))}
     shown = {i for ids_ in COVERS.values() for i in ids_}
-    assert ids - shown == SKIPPED and shown <= ids
+    assert ids == shown
 
 
 def test_sql_belongs_to_queries():
