@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding with a batched Viterbi search.
 
-A text is cut into words at blanks (no piece of the supported models crosses one). The
+A text is cut between any two characters that are neighbours in no piece, so that no piece
+crosses a cut: before blanks, mostly before punctuation, around unknown characters. The
 different words of a batch are searched together: words of equal length advance
 position by position in one numpy step. At a position, the hashes of all substrings that
 end there probe the sorted hashes of the pieces, and the best extension is kept as a back-pointer.
@@ -28,16 +29,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mix, ranges_to_bytes, share, slices, text_buffers
+from millrace.llm.common import mix, ranges_to_bytes, runs, share, slices, text_buffers
 
 BLANK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
-WORDS_KEPT, WORDS_AT_ONCE = 300_000, 8192
+WORDS_KEPT, WORDS_AT_ONCE = 200_000, 8192
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_PLACES = np.cumprod(np.full(4096, 0xD1342543DE82EF95, np.uint64))
 _NONE, _FAR = -1, 1 << 40
 
 
+class Probe:
+    """Sorted 64-bit keys, found by an index of their leading bits and a comparison."""
+
+    BITS = 20
+
+    def __init__(self, key: np.ndarray, value: np.ndarray):
+        order = np.argsort(key)
+        self.key, self.value = key[order], value[order]
+        self.first = np.searchsorted(self.key >> np.uint64(64 - self.BITS), np.arange(2**self.BITS + 1, dtype=np.uint64))
+        self.most = int(np.diff(self.first).max())
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The value of each key, or -1."""
+        flat = key.reshape(-1)
+        lead = (flat >> np.uint64(64 - self.BITS)).astype(np.intp)
+        at = self.first.take(lead)
+        last = self.first.take(lead + 1)
+        out = np.full(len(flat), _NONE, np.int64)
+        some = np.flatnonzero(at < last)
+        for _ in range(self.most):
+            place = at[some]
+            hit = self.key.take(place) == flat[some]
+            out[some[hit]] = self.value.take(place[hit])
+            at[some] += 1
+            some = some[~hit & (place + 1 < last[some])]
+            if not len(some):
+                break
+        return out.reshape(key.shape)
+
+
 class Pieces:
     """Tables of a model. Pieces have inner numbers: 0 unknown, then single characters, then
     longer pieces by rank."""
@@ -86,38 +118,42 @@ class Pieces:
                     reach[k] = False
             whole = np.flatnonzero(reach)
             whole = whole[whole >= self.singles]
-            order = np.argsort(self.left[whole] << 20 | self.right[whole])
-            self.pair, self.pair_piece = (self.left[whole] << 20 | self.right[whole])[order], whole[order]
+            self.pairs = Probe(_pair_key(self.left[whole], self.right[whole]), whole)
         points = [np.array([ord(c) for c in s], np.uint64) for s in names]
         keys = np.array([_hash(p) for p in points], np.uint64)
         found = np.flatnonzero(reach)
-        order = np.argsort(keys[found])
-        self.key, self.key_piece = keys[found][order], found[order]
-        if len(np.unique(self.key)) != len(self.key):
+        if len(np.unique(keys[found])) != len(found):
             raise ValueError("two pieces share a hash")
-
-    def find(self, key: np.ndarray) -> np.ndarray:
-        """Inner number of the piece with each hash, or -1."""
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, self.key_piece[at], _NONE)
+        self.keys = Probe(mix(keys[found]), found)
+        # Class of each character, and which classes are neighbours in a piece.
+        self.of = np.zeros(0x110000, np.uint16)
+        self.of[[ord(names[k]) for k in range(1, self.singles)]] = np.arange(1, self.singles)
+        self.near = np.zeros((self.singles, self.singles), bool)
+        for k in found[found >= self.singles].tolist():
+            c = self.of[points[k].astype(np.int64)]
+            self.near[c[:-1], c[1:]] = True
+        self.symbol = mix(np.arange(self.singles, dtype=np.uint64) + np.uint64(1))
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the encoding of a pair's text is the pair itself."""
         ok = np.ones(len(left), bool)
         todo, a, b, limit = np.arange(len(left)), left.copy(), right.copy(), np.full(len(left), _FAR)
         while len(todo):
-            key = a << 20 | b
-            at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-            early = (self.pair[at] == key) & (self.pair_piece[at] < limit)
+            merged = self.pairs.find(_pair_key(a, b))
+            early = (merged >= 0) & (merged < limit)
             ok[todo[early]] = False
             go = ~early & ((a >= self.singles) | (b >= self.singles))
             todo, a, b = todo[go], a[go], b[go]
             from_left = a > b
             limit = np.where(from_left, a, b + 1)
-            a, b = np.where(from_left, self.right[a], a), np.where(from_left, b, self.left[b])
+            a, b = np.where(from_left, self.right.take(a), a), np.where(from_left, b, self.left.take(b))
         return ok
 
 
+def _pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix((left << 32 | right).astype(np.uint64))
+
+
 def _merged(text: str, number: dict[str, int], below: int) -> list[str]:
     """The parts of a text after all merges into pieces numbered less than `below`."""
     parts = list(text)
@@ -152,25 +188,23 @@ def viterbi(pieces: Pieces, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     for i in range(1, length + 1):
         most = min(i, pieces.longest)
         start = prefix[:, i - most : i][:, ::-1]  # column k - 1: the substring of k characters
-        piece = pieces.find(prefix[:, i : i + 1] - start * power[:most])
+        piece = pieces.keys.find(mix(prefix[:, i : i + 1] - start * power[:most]))
         piece[:, 0] = np.maximum(piece[:, 0], 0)
         if pieces.kind == "unigram":
             value = np.where(piece >= 0, total[:, i - most : i][:, ::-1] + pieces.score[piece], -np.inf)
         else:
-            value = np.where(piece >= 0, np.arange(most), _NONE)
-            open_ = every
-            for k in range(most, 0, -1):  # the longest valid piece; the others need no test
-                rows = open_[piece[open_, k - 1] >= 0]
+            value = piece >= 0
+            undecided = np.ones(n, bool)
+            for k in range(most, 0, -1):  # the longest valid piece; once found, shorter ones need no test
+                value[:, k - 1] &= undecided
+                rows = np.flatnonzero(value[:, k - 1])
                 if k < i and len(rows):
-                    good = pieces.compatible(last[rows, i - k], piece[rows, k - 1])
-                    value[rows[~good], k - 1] = _NONE
-                    rows = rows[good]
-                open_ = np.setdiff1d(open_, rows, assume_unique=True) if len(rows) else open_
-                if not len(open_):
-                    break
+                    value[rows, k - 1] = pieces.compatible(last[rows, i - k], piece[rows, k - 1])
+                undecided &= ~value[:, k - 1]
         best = value.argmax(axis=1)
         last[:, i], back[:, i] = piece[every, best], best + 1
-        total[:, i] = value[every, best]
+        if pieces.kind == "unigram":
+            total[:, i] = value[every, best]
     number, at = np.zeros((n, length), np.int64), np.full(n, length)
     count = np.zeros(n, np.int64)
     active = every
@@ -193,47 +227,56 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.seen: dict[str, int] = {}
+        """Words by hash (sorted), and their ids."""
+        self.seen, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and the offsets of the texts."""
-        words: list[str] = []
-        bounds = [0]
-        for text in texts:
-            if text:
-                words += text.replace(BLANK, " ").split(" ")
-            bounds.append(len(words))
+        points = np.frombuffer("".join(BLANK + t for t in texts if t).replace(" ", BLANK).encode("utf-32-le"), np.uint32)
+        bounds = np.append(0, np.cumsum([len(t) + 1 if t else 0 for t in texts]))
+        if not len(points):
+            return np.zeros(0, np.int32), bounds
+        kind = self.pieces.of.take(points)
+        cut = np.ones(len(points), bool)
+        cut[1:] = ~self.pieces.near[kind[:-1], kind[1:]]
+        cut[bounds[:-1][bounds[:-1] < len(points)]] = True
+        start, size = runs(cut)
+        item = self.pieces.symbol.take(kind)
+        strange = np.flatnonzero(kind == 0)
+        item[strange] = mix(points[strange].astype(np.uint64) + np.uint64(1 << 32))
+        item *= _PLACES.take((np.arange(len(points)) - np.repeat(start, size)) & (len(_PLACES) - 1))
+        word, first, which = np.unique(mix(np.add.reduceat(item, start)), return_index=True, return_inverse=True)
         if len(self.seen) > WORDS_KEPT:
             self._forget()
-        self._learn([w for w in dict.fromkeys(words) if w not in self.seen])
-        index = np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))
-        size = self.size[index]
-        at = np.append(0, np.cumsum(size))
-        return self._joined_blanks(self.flat[ranges_to_bytes(self.start[index], size)], at[bounds])
-
-    def _learn(self, words: list[str]) -> None:
-        by_size: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            by_size.setdefault(len(w) + 1, []).append(k)
-        parts, sizes, order = [], [], []
-        for length, mine in sorted(by_size.items()):
+        at = np.searchsorted(self.seen, word)
+        new = np.flatnonzero(self.seen.take(at, mode="clip") != word) if len(self.seen) else np.arange(len(word))
+        if len(new):
+            self._learn(word[new], points, start[first[new]], size[first[new]])
+            at = np.searchsorted(self.seen, word)
+        index = self.place[at][which]
+        count = self.size[index]
+        words = np.searchsorted(start, bounds)
+        return self._joined_blanks(self.flat[ranges_to_bytes(self.start[index], count)], np.append(0, np.cumsum(count))[words])
+
+    def _learn(self, word: np.ndarray, points: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Search the words at these places of `points`."""
+        parts, counts, order = [], [], np.argsort(size, kind="stable")
+        for a, n in zip(*runs(np.append(True, np.diff(size[order]) != 0)), strict=True):
+            length = int(size[order[a]])
             step = max(1, min(WORDS_AT_ONCE, (1 << 20) // length))
-            for a in range(0, len(mine), step):
-                some = mine[a : a + step]
-                points = np.frombuffer("".join(BLANK + words[k] for k in some).encode("utf-32-le"), np.uint32).reshape(len(some), length)
-                ids, count = self._ids(*viterbi(self.pieces, points))
+            for k in range(a, a + n, step):
+                some = order[k : min(k + step, a + n)]
+                ids, count = self._ids(*viterbi(self.pieces, points[start[some][:, None] + np.arange(length)]))
                 parts.append(ids)
-                sizes.append(count)
-                order += some
-        if not words:
-            return
-        size = np.concatenate(sizes)
-        start = len(self.flat) + np.cumsum(size) - size
-        for k, place in zip(order, range(len(self.size), len(self.size) + len(order)), strict=True):
-            self.seen[words[k]] = place
+                counts.append(count)
+        count, old = np.concatenate(counts), len(self.size)
+        self.start = np.append(self.start, len(self.flat) + np.cumsum(count) - count)
+        self.size = np.append(self.size, count)
         self.flat = np.concatenate([self.flat, *parts])
-        self.start, self.size = np.append(self.start, start), np.append(self.size, size)
+        seen, place = np.append(self.seen, word[order]), np.append(self.place, old + np.arange(len(order)))
+        by = np.argsort(seen)
+        self.seen, self.place = seen[by], place[by]
 
     def _ids(self, number: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Model ids of inner numbers; an unknown character becomes its bytes."""
@@ -300,8 +343,9 @@ def _kept(df: DataFrame, keep: list[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
 
 
-def encoded(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns `keep` and `ids`, the piece ids of each whole text."""
+def encoded(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "text", verify: bool = False) -> DataFrame:
+    """The columns `keep` and `ids`, the piece ids of each whole text; with `verify` also `round_trip`,
+    whether the ids decode to the text (its U+2581 read as blanks, as the model does)."""
     pieces = share(docs.sparkSession, Pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,11 +355,14 @@ def encoded(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "tex
             _, offsets = text_buffers(texts)
             for a, b in slices(offsets):
                 ids, bounds = encoder.encode(texts.slice(a, b - a).to_pylist())
-                found = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[batch[c].slice(a, b - a) for c in keep], found], [*keep, "ids"])
+                out = [*[batch[c].slice(a, b - a) for c in keep], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
+                if verify:
+                    back = decode(encoder.pieces, ids, bounds)
+                    out.append(pa.array([x == (t or "").replace(BLANK, " ") for x, t in zip(back, texts.slice(a, b - a).to_pylist(), strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(out, names)
 
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"{_kept(docs, keep)}, ids array<int>")
+    rows, names = docs.select(*keep, F.col(text_col).alias("_text")), [*keep, "ids", *["round_trip"] * verify]
+    return rows.mapInArrow(run, f"{_kept(docs, keep)}, ids array<int>" + ", round_trip boolean" * verify)
 
 
 def decoded(df: DataFrame, model: bytes, keep: list[str], ids_col: str = "ids") -> DataFrame:
@@ -336,9 +383,6 @@ def decoded(df: DataFrame, model: bytes, keep: list[str], ids_col: str = "ids")
 
 
 def query(spark, sf_dir: str, path: str = MODEL_PATH) -> DataFrame:
-    docs, model = spark.read.parquet(f"{sf_dir}/documents.parquet"), read_model(path)
-    given = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("given"))
-    ids = encoded(given, model, ["doc_id", "given"])
-    ids = ids.withColumn("copy", F.col("ids"))
-    back = decoded(ids, model, ["doc_id", "given", "copy"])
-    return back.select("doc_id", F.size("copy").cast("long").alias("n_tokens"), F.col("copy").alias("ids"), (F.sha2("text", 256) == F.col("given")).alias("round_trip"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ids = encoded(docs, read_model(path), ["doc_id"], verify=True)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")

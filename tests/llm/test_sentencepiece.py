@@ -50,8 +50,7 @@ def test_unigram_search_finds_the_best_sum(pieces):
     p.score = np.array([-20.0, *score])
     points = [np.array([ord(c) for c in s], np.uint64) for s in names]
     keys = np.array([codec._hash(x) for x in points], np.uint64)
-    order = np.argsort(keys)
-    p.key, p.key_piece = keys[order], order + 1
+    p.keys = codec.Probe(codec.mix(keys), np.arange(1, len(names) + 1))
     words = ["abcab", "ccabc", "bbbbb", "cabca", "abzab"]
     number, count = codec.viterbi(p, np.array([[ord(c) for c in w] for w in words], np.uint32))
     at = np.append(0, np.cumsum(count))
@@ -81,6 +80,8 @@ def test_frames(spark, library):
     model = codec.read_model()
     out = codec.encoded(frame(spark).drop("ids"), model, ["doc_id", "row"])
     assert sorted(((r.doc_id, r.ids) for r in out.collect()), key=repr) == sorted(((i, library.encode(t or "")) for i, t in ROWS), key=repr)
+    told = codec.encoded(frame(spark).drop("ids"), model, ["doc_id"], verify=True).collect()
+    assert len(told) == len(ROWS) and all(r.round_trip for r in told)
     back = codec.decoded(out, model, ["doc_id"]).collect()
     assert sorted(((r.doc_id, r.text) for r in back), key=repr) == sorted(((i, t or "") for i, t in ROWS), key=repr)
     nulls = spark.createDataFrame([(1, None), (2, []), (3, [10**6, -5, None])], "doc_id long, ids array<int>")
