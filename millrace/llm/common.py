@@ -104,7 +104,8 @@ class Words:
             first[self.start] = self.start
             place -= np.maximum.accumulate(first)
         else:
-            kept = np.cumsum(table[self.data] != 0, dtype=np.int32)
+            stays = table[self.data] != 0
+            kept = np.cumsum(stays, dtype=np.int32) - stays  # kept bytes before each byte
             first = np.zeros(len(self.data), np.int32)
             first[self.start] = kept[self.start]
             place = kept - np.maximum.accumulate(first)
