@@ -275,7 +275,7 @@ def key_phrases(docs: DataFrame, k: int = 12, doc_id: str = "doc_id", text: str
     Most phrases occur in one document only. The stored table of document
     frequencies leaves them out: a phrase it does not hold has frequency 1.
     """
-    counts = phrase_counts(docs, doc_id, text)
+    counts = written(phrase_counts(docs, doc_id, text), "phrases")  # read twice, tokenised once
     spread = counts.groupBy("phrase").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
     repeated = written(spread, "frequencies")
     total = docs.agg(F.count(F.lit(1))).scalar()

@@ -72,15 +72,17 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
         _guarded(2.0 * F.col("hit"), F.col("predicted") + F.col("support")).alias("f1_score"),
         "support",
     )
+    # Each class counts for itself, for the macro and for the weighted row: one grouping, one scan.
     scores = ["precision", "recall", "f1_score"]
-    macro = classes.agg(*[F.avg(s).alias(s) for s in scores], F.sum("support").alias("support"))
-    weighted = classes.agg(
-        *[_guarded(F.sum(F.col(s) * F.col("support")), F.sum("support")).alias(s) for s in scores],
-        F.sum("support").alias("support"),
-    )
-    return classes.unionByName(macro.withColumn("class", F.lit("macro avg"))).unionByName(
-        weighted.withColumn("class", F.lit("weighted avg"))
-    )
+    own, macro, weighted = (F.struct(F.lit(k).alias("kind"), name.alias("class")) for k, name in enumerate((F.col("class"), F.lit("macro avg"), F.lit("weighted avg"))))
+    rows = classes.withColumn("_to", F.explode(F.array(own, macro, weighted)))
+
+    def value(score: str) -> Column:
+        by_support = _guarded(F.sum(F.col(score) * F.col("support")), F.sum("support"))
+        return F.when(F.col("_to.kind") == 2, by_support).otherwise(F.avg(score)).alias(score)
+
+    grouped = rows.groupBy("_to").agg(*[value(s) for s in scores], F.sum("support").alias("support"))
+    return grouped.select("_to.class", *scores, "support")
 
 
 def overfit_gap(df: DataFrame, label: str, pred: str, split: str = "split") -> DataFrame:

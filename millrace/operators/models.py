@@ -118,21 +118,29 @@ def routed_scores(df: DataFrame, models: DataFrame, route: str, vector: str, int
 
 def fit_linear_by_key(df: DataFrame, key: str, xs: Sequence[str], y: str, ridge: float = 1e-9) -> DataFrame:
     """(key, n, weights): least squares with intercept (first weight), one model per
-    key. Spark sums the cross products, so a key's rows are never brought
-    together; only the small system per key is solved in Python."""
-    cols = [F.lit(1.0), *[F.col(x).cast("double") for x in xs]]
-    d = len(cols)
+    key. Spark computes means and covariances, so a key's rows are never brought together and
+    large offsets do not cancel; only the small centred system per key is solved in Python.
+    `ridge` is relative to the variances; a constant feature gets weight 0."""
+    cols = [F.col(x).cast("double") for x in xs]
+    d, target = len(cols), F.col(y).cast("double")
     known = df.dropna(subset=[*xs, y])
     sums = known.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(a * b) for a in cols for b in cols]).alias("_xx"),
-        F.array(*[F.sum(a * F.col(y).cast("double")) for a in cols]).alias("_xy"),
+        F.array(*[F.avg(c) for c in [*cols, target]]).alias("_mean"),
+        F.array(*[F.covar_pop(a, b) for a in cols for b in cols]).alias("_xx"),
+        F.array(*[F.covar_pop(a, target) for a in cols]).alias("_xy"),
     )
 
     @F.pandas_udf("array<double>")
-    def solve(xx: pd.Series, xy: pd.Series) -> pd.Series:
-        return pd.Series(
-            [np.linalg.solve(np.reshape(a, (d, d)) + ridge * np.eye(d), np.asarray(b)).tolist() for a, b in zip(xx, xy)]
-        )
-
-    return sums.select(key, "n", solve("_xx", "_xy").alias("weights"))
+    def solve(mean: pd.Series, xx: pd.Series, xy: pd.Series) -> pd.Series:
+        out = []
+        for m, a, b in zip(mean, xx, xy):
+            a, b = np.reshape(np.asarray(a, float), (d, d)), np.asarray(b, float)
+            size = np.sqrt(np.diag(a))
+            size[size == 0] = 1.0  # a constant feature
+            scaled = a / size[:, None] / size
+            w = np.linalg.solve(scaled + ridge * np.eye(d) + np.diag(np.diag(scaled) == 0), b / size) / size
+            out.append([float(m[-1] - w @ np.asarray(m[:-1])), *w.tolist()])
+        return pd.Series(out)
+
+    return sums.select(key, "n", solve("_mean", "_xx", "_xy").alias("weights"))

@@ -7,6 +7,7 @@ from millrace.plans import (  # noqa: F401  (importing registers the queries)
     expressions,
     features,
     joins,
+    large,
     lifecycle,
     models,
     monitoring,

@@ -1,12 +1,14 @@
 """Streams over several files per trigger against the same rows in a batch."""
 
 import datetime as dt
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import lifecycle
+from millrace.operators.feature_store import FeatureGroup
 from millrace.streaming import jobs
 from tests.conftest import rows
 
@@ -34,29 +36,55 @@ def stream(spark, folder):
     return jobs.arriving(spark, folder, spark.read.parquet(folder).schema, "*.parquet", files_per_trigger=1, time="ts")
 
 
-def test_windows_equal_the_batch(spark, folder, events):
-    got = jobs.drain(jobs.windowed(stream(spark, folder), "ts", "15 minutes", "5 minutes", ["event_type"], "value"), "w")
-    closed = events[-1][1] - dt.timedelta(minutes=15)
+def five_minutes(df):
+    return jobs.windowed(df, "ts", "15 minutes", "5 minutes", ["event_type"], "value")
+
+
+def counted(events):
     want = Counter()
-    for _, ts, _, kind, value in events:
+    for _, ts, _, kind, _ in events:
         start = START + (ts - START) // dt.timedelta(minutes=5) * dt.timedelta(minutes=5)
-        if start + dt.timedelta(minutes=5) <= closed:
-            want[(start.replace(tzinfo=None), kind)] += 1
-    assert {(r.window_start, r.event_type): r.n for r in got.collect()} == want
+        want[(start.replace(tzinfo=None), kind)] += 1
+    return want
+
+
+def test_all_windows_come_out(spark, folder, events):
+    table = spark.read.parquet(folder)
+    got = jobs.finished(stream(spark, folder), table, five_minutes, "ts", "5 minutes", "w")
+    assert {(r.window_start, r.event_type): r.n for r in got.collect()} == counted(events)
+    closed, mark = jobs.drained(five_minutes(stream(spark, folder)), "w")
+    assert mark is not None and 0 < closed.count() < got.count()
+    assert jobs.dropped(got, table, "ts", "5 minutes", ["event_type"]).count() == 0
+
+
+def test_files_out_of_time_order(spark, events, tmp_path):
+    """Closed windows, open ones and rows that came too late are all rows."""
+    path = str(tmp_path / "mixed")
+    for k in (1, 4, 0, 5, 2, 3):
+        spark.createDataFrame(events[100 * k : 100 * k + 100], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are taken in the order of their times, which have whole seconds
+    table = spark.read.parquet(path)
+    got = jobs.finished(stream(spark, path), table, five_minutes, "ts", "5 minutes", "w")
+    late = jobs.dropped(got, table, "ts", "5 minutes", ["event_type"])
+    seen = {(r.window_start, r.event_type): r.n for r in got.collect()}
+    missed = {(r.window_start, r.event_type): r.late for r in late.collect()}
+    assert missed and Counter(seen) + Counter(missed) == counted(events)
 
 
 def test_monitor_flags_windows(spark, folder):
     base = spark.createDataFrame([("view", 3.0), ("click", 1000.0)], "event_type string, mean double")
     got = jobs.drain(jobs.monitored(stream(spark, folder), base, "ts", "15 minutes", "1 hour", "event_type", "value"), "m").collect()
-    assert got and all(r.alert == (r.baseline is not None and abs((r["mean"] - r.baseline) * 100 / r.baseline) > 20) for r in got)
-    assert all(not r.alert for r in got if r.event_type == "error") and any(r.alert for r in got)
+    assert got and all(r.alert == (abs((r["mean"] - r.baseline) * 100 / r.baseline) > 20) for r in got if r.baseline is not None)
+    assert all(r.alert is None for r in got if r.event_type == "error") and any(r.alert for r in got)
 
 
 def test_replays_fold_to_one_row(spark, folder, events):
     live = stream(spark, folder)
     copies = live.withColumn("k", F.explode(F.when(F.col("user_id") == 1, F.sequence(F.lit(1), F.lit(3))).otherwise(F.array(F.lit(1))))).drop("k")
-    got = jobs.drain(jobs.deduplicated(copies, "event_id", "ts", "15 minutes", "1 hour", ["user_id"]), "d").collect()
-    assert len({r.event_id for r in got}) == len(got) > 500
+    repeat = F.explode(F.when(F.col("user_id") == 1, F.sequence(F.lit(1), F.lit(3))).otherwise(F.array(F.lit(1))))
+    table = spark.read.parquet(folder).withColumn("k", repeat).drop("k")
+    got = jobs.finished(copies, table, lambda df: jobs.deduplicated(df, "event_id", "ts", "15 minutes", "1 hour", ["user_id"]), "ts", "1 hour", "d").collect()
+    assert sorted(r.event_id for r in got) == [e[0] for e in events]
     assert all(r.copies == (3 if r.user_id == 1 else 1) for r in got)
 
 
@@ -71,43 +99,63 @@ def test_late_rows(spark, events):
         assert got[i] == bool(earlier and ts < max(earlier) - dt.timedelta(minutes=15))
 
 
-def test_state_machine(spark, events, tmp_path):
-    status = ["Completed", "Failed", "Approved", "Deployed", "Rejected"]
-    table = [(ts, uid, status[(i * 7 + uid) % 5]) for i, ts, uid, *_ in events]
-    path = str(tmp_path / "s")
-    for k in range(4):
-        spark.createDataFrame(table[150 * k : 150 * k + 150], "ts timestamp, model bigint, status string").coalesce(1).write.mode("append").parquet(path)
-    live = jobs.arriving(spark, path, spark.read.parquet(path).schema, files_per_trigger=1, time="ts")
-    store = str(tmp_path / "deltas")
-    deltas = jobs.drain(jobs.status_deltas(live, "model", "status", "ts", "15 minutes", "1 hour"), "deltas", store)
-    assert deltas.groupBy("period_start", "model", "status").count().where("count > 1").count() == 0
-    moves = jobs.drain(jobs.transitions(jobs.arriving(spark, store, deltas.schema), "model", "status"), "moves")
+def walked(table):
+    """Moves of each model from all its raw events, in order of time."""
     want = set()
-    seen = sorted((r.first_time, r.status, r.model) for r in deltas.collect())
-    for m in {s[2] for s in seen}:
-        current = ""
-        for t, s, model in seen:
+    for m in {r[1] for r in table}:
+        current, since = "", None
+        for ts, _, status in sorted(r for r in table if r[1] == m):
             event, following = jobs.LIFECYCLE.get(current, (None, None))
-            if model == m and s == event:
-                want.add((m, current, following, t))
-                current = following
-    assert {(r.model, r.from_status, r.to_status, r.moved_at) for r in moves.collect()} == want
-    assert any(w[2] == "Deployed" for w in want)
+            if status == event and (since is None or ts > since):
+                want.add((m, current, following, ts.replace(tzinfo=None)))
+                current, since = following, ts
+    return want
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_state_machine(spark, events, tmp_path, files):
+    """Statuses repeat within minutes; two thirds of the events belong to model 1."""
+    status = ["Approved", "Completed", "Failed", "Approved", "Deployed", "Completed", "Approved", "Deployed", "Rejected"]
+    table = [(ts, uid, status[(i * 7 + uid) % 9]) for i, ts, uid, *_ in events]
+    table += [(START + dt.timedelta(hours=h), 50, s) for h, s in ((9, "Approved"), (10, "Completed"), (11, "Approved"), (11, "Deployed"), (12, "Deployed"))]
+    table.sort()
+    path, step = str(tmp_path / "s"), -(-len(table) // files)
+    for k in range(files):
+        spark.createDataFrame(table[step * k : step * k + step], "ts timestamp, model bigint, status string").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    live = jobs.arriving(spark, path, spark.read.parquet(path).schema, "*.parquet", files_per_trigger=1, time="ts")
+    moving, schema = jobs.moving_events(live, "model", "status", "ts")
+    moves = jobs.drain(jobs.transitions(jobs.arriving(spark, f"{moving}/*", schema), "model", "status", "ts"), "moves")
+    assert {(r.model, r.from_status, r.to_status, r.moved_at) for r in moves.collect()} == walked(table)
+    mine = {r.to_status: r.moved_at.hour for r in moves.where("model = 50").collect()}
+    assert mine == {"PendingManualApproval": 10, "Approved": 11, "Deployed": 12}
     messages = {r.message for r in jobs.notifications(moves, "model").collect()}
-    assert "Model 1: new -> PendingManualApproval" in messages and len(messages) == len(want)
+    assert "Model 1: new -> PendingManualApproval" in messages and len(messages) == moves.count()
+
 
+def test_rejected_records_are_kept(spark, folder, tmp_path):
+    group = FeatureGroup("g", "user_id", "event_time", {"user_id": "Integral", "event_time": "Fractional", "value": "Fractional"})
+    raw = stream(spark, folder).select(
+        F.when(F.col("event_id") % 5 == 0, "x1").otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.unix_timestamp("ts").cast("double").alias("event_time"), "value", "event_id")
+    accepted, rejected = jobs.ingest_stream(raw, group, str(tmp_path / "h"))
+    assert accepted.count() == 480 and sorted(r.event_id for r in rejected.collect()) == list(range(0, 600, 5))
 
-def test_outcomes_join(spark, tmp_path):
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_outcomes_join(spark, tmp_path, salted):
     predictions = [(i, START + dt.timedelta(hours=i), i / 10) for i in range(40)]
     outcomes = [(n, 7 if n % 3 == 0 else n % 40, START + dt.timedelta(hours=n % 40 + n % 5), n % 2) for n in range(300)]
     spark.createDataFrame(predictions, "request bigint, at timestamp, p double").repartition(3).write.parquet(str(tmp_path / "p"))
     spark.createDataFrame(outcomes, "oid bigint, request bigint, seen timestamp, y int").repartition(3).write.parquet(str(tmp_path / "o"))
 
+    salts = jobs.outcome_salts(spark.read.parquet(str(tmp_path / "o")), "request", 12) if salted else None
+
     def live(name, time):
         return jobs.arriving(spark, str(tmp_path / name), spark.read.parquet(str(tmp_path / name)).schema, files_per_trigger=1, time=time)
 
     got = jobs.drain(
-        jobs.joined_outcomes(live("p", "at"), live("o", "seen"), "request", "at", "seen", F.col("oid"), "3 HOURS", "10 days"), "j"
+        jobs.joined_outcomes(live("p", "at"), live("o", "seen"), "request", "at", "seen", F.col("oid"), "3 HOURS", "10 days", salts), "j"
     )
     at = {i: t for i, t, _ in predictions}
     want = sorted((o, r) for o, r, seen, _ in outcomes if r in at and at[r] <= seen <= at[r] + dt.timedelta(hours=3))

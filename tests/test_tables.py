@@ -1,5 +1,6 @@
 """Quality, preparation, statistics, joins."""
 
+import re
 import statistics
 
 import pytest
@@ -106,7 +107,7 @@ def test_lookup_join_with_a_hot_key(spark, limit, how):
     fact = fact.unionByName(lost)
     side = spark.createDataFrame([(k, f"v{k}", None if k == 5 else k) for k in range(30)], "k int, v string, w int")
     got = relational.lookup_join(fact, side, "k", how, limit=limit)
-    assert set(got.columns) == {"id", "k", "v", "w"}
+    assert got.columns == ["id", "k", "v", "w"]
     assert rows(got) == rows(fact.join(side, "k", how))
     pairs = relational.lookup_join_by(fact.withColumn("z", F.lit(1)), side.withColumn("z", F.lit(1)), ["k", "z"], how, limit=limit)
     assert rows(pairs.drop("z")) == rows(got)
@@ -114,6 +115,38 @@ def test_lookup_join_with_a_hot_key(spark, limit, how):
     assert rows(relational.lookup_join(fact, sized, "k", how, size="n", limit=limit).drop("n")) == rows(got)
 
 
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_lookup_join_of_maps_and_copies(spark, limit):
+    one = spark.createDataFrame([(1, {"a": 1}, 7), (1, {"a": 1}, 7), (2, None, None)], "id int, m map<string,int>, k int")
+    fact = one.unionByName(one)
+    side = spark.createDataFrame([(7, "x", {"b": 2})], "k int, v string, n map<string,int>")
+    got = relational.lookup_join(fact, side, "k", limit=limit)
+    assert got.columns == ["id", "m", "k", "v", "n"] and got.dtypes == fact.join(side, "k", "left").select(*got.columns).dtypes
+    assert rows(got) == rows(fact.join(side, "k", "left"))
+
+
+def test_broadcast_is_decided_by_bytes(spark, monkeypatch):
+    side = spark.createDataFrame([(1, "x" * 500)], "k int, v string")
+    assert relational.fits_broadcast(side) and not relational.fits_broadcast(side, most_bytes=100) and not relational.fits_broadcast(side, limit=0)
+
+
+def test_string_ids_and_missing_scores(spark):
+    df = spark.createDataFrame([("b/2", 0.9), ("a/1", 0.9), ("c/3", None), ("z", 0.1), ("y", 0.1)], "id string, s double")
+    r = stats.extreme_rows(df, "s", "id", []).first()
+    assert (r.highest.id, r.lowest.id) == ("a/1", "y")
+
+
+def test_imputation_plans_one_scan_more(spark):
+    """However many columns are filled, the fitted values are read once."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    df = prepare.impute_mode(lines, cols)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("+- == Initial Plan ==")[0]
+    assert final.count("Subquery ") - final.count("ReusedSubquery ") <= 1 and len(re.findall(r"Scan parquet", final)) <= 2
+
+
 def test_heavy_keys_are_few(spark):
     sizes = spark.range(50_000).select(F.col("id").alias("k"), F.when(F.col("id") < 3, 1_000_000).otherwise(1).alias("n"))
     assert {r.k for r in relational.heavy_keys(sizes).collect()} == {0, 1, 2}
