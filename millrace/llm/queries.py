@@ -1,6 +1,6 @@
 """The registered query of each operator and, where SQL can express it, its check."""
 
-from millrace.llm import decontamination, language_id, near_dedup, quality, secret_scan, sentencepiece_codec, substring_dedup, toxicity, warc
+from millrace.llm import decontamination, language_id, lm_scoring, near_dedup, quality, secret_scan, sentencepiece_codec, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_warc": warc.query,
     "op5_near_dedup": near_dedup.query,
     "op6_sentencepiece": sentencepiece_codec.query,
+    "op7_lm_scoring": lm_scoring.query,
     "op8_quality_rules": quality.query,
     "op9_secret_scans": secret_scan.query,
     "op10_language_id": language_id.query,
