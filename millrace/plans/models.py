@@ -88,6 +88,23 @@ def batch_scores(t):
     return mx.scored(mx.fit_logistic(train), test).select("doc_id", "label", "p", "pred")
 
 
+@query(
+    "ML1 ML2 ML3 ML6",
+    """WITH s AS (SELECT doc_id, CASE WHEN ('0x' || substr(md5('42:' || doc_id), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM documents JOIN labels USING (doc_id))
+       SELECT model, split, count(*) AS n, true AS in_range, true AS consistent FROM s, (SELECT unnest(['logistic', 'forest', 'boosted']) AS model) GROUP BY 1, 2""",
+)
+def fitted_model_facts(t):
+    # What holds for every fit: each row is scored once, with a probability and the class it says.
+    train, test = _sides(t)
+    both, result = train.unionByName(test), None
+    for name, model in (("logistic", mx.fit_logistic(train)), ("forest", mx.fit_forest(train, trees=20, depth=5)), ("boosted", mx.fit_boosted(train, rounds=10, depth=3))):
+        rows = mx.scored(model, both).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.col("p").between(0, 1)).alias("in_range"), F.min((F.col("p") > 0.5).cast("int") == F.col("pred")).alias("consistent"))
+        rows = rows.select(F.lit(name).alias("model"), "*")
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
 _CENTROIDS = """cells AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
   means AS (SELECT label, pos, avg(x) AS m FROM cells GROUP BY 1, 2)"""
 
