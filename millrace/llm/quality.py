@@ -23,6 +23,8 @@ from millrace.llm.common import Words, _BYTE, _POWER, mix, ngram_hashes, runs, s
 # several lengths) and inside repeated lines that a kept text may have.
 MOST_IN_NGRAMS = {5: 0.4, 10: 0.35}
 MOST_IN_LINES = 0.4
+# Most characters of SYMBOLS for each word.
+MOST_SYMBOLS = 0.2
 LEAST_WORDS, BASE_N, BASE_PERCENT = 50, 3, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -115,7 +117,7 @@ def judged(counts: DataFrame) -> DataFrame:
     """Adds base_failed and kept to the counts of `repetition`."""
     limits = " AND ".join(f"dup_chars_{n} <= {share} * word_chars" for n, share in MOST_IN_NGRAMS.items())
     base = f"n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {BASE_PERCENT} * n_words"
-    return counts.selectExpr("*", f"({base}) AS base_failed", f"(NOT ({base}) AND {limits} AND dup_line_chars <= {MOST_IN_LINES} * word_chars) AS kept")
+    return counts.selectExpr("*", f"({base}) AS base_failed", f"(NOT ({base}) AND {limits} AND dup_line_chars <= {MOST_IN_LINES} * word_chars AND n_symbols <= {MOST_SYMBOLS} * n_words) AS kept")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -144,5 +146,5 @@ t AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '
   coalesce(a.x, 0)::BIGINT AS n_repeat_words, coalesce(dl.c, 0)::BIGINT AS dup_line_chars, coalesce(b.x, 0)::BIGINT AS dup_chars_5, coalesce(c.x, 0)::BIGINT AS dup_chars_10
   FROM w LEFT JOIN dl USING (doc_id) LEFT JOIN {_cover_sql(3, '1')} a USING (doc_id) LEFT JOIN {_cover_sql(5, 'length(word)')} b USING (doc_id) LEFT JOIN {_cover_sql(10, 'length(word)')} c USING (doc_id))
 SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-  (NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND dup_chars_5 <= 0.4 * word_chars AND dup_chars_10 <= 0.35 * word_chars AND dup_line_chars <= 0.4 * word_chars) AS kept
+  (NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND dup_chars_5 <= 0.4 * word_chars AND dup_chars_10 <= 0.35 * word_chars AND dup_line_chars <= 0.4 * word_chars AND n_symbols <= 0.2 * n_words) AS kept
 FROM t"""

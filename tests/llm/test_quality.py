@@ -27,6 +27,7 @@ REPEATS = [
     (21, "\n".join([prose(8, 12)] * 9)),
     (22, prose(9, 60) + "\n# & | <b> 100% $5 *\n" + prose(9, 30)),
     (23, "é é é é é é é é é é é é"),
+    (24, prose(10, 70).replace(" ", "### ")),
 ]
 
 
@@ -40,7 +41,7 @@ def test_verdict(spark):
     judged = {r.doc_id: r for r in quality.judged(quality.repetition(frame(spark, ROWS + REPEATS))).collect() if r.doc_id}
     assert judged[1].kept and judged[9].kept and not judged[1].base_failed
     assert judged[10].base_failed and not judged[10].kept and judged[4].base_failed
-    assert not judged[21].kept
+    assert not judged[21].kept and not judged[24].kept and not judged[24].base_failed
     assert all(not (r.base_failed and r.kept) for r in judged.values())
 
 
