@@ -5,8 +5,8 @@ densities of lexicon hits (plain and weighted), the share of hits near a second-
 the inverse distance to the nearest one, capitals and words in capitals, marks of exclamation and
 question, other punctuation, words that mix letters with digits or inner symbols, and
 stretched letters. The lexicon is learned: the words (A-Z folded, look-alike digits and symbols
-read as letters, other punctuation dropped) whose share of toxic documents exceeds the rest by
-the largest z-scores of smoothed log odds. Spark ML fits the trees on the training rows and the
+read as letters, other punctuation dropped) that are more common in toxic documents than the rest
+by the largest likelihood ratios; their weights are smoothed log odds. Spark ML fits the trees on the training rows and the
 isotonic curve on a fold that the trees have not seen.
 
 Learning uses a bounded sample: the labelled row with the least hash in each of `SAMPLE` cells; a lexicon
@@ -35,7 +35,7 @@ from millrace.llm.common import LOWER, Words, crc_fold, slices, text_buffers
 from millrace.session import written
 
 SAMPLE, LEXICON = 40_000, 200
-LEAST_DOCUMENTS, LEAST_Z = 5, 4.0
+LEAST_DOCUMENTS, LEAST_RATIO = 4, 20.0
 NEAR = 4  # words between a hit and a second-person word
 TREES, DEPTH, STEP = 30, 3, 0.2
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
@@ -165,9 +165,13 @@ def learn_lexicon(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if not bad or not good:
         return np.zeros(0, np.uint64), np.zeros(0)
     counts = rows.select("text", "toxic").mapInArrow(_distinct_words, "word long, toxic long, docs long").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("docs").alias("docs"))
-    odds = counts.where(F.col("docs") >= LEAST_DOCUMENTS).selectExpr("word", "a + 0.5 AS a", "docs - a + 0.5 AS b").selectExpr(
-        "word", f"ln(a / ({bad + 1}D - a)) - ln(b / ({good + 1}D - b)) AS odds", "sqrt(1 / a + 1 / b) AS deviation")
-    top = odds.where(f"odds > {LEAST_Z} * deviation").orderBy(F.desc(F.col("odds") / F.col("deviation")), "word").limit(LEXICON).collect()
+    # Dunning's log-likelihood ratio of the two-by-two table (word or not, toxic or not).
+    n, part = bad + good, "coalesce({0} * ln({0} / nullif({1}, 0)), 0)"
+    cells = [("a", f"docs * {bad}D / {n}"), ("(docs - a)", f"docs * {good}D / {n}"), (f"({bad} - a)", f"({n} - docs) * {bad}D / {n}"), (f"({good} - docs + a)", f"({n} - docs) * {good}D / {n}")]
+    ratio = " + ".join(part.format(f"nullif({x}, 0)", e) for x, e in cells)
+    rows = counts.where(F.col("docs") >= LEAST_DOCUMENTS).selectExpr(
+        "word", f"2 * ({ratio}) AS ratio", f"ln((a + 0.5D) / ({bad} - a + 0.5D)) - ln((docs - a + 0.5D) / ({good} - docs + a + 0.5D)) AS odds")
+    top = rows.where(f"odds > 0 AND ratio >= {LEAST_RATIO}").orderBy(F.desc("ratio"), "word").limit(LEXICON).select("word", "odds").collect()
     word = np.array([r[0] for r in top], np.int64).view(np.uint64)
     weight = np.array([r[1] for r in top], float)
     order = np.argsort(word)
