@@ -141,3 +141,48 @@ def test_user_scorer(docs):
 
     got = {r.doc_id: r.score for r in dx.score_with(docs, shout, "doc_id bigint, score bigint").collect()}
     assert got[4] == 1 and sum(got.values()) == 1
+
+
+def test_personal_data(spark):
+    text = "mail a.b@c.org, +1 (436) 555-8670 or 10.0.0.1; card 4785380592391139 id 12345678"
+    df = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "doc_id int, text string")
+    got = {r.doc_id: r for r in dx.redact_personal(df).collect()}
+    assert got[1].text == "mail [EMAIL], [PHONE] or [ADDRESS]; card [NUMBER] id 12345678"
+    assert (got[1].n_email, got[1].n_phone, got[1].n_address, got[1].n_number) == (1, 1, 1, 1)
+    assert got[2].text == "nothing" and got[3].text is None and got[3].n_email == 0
+
+
+LANGUAGES = {"aa": "red green blue one two", "bb": "rot gruen blau eins zwei", "cc": "rouge vert bleu un deux"}
+
+
+@pytest.fixture(scope="module")
+def spoken(spark):
+    out = []
+    for i in range(90):
+        lang = sorted(LANGUAGES)[i % 3]
+        parts = LANGUAGES[lang].split()
+        out.append((i, " ".join(parts[(i * 7 + k * k) % 5] for k in range(4 + i % 9)), lang))
+    return spark.createDataFrame(out, "doc_id int, text string, lang string")
+
+
+def test_language_guess(spark, spoken):
+    profiles = dx.language_profiles(spoken.where("doc_id < 60"))
+    got = {r.doc_id: r.guess for r in dx.guess_language(spoken, profiles).collect()}
+    assert got == {r.doc_id: r.lang for r in spoken.collect()}
+    other = spark.createDataFrame([(1, "unknown words"), (2, ""), (3, None)], "doc_id int, text string")
+    assert dx.guess_language(other, profiles).collect() == []
+
+
+def test_routing(spark, spoken):
+    model = dx.fit_router(spoken.where("doc_id < 60"), "lang", features=512)
+    held = dx.routed(spoken.where("doc_id >= 60"), model)
+    assert held.columns == ["doc_id", "text", "lang", "route"] and held.where("lang <> route").count() == 0
+    other = spark.createDataFrame([(1, "", "aa"), (2, None, "bb")], "doc_id int, text string, lang string")
+    assert {r.route for r in dx.routed(other, model).collect()} <= set(LANGUAGES)
+
+
+def test_topics(spoken):
+    got = dx.topics(spoken, k=3, words=5, rounds=20).collect()
+    assert len(got) == 15 and {r.topic for r in got} == {0, 1, 2} and all(r.weight > 0 for r in got)
+    known = {w for t in LANGUAGES.values() for w in t.split()}
+    assert {r.term for r in got} <= known

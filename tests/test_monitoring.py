@@ -137,3 +137,27 @@ def test_latency_summary(spark):
     r = abtest.latency_summary(log, ["model"], "ms").first()
     assert (r.avg, r.n, r.p50, r.p95) == (49.5, 100, 50.0, 95.0)
     assert not math.isnan(r.avg)
+
+
+def test_an_absent_variant_wins_nothing(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0)], "variant string, ms double")
+    metrics = {"latency": (F.avg("ms"), "low"), "calls": (F.count(F.lit(1)).cast("double"), "high")}
+    got = abtest.head_to_head(df, "variant", "a", "b", metrics).collect()
+    assert len(got) == 2 and all(r.winner is None and r.value_a is not None and r.value_b is None for r in got)
+
+
+def test_missing_measures_are_not_ok(spark):
+    rows = spark.createDataFrame([(1.0, False), (2.0, False)], "x double, cur boolean")
+    ks = drift.ks_shift(rows, ["x"], F.col("cur"))
+    none = quality.conformance(rows.limit(0), {"x": "double"})
+    psi = spark.createDataFrame([("x", None)], "feature string, psi double")
+    got = {r.check_name: r.severity for r in drift.violation_report(ks=ks, conformance=none, psi=psi).collect()}
+    assert got == {"ks": "unknown", "completeness": "unknown", "psi": "unknown"}
+
+
+def test_no_baseline_no_alert(spark):
+    rows = spark.createDataFrame([("d1", 5.0, "1"), ("d2", None, "x")], "day string, v double, raw string")
+    got = {r.period: r.alert for r in drift.quality_by_period(rows, F.col("day"), "v", "raw", "bigint", F.lit(None).cast("double")).collect()}
+    assert got == {"d1": None, "d2": None}
+    known = {r.period: r.alert for r in drift.quality_by_period(rows, F.col("day"), "v", "raw", "bigint", F.lit(1.0)).collect()}
+    assert known == {"d1": True, "d2": None}
