@@ -3,7 +3,9 @@
 Alternates two steps on edges (hi, lo): every node hands its larger neighbours to its
 least neighbour, then its smaller ones. Both keep the components and end in stars around
 the least node, in a number of rounds that grows with the logarithm of the component
-size. Each round is written to the shared folder, so a lost executor costs one round.
+size. Each step is written to the shared folder, so a lost executor costs one step. The least
+neighbours are a table of their own: the join then reads plain shuffles, whose hot partitions (a
+node with very many neighbours) adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -21,9 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
     e, state = _kept(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     for _ in range(ROUNDS):
         both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m"))
+        least = written(both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m")), "least")
         e = both.join(least, "hi").where("lo > hi AND lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        least = e.groupBy("hi").agg(F.min("lo").alias("m"))
+        least = written(e.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         moved = e.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         before = state
         e, state = _kept(moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
