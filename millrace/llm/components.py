@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         both = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = written(both.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("m")), "least")
-        e = both.join(least, "hi").where("lo > hi AND lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        e = written(both.join(least, "hi").where("lo > hi AND lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")), "large")
         least = written(e.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         moved = e.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         before = state
