@@ -234,6 +234,7 @@ def _judged(rows: DataFrame, percent: int, shingle: int, family_members: int) ->
     members = written(members.drop("n").join(sizes.drop("shingles"), "fam"), "families")
     # By shuffle at any size: the members grow with the documents.
     texts = rows.join(members.hint("shuffle_hash"), ["doc", "tag"]).select("fam", "members", "large", "doc", "text")
+    texts = written(texts, "texts")  # of families only; small and large ones read it
     some = texts.where("NOT large").select("fam", "doc", "text").repartition(n, "fam").sortWithinPartitions("fam", "doc")
     part = some.mapInArrow(grouped(_whole_family(percent, shingle), ["fam"]), "a long, b long").select(F.col("a").alias("doc"), F.col("b").alias("component"))
     if members.where("large").limit(1).count():
