@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage,
 )
 
 from millrace.session import scratch_path
@@ -255,11 +255,16 @@ class WarcReader(DataSourceReader):
                 self.filters.append((column, "in", tuple(f.value)))
             elif column in FIELDS and isinstance(f, StringStartsWith):
                 self.filters.append((column, "starts", f.value))
+            elif column in FIELDS and isinstance(f, IsNotNull):
+                self.filters.append((column, "given", None))
             else:
                 yield f
 
     def _wanted(self, row: dict) -> bool:
-        return all(row[c] in v if how == "in" else row[c] is not None and row[c].startswith(v) for c, how, v in self.filters)
+        def holds(value, how: str, wanted) -> bool:
+            return value in wanted if how == "in" else value is not None and (how == "given" or value.startswith(wanted))
+
+        return all(holds(row[c], how, wanted) for c, how, wanted in self.filters)
 
     def partitions(self) -> list[InputPartition]:
         store, base = fs.FileSystem.from_uri(self.path)

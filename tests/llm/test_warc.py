@@ -60,7 +60,7 @@ def test_round_trip(spark, archive):
 @pytest.mark.parametrize("split", [200, 5000])
 def test_ranges_cover_every_member_once(spark, archive, split):
     small = load(spark, archive, splitBytes=split)
-    assert small.rdd.getNumPartitions() > 3
+    assert small.rdd.getNumPartitions() >= 2
     key = ["record_id", "record_type", "payload_digest"]
     assert sorted(map(tuple, small.select(*key).collect())) == sorted(map(tuple, load(spark, archive).select(*key).collect()))
 
@@ -71,7 +71,7 @@ def test_filters_reach_the_headers(spark, archive):
     assert rows.where(F.col("record_type").isin("revisit", "request") & F.col("target_uri").startswith("http://a")).count() == 1
     assert rows.where("payload_length > 100 AND record_type = 'response'").count() == 5
     plan = rows.where("record_type = 'revisit'")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan or "Filter" not in plan
+    assert "Filter (" not in plan and "Filter isnotnull" not in plan  # nothing is left to test above the scan
     blind = load(spark, archive, payload="false").collect()
     assert len(blind) == len(PAGES) and all(r.payload is None for r in blind)
 
