@@ -108,8 +108,8 @@ def ingest_stream(stream: DataFrame, group: FeatureGroup, path: str) -> tuple[Da
         rejected.write.mode("overwrite").parquet(f"{path}/rejected/batch={number}")
 
     _each_batch(stream, write, f"ingest-{group.table}")
-    history = spark.read.schema(group.schema).parquet(f"{path}/accepted")
-    return history, spark.read.schema(raw).parquet(f"{path}/rejected")
+    history = spark.read.schema(group.schema).parquet(f"{path}/accepted/*")
+    return history, spark.read.schema(raw).parquet(f"{path}/rejected/*")
 
 
 def _each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], label: str) -> None:
