@@ -345,21 +345,17 @@ def document_report(results: DataFrame, phrases: int = 10) -> DataFrame:
         return F.when(F.size(items) > 0, F.array_join(items, "\n")).otherwise(message)
 
     scores = [
-        F.concat(F.lit(f"  {s.capitalize()}: "), _pct(F.col(f"sentiment.scores.{s.capitalize()}"))) for s in SENTIMENTS
+        F.concat(F.lit(f"  {s.lower()} "), _pct(F.col(f"sentiment.scores.{s.capitalize()}"))) for s in SENTIMENTS
     ]
     lines = [
-        F.lit("Document Analysis Report"),
-        F.concat(F.lit("Generated: "), F.col("timestamp")),
-        F.concat(F.lit("Document: "), F.col("document")),
-        F.concat(F.lit("Word Count: "), F.col("metadata.word_count").cast("string")),
-        F.concat(F.lit("Characters: "), F.col("metadata.text_length").cast("string")),
-        F.lit("SENTIMENT"),
-        F.concat(F.lit("Overall: "), F.col("sentiment.overall")),
+        F.concat(F.lit("# "), F.col("document"), F.lit(", read on "), F.col("timestamp")),
+        F.format_string("%s words in %s characters", F.col("metadata.word_count").cast("string"), F.col("metadata.text_length").cast("string")),
+        F.concat(F.lit("## Mood: "), F.col("sentiment.overall")),
         *scores,
-        F.lit("ENTITIES"),
-        or_else(listed, "No entities detected."),
-        F.lit("KEY PHRASES"),
-        or_else(top, "No key phrases detected."),
+        F.lit("## Names, places and numbers"),
+        or_else(listed, "  (none)"),
+        F.lit("## Leading phrases"),
+        or_else(top, "  (none)"),
     ]
     return results.select("document", F.concat_ws("\n", *lines).alias("report"))
 
@@ -403,26 +399,26 @@ def corpus_report(results: DataFrame) -> DataFrame:
         return F.concat(F.lit(label), F.col(f"{c}.document"), F.lit(" ("), _pct(F.col(f"{c}.score")), F.lit(")"))
 
     head = totals.select(row(1, [
-        text("Total documents: ", F.col("documents").cast("string")),
-        text("Total words: ", F.format_number("total_words", 0)),
-        text("Average words per document: ", F.format_string("%.0f", "avg_words")),
-        text("Total entities: ", F.format_number("total_entities", 0)),
-        text("Average entities per document: ", F.format_string("%.1f", "avg_entities")),
-        text("Average key phrases per document: ", F.format_string("%.1f", "avg_phrases")),
-        extreme("Most positive: ", "most_positive"),
-        extreme("Most negative: ", "most_negative"),
+        text("documents = ", F.col("documents").cast("string")),
+        text("words = ", F.format_number("total_words", 0)),
+        text("words a document = ", F.format_string("%.0f", "avg_words")),
+        text("entities = ", F.format_number("total_entities", 0)),
+        text("entities a document = ", F.format_string("%.1f", "avg_entities")),
+        text("phrases a document = ", F.format_string("%.1f", "avg_phrases")),
+        extreme("happiest = ", "most_positive"),
+        extreme("angriest = ", "most_negative"),
     ])).select("_r.*")
     mood = stats.with_share(stats.value_counts(results.select(F.col("sentiment.overall").alias("sentiment")), ["sentiment"]))
     moods = mood.select(
         F.lit(2).alias("section"), F.col("sentiment").alias("position"),
-        F.format_string("%s: %d documents (%.1f%%)", "sentiment", "n", "share_pct").alias("line"),
+        F.format_string("mood %s = %d, %.1f%% of all", "sentiment", "n", "share_pct").alias("line"),
     )
     kinds = common_types(results.select(F.explode("entities.type").alias("type")))
     types = kinds.select(
-        F.lit(3).alias("section"), F.col("type").alias("position"), F.format_string("%s: %d", "type", "n").alias("line")
+        F.lit(3).alias("section"), F.col("type").alias("position"), F.format_string("kind %s = %d", "type", "n").alias("line")
     )
     listing = results.select(
         F.lit(4).alias("section"), F.col("document").alias("position"),
-        F.concat(F.lit("- "), tx.basename(F.col("document")), F.lit(": "), F.col("sentiment.overall")).alias("line"),
+        F.concat(F.lit("document "), tx.basename(F.col("document")), F.lit(" = "), F.col("sentiment.overall")).alias("line"),
     )
     return head.unionByName(moods).unionByName(types).unionByName(listing)

@@ -65,10 +65,10 @@ def test_captures_with_a_bad_payload(spark, tmp_path):
         "captureData": {"endpointInput": {"data": data, "encoding": "CSV"}, "endpointOutput": {"data": out, "encoding": "CSV"}},
         "eventMetadata": {"eventId": i, "inferenceTime": "2024-01-15T10:30:00Z"},
     })
-    (tmp_path / "x.jsonl").write_text("\n".join([event("e1", "35.5,52000,710,28000,6.5", "0.78"), event("e2", "1,2,3,4,5", "[0.12]"), event("e3", "1,,three", "?")]))
+    (tmp_path / "x.jsonl").write_text("\n".join([event("e1", "41.25,38100,655,9050,3.5", "0.31"), event("e2", "1,2,3,4,5", "[0.12]"), event("e3", "1,,three", "?")]))
     names = ["age", "income", "credit_score", "loan_amount", "employment_years"]
     got = {r.event_id: r for r in readers.captures(spark, str(tmp_path), names).collect()}
-    assert [got["e1"][n] for n in names] == [35.5, 52000.0, 710.0, 28000.0, 6.5] and got["e1"].prediction == 0.78
+    assert [got["e1"][n] for n in names] == [41.25, 38100.0, 655.0, 9050.0, 3.5] and got["e1"].prediction == 0.31
     assert got["e2"].prediction == 0.12 and not got["e2"].bad_payload
     assert got["e3"].bad_payload and got["e3"].age == 1.0 and got["e3"].credit_score is None and got["e3"].prediction is None
     assert got["e1"].inference_time.strftime("%H:%M") == "10:30"
