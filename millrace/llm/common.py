@@ -9,11 +9,13 @@ follows the longest text and not the batch.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -226,13 +228,11 @@ def partitions(spark) -> int:
 
 
 def share(spark, obj):
-    """Broadcast an object's state; returns a function that rebuilds it on an executor."""
-    state, kind = spark.sparkContext.broadcast(vars(obj)), type(obj)
+    """Broadcast an object, its classes included; returns a function that gives an executor its own."""
+    state = spark.sparkContext.broadcast(cloudpickle.dumps(obj))
 
     def get():
-        own = object.__new__(kind)
-        own.__dict__.update(state.value)
-        return own
+        return pickle.loads(state.value)
 
     return get
 
