@@ -90,19 +90,18 @@ def nested_results(t):
 @query(
     "DOC8 SNK4",
     rf"""WITH {_MOOD}, {_FOUND}, {_PHRASES}, e AS (SELECT doc_id, count(*) AS n FROM found GROUP BY 1),
-         p AS (SELECT doc_id, count(*) AS n, min(phrase) FILTER (rank = 1) AS first, round(sum(score), 4) AS total FROM phrases GROUP BY 1)
-         SELECT d.doc_id, 'uploads/' || d.doc_id || '.txt' AS document, sentiment AS overall, round(positive, 4) AS positive, coalesce(e.n, 0)::INT AS entities, coalesce(p.n, 0)::INT AS phrases,
-                p.first AS first_phrase, coalesce(total, 0.0) AS phrase_score, length(d.text)::INT AS text_length, md5(d.text) AS text_digest
+         p AS (SELECT doc_id, count(*) AS n, min(phrase) FILTER (rank = 1) AS first, max(score) AS top FROM phrases GROUP BY 1)
+         SELECT d.doc_id, 'uploads/' || d.doc_id || '.txt' AS document, sentiment AS overall, positive, coalesce(e.n, 0)::INT AS entities, coalesce(p.n, 0)::INT AS phrases,
+                p.first AS first_phrase, p.top AS phrase_score, length(d.text)::INT AS text_length, md5(d.text) AS text_digest
          FROM documents d JOIN mood USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN p USING (doc_id)""",
 )
 def nested_results_flat(t):
     # The nested documents as they come back from their files, laid flat.
     rows = nested_results(t)
-    score = F.aggregate("key_phrases", F.lit(0.0), lambda acc, p: acc + p["score"])
     return rows.select(
-        "doc_id", "document", F.col("sentiment.overall").alias("overall"), F.round("sentiment.scores.Positive", 4).alias("positive"),
+        "doc_id", "document", F.col("sentiment.overall").alias("overall"), F.col("sentiment.scores.Positive").alias("positive"),
         F.size("entities").alias("entities"), F.size("key_phrases").alias("phrases"), F.get(F.col("key_phrases.text"), F.lit(0)).alias("first_phrase"),
-        F.round(score, 4).alias("phrase_score"), F.col("metadata.text_length").alias("text_length"), F.md5("extracted_text").alias("text_digest"))
+        F.get(F.col("key_phrases.score"), F.lit(0)).alias("phrase_score"), F.col("metadata.text_length").alias("text_length"), F.md5("extracted_text").alias("text_digest"))
 
 
 @query(
