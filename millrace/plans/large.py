@@ -16,7 +16,7 @@ ROWS = 1_000
 
 @query("WIN2", ORACLES["version_changes"])
 def version_changes_chunked(t):
-    rows = feature_store.version_changes(t.events, ["user_id"], ["ts", "event_id"], "value", limit=20)
+    rows = feature_store.version_changes(t.events, ["user_id"], ["ts", "event_id"], "value", limit=60)
     return rows.select("event_id", "user_id", "value", "prev_value", F.round("change", 4).alias("change"))
 
 
