@@ -59,7 +59,7 @@ def boosted_model(t):
 @query("ML4")
 def multiclass_model(t):
     df = mx.vector_column(prepare.assign_split(t.embeddings, "vec_id"), "embedding").withColumn("label", F.col("label").cast("double"))
-    model = mx.fit_multiclass(df.where("split = 'train'"), rounds=3, depth=3)
+    model = mx.fit_multiclass(df.where("split = 'train'"), rounds=100, depth=5)
     rows = mx.scored_multiclass(model, df)
     return rows.groupBy("split").agg(
         F.avg((F.col("label") == F.col("pred")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n")
@@ -97,7 +97,7 @@ def fitted_model_facts(t):
     # What holds for every fit: each row is scored once, with a probability and the class it says.
     train, test = _sides(t)
     both, result = train.unionByName(test), None
-    for name, model in (("logistic", mx.fit_logistic(train)), ("forest", mx.fit_forest(train, trees=20, depth=5)), ("boosted", mx.fit_boosted(train, rounds=10, depth=3))):
+    for name, model in (("logistic", mx.fit_logistic(train)), ("forest", mx.fit_forest(train, trees=100, depth=10)), ("boosted", mx.fit_boosted(train, rounds=100, depth=5, eta=0.2))):
         rows = mx.scored(model, both).groupBy("split").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.col("p").between(0, 1)).alias("in_range"), F.min((F.col("p") > 0.5).cast("int") == F.col("pred")).alias("consistent"))
         rows = rows.select(F.lit(name).alias("model"), "*")

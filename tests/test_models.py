@@ -69,3 +69,18 @@ def test_model_per_key_without_collecting_keys(spark):
 def test_rank_changes(spark):
     imp = spark.createDataFrame([("x", "a", 0.9), ("x", "b", 0.1), ("y", "a", 0.2), ("y", "b", 0.8)], "seg string, feature string, importance double")
     assert {r.feature: r.move for r in drift.rank_changes(imp, "seg", "x", "y").collect()} == {"a": -1, "b": 1}
+
+
+def test_registered_models_have_their_whole_size(spark, monkeypatch):
+    from millrace.plans import QUERIES, models
+
+    asked = []
+    monkeypatch.setattr(models.mx, "fit_multiclass", lambda df, **size: asked.append(size) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        QUERIES["multiclass_model"](spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(models.mx, "fit_logistic", lambda df: None)
+    monkeypatch.setattr(models.mx, "fit_forest", lambda df, **size: asked.append(size))
+    monkeypatch.setattr(models.mx, "fit_boosted", lambda df, **size: asked.append(size) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        QUERIES["fitted_model_facts"](spark, "/root/testdata/sf0.001")
+    assert asked == [{"rounds": 100, "depth": 5}, {"trees": 100, "depth": 10}, {"rounds": 100, "depth": 5, "eta": 0.2}]
