@@ -2,8 +2,9 @@
 
 A word is a maximal run of bytes other than blank and 0x09-0x0D; as UTF-8 never
 uses these bytes inside a longer character, this is the pattern
-``[^\\x20\\x09-\\x0D]+`` on code points. Hashes have 64 bits: a polynomial of random
-numbers per byte, mixed. Texts are taken in slices of a few megabytes, so memory
+``[^\\x20\\x09-\\x0D]+`` on code points. Hashes have 64 bits: a sum of random numbers
+per byte times random numbers per place, mixed; every place of an item of any length has
+a number of its own. Texts are taken in slices of a few megabytes, so memory
 follows the longest text and not the batch.
 """
 
@@ -29,8 +30,6 @@ _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_PLACE = 4096
-_POWER = np.cumprod(np.full(_PLACE, 0x9E3779B97F4A7C15 | 1, np.uint64))
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -44,6 +43,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _drawn(place: np.ndarray) -> np.ndarray:
+    return mix((place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+_PLACES = _drawn(np.arange(4096))  # the most used ones, drawn once
+
+
+def place_values(place: np.ndarray) -> np.ndarray:
+    """The odd number that each place within an item is weighted with."""
+    far = np.flatnonzero(place >= len(_PLACES))
+    if not len(far):
+        return _PLACES[place]
+    value = _PLACES[np.minimum(place, len(_PLACES) - 1)]
+    value[far] = _drawn(place[far])
+    return value
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the n+1 offsets into them; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -70,12 +86,13 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 class Words:
-    """The words of consecutive texts: byte range, row and, on demand, hash."""
+    """The words of consecutive texts: byte range, row and, on demand, hash. `space` says which
+    bytes are in no word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data, self.offsets = data, offsets
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
+        self.data, self.offsets, self.blank = data, offsets, space
         n = len(data)
-        self.space = SPACE[data]
+        self.space = space[data]
         before = np.ones(n, bool)
         before[1:] = self.space[:-1]
         begins = offsets[:-1][offsets[:-1] < n]
@@ -97,7 +114,7 @@ class Words:
         if not len(self):
             return np.zeros(0, np.uint64)
         table = _BYTE if fold is None else _BYTE[fold]
-        table = np.where(SPACE, np.uint64(0), table)
+        table = np.where(self.blank, np.uint64(0), table)
         if drop is not None:
             table = np.where(drop, np.uint64(0), table)
         if drop is None:
@@ -111,8 +128,7 @@ class Words:
             first = np.zeros(len(self.data), np.int32)
             first[self.start] = kept[self.start]
             place = kept - np.maximum.accumulate(first)
-        place &= _PLACE - 1
-        value = table[self.data] * _POWER[place]
+        value = table[self.data] * place_values(place)
         return mix(np.add.reduceat(value, self.start))
 
 

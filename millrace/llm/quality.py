@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import Words, _BYTE, _POWER, mix, ngram_hashes, runs, slices, text_buffers, whole_windows
+from millrace.llm.common import Words, _BYTE, mix, ngram_hashes, place_values, runs, slices, text_buffers, whole_windows
 
 # Largest shares of a text's word characters inside repeated windows of n words (n of
 # several lengths) and inside repeated lines that a kept text may have.
@@ -103,8 +103,7 @@ def _repeated_lines(data: np.ndarray, offsets: np.ndarray, before: np.ndarray) -
     end = np.append(start[1:], len(data))
     row = np.searchsorted(offsets, start, "right") - 1
     size = end - start
-    place = (np.arange(len(data)) - np.repeat(start, size)) & (len(_POWER) - 1)
-    value = _BYTE[data] * _POWER[place]
+    value = _BYTE[data] * place_values(np.arange(len(data)) - np.repeat(start, size))
     value[feed] = 0
     line = mix(np.add.reduceat(value, start))
     chars = before[end] - before[start]

@@ -29,14 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mix, ranges_to_bytes, runs, share, slices, text_buffers
+from millrace.llm.common import mix, place_values, ranges_to_bytes, runs, share, slices, text_buffers
 
 BLANK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
 WORDS_KEPT, WORDS_AT_ONCE = 200_000, 8192
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_PLACES = np.cumprod(np.full(4096, 0xD1342543DE82EF95, np.uint64))
 _NONE, _FAR = -1, 1 << 40
 
 
@@ -245,7 +244,7 @@ class Encoder:
         item = self.pieces.symbol.take(kind)
         strange = np.flatnonzero(kind == 0)
         item[strange] = mix(points[strange].astype(np.uint64) + np.uint64(1 << 32))
-        item *= _PLACES.take((np.arange(len(points)) - np.repeat(start, size)) & (len(_PLACES) - 1))
+        item *= place_values(np.arange(len(points)) - np.repeat(start, size))
         word, first, which = np.unique(mix(np.add.reduceat(item, start)), return_index=True, return_inverse=True)
         if len(self.seen) > WORDS_KEPT:
             self._forget()
