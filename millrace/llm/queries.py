@@ -1,6 +1,6 @@
 """The registered query of each operator and, where SQL can express it, its check."""
 
-from millrace.llm import decontamination, language_id, lm_scoring, near_dedup, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, toxicity, warc
+from millrace.llm import conversation, decontamination, language_id, lm_scoring, near_dedup, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_quality_rules": quality.query,
     "op9_secret_scans": secret_scan.query,
     "op10_language_id": language_id.query,
+    "op11_conversation_repair": conversation.query,
     "op13_sharding": sharding.query,
 }
 ORACLES = {
@@ -21,5 +22,6 @@ ORACLES = {
     "op4_warc": warc.SQL,
     "op8_quality_rules": quality.SQL,
     "op9_secret_scans": secret_scan.SQL,
+    "op11_conversation_repair": conversation.SQL,
     "op13_sharding": sharding.SQL,
 }

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NO_ID, given_id, partitions, runs, whole_row
+from millrace.llm.common import NO_ID, given_id, partitions, whole_row
 from millrace.session import written
 
 SHARDS, MOST_SHARDS, CELLS = 8, 256, 1 << 14
@@ -142,11 +142,11 @@ class Ends:
 def _cells(ends: DataFrame, windows: list[tuple[int, int]], cells: int) -> Ends:
     """The ends within the windows (from, to], in even cells: first, last and number of ends of each."""
     per = max(1, cells // len(windows))
-    cell = F.lit(None)
-    for i, (a, b) in reversed(list(enumerate(windows))):
+    choices = []
+    for i, (a, b) in enumerate(windows):
         width = max(1, -(-(b - a) // per))
-        cell = F.when((F.col("end") > a) & (F.col("end") <= b), F.floor((F.col("end") - a - 1) / width) + i * per).otherwise(cell)
-    found = ends.select("end", cell.cast("long").alias("cell")).where("cell IS NOT NULL").groupBy("cell").agg(F.min("end").alias("a"), F.max("end").alias("b"), F.count(F.lit(1)).alias("n"))
+        choices.append(F.when((F.col("end") > a) & (F.col("end") <= b), F.floor((F.col("end") - a - 1) / width) + i * per))
+    found = ends.select("end", F.coalesce(*choices).cast("long").alias("cell")).where("cell IS NOT NULL").groupBy("cell").agg(F.min("end").alias("a"), F.max("end").alias("b"), F.count(F.lit(1)).alias("n"))
     got = sorted((r.a, r.b, r.n) for r in found.collect())  # at most `cells` rows
     return Ends(*np.array(got, np.int64).reshape(-1, 3).T)
 
@@ -165,12 +165,18 @@ def smallest_capacity(ends: DataFrame, total: int, shards: int, least_cells: int
         hit = np.flatnonzero(touched & (known.count > 2))
         if not len(hit):
             return high, known.reach(high, shards, False)
-        # Neighbours are one window; the ends before a window's first and after its last stretch stay as they are.
-        first, size = runs(np.append(True, np.diff(hit) != 1))
-        windows = [(int(known.first[hit[f]]) - 1, int(known.last[hit[f + n - 1]])) for f, n in zip(first, size, strict=True)]
-        finer = _cells(ends, windows, cells)
+        # One window for each cut, from the first to the last stretch that it can fall into; overlapping ones are joined.
+        spans = [(i[0], i[-1]) for a, b in zip(least, most, strict=True) if len(i := hit[(known.first[hit] < b) & (known.last[hit] > a)])]
+        joined = [spans[0]]
+        for i, j in spans[1:]:
+            if i <= joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(j, joined[-1][1]))
+            else:
+                joined.append((i, j))
+        finer = _cells(ends, [(int(known.first[i]) - 1, int(known.last[j])) for i, j in joined], cells)
         keep = np.ones(len(known.first), bool)
-        keep[hit] = False
+        for i, j in joined:
+            keep[i : j + 1] = False
         parts = [np.concatenate([getattr(known, c)[keep], getattr(finer, c)]) for c in ("first", "last", "count")]
         order = np.argsort(parts[0])
         known = Ends(*(p[order] for p in parts))
