@@ -1,6 +1,6 @@
 """The registered query of each operator and, where SQL can express it, its check."""
 
-from millrace.llm import conversation, decontamination, language_id, lm_scoring, near_dedup, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, toxicity, warc
+from millrace.llm import conversation, decontamination, language_id, lexical_search, lm_scoring, near_dedup, quality, secret_scan, sentencepiece_codec, sharding, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_secret_scans": secret_scan.query,
     "op10_language_id": language_id.query,
     "op11_conversation_repair": conversation.query,
+    "op12_lexical_search": lexical_search.query,
     "op13_sharding": sharding.query,
 }
 ORACLES = {
@@ -23,5 +24,6 @@ ORACLES = {
     "op8_quality_rules": quality.SQL,
     "op9_secret_scans": secret_scan.SQL,
     "op11_conversation_repair": conversation.SQL,
+    "op12_lexical_search": lexical_search.SQL,
     "op13_sharding": sharding.SQL,
 }
