@@ -8,14 +8,18 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.numeric import dot
-from millrace.operators import evaluate
+from millrace.operators import boosting, evaluate
+from millrace.operators.boosting import Booster
 from millrace.operators.relational import lookup_join
+from millrace.session import scratch_path
 
 
 def assembled(df: DataFrame, features: Sequence[str], label: str, name: str = "features") -> DataFrame:
@@ -29,32 +33,54 @@ def vector_column(df: DataFrame, array: str, name: str = "features") -> DataFram
     return df.withColumn(name, array_to_vector(F.col(array).cast("array<double>")))
 
 
+def _stored(model: Model, kind: type, df: DataFrame) -> Model:
+    """The model as it is read back from the shared folder: without the training summary, which holds on to the
+    training table and would travel to the executors with every scoring expression."""
+    path = scratch_path(df.sparkSession, "model")
+    model.write().save(path)
+    return kind.load(path)
+
+
 def fit_logistic(df: DataFrame, max_iter: int = 1000, c: float = 1.0) -> Model:
     """L2 logistic regression with inverse strength `c` on the summed loss; Spark's
     penalty is per row, hence 1 / (n * c)."""
     n = df.count()
-    return LogisticRegression(maxIter=max_iter, regParam=1.0 / (n * c), standardization=False).fit(df)
+    return _stored(LogisticRegression(maxIter=max_iter, regParam=1.0 / (n * c), standardization=False).fit(df), LogisticRegressionModel, df)
 
 
 def fit_forest(df: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> Model:
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(df)
+    return _stored(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(df), RandomForestClassificationModel, df)
 
 
 def fit_boosted(df: DataFrame, rounds: int = 100, depth: int = 5, eta: float = 0.2, subsample: float = 0.8,
-                seed: int = 42) -> Model:
-    """Boosted trees for a 0/1 label."""
+                seed: int = 42, key: str | None = None) -> Booster:
+    """Boosted trees of second order for a 0/1 label."""
+    return boosting.fit(df, rounds=rounds, depth=depth, eta=eta, subsample=subsample, seed=seed, key=key)
+
+
+def fit_multiclass(df: DataFrame, rounds: int = 100, depth: int = 5, eta: float = 0.3, seed: int = 42, key: str | None = None) -> Booster:
+    """Boosted trees of second order for labels 0 to n - 1: one booster, whose trees of all classes grow together (softmax)."""
+    classes = int(df.agg(F.max("label")).first()[0]) + 1
+    return boosting.fit(df, classes=max(classes, 2), rounds=rounds, depth=depth, eta=eta, seed=seed, key=key)
+
+
+def fit_first_order(df: DataFrame, rounds: int = 100, depth: int = 5, eta: float = 0.2, subsample: float = 0.8,
+                    seed: int = 42) -> Model:
+    """Spark's boosted trees, which follow slopes only, for a 0/1 label."""
     return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=eta, subsamplingRate=subsample, seed=seed).fit(df)
 
 
-def fit_multiclass(df: DataFrame, rounds: int = 20, depth: int = 4, eta: float = 0.3, seed: int = 42,
-                   parallelism: int = 4) -> Model:
-    """Boosted trees for many classes: one model per class against the rest."""
+def fit_one_against_rest(df: DataFrame, rounds: int = 20, depth: int = 4, eta: float = 0.3, seed: int = 42,
+                         parallelism: int = 4) -> Model:
+    """Spark's boosted trees for many classes: one model per class against the rest."""
     one = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=eta, seed=seed)
     return OneVsRest(classifier=one, parallelism=parallelism).fit(df)
 
 
-def scored(model: Model, df: DataFrame) -> DataFrame:
+def scored(model: Model | Booster, df: DataFrame) -> DataFrame:
     """Adds `p` (probability of class 1) and `pred`; the vectors are dropped."""
+    if isinstance(model, Booster):
+        return boosting.scored(model, df)
     out = model.transform(df)
     return (
         out.withColumn("p", vector_to_array("probability")[1])
@@ -63,14 +89,17 @@ def scored(model: Model, df: DataFrame) -> DataFrame:
     )
 
 
-def scored_multiclass(model: Model, df: DataFrame) -> DataFrame:
+def scored_multiclass(model: Model | Booster, df: DataFrame) -> DataFrame:
+    if isinstance(model, Booster):
+        return boosting.scored(model, df).drop("p")
     out = model.transform(df)
     return out.withColumn("pred", F.col("prediction").cast("int")).drop("rawPrediction", "probability", "prediction")
 
 
-def importances(model: Model, features: Sequence[str]) -> list[tuple[str, float]]:
+def importances(model: Model | Booster, features: Sequence[str]) -> list[tuple[str, float]]:
     """(feature, importance) of a tree model, one entry per feature."""
-    return [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
+    values = model.importances() if isinstance(model, Booster) else model.featureImportances.toArray()
+    return [(f, float(v)) for f, v in zip(features, values)]
 
 
 def compare_variants(train: DataFrame, test: DataFrame, variants: Mapping[str, Mapping], fit=fit_boosted) -> DataFrame:

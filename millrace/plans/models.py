@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.functions.numeric import hash_bucket
-from millrace.operators import drift, evaluate, models as mx, prepare
+from millrace.operators import boosting, drift, evaluate, models as mx, prepare
 from millrace.plans.registry import query
 
 FEATURES = ["n_chars", "n_words", "avg_word", "n_lines"]
@@ -53,13 +53,35 @@ def forest_model(t):
 @query("ML3")
 def boosted_model(t):
     train, test = _sides(t)
-    return _evaluated(mx.fit_boosted(train, rounds=100, depth=5, eta=0.2), "boosted", train, test)
+    return _evaluated(mx.fit_boosted(train, rounds=100, depth=5, eta=0.2, key="doc_id"), "boosted", train, test)
+
+
+# Attributes of an order line of which each has fewer different values than a booster has bins.
+LINE_FEATURES = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
+_STUMP_CELLS = " UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS v, y FROM l" for i, c in enumerate(LINE_FEATURES))
+
+
+@query(
+    "ML3",
+    f"""WITH l AS (SELECT *, (l_returnflag = 'R')::INT AS y FROM lineitem),
+        c AS (SELECT f, v, sum(0.5 - y) AS g, 0.25 * count(*) AS h FROM ({_STUMP_CELLS}) GROUP BY 1, 2),
+        r AS (SELECT f, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY f) AS g, sum(h) OVER (PARTITION BY f) AS h FROM c WINDOW w AS (PARTITION BY f ORDER BY v)),
+        s AS (SELECT *, (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2 AS gain FROM r WHERE hl >= 1 AND h - hl >= 1)
+        SELECT list_extract({LINE_FEATURES}, f + 1) AS feature, v AS cut, round(gain, 4) AS gain, round(-gl / (hl + 1), 6) AS left_value, round(-(g - gl) / (h - hl + 1), 6) AS right_value
+        FROM s ORDER BY round(gain, 9) DESC, f, v LIMIT 1""",
+)
+def first_cut(t):
+    # The first cut of a booster over all order lines: one tree of one level, whose every candidate SQL can weigh.
+    rows = t.lineitem.select(F.array(*[F.col(c).cast("double") for c in LINE_FEATURES]).alias("features"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    tree = boosting.fit(rows, rounds=1, depth=1, eta=1.0).rounds[0][0]
+    row = (LINE_FEATURES[tree.feature[0]], float(tree.cut[0]), round(float(tree.gain[0]), 4), round(float(tree.value[1]), 6), round(float(tree.value[2]), 6))
+    return t.spark.createDataFrame([row], "feature string, cut double, gain double, left_value double, right_value double")
 
 
 @query("ML4")
 def multiclass_model(t):
     df = mx.vector_column(prepare.assign_split(t.embeddings, "vec_id"), "embedding").withColumn("label", F.col("label").cast("double"))
-    model = mx.fit_multiclass(df.where("split = 'train'"), rounds=100, depth=5)
+    model = mx.fit_multiclass(df.where("split = 'train'"), rounds=100, depth=5, key="vec_id")
     rows = mx.scored_multiclass(model, df)
     return rows.groupBy("split").agg(
         F.avg((F.col("label") == F.col("pred")).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n")
@@ -97,7 +119,7 @@ def fitted_model_facts(t):
     # What holds for every fit: each row is scored once, with a probability and the class it says.
     train, test = _sides(t)
     both, result = train.unionByName(test), None
-    for name, model in (("logistic", mx.fit_logistic(train)), ("forest", mx.fit_forest(train, trees=100, depth=10)), ("boosted", mx.fit_boosted(train, rounds=100, depth=5, eta=0.2))):
+    for name, model in (("logistic", mx.fit_logistic(train)), ("forest", mx.fit_forest(train, trees=100, depth=10)), ("boosted", mx.fit_boosted(train, rounds=100, depth=5, eta=0.2, key="doc_id"))):
         rows = mx.scored(model, both).groupBy("split").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.col("p").between(0, 1)).alias("in_range"), F.min((F.col("p") > 0.5).cast("int") == F.col("pred")).alias("consistent"))
         rows = rows.select(F.lit(name).alias("model"), "*")
@@ -119,7 +141,7 @@ def routed_scores(t):
 def model_agreement(t):
     train, test = _sides(t)
     a = mx.scored(mx.fit_logistic(train), test).select("doc_id", F.col("pred").alias("pred_a"), F.col("p").alias("p_a"))
-    b = mx.scored(mx.fit_forest(train, trees=20, depth=5), test).select("doc_id", F.col("pred").alias("pred_b"), F.col("p").alias("p_b"))
+    b = mx.scored(mx.fit_forest(train, trees=100, depth=10), test).select("doc_id", F.col("pred").alias("pred_b"), F.col("p").alias("p_b"))
     return a.join(b, "doc_id").agg(
         F.avg((F.col("pred_a") == F.col("pred_b")).cast("double")).alias("agreement"),
         F.avg(F.abs(F.col("p_a") - F.col("p_b"))).alias("mean_gap"), F.count(F.lit(1)).alias("n"),

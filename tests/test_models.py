@@ -83,4 +83,4 @@ def test_registered_models_have_their_whole_size(spark, monkeypatch):
     monkeypatch.setattr(models.mx, "fit_boosted", lambda df, **size: asked.append(size) or 1 / 0)
     with pytest.raises(ZeroDivisionError):
         QUERIES["fitted_model_facts"](spark, "/root/testdata/sf0.001")
-    assert asked == [{"rounds": 100, "depth": 5}, {"trees": 100, "depth": 10}, {"rounds": 100, "depth": 5, "eta": 0.2}]
+    assert asked == [{"rounds": 100, "depth": 5, "key": "vec_id"}, {"trees": 100, "depth": 10}, {"rounds": 100, "depth": 5, "eta": 0.2, "key": "doc_id"}]
