@@ -8,8 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, IndexToString, StringIndexer
+from pyspark.ml.feature import HashingTF, IDF, IndexToString, StringIndexer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions import text as tx
@@ -141,21 +140,6 @@ def routed(docs: DataFrame, model: PipelineModel, text: str = "text") -> DataFra
     return out.select(*docs.columns, "route")
 
 
-def topics(docs: DataFrame, k: int = 8, words: int = 10, text: str = "text", rounds: int = 10, seed: int = 42) -> DataFrame:
-    """(topic, rank, term, weight): the leading terms of k topics (latent Dirichlet allocation over term counts).
-    Every round reads all documents. The vocabulary is every term of two documents or more; the driver holds it
-    and its k weights a term."""
-    terms = docs.select(tx.terms(F.col(text)).alias("_terms")).where(F.size("_terms") > 0)
-    seen = terms.select(F.explode(F.array_distinct("_terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    vocabulary = max(seen.where("n >= 2").count(), 1)
-    counter = CountVectorizer(inputCol="_terms", outputCol="features", vocabSize=vocabulary, minDF=2).fit(terms)
-    model = LDA(k=k, maxIter=rounds, seed=seed, optimizer="online", subsamplingRate=1.0).fit(counter.transform(terms))
-    listed = model.describeTopics(words).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "_t"))
-    table = docs.sparkSession.createDataFrame(list(enumerate(counter.vocabulary)), "_i int, term string")  # `vocabulary` rows
-    listed = listed.join(table, F.col("_t.termIndices") == F.col("_i"))
-    return listed.select("topic", (F.col("rank") + 1).alias("rank"), "term", F.col("_t.termWeights").alias("weight"))
-
-
 # ------------------------------------------------------------- sentiment
 
 

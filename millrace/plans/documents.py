@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
-from millrace.operators import documents as dx, prepare, stats
+from millrace.operators import documents as dx, prepare, stats, topics
 from millrace.plans.registry import query
 from millrace.session import scratch_path, written
 from millrace.sources import writers
@@ -251,7 +251,24 @@ def document_routes(t):
 
 @query("DOC21")
 def corpus_topics(t):
-    return dx.topics(t.spread("documents", "doc_id"))
+    return topics.topics(t.spread("documents", "doc_id"))
+
+
+@query(
+    "DOC21",
+    r"""WITH tc AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents) GROUP BY 1, 2),
+        c AS (SELECT * FROM tc WHERE term IN (SELECT term FROM tc GROUP BY 1 HAVING count(*) >= 2)),
+        m AS (SELECT term, i, 1 + ('0x' || substr(md5('42:' || i || ':' || term), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS m FROM (SELECT DISTINCT term FROM c), range(4) r(i)),
+        p AS (SELECT term, i, (m + 0.01) / (sum(m) OVER (PARTITION BY i) + 0.01 * count(*) OVER (PARTITION BY i)) AS p FROM m),
+        q AS (SELECT term, sum(p) / 4 AS chance FROM p GROUP BY 1)
+        SELECT i::INT AS topic, round(sum(n * p / 4 / chance), 3) AS tokens, (SELECT round(sum(n * ln(chance)), 2) FROM c JOIN q USING (term)) AS fit
+        FROM c JOIN p USING (term) JOIN q USING (term) GROUP BY 1""",
+)
+def topic_round(t):
+    # One round from even topics of the documents: what every topic then holds, and how likely the texts were.
+    model = topics.refine(topics.begin(t.spread("documents", "doc_id"), k=4))
+    rows = [(i, round(m, 3), round(model.objective[0], 2)) for i, m in enumerate(model.totals)]
+    return t.spark.createDataFrame(rows, "topic int, tokens double, fit double")
 
 
 @query("UDF1", "SELECT doc_id, round((length(text) - length(replace(text, ',', '')))::DOUBLE / length(text), 6) AS score FROM documents")

@@ -179,21 +179,3 @@ def test_routing(spark, spoken):
     assert held.columns == ["doc_id", "text", "lang", "route"] and held.where("lang <> route").count() == 0
     other = spark.createDataFrame([(1, "", "aa"), (2, None, "bb")], "doc_id int, text string, lang string")
     assert {r.route for r in dx.routed(other, model).collect()} <= set(LANGUAGES)
-
-
-def test_topics(spoken):
-    got = dx.topics(spoken, k=3, words=5, rounds=20).collect()
-    assert len(got) == 15 and {r.topic for r in got} == {0, 1, 2} and all(r.weight > 0 for r in got)
-    known = {w for t in LANGUAGES.values() for w in t.split()}
-    assert {r.term for r in got} <= known
-
-
-def test_topics_read_every_document_and_every_repeated_term(spark, monkeypatch):
-    fitted = []
-    for kind in (dx.CountVectorizer, dx.LDA):
-        monkeypatch.setattr(kind, "fit", lambda self, df, fit=kind.fit: fitted.append((self, m := fit(self, df))) or m)
-    rows = [(i, " ".join(f"term{chr(97 + j // 676)}{chr(97 + j // 26 % 26)}{chr(97 + j % 26)}" + "x" * (i // 2) for j in range(2100))) for i in range(20)]
-    dx.topics(spark.createDataFrame(rows, "doc_id long, text string"), k=2, rounds=1)
-    (_, counter), (lda, model) = fitted
-    assert len(counter.vocabulary) == 21_000 == model.vocabSize()
-    assert lda.getSubsamplingRate() == 1.0
