@@ -130,3 +130,65 @@ def newest(df: DataFrame, time: str, tie: str, k: int) -> DataFrame:
 
 def period_counts(df: DataFrame, by: Sequence[str], period: Column, name: str = "period") -> DataFrame:
     return df.groupBy(*by, period.alias(name)).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------- range join
+
+# Pairs up to which one task makes those of a (key, time bucket) cell.
+CELL_PAIRS = 4_000_000
+
+
+def _range_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, within: float | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides as (keys, _bucket, _t, row). A left row looks into its own bucket and the one before."""
+    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    l_t, r_t = (F.unix_micros(F.col(c).cast("timestamp")) for c in (left_time, right_time))
+    if within is None:
+        buckets, bucket = F.array(F.lit(0).cast("long")), F.lit(0).cast("long")
+    else:
+        width = F.lit(max(int(within * 1_000_000), 1))
+        here = F.floor(F.col("_t") / width)
+        buckets, bucket = F.array(here, here - 1), here
+    a = left.where(known).select(*keys, l_t.alias("_t"), F.struct(*left.columns).alias("_left")).where("_t IS NOT NULL")
+    b = right.where(known).select(*keys, r_t.alias("_u"), F.struct(*right.columns).alias("_right")).where("_u IS NOT NULL")
+    return a.withColumn("_bucket", F.explode(buckets)), b.withColumn("_t", F.col("_u")).withColumn("_bucket", bucket).drop("_t")
+
+
+def range_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, within: float | None = None) -> DataFrame:
+    """(keys, _bucket, n_left, n_right) of the cells in which both sides have rows. The sum of n_left * n_right is how many pairs
+    a range join looks at, and never less than it returns; counted before any pair is made."""
+    a, b = _range_cells(left, right, keys, left_time, right_time, within)
+    by = [*keys, "_bucket"]
+    return a.groupBy(*by).agg(F.count(F.lit(1)).alias("n_left")).join(b.groupBy(*by).agg(F.count(F.lit(1)).alias("n_right")), by)
+
+
+def range_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, within: float | None = None,
+               most_pairs: int | None = None, cell_pairs: int = CELL_PAIRS) -> DataFrame:
+    """(_left, _right) of every pair with equal keys and right time at or before left time, less than `within` seconds before it
+    (None: any time before). Rows whose key or time is NULL are in no pair, as in SQL.
+
+    The join is by (key, time bucket of `within` seconds). A cell with more than `cell_pairs` candidate pairs is dealt into a grid
+    over both sides, so that a hot key is the work of many tasks. More than `most_pairs` candidate pairs are an error, raised before any
+    is made: totals over all earlier rows come cheaper from `ordered.history_totals`.
+    """
+    a, b = _range_cells(left, right, keys, left_time, right_time, within)
+    cells = range_cells(left, right, keys, left_time, right_time, within).withColumn("_pairs", F.col("n_left") * F.col("n_right"))
+    total, hot = cells.agg(F.sum("_pairs"), F.count(F.when(F.col("_pairs") > cell_pairs, 1))).first()
+    if most_pairs is not None and (total or 0) > most_pairs:
+        raise ValueError(f"{total} candidate pairs, more than {most_pairs}")
+    by = [*keys, "_bucket"]
+    if hot:
+        # Columns and rows of the grid, in proportion to the sides; an n x m cell becomes parts of about `cell_pairs`.
+        parts = F.col("_pairs") / cell_pairs
+        across = F.least(F.greatest(F.ceil(F.sqrt(parts * F.col("n_left") / F.col("n_right"))), F.lit(1)), F.col("n_left"))
+        grid = cells.where(F.col("_pairs") > cell_pairs).select(*by, across.cast("int").alias("_rows"), F.least(F.ceil(parts / across), F.col("n_right")).cast("int").alias("_cols"))
+        a, b = (lookup_join_by(side, grid, by) for side in (a.withColumn("_at", F.xxhash64("_left")), b.withColumn("_at", F.xxhash64("_right"))))
+        one = F.lit(1)
+        own = lambda n: F.pmod(F.col("_at"), F.coalesce(n, one)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), one) - 1))
+        a = a.withColumn("_i", own(F.col("_rows"))).withColumn("_j", every("_cols"))
+        b = b.withColumn("_j", own(F.col("_cols"))).withColumn("_i", every("_rows"))
+        by = [*by, "_i", "_j"]
+    near = F.col("_u") <= F.col("_t")
+    if within is not None:
+        near &= F.col("_u") > F.col("_t") - int(within * 1_000_000)
+    return a.select(*by, "_t", "_left").join(b.select(*by, "_u", "_right"), by).where(near).select("_left", "_right")

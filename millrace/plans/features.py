@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from millrace.functions.time import micros
-from millrace.operators import feature_store
+from millrace.operators import feature_store, snapshots
 from millrace.plans.registry import query
+from millrace.session import scratch_path
 
 ACTIVITY = feature_store.FeatureGroup(
     "user-activity", "user_id", "event_time",
@@ -51,6 +52,36 @@ def batch_get(t):
     return feature_store.get_records(activity(t), ACTIVITY, ids, ["event_id"]).drop("event_time")
 
 
+VIEW_COLUMNS = ["user_id", "ts", "event_id", "event_type", "value"]
+
+
+def _kept_view(t):
+    """A latest view that has taken in the events of four periods, the newest period first."""
+    rows = t.events.select(*VIEW_COLUMNS)
+    view = snapshots.LatestView(t.spark, scratch_path(t.spark, "latest"), rows.schema, ["user_id"], ["ts", "event_id"])
+    part = F.pmod(F.dayofmonth("ts"), F.lit(4))
+    for k in range(4):
+        view.merge(rows.where(part == 3 - k), f"part {k}")
+    return view
+
+
+@query(
+    "FS3 SNK7",
+    "SELECT user_id, event_type, value, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1",
+)
+def maintained_latest(t):
+    return _kept_view(t).read().select("user_id", "event_type", "value", "event_id")
+
+
+@query(
+    "FS4 JN5",
+    """SELECT user_id, event_type, value, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events
+         WHERE user_id IN (SELECT user_id FROM events WHERE value > 300)) WHERE r = 1""",
+)
+def maintained_lookup(t):
+    return _kept_view(t).lookup(t.events.where("value > 300").select("user_id")).select("user_id", "event_type", "value", "event_id")
+
+
 @query(
     "FS5 FLT2 SRT2",
     """SELECT c.c_custkey AS user_id, count(*) AS total_purchases, round(avg(o_totalprice), 6) AS avg_order_value

@@ -41,6 +41,32 @@ def all_earlier_versions(t):
     return totals.select("event_id", "user_id", F.col("versions").cast("bigint").alias("versions"), F.round("total", 2).alias("total"))
 
 
+@query(
+    "JN2 FS6",
+    """SELECT p.event_id, p.user_id, v.event_id AS view_id, round(v.value, 6) AS view_value FROM events p JOIN events v
+       ON p.user_id = v.user_id AND v.ts <= p.ts AND v.ts > p.ts - INTERVAL 7 DAY WHERE p.event_type = 'purchase' AND v.event_type = 'view'""",
+)
+def versions_of_a_week(t):
+    # The range join itself: every view of the seven days before a purchase.
+    purchases = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    views = t.events.where("event_type = 'view'").select("event_id", "user_id", "ts", "value")
+    pairs = relational.range_join(purchases, views, ["user_id"], "ts", "ts", within=7 * 86_400)
+    return pairs.select("_left.event_id", "_left.user_id", F.col("_right.event_id").alias("view_id"), F.round("_right.value", 6).alias("view_value"))
+
+
+@query(
+    "JN2 FS6",
+    """SELECT p.event_id, v.event_id AS view_id FROM events p JOIN events v
+       ON p.user_id = v.user_id AND v.ts <= p.ts WHERE p.event_type = 'purchase' AND v.event_type = 'view'""",
+)
+def all_versions_in_grids(t):
+    # Any time before, with a limit so low that every cell of a user is dealt into a grid.
+    purchases = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    views = t.events.where("event_type = 'view'").select("event_id", "user_id", "ts")
+    pairs = relational.range_join(purchases, views, ["user_id"], "ts", "ts", cell_pairs=20)
+    return pairs.select("_left.event_id", F.col("_right.event_id").alias("view_id"))
+
+
 @query(
     "JN3 FS6",
     """SELECT p.event_id, p.user_id, epoch_us(p.ts) AS event_us, v.value AS view_value, epoch_us(v.ts) AS feature_us

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.functions.numeric import hash_bucket
-from millrace.operators import boosting, drift, evaluate, models as mx, prepare
+from millrace.operators import attribution, boosting, drift, evaluate, models as mx, prepare
 from millrace.plans.registry import query
 
 FEATURES = ["n_chars", "n_words", "avg_word", "n_lines"]
@@ -165,15 +165,37 @@ def feature_set_comparison(t):
 
 @query("DRF11")
 def attribution_drift(t):
-    df = vectors(t).withColumn("segment", F.when(hash_bucket(F.col("doc_id"), 2, "window") == 0, "before").otherwise("after"))
-    rows = []
-    for segment in ("before", "after"):
-        model = mx.fit_forest(df.where(F.col("segment") == segment), trees=20, depth=5)
-        rows += [(segment, f, v) for f, v in mx.importances(model, FEATURES)]
-    importance = t.spark.createDataFrame(rows, "segment string, feature string, importance double")
+    # One model, scored again in both segments with each feature exchanged among their rows.
+    segment = F.when(hash_bucket(F.col("doc_id"), 2, "window") == 0, "before").otherwise("after")
+    rows = labelled_features(t).select(
+        "doc_id", segment.alias("segment"), F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("features"), F.col("quality").alias("label"))
+    model = mx.fit_boosted(rows, rounds=100, depth=5, eta=0.2, key="doc_id")
+    importance = attribution.permutation_importance(rows, lambda df: mx.scored(model, df), FEATURES, "doc_id", ["segment"])
     return drift.rank_changes(importance, "segment", "before", "after")
 
 
+_EXCHANGED = """e AS (SELECT event_id, event_type, value, json_extract_string(props, '$.k')::DOUBLE AS k, md5('0:' || event_id) AS h FROM events),
+        b AS (SELECT *, ('0x' || substr(h, 1, 15))::BIGINT % ceil(count(*) OVER (PARTITION BY event_type) / 500.0)::BIGINT AS b FROM e),
+        x AS (SELECT *, coalesce(lead(value) OVER w, first_value(value) OVER w) AS v2, coalesce(lead(k) OVER w, first_value(k) OVER w) AS k2
+              FROM b WINDOW w AS (PARTITION BY event_type, b ORDER BY h, event_id))"""
+
+
+@query(
+    "DRF11",
+    f"""WITH {_EXCHANGED}
+        SELECT event_type, 'value' AS feature, count(*) AS n, round(avg(pow(v2 - value, 2)), 4) AS importance FROM x GROUP BY 1
+        UNION ALL SELECT event_type, 'k', count(*), round(avg(pow(2 * (k2 - k), 2)), 4) FROM x GROUP BY 1""",
+)
+def attribution_of_a_rule(t):
+    # The same for a rule known by heart, whose loss without exchange is nought: SQL follows every exchanged row.
+    rule = lambda x: x[0] + 2 * x[1]
+    x = F.array(F.col("value"), F.get_json_object("props", "$.k").cast("double"))
+    rows = t.events.select("event_type", "event_id", x.alias("features")).withColumn("label", rule(F.col("features")))
+    out = attribution.permutation_importance(
+        rows, lambda df: df.withColumn("p", rule(F.col("features"))), ["value", "k"], "event_id", ["event_type"], loss=lambda p, y: F.pow(p - y, 2), bucket_rows=500)
+    return out.select("event_type", "feature", "n", F.round("importance", 4).alias("importance"))
+
+
 @query(
     "UDF3",
     """WITH e AS (SELECT event_type, value, json_extract_string(props, '$.k')::DOUBLE AS k FROM events)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 from millrace.functions import text as tx
 from millrace.functions.numeric import hash_bucket
 from millrace.functions.time import micros
-from millrace.operators import drift, evaluate, feature_store, quality
+from millrace.operators import drift, evaluate, feature_store, quality, snapshots
 from millrace.plans.registry import query
 from millrace.session import scratch_path
 from millrace.sources import readers, writers
@@ -188,6 +188,16 @@ def repeated_overwrite(t):
     )
 
 
+@query("SNK1", "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS orders, round(sum(o_totalprice), 2) AS price FROM orders")
+def published_table(t):
+    # The same job twice, by a staged folder and a switch: readers see its rows once, and never half of them.
+    path = scratch_path(t.spark, "published")
+    for _ in range(2):
+        snapshots.publish(t.orders, path, "orders")
+    return snapshots.published(t.spark, path).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+
+
 @query(
     "SNK3",
     """SELECT count(*) AS n, round(sum(l_extendedprice), 2) AS price, round(avg(l_discount), 6) AS discount FROM lineitem""",
