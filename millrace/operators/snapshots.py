@@ -22,33 +22,35 @@ from pyspark.sql import functions as F
 
 from millrace.operators.relational import latest_by
 
-_MANIFEST = "bucket int, folder string, note string, version long"
+_MANIFEST = "bucket int, folder string, note string"
 # Values up to which a lookup passes its keys to the scan as a filter.
 FILTERED_KEYS = 1000
 
 
-def _manifest(spark: SparkSession, path: str) -> DataFrame | None:
+def _newest(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """The highest version that is there, and its manifest file; the others are listed, not read."""
     try:
-        return spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
+        files = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest").inputFiles()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
             raise
-        return None
+        files = []
+    return max(((int(f.rsplit("/version=", 1)[1].split("/")[0]), f) for f in files), default=(0, None))
 
 
 def current(spark: SparkSession, path: str) -> tuple[int, dict[int, str], str | None]:
     """Number, folder of each bucket (one entry a bucket) and note of the version that readers see; (0, {}, None) before the first."""
-    known = _manifest(spark, path)
-    rows = known.where(F.col("version") == known.agg(F.max("version")).first()[0]).collect() if known is not None else []
-    if not rows:
+    version, file = _newest(spark, path)
+    if file is None:
         return 0, {}, None
-    return rows[0].version, {r.bucket: r.folder for r in rows if r.bucket is not None}, rows[0].note
+    rows = spark.read.schema(_MANIFEST).parquet(file).collect()
+    return version, {r.bucket: r.folder for r in rows if r.bucket is not None}, rows[0].note
 
 
 def _switch(spark: SparkSession, path: str, version: int, folders: dict[int, str], note: str | None) -> None:
     """Readers see the new version from here on: its manifest is one file, which is moved into place whole."""
     rows = [(b, f, note) for b, f in sorted(folders.items())] or [(None, None, note)]
-    spark.createDataFrame(rows, "bucket int, folder string, note string").coalesce(1).write.mode("error").parquet(f"{path}/manifest/version={version}")
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("error").parquet(f"{path}/manifest/version={version}")
 
 
 def publish(df: DataFrame, path: str, job: str | None = None) -> int:
@@ -97,6 +99,10 @@ class LatestView:
         """The whole view."""
         return self._rows(list(current(self.spark, self.path)[1].values()))
 
+    def note(self) -> str | None:
+        """What the last merge has been called."""
+        return current(self.spark, self.path)[2]
+
     def merge(self, delta: DataFrame, note: str | None = None) -> int:
         """Take in new rows, older and newer ones in any order; returns the version. The delta is read twice: pass a stored table."""
         version, folders, _ = current(self.spark, self.path)

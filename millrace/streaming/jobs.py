@@ -14,6 +14,7 @@ from millrace.functions.numeric import change_pct
 from millrace.functions.time import utc
 from millrace.operators.feature_store import FeatureGroup, conform
 from millrace.operators.relational import heavy_keys, latest_by, lookup_join
+from millrace.operators.snapshots import LatestView
 from millrace.session import scratch_path
 
 
@@ -187,21 +188,34 @@ def earliest_moves(events: DataFrame, known: DataFrame, model: str, status: str,
     return found
 
 
-def moving_events(stream: DataFrame, model: str, status: str, time: str, rules: Mapping[str, tuple[str, str]] = LIFECYCLE) -> tuple[str, T.StructType]:
+def moving_events(stream: DataFrame, model: str, status: str, time: str, rules: Mapping[str, tuple[str, str]] = LIFECYCLE,
+                  buckets: int = 16) -> tuple[str, T.StructType]:
     """Write, batch by batch, the events that move a model on; returns path and schema. Within a
-    batch, order of arrival does not matter. A repeated batch replaces its own files."""
+    batch, order of arrival does not matter.
+
+    The last move of every model is kept in a latest view beside them: a batch looks up its own models in
+    their buckets, never in earlier batches, so its cost does not grow with their number. A batch that is repeated
+    replaces its own files, or is passed over if the view has taken it in already."""
     spark, path = stream.sparkSession, scratch_path(stream.sparkSession, "moving")
     schema = stream.select(model, status, time).schema
     following = F.create_map(*[F.lit(x) for _, event, nxt in _chain(rules) for x in (event, nxt)])
+    state = T.StructType([schema[model], T.StructField("_current", T.StringType()), T.StructField("_since", schema[time].dataType)])
+    view = LatestView(spark, f"{path}-state", state, [model], ["_since"], buckets)
 
     spark.createDataFrame([], schema).write.parquet(f"{path}/batch=0")
 
     def write(batch: DataFrame, number: int) -> None:
-        past = batch.sparkSession.read.schema(schema).parquet(*[f"{path}/batch={k}" for k in range(number + 1)])
-        last = latest_by(past, [model], [time])
-        known = last.select(model, following[F.col(status)].alias("_current"), F.col(time).alias("_since"))
-        rows = batch.select(model, status, time).where(F.col(status).isin([event for _, event, _ in _chain(rules)]))
-        earliest_moves(rows, known, model, status, time, rules).write.mode("overwrite").parquet(f"{path}/batch={number + 1}")
+        taken = view.note()
+        if taken is not None and int(taken) >= number:
+            return
+        rows = batch.select(model, status, time).where(F.col(status).isin([event for _, event, _ in _chain(rules)])).persist()
+        try:
+            earliest_moves(rows, view.lookup(rows.select(model)), model, status, time, rules).write.mode("overwrite").parquet(f"{path}/batch={number + 1}")
+        finally:
+            rows.unpersist()
+        moved = spark.read.schema(schema).parquet(f"{path}/batch={number + 1}")
+        last = latest_by(moved, [model], [time])
+        view.merge(last.select(model, following[F.col(status)].alias("_current"), F.col(time).alias("_since")), str(number))
 
     _each_batch(stream, write, "moving")
     return path, schema

@@ -133,6 +133,36 @@ def test_state_machine(spark, events, tmp_path, files):
     assert "Model 1: new -> PendingManualApproval" in messages and len(messages) == moves.count()
 
 
+def test_a_batch_reads_its_own_models_only(spark, tmp_path, monkeypatch):
+    """The same number of files in the twelfth batch as in the third; a batch that comes twice changes nothing."""
+    reads, merges, path = [], [], str(tmp_path / "s")
+    for k in range(12):
+        status = ("Completed", "Approved", "Deployed")[k // 4]
+        rows = [(START + dt.timedelta(hours=k), m, status) for m in range(k % 4 * 10, k % 4 * 10 + 10)]
+        spark.createDataFrame(rows, "ts timestamp, model bigint, status string").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    real_rows, real_merge, real_lookup = jobs.LatestView._rows, jobs.LatestView.merge, jobs.LatestView.lookup
+    monkeypatch.setattr(jobs.LatestView, "_rows", lambda self, folders: reads.append(len(folders)) or real_rows(self, folders))
+    monkeypatch.setattr(jobs.LatestView, "lookup", lambda self, ids: reads.append(None) or real_lookup(self, ids))
+    monkeypatch.setattr(jobs.LatestView, "merge", lambda self, delta, note: merges.append(note) or real_merge(self, delta, note))
+
+    def twice(stream, write, label):
+        def both(batch, number):
+            write(batch, number)
+            write(batch, number)
+
+        _each(stream, both, label)
+
+    _each = jobs._each_batch
+    monkeypatch.setattr(jobs, "_each_batch", twice)
+    live = jobs.arriving(spark, path, spark.read.parquet(path).schema, "*.parquet", files_per_trigger=1, time="ts")
+    moving, schema = jobs.moving_events(live, "model", "status", "ts", buckets=4)
+    assert spark.read.schema(schema).parquet(f"{moving}/*").count() == 120
+    assert merges == [str(k) for k in range(12)]
+    looked = [reads[i + 1] for i, r in enumerate(reads) if r is None]
+    assert len(looked) == 12 and max(looked) <= 4 and looked[-1] == looked[3]
+
+
 def test_rejected_records_are_kept(spark, folder, tmp_path):
     group = FeatureGroup("g", "user_id", "event_time", {"user_id": "Integral", "event_time": "Fractional", "value": "Fractional"})
     raw = stream(spark, folder).select(
