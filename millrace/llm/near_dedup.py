@@ -240,14 +240,29 @@ def _judged(rows: DataFrame, percent: int, shingle: int, family_members: int) ->
     if members.where("large").limit(1).count():
         part = part.unionByName(large_family_links(texts.where("large").select("fam", "members", "doc", "text"), percent, shingle))
     found = part.groupBy("doc").agg(F.min("component").alias("component"))
-    # Classes of one doc_id (rows that repeat it) share what any of them reaches.
     class_of = classes.select("s1", "s2", "n", F.col("doc").alias("rep")).join(found.withColumnRenamed("doc", "rep"), "rep", "left")
     class_of = class_of.select("s1", "s2", "n", F.coalesce("component", "rep").alias("component"))
+    class_of = _joined_by_ids(sketched, class_of)
     out = sketched.select("doc", "tag", "n", "s1", "s2").join(class_of, ["s1", "s2", "n"], "left")
     named = F.when(F.col("doc") != NO_ID, F.col("component"))
     return out.select("doc", "tag", "n", F.coalesce(named, "doc").alias("component"))
 
 
+def _joined_by_ids(sketched: DataFrame, class_of: DataFrame) -> DataFrame:
+    """(s1, s2, n, component), with the components that rows of one doc_id belong to made one."""
+    by = ["s1", "s2", "n"]
+    own = F.struct(*by)
+    rows = sketched.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
+    several = rows.groupBy("doc").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high").select("doc")
+    repeated = written(rows.select("doc", *by).distinct().join(several, "doc"), "repeated")
+    if not repeated.limit(1).count():
+        return class_of
+    held = written(repeated.join(class_of, by).select("doc", "component"), "repeated")
+    least = held.groupBy("doc").agg(F.min("component").alias("b"))
+    joined = components(held.join(least, "doc").select(F.col("component").alias("a"), "b")).withColumnRenamed("component", "final")
+    return class_of.join(joined, class_of.component == joined.node, "left").select(*by, F.coalesce("final", "component").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text",
                     family_members: int = FAMILY_MEMBERS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (least doc_id reachable over links of

@@ -2,8 +2,9 @@
 
 Format `warc` (register it with :func:`register`). Writing: every record is a gzip member
 whose extra field holds the member's length ("SL"); a task writes files of its own, and the
-commit lists them in `_committed`, so files of failed or repeated attempts are never
-read. Reading: files are planned as byte ranges; a range owns the members that begin
+commit lists them in a file `_committed-<job>`, so files of failed or repeated attempts are never
+read. Readers take the files of all lists, so jobs may append one after the other; a job that overwrites
+adds its list and then deletes the older ones with their files. Reading: files are planned as byte ranges; a range owns the members that begin
 in it. For each member the record headers are inflated first. Filters on record type, URI,
 ids, digest and sizes are pushed down to them, and the rest of an unwanted member is passed over
 by its length without inflating it (members without the field are inflated to find
@@ -51,6 +52,7 @@ FIELDS = {
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPLIT_BYTES, FILE_BYTES, BATCH_BYTES, READ_BYTES = 64 << 20, 1 << 30, 8 << 20, 1 << 20
 LEVEL = 3
+COMMITTED = "_committed"
 _MAGIC = b"\x1f\x8b\x08"
 
 
@@ -78,7 +80,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 # ---------------------------------------------------------------- writing
@@ -123,8 +125,8 @@ def _one_line(value: str) -> str:
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite, self.list = path, overwrite, f"{COMMITTED}-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, base = fs.FileSystem.from_uri(self.path)
@@ -146,8 +148,14 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         store, base = fs.FileSystem.from_uri(self.path)
         store.create_dir(base, recursive=True)
-        with store.open_output_stream(f"{base}/_committed") as out:
+        older = _lists(store, base) if self.overwrite else {}
+        with store.open_output_stream(f"{base}/{self.list}") as out:
             out.write(json.dumps([f for m in messages if m for f in m.files]).encode())
+        for path, names in older.items():
+            store.delete_file(path)
+            for name in names:
+                if store.get_file_info(f"{base}/{name}").type == fs.FileType.File:
+                    store.delete_file(f"{base}/{name}")
 
     def abort(self, messages) -> None:
         store, base = fs.FileSystem.from_uri(self.path)
@@ -158,6 +166,16 @@ class WarcWriter(DataSourceArrowWriter):
 # ---------------------------------------------------------------- reading
 
 
+def _lists(store: fs.FileSystem, base: str) -> dict[str, list[str]]:
+    """The commit lists of a folder and the files that they name."""
+    out = {}
+    for info in store.get_file_info(fs.FileSelector(base)):
+        if os.path.basename(info.path).startswith(COMMITTED):
+            with store.open_input_stream(info.path) as listed:
+                out[info.path] = json.loads(listed.read())
+    return out
+
+
 class _Range(InputPartition):
     def __init__(self, ranges: list[tuple[str, int, int]]):
         self.ranges = ranges
@@ -273,9 +291,8 @@ class WarcReader(DataSourceReader):
             files = [info]
         else:
             files = [f for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith((".warc", ".warc.gz"))]
-            if store.get_file_info(f"{base}/_committed").type == fs.FileType.File:
-                with store.open_input_stream(f"{base}/_committed") as listed:
-                    names = set(json.loads(listed.read()))
+            if lists := _lists(store, base):
+                names = {n for listed in lists.values() for n in listed}
                 files = [f for f in files if os.path.basename(f.path) in names]
         ranges = []
         for f in sorted(files, key=lambda f: f.path):

@@ -79,3 +79,11 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, 60: 60, 70: 60, 100: 60}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_of_one_id_share_a_component(spark):
+    """An id whose texts have nothing to do with each other joins what each of them reaches."""
+    x, y, z, lone = prose(31, 60), prose(32, 60), prose(33, 60), prose(34, 40)
+    rows = [(1, x), (2, y), (10, x), (10, y), (20, z), (21, z), (21, y), (30, lone), (30, lone), (31, prose(35, 40))]
+    got = {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {(1, 1), (2, 1), (10, 1), (20, 1), (21, 1), (30, 30), (31, 31)}

@@ -118,3 +118,16 @@ def test_empty(spark, tmp_path):
     warc.register(spark)
     warc.page_records(pages(spark, [])).write.format("warc").mode("append").save(str(tmp_path / "none"))
     assert load(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_appends_and_overwrites(spark, tmp_path):
+    """Every job has a list of its own: two appends are read together, an overwrite replaces them."""
+    warc.register(spark)
+    path = str(tmp_path / "a")
+    for k in range(3):
+        warc.page_records(pages(spark, [(k, f"u{k}", "x" * 200 + str(k))])).write.format("warc").mode("append").save(path)
+    assert sorted(r.target_uri for r in load(spark, path).collect()) == ["u0", "u1", "u2"]
+    warc.page_records(pages(spark, [(9, "u9", "y" * 300)])).write.format("warc").mode("overwrite").save(path)
+    assert [r.target_uri for r in load(spark, path).collect()] == ["u9"]
+    left = sorted(f.name[:9] for f in (tmp_path / "a").iterdir() if not f.name.startswith("."))
+    assert left == ["_committe", "part-" + left[1][5:9]] and len(left) == 2
