@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
-from millrace.operators import documents as dx, prepare, stats, topics
+from millrace.operators import documents as dx, phrases, prepare, stats, topics
 from millrace.plans.registry import query
 from millrace.session import scratch_path, written
 from millrace.sources import writers
@@ -67,6 +67,24 @@ def key_phrases(t):
     return dx.key_phrases(t.spread("documents", "doc_id")).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+_RUNS = r"""tk AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS t FROM documents),
+  rn AS (SELECT array_to_string(list_slice(t, i, i + l - 1), ' ') AS phrase, l FROM (SELECT t, l, unnest(generate_series(1, len(t) - l + 1)) AS i FROM tk, range(1, 6) r(l))),
+  fr AS (SELECT phrase, l, count(*) AS n FROM rn GROUP BY 1, 2 HAVING count(*) >= 20),
+  lg AS (SELECT phrase, max(n) AS most FROM (SELECT regexp_replace(phrase, ' [^ ]+$', '') AS phrase, n FROM fr WHERE l > 2 UNION ALL SELECT regexp_replace(phrase, '^[^ ]+ ', ''), n FROM fr WHERE l > 2) GROUP BY 1)"""
+
+
+@query(
+    "DOC5",
+    f"""WITH {_RUNS} SELECT f.phrase, f.l::INT AS length, f.n, round((f.n - b.n * w.n / (SELECT count(*) FROM rn WHERE l = 1)::DOUBLE) / sqrt(f.n), 4) AS significance
+        FROM fr f JOIN fr b ON b.phrase = regexp_replace(f.phrase, ' [^ ]+$', '') JOIN fr w ON w.phrase = regexp_extract(f.phrase, '[^ ]+$') LEFT JOIN lg ON lg.phrase = f.phrase
+        WHERE f.l > 1 AND coalesce(lg.most, 0) < 0.8 * f.n AND round((f.n - b.n * w.n / (SELECT count(*) FROM rn WHERE l = 1)::DOUBLE) / sqrt(f.n), 6) >= 2""",
+)
+def whole_phrases(t):
+    # Phrases of two to five terms, without those that are part of a longer one.
+    found, _ = phrases.mined(t.spread("documents", "doc_id"), least=20, longest=5)
+    return phrases.whole(found).withColumn("significance", F.round("significance", 4))
+
+
 @query("DOC6 SRT5", f"WITH {_PHRASES} SELECT doc_id, string_agg(phrase, '; ' ORDER BY rank) AS top_phrases FROM phrases WHERE rank <= 10 GROUP BY 1")
 def report_phrases(t):
     # At most ten phrases per document meet in a group.

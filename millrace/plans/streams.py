@@ -107,6 +107,33 @@ def streamed_monitor(t):
     )
 
 
+_BINS = 20
+_WINDOW_BINS = f"""lm AS (SELECT min(value) AS low, max(value) AS high FROM events),
+  bn AS (SELECT event_type, time_bucket(INTERVAL 6 HOUR, ts) AS s, (SELECT count(*) FROM range(1, {_BINS}) r(i), lm WHERE value > low + i * (high - low) / {_BINS}) AS bin FROM events),
+  ob AS (SELECT i, count(bin) / (SELECT count(*) FROM bn)::DOUBLE AS o FROM range({_BINS}) r(i) LEFT JOIN bn ON bin = i GROUP BY 1),
+  ws AS (SELECT event_type, s, count(*) AS n FROM bn GROUP BY 1, 2), wb AS (SELECT event_type, s, bin, count(*) AS c FROM bn GROUP BY 1, 2, 3),
+  al AS (SELECT ws.event_type, ws.s, ws.n, ob.i, o, coalesce(c, 0) AS c, coalesce(c, 0) / ws.n::DOUBLE AS a FROM ws, ob LEFT JOIN wb ON wb.event_type = ws.event_type AND wb.s = ws.s AND wb.bin = ob.i),
+  cu AS (SELECT *, sum(a) OVER w AS ca, sum(o) OVER w AS co, sum(c) OVER w AS cc FROM al WINDOW w AS (PARTITION BY event_type, s ORDER BY i))"""
+
+
+@query(
+    "STR6 DRF4 DRF5",
+    f"""WITH {_WINDOW_BINS} SELECT epoch_us(s) AS start_us, event_type, any_value(n) AS n, round(sum((greatest(a, 0.0001) - greatest(o, 0.0001)) * ln(greatest(a, 0.0001) / greatest(o, 0.0001))), 4) AS psi,
+        round(max(abs(ca - co)), 6) AS ks, round(any_value(low) + (min(i) FILTER (cc >= ceil(n * 0.5)) + 1) * (any_value(high) - any_value(low)) / {_BINS}, 6) AS p50,
+        round(any_value(low) + (min(i) FILTER (cc >= ceil(n * 0.95)) + 1) * (any_value(high) - any_value(low)) / {_BINS}, 6) AS p95
+        FROM cu, lm GROUP BY 1, 2""",
+)
+def streamed_distribution(t):
+    # Whole distributions of the captured stream in windows, against fixed bins of the table at rest.
+    low, high = t.events.agg(F.min("value"), F.max("value")).first()
+    edges = [low + i * (high - low) / _BINS for i in range(1, _BINS)]
+    above = sum((F.when(F.col("value") > e, 1).otherwise(0) for e in edges), F.lit(0))
+    seen = {r.bin: r.n for r in t.events.groupBy(above.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a bin
+    windows = jobs.finished(_stream(t), t.events, lambda df: jobs.distribution(df, edges, "ts", DELAY, "6 hours", ["event_type"], "value"), "ts", "6 hours", "bins")
+    rows = jobs.distribution_drift(windows, [seen.get(i, 0) for i in range(_BINS)], edges, (low, high))
+    return rows.select(micros(F.col("window_start")).alias("start_us"), "event_type", "n", *[F.round(c, d).alias(c) for c, d in (("psi", 4), ("ks", 6), ("p50", 6), ("p95", 6))])
+
+
 _MOVES = """s AS (SELECT user_id AS model_id, ts, CASE WHEN k < 40 THEN 'Completed' WHEN k < 60 THEN 'Failed' WHEN k < 80 THEN 'Approved' ELSE 'Deployed' END AS status
          FROM (SELECT *, json_extract_string(props, '$.k')::INT AS k FROM events)),
   c AS (SELECT model_id, min(ts) AS moved_at FROM s WHERE status = 'Completed' GROUP BY 1),

@@ -137,6 +137,65 @@ def monitored(stream: DataFrame, baseline: DataFrame, time: str, delay: str, per
     )
 
 
+def distribution(stream: DataFrame, edges: Sequence[float], time: str, delay: str, period: str, by: Sequence[str], value: str) -> DataFrame:
+    """(window_start, by..., n, counts): how many values of each window lie in each bin of a fixed list of inner edges (the
+    upper edge belongs to the bin). Counts of parts of a window add up, so partial sums are made before the shuffle."""
+    above = sum((F.when(F.col(value) > e, 1).otherwise(0) for e in edges), F.lit(0))
+    bins = [F.count(F.when(F.col("_bin") == i, 1)) for i in range(len(edges) + 1)]
+    known = stream.where(F.col(value).isNotNull()).withColumn("_bin", above).withWatermark(time, delay)
+    counted = known.groupBy(F.window(time, period), *by).agg(F.count(F.lit(1)).alias("n"), *[b.alias(f"_c{i}") for i, b in enumerate(bins)])
+    return counted.select(F.col("window.start").alias("window_start"), *by, "n", F.array(*[f"_c{i}" for i in range(len(bins))]).alias("counts"))
+
+
+def distribution_drift(windows: DataFrame, baseline: Sequence[int], edges: Sequence[float], ends: tuple[float, float], floor: float = 1e-4) -> DataFrame:
+    """Adds psi, ks, p50 and p95 to windows of `distribution`, against the counts of the same bins in a baseline.
+
+    `psi` compares shares, none less than `floor`. `ks` is the largest difference of the two distributions at an edge: the true one is
+    larger by no more than the largest share of a bin. A quantile is the upper edge of the bin it lies in, `ends` being the
+    lowest and highest value there is: the true one is less by no more than the width of the bin."""
+    total = max(sum(baseline), 1)
+    old = F.array(*[F.lit(b / total) for b in baseline])
+    share = F.transform("counts", lambda c: c / F.col("n"))
+    parts = F.zip_with(share, old, lambda a, b: (F.greatest(a, F.lit(floor)) - F.greatest(b, F.lit(floor))) * F.ln(F.greatest(a, F.lit(floor)) / F.greatest(b, F.lit(floor))))
+    uppers = F.array(*[F.lit(float(e)) for e in [*edges, ends[1]]])
+    places = F.sequence(F.lit(0), F.lit(len(baseline) - 1))
+
+    def up_to(array: Column) -> Column:
+        return F.transform(places, lambda i: F.aggregate(F.slice(array, F.lit(1), i + 1), F.lit(0.0), lambda a, x: a + x))
+
+    def quantile(q: float) -> Column:
+        seen = F.transform(places, lambda i: F.aggregate(F.slice("counts", F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x))
+        return F.get(uppers, F.size(F.filter(seen, lambda c: c < F.ceil(F.col("n") * q))))
+
+    gaps = F.zip_with(up_to(share), up_to(old), lambda a, b: F.abs(a - b))
+    return windows.select("*", F.aggregate(parts, F.lit(0.0), lambda a, x: a + x).alias("psi"), F.array_max(gaps).alias("ks"), quantile(0.5).alias("p50"), quantile(0.95).alias("p95"))
+
+
+def split_late(stream: DataFrame, time: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of the running stream in two tables: those in time, and late ones, which come when earlier batches had already
+    moved the watermark (newest time - delay) past theirs. The mark after each batch is stored beside its rows, so a
+    repeated batch comes out the same and a restarted stream goes on where it was. Rows without a time are in time."""
+    spark, schema, path = stream.sparkSession, stream.schema, scratch_path(stream.sparkSession, "late")
+    for name in ("kept", "late"):
+        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}/batch=none")
+
+    def write(batch: DataFrame, number: int) -> None:
+        old = spark.read.schema("mark timestamp").parquet(f"{path}/marks/batch={number - 1}").first().mark if number else None
+        rows = batch.persist()
+        try:
+            late = F.coalesce(F.col(time) < F.lit(old), F.lit(False)) if old is not None else F.lit(False)
+            rows.where(~late).write.mode("overwrite").parquet(f"{path}/kept/batch={number}")
+            rows.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+            mark = rows.agg(F.greatest(F.max(time) - F.expr(f"INTERVAL {delay}"), F.lit(old).cast("timestamp")).alias("mark"))
+            mark.write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
+        finally:
+            rows.unpersist()
+
+    _each_batch(stream, write, "late")
+    kept, late = (spark.read.schema(schema).parquet(f"{path}/{name}/*") for name in ("kept", "late"))
+    return kept, late
+
+
 def deduplicated(stream: DataFrame, event_id: str, time: str, delay: str, period: str, cols: Sequence[str]) -> DataFrame:
     """One row per event id. Copies carry the same time, hence the same window: an
     aggregate folds them inside each task before the shuffle, so a heap of

@@ -133,6 +133,44 @@ def test_state_machine(spark, events, tmp_path, files):
     assert "Model 1: new -> PendingManualApproval" in messages and len(messages) == moves.count()
 
 
+def test_late_rows_come_out_on_the_side(spark, tmp_path):
+    """Files out of the order of time: kept and late rows are all rows, late by the mark of the batches before."""
+    path, table, mark, want = str(tmp_path / "s"), [], None, set()
+    for k, start in enumerate([0, 90, 30, 200, 10, 195, 300]):
+        rows = [(START + dt.timedelta(minutes=start + m), k * 100 + m) for m in range(0, 30, 3)] + [(None, k * 100 + 99)]
+        spark.createDataFrame(rows, "ts timestamp, id bigint").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+        table += rows
+        want |= {i for at, i in rows if at and mark and at < mark}
+        mark = max(at for at, _ in rows if at) - dt.timedelta(minutes=15) if mark is None else max(mark, max(at for at, _ in rows if at) - dt.timedelta(minutes=15))
+    live = jobs.arriving(spark, path, spark.read.parquet(path).schema, "*.parquet", files_per_trigger=1, time="ts")
+    kept, late = jobs.split_late(live, "ts", "15 minutes")
+    assert {r.id for r in late.collect()} == want and len(want) > 20
+    assert sorted(r.id for r in kept.unionByName(late).collect()) == sorted(i for _, i in table)
+
+
+def test_distribution_bounds(spark):
+    """Summaries of windows stay within their stated errors."""
+    rows = [(START + dt.timedelta(minutes=m % 120), float((m * 37) % 101) + (30 if m % 120 >= 60 else 0)) for m in range(2400)]
+    df = spark.createDataFrame(rows, "ts timestamp, v double")
+    edges, base = [10.0 * i for i in range(1, 14)], [v for at, v in rows if at < START + dt.timedelta(hours=1)]
+    bins = [sum(1 for v in base if sum(v > e for e in edges) == i) for i in range(14)]
+    windows = jobs.distribution(df, edges, "ts", "1 minute", "1 hour", [], "v")
+    got = {r.window_start: r for r in jobs.distribution_drift(windows, bins, edges, (0.0, 140.0)).collect()}
+    assert len(got) == 2
+    for at, r in got.items():
+        own = sorted(v for t, v in rows if t.replace(tzinfo=None) >= at and t.replace(tzinfo=None) < at + dt.timedelta(hours=1))
+        assert r.n == len(own)
+        for q, name in ((0.5, "p50"), (0.95, "p95")):
+            exact = own[-(-int(len(own) * q * 100) // 100) - 1]
+            assert exact <= r[name] <= exact + 10
+        points = sorted(set(own) | set(base))
+        ks = max(abs(sum(v <= p for v in own) / len(own) - sum(v <= p for v in base) / len(base)) for p in points)
+        assert r.ks <= ks + 1e-9 <= r.ks + max(max(r.counts) / r.n, max(bins) / len(base)) + 1e-9
+    first, second = (got[k] for k in sorted(got))
+    assert first.psi < 1e-9 < 0.1 < second.psi
+
+
 def test_a_batch_reads_its_own_models_only(spark, tmp_path, monkeypatch):
     """The same number of files in the twelfth batch as in the third; a batch that comes twice changes nothing."""
     reads, merges, path = [], [], str(tmp_path / "s")
