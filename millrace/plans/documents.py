@@ -75,7 +75,7 @@ _RUNS = r"""tk AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS t
 
 @query(
     "DOC5",
-    f"""WITH {_RUNS} SELECT f.phrase, f.l::INT AS length, f.n, round((f.n - b.n * w.n / (SELECT count(*) FROM rn WHERE l = 1)::DOUBLE) / sqrt(f.n), 4) AS significance
+    f"""WITH {_RUNS} SELECT f.phrase, f.l::INT AS length, f.n, round(round((f.n - b.n * w.n / (SELECT count(*) FROM rn WHERE l = 1)::DOUBLE) / sqrt(f.n), 6), 4) AS significance
         FROM fr f JOIN fr b ON b.phrase = regexp_replace(f.phrase, ' [^ ]+$', '') JOIN fr w ON w.phrase = regexp_extract(f.phrase, '[^ ]+$') LEFT JOIN lg ON lg.phrase = f.phrase
         WHERE f.l > 1 AND coalesce(lg.most, 0) < 0.8 * f.n AND round((f.n - b.n * w.n / (SELECT count(*) FROM rn WHERE l = 1)::DOUBLE) / sqrt(f.n), 6) >= 2""",
 )
