@@ -71,6 +71,24 @@ def late_events(t):
     return stats.value_counts(jobs.late_rows(arrived, "ts", "arrival", "5 minutes", DELAY), ["late"])
 
 
+@query(
+    "STR4",
+    """WITH a AS (SELECT event_id, ts, (epoch(ts - TIMESTAMP '2024-01-01')::BIGINT + user_id % 3 * 172800) // 691200 AS part FROM events),
+            b AS (SELECT part, max(ts) AS newest FROM a GROUP BY 1),
+            m AS (SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 15 MINUTE AS mark FROM b)
+       SELECT event_id, coalesce(ts < mark, false) AS late FROM a JOIN m USING (part)""",
+)
+def late_side_output(t):
+    # Events that arrive in parts of eight days, two thirds of the users' days late; the stream is stopped and started again between parts.
+    days = F.floor((F.unix_seconds("ts") - F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + F.col("user_id") % 3 * 172_800) / 691_200)
+    arrived = t.events.select("event_id", "user_id", "ts").withColumn("part", days)
+    landing, path = scratch_path(t.spark, "landing"), scratch_path(t.spark, "late")
+    for part in sorted(r.part for r in arrived.select("part").distinct().collect()):  # a part is a week or so
+        arrived.where(F.col("part") == part).drop("part").write.mode("append").parquet(landing)
+        kept, late = jobs.split_late(jobs.arriving(t.spark, landing, arrived.drop("part").schema, "*.parquet"), "ts", "15 minutes", path)
+    return kept.select("event_id", F.lit(False).alias("late")).unionByName(late.select("event_id", F.lit(True).alias("late")))
+
+
 @query(
     "STR5 SNK7 FS3",
     "SELECT user_id, event_type, value, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1",

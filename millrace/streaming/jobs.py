@@ -113,10 +113,10 @@ def ingest_stream(stream: DataFrame, group: FeatureGroup, path: str) -> tuple[Da
     return history, spark.read.schema(raw).parquet(f"{path}/rejected/*")
 
 
-def _each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], label: str) -> None:
+def _each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], label: str, checkpoint: str | None = None) -> None:
     query = (
         stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, f"{label}-checkpoint"))
+        .option("checkpointLocation", checkpoint or scratch_path(stream.sparkSession, f"{label}-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -171,13 +171,14 @@ def distribution_drift(windows: DataFrame, baseline: Sequence[int], edges: Seque
     return windows.select("*", F.aggregate(parts, F.lit(0.0), lambda a, x: a + x).alias("psi"), F.array_max(gaps).alias("ks"), quantile(0.5).alias("p50"), quantile(0.95).alias("p95"))
 
 
-def split_late(stream: DataFrame, time: str, delay: str) -> tuple[DataFrame, DataFrame]:
+def split_late(stream: DataFrame, time: str, delay: str, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows of the running stream in two tables: those in time, and late ones, which come when earlier batches had already
     moved the watermark (newest time - delay) past theirs. The mark after each batch is stored beside its rows, so a
-    repeated batch comes out the same and a restarted stream goes on where it was. Rows without a time are in time."""
-    spark, schema, path = stream.sparkSession, stream.schema, scratch_path(stream.sparkSession, "late")
+    repeated batch comes out the same, and a stream that is started again with the same `path` goes on where it was. Rows
+    without a time are in time."""
+    spark, schema, path = stream.sparkSession, stream.schema, path or scratch_path(stream.sparkSession, "late")
     for name in ("kept", "late"):
-        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}/batch=none")
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{name}/batch=none")
 
     def write(batch: DataFrame, number: int) -> None:
         old = spark.read.schema("mark timestamp").parquet(f"{path}/marks/batch={number - 1}").first().mark if number else None
@@ -191,7 +192,7 @@ def split_late(stream: DataFrame, time: str, delay: str) -> tuple[DataFrame, Dat
         finally:
             rows.unpersist()
 
-    _each_batch(stream, write, "late")
+    _each_batch(stream, write, "late", f"{path}/checkpoint")
     kept, late = (spark.read.schema(schema).parquet(f"{path}/{name}/*") for name in ("kept", "late"))
     return kept, late
 

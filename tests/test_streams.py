@@ -184,12 +184,12 @@ def test_a_batch_reads_its_own_models_only(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs.LatestView, "lookup", lambda self, ids: reads.append(None) or real_lookup(self, ids))
     monkeypatch.setattr(jobs.LatestView, "merge", lambda self, delta, note: merges.append(note) or real_merge(self, delta, note))
 
-    def twice(stream, write, label):
+    def twice(stream, write, label, checkpoint=None):
         def both(batch, number):
             write(batch, number)
             write(batch, number)
 
-        _each(stream, both, label)
+        _each(stream, both, label, checkpoint)
 
     _each = jobs._each_batch
     monkeypatch.setattr(jobs, "_each_batch", twice)
