@@ -80,7 +80,9 @@ def late_events(t):
 )
 def late_side_output(t):
     # Events that arrive in parts of eight days, two thirds of the users' days late; the stream is stopped and started again between parts.
-    days = F.floor((F.unix_seconds("ts") - F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + F.col("user_id") % 3 * 172_800) / 691_200)
+    # Seconds are rounded, not cut, and the division is towards zero, both as in SQL.
+    seconds = F.rint((F.unix_micros("ts") - F.unix_micros(F.lit("2024-01-01").cast("timestamp"))) / F.lit(1e6)).cast("bigint")
+    days = F.call_function("div", seconds + F.col("user_id") % 3 * 172_800, F.lit(691_200))
     arrived = t.events.select("event_id", "user_id", "ts").withColumn("part", days)
     landing, path = scratch_path(t.spark, "landing"), scratch_path(t.spark, "late")
     for part in sorted(r.part for r in arrived.select("part").distinct().collect()):  # a part is a week or so

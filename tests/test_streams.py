@@ -4,11 +4,13 @@ import datetime as dt
 import time
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import lifecycle
 from millrace.operators.feature_store import FeatureGroup
+from millrace.plans import ORACLES, QUERIES
 from millrace.streaming import jobs
 from tests.conftest import rows
 
@@ -262,3 +264,16 @@ def test_registry(spark):
         "s", F.timestamp_seconds("x").alias("start_time"), F.timestamp_seconds("y").alias("end_time")
     )
     assert {r.s: r.duration_s for r in lifecycle.step_durations(steps).collect()} == {"a": 60.0, "b": None}
+
+
+def test_late_parts_round_seconds_as_sql_does(spark, tmp_path):
+    """The last half second before a part belongs to the part after it."""
+    part, day = dt.timedelta(seconds=691_200), dt.timedelta(days=2)
+    start = dt.datetime(2024, 1, 1)
+    times = [(0, start + dt.timedelta(hours=1)), (1, start + part - day - dt.timedelta(seconds=0.3)), (2, start + part - 2 * day - dt.timedelta(seconds=0.5)), (0, start + part - dt.timedelta(seconds=0.7)), (0, start + 1.5 * part)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, user_id BIGINT, ts TIMESTAMP)")
+    con.executemany("INSERT INTO events VALUES (?, ?, ?)", [(i, u, at) for i, (u, at) in enumerate(times)])
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet'")
+    got = sorted((r.event_id, r.late) for r in QUERIES["late_side_output"](spark, str(tmp_path)).collect())
+    assert got == sorted(con.execute(ORACLES["late_side_output"]).fetchall()) and sum(late for _, late in got) == 2
