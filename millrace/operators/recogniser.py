@@ -26,10 +26,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import written
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NONE = ""
-FEATURES, LONGEST, TOGETHER, STEP = 1 << 16, 120, 256, 32
+FEATURES, LONGEST, TOGETHER, STEP, MOST_SEEN = 1 << 16, 120, 256, 32, 1 << 17
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 ENDS = frozenset(".!?")
 
@@ -68,68 +70,119 @@ def _shape(token: str) -> str:
     return re.sub(r"(.)\1+", r"\1+", kinds)
 
 
-def token_features(tokens: Sequence[str]) -> np.ndarray:
-    """Hashed features of each token: itself, its shape and ends, and its neighbours."""
-    low, shapes = ["<", *(t.lower() for t in tokens), ">"], ["<", *map(_shape, tokens), ">"]
-    rows = [
-        (f"w{low[i]}", f"s{shapes[i]}", f"p{low[i][:3]}", f"e{low[i][-3:]}", f"b{low[i - 1]}", f"a{low[i + 1]}", f"B{shapes[i - 1]} {shapes[i]}", f"A{shapes[i + 1]} {shapes[i]}", "1")
-        for i in range(1, len(tokens) + 1)
-    ]
-    return np.array([[zlib.crc32(f.encode()) % FEATURES for f in row] for row in rows], np.int64)
+def _hash(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % FEATURES
 
 
-def gold_tags(text: str, places: list[tuple[int, int]], hits: Sequence[tuple[str, str]], tags: Sequence[str]) -> np.ndarray:
-    """Tags of the tokens that known (type, text) pairs cover wherever they stand; longer texts first."""
+def _own(token: str) -> tuple[str, tuple[int, ...], int, int]:
+    """Shape of a token, its hashed features, and those that it is to the token after and before it."""
+    low, shape = token.lower(), _shape(token)
+    return shape, (_hash(f"w{low}"), _hash(f"s{shape}"), _hash(f"p{low[:3]}"), _hash(f"e{low[-3:]}")), _hash(f"b{low}"), _hash(f"a{low}")
+
+
+def token_features(tokens: Sequence[str], seen: dict | None = None) -> np.ndarray:
+    """Hashed features of each token: itself, its shape and ends, and its neighbours. `seen` keeps those of earlier tokens."""
+    seen = {} if seen is None else seen
+    if len(seen) > MOST_SEEN:
+        seen.clear()
+
+    def kept(key, make, *of):
+        found = seen.get(key)
+        if found is None:
+            found = seen[key] = make(*of)
+        return found
+
+    own = [("<", (), _hash("b<"), 0), *(kept(t, _own, t) for t in tokens), (">", (), 0, _hash("a>"))]
+    before = [kept((a[0], b[0], True), _hash, f"B{a[0]} {b[0]}") for a, b in zip(own, own[1:-1])]
+    after = [kept((a[0], b[0], False), _hash, f"A{b[0]} {a[0]}") for a, b in zip(own[1:], own[2:])]
+    one = _hash("1")
+    return np.array([(*x[1], p[2], n[3], b, a, one) for p, x, n, b, a in zip(own, own[1:], own[2:], before, after)], np.int64)
+
+
+def _by_first_token(hits: Sequence[tuple[str, str]]) -> dict[str, list[tuple[str, str]]]:
+    """Known (type, text) pairs by the token they begin with; a text that begins with none covers no tokens."""
+    out: dict[str, list[tuple[str, str]]] = {}
+    for kind, part in set(hits):
+        first = TOKEN.match(part)
+        if first:
+            out.setdefault(first.group(), []).append((kind, part))
+    return out
+
+
+def _gold(text: str, places: list[tuple[int, int]], known: dict[str, list[tuple[str, str]]], tags: Sequence[str]) -> np.ndarray:
     out = np.zeros(len(places), np.int64)
-    for kind, part in sorted(set(hits), key=lambda h: (-len(h[1]), h)):
-        at = text.find(part, places[0][0], places[-1][1]) if part else -1
-        while at >= 0:
-            inside = [i for i, (a, b) in enumerate(places) if a >= at and b <= at + len(part)]
-            if inside and not out[inside].any() and places[inside[0]][0] == at and places[inside[-1]][1] == at + len(part):
-                out[inside] = tags.index(kind)
-            at = text.find(part, at + 1, places[-1][1])
+    found = [(-len(part), kind, part, i) for i, (a, b) in enumerate(places) for kind, part in known.get(text[a:b], ()) if text.startswith(part, a)]
+    if found:
+        last = {b: i for i, (_, b) in enumerate(places)}
+        for size, kind, _, i in sorted(found):
+            end = last.get(places[i][0] - size)
+            if end is not None and not out[i : end + 1].any():
+                out[i : end + 1] = tags.index(kind)
     return out
 
 
+def gold_tags(text: str, places: list[tuple[int, int]], hits: Sequence[tuple[str, str]], tags: Sequence[str]) -> np.ndarray:
+    """Tags of the tokens that known (type, text) pairs cover wherever they stand; longer texts first."""
+    return _gold(text, places, _by_first_token(hits), tags)
+
+
 # ---------------------------------------------------------------- best paths
 
 
+def ragged_paths(scores: np.ndarray, size: np.ndarray, moves: np.ndarray, margins: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+    """Tags (tokens) of the best paths through the scores (tokens x tags) of sequences of these sizes laid end to end, of equal ones that
+    of the least tags from the end on; and the margins: best path against the best one with another tag there.
+
+    All sequences take a step together, the longest ones first, so that those that go on are the first ones."""
+    order = np.argsort(-size, kind="stable")
+    live = np.searchsorted(-size[order], -np.arange(size.max(initial=0)), side="left")  # sequences that reach a position
+    first = (np.cumsum(size) - size)[order]
+    place = np.concatenate([np.zeros(0, np.int64), *[first[:n] + i for i, n in enumerate(live)]])
+    cut = np.append(0, np.cumsum(live))
+    own, k = scores[place], scores.shape[1]
+    into, onto = np.ascontiguousarray(moves[:-1].T), moves[:-1]
+    ahead, back = own + moves[-1], np.zeros(own.shape, np.int64)
+    for i in range(1, len(live)):
+        here, before = slice(cut[i], cut[i + 1]), slice(cut[i - 1], cut[i - 1] + live[i])
+        step = ahead[before, None, :] + into
+        back[here] = step.argmax(2)
+        ahead[here] = step.max(2) + own[here]
+    tags, after = np.empty(len(place), np.int64), 0
+    for i in range(len(live) - 1, -1, -1):
+        goes = cut[i] + after
+        if after:
+            tags[cut[i] : goes] = back[np.arange(cut[i + 1], cut[i + 1] + after), tags[cut[i + 1] : cut[i + 1] + after]]
+        if live[i] > after:
+            tags[goes : cut[i + 1]] = ahead[goes : cut[i + 1]].argmax(1)
+        after = live[i]
+    out = np.empty_like(tags)
+    out[place] = tags
+    if not margins:
+        return out, None
+    if k == 1:
+        return out, np.full(len(out), np.inf)
+    behind = np.zeros_like(own)
+    for i in range(len(live) - 2, -1, -1):
+        following = slice(cut[i + 1], cut[i + 2])
+        behind[cut[i] : cut[i] + live[i + 1]] = (onto + (own[following] + behind[following])[:, None, :]).max(2)
+    through = ahead + behind
+    best = np.take_along_axis(through, tags[:, None], 1)[:, 0]
+    np.put_along_axis(through, tags[:, None], -np.inf, 1)
+    margin = np.empty(len(out))
+    margin[place] = best - through.max(1)
+    return out, margin
+
+
 def best_paths(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tags (sequences x tokens) of the best path through scores (sequences x tokens x tags), of equal ones that of the least tags
-    from the end on; and the margins: best path against the best one with another tag there."""
+    """The same for scores (sequences x tokens x tags) of sequences of one size."""
     n, length, k = scores.shape
-    ahead, back = np.empty_like(scores), np.zeros(scores.shape, np.int64)
-    ahead[:, 0] = scores[:, 0] + moves[-1]
-    for i in range(1, length):
-        step = ahead[:, i - 1, :, None] + moves[None, :-1]
-        back[:, i] = step.argmax(1)
-        ahead[:, i] = step.max(1) + scores[:, i]
-    behind = np.zeros_like(scores)
-    for i in range(length - 2, -1, -1):
-        behind[:, i] = (moves[None, :-1] + (scores[:, i + 1] + behind[:, i + 1])[:, None, :]).max(2)
-    tags = np.empty((n, length), np.int64)
-    tags[:, -1] = ahead[:, -1].argmax(1)
-    for i in range(length - 1, 0, -1):
-        tags[:, i - 1] = np.take_along_axis(back[:, i], tags[:, i, None], 1)[:, 0]
-    through = ahead + behind
-    own = np.take_along_axis(through, tags[:, :, None], 2)[:, :, 0]
-    np.put_along_axis(through, tags[:, :, None], -np.inf, 2)
-    return tags, own - through.max(2) if k > 1 else np.full((n, length), np.inf)
-
-
-def tagged(model: Recogniser, items: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Tags and margins of sequences of token features; those of one length go together."""
-    out: list = [None] * len(items)
-    by_length: dict[int, list[int]] = {}
-    for i, f in enumerate(items):
-        by_length.setdefault(len(f), []).append(i)
-    for own in by_length.values():
-        for a in range(0, len(own), TOGETHER):
-            some = own[a : a + TOGETHER]
-            tags, margins = best_paths(model.features[np.stack([items[i] for i in some])].sum(2), model.moves)
-            for j, i in enumerate(some):
-                out[i] = tags[j], margins[j]
-    return out
+    tags, margins = ragged_paths(scores.reshape(-1, k), np.full(n, length), moves)
+    return tags.reshape(n, length), margins.reshape(n, length)
+
+
+def tagged(model: Recogniser, features: np.ndarray, size: np.ndarray, margins: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+    """Tags and margins of the tokens of sequences laid end to end, by token features."""
+    return ragged_paths(model.features[features].sum(1), size, model.moves, margins)
 
 
 # ---------------------------------------------------------------- learning
@@ -142,19 +195,22 @@ class _Learner:
         self.model, self.steps = Recogniser(model.tags, model.features.copy(), model.moves.copy()), 0
         self.late = [np.zeros_like(model.features), np.zeros_like(model.moves)]  # corrections times the step they came with
 
-    def learn(self, items: list[np.ndarray], gold: list[np.ndarray]) -> None:
+    def learn(self, features: np.ndarray, size: np.ndarray, gold: np.ndarray) -> None:
         """One step: every weight moves by at most 1, whatever the number of sequences that ask for it."""
-        moved: tuple[list, list] = ([], [])
-        start, k = len(self.model.tags), len(self.model.tags)
-        for (tags, _), f, want in zip(tagged(self.model, items), items, gold, strict=True):
-            wrong = np.flatnonzero(tags != want)
-            for which, sign in ((want, 1.0), (tags, -1.0)) if len(wrong) else ():
-                moved[0].append((f[wrong].ravel() * k + np.repeat(which[wrong], f.shape[1]), sign))
-                moved[1].append((np.append(start, which[:-1]) * k + which, sign))
-        for own, late, parts in zip((self.model.features, self.model.moves), self.late, moved, strict=True):
-            if parts:
-                at, which = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
-                change = np.clip(np.bincount(which, np.concatenate([np.full(len(p), sign) for p, sign in parts])), -1, 1)
+        start = k = len(self.model.tags)
+        tags, _ = tagged(self.model, features, size, margins=False)
+        wrong, begin = tags != gold, np.cumsum(size) - size
+        if wrong.any():
+            missed = np.repeat(np.add.reduceat(wrong, begin) > 0, size)
+            moved: tuple[list, list] = ([], [])
+            for which, sign in ((gold, 1.0), (tags, -1.0)):
+                before = np.append(start, which[:-1])
+                before[begin] = start
+                moved[0].append((features[wrong] * k + which[wrong, None]).ravel())
+                moved[1].append((before * k + which)[missed])
+            for own, late, (up, down) in zip((self.model.features, self.model.moves), self.late, moved, strict=True):
+                at, which = np.unique(np.concatenate([up, down]), return_inverse=True)
+                change = np.clip(np.bincount(which, np.repeat([1.0, -1.0], [len(up), len(down)])), -1, 1)
                 own.ravel()[at] += change
                 late.ravel()[at] += change * self.steps
         self.steps += 1
@@ -164,22 +220,44 @@ class _Learner:
         return np.concatenate([(own - late / n).ravel() for own, late in ((self.model.features, self.late[0]), (self.model.moves, self.late[1]))])
 
 
+_STEPS = "sizes binary, features binary, kinds array<string>, gold binary"
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `STEP` sequences each: their sizes, hashed token features and known tags, as places in `kinds`."""
+    seen: dict = {}
+    for batch in batches:
+        rows, sizes, features, gold, kinds = [], [], [], [], [NONE]
+
+        def close() -> None:
+            rows.append((np.array(sizes, np.uint8).tobytes(), np.concatenate(features).astype(np.uint16).tobytes(), list(kinds), np.concatenate(gold).astype(np.uint8).tobytes()))
+            for x in (sizes, features, gold):
+                x.clear()
+
+        for text, hits in zip(batch["text"].to_pylist(), batch["hits"].to_pylist(), strict=True):
+            known = _by_first_token([(h["type"], h["text"]) for h in hits or [] if h["text"]])
+            kinds += sorted({kind for own in known.values() for kind, _ in own} - set(kinds))
+            for places in sequences(text or ""):
+                sizes.append(len(places))
+                features.append(token_features([text[a:b] for a, b in places], seen))
+                gold.append(_gold(text, places, known, kinds))
+                if len(sizes) == STEP:
+                    close()
+        if sizes:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, (pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary()), strict=True)], ["sizes", "features", "kinds", "gold"])
+
+
 def _round(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner, tokens = _Learner(pickle.loads(shared.value)), 0
         for batch in batches:
-            items, gold = [], []
-            for text, hits in zip(batch["text"].to_pylist(), batch["hits"].to_pylist(), strict=True):
-                pairs = [(h["type"], h["text"]) for h in hits or []]
-                for places in sequences(text or ""):
-                    items.append(token_features([text[a:b] for a, b in places]))
-                    gold.append(gold_tags(text, places, pairs, learner.model.tags))
-                    tokens += len(places)
-                    if len(items) == STEP:
-                        learner.learn(items, gold)
-                        items, gold = [], []
-            if items:
-                learner.learn(items, gold)
+            for sizes, features, kinds, gold in zip(*(batch[c].to_pylist() for c in ("sizes", "features", "kinds", "gold")), strict=True):
+                size = np.frombuffer(sizes, np.uint8).astype(np.int64)
+                tags = np.array([learner.model.tags.index(x) for x in kinds], np.int64)
+                own = np.frombuffer(features, np.uint16).astype(np.int64).reshape(int(size.sum()), -1)
+                learner.learn(own, size, tags[np.frombuffer(gold, np.uint8)])
+                tokens += len(own)
         if tokens:
             mean = learner.mean()
             place = np.flatnonzero(mean)
@@ -192,7 +270,8 @@ def fit(docs: DataFrame, rounds: int = 5, text: str = "text", hits: str = "hits"
     """Learn from texts and the (type, text) pairs that are known to be in them."""
     spark = docs.sparkSession
     rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(hits).alias("hits"))
-    types = [r.type for r in rows.select(F.explode("hits").alias("h")).select("h.type").distinct().collect()]  # as many as types
+    rows = written(rows.mapInArrow(_steps, _STEPS), "steps")  # read in every round, tokenised once
+    types = [r.kind for r in rows.select(F.explode("kinds").alias("kind")).where(F.col("kind") != NONE).distinct().collect()]  # as many as types
     model = Recogniser.blank(types)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
@@ -206,24 +285,34 @@ def fit(docs: DataFrame, rounds: int = 5, text: str = "text", hits: str = "hits"
     return model
 
 
+def _found(kinds: Sequence[str], row: int, text: str, places: list[tuple[int, int]], tags: np.ndarray, margins: np.ndarray) -> list[tuple]:
+    """(row, type, text, score) of each run of equal tags in a sequence."""
+    cuts = np.flatnonzero(np.append(True, tags[1:] != tags[:-1]))
+    return [(row, kinds[tags[a]], text[places[a][0] : places[b - 1][1]], float(1 / (1 + np.exp(-margins[a:b].min())))) for a, b in zip(cuts, np.append(cuts[1:], len(tags)), strict=True) if tags[a]]
+
+
 def recognised(docs: DataFrame, model: Recogniser, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, type, text, score) of every entity found, scores between 0 and 1."""
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pickle.loads(shared.value)
+        own, seen = pickle.loads(shared.value), {}
         for batch in batches:
-            rows, items, where = [], [], []
+            rows, where, sizes, features = [], [], [], []
             for i, t in enumerate(batch["text"].to_pylist()):
                 for places in sequences(t or ""):
-                    items.append(token_features([t[a:b] for a, b in places]))
                     where.append((i, t, places))
-            for (i, t, places), (tags, margins) in zip(where, tagged(own, items), strict=True):
-                cuts = np.flatnonzero(np.append(True, tags[1:] != tags[:-1]))
-                for a, b in zip(cuts, np.append(cuts[1:], len(tags)), strict=True):
-                    if tags[a]:
-                        rows.append((i, own.tags[tags[a]], t[places[a][0] : places[b - 1][1]], float(1 / (1 + np.exp(-margins[a:b].min())))))
+                    sizes.append(len(places))
+                    features.append(token_features([t[a:b] for a, b in places], seen))
+            for first in range(0, len(where), TOGETHER):
+                some = slice(first, first + TOGETHER)
+                tags, margins = tagged(own, np.concatenate(features[some]), np.array(sizes[some]))
+                at = 0
+                for i, t, places in where[some]:
+                    if tags[at : at + len(places)].any():
+                        rows += _found(own.tags, i, t, places, tags[at : at + len(places)], margins[at : at + len(places)])
+                    at += len(places)
             at, kinds, texts, scores = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at, pa.int64())), pa.array(kinds, pa.string()), pa.array(texts, pa.string()), pa.array(scores, pa.float64())], ["id", "type", "text", "score"])
 

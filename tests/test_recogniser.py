@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import recogniser
 
@@ -77,3 +78,31 @@ def test_no_hits_and_no_texts(spark):
     model = recogniser.fit(spark.createDataFrame([(1, "some words.", [])], SCHEMA), rounds=1)
     assert model.tags == [""] and recogniser.recognised(spark.createDataFrame([(1, "Ann Lee.", [])], SCHEMA), model).collect() == []
     assert recogniser.fit(spark.createDataFrame([], SCHEMA)).tags == [""]
+
+
+def test_paths_of_all_sizes_together():
+    """Sequences laid end to end get the paths and margins that each gets alone."""
+    rng = np.random.default_rng(7)
+    size, moves = np.array([3, 1, 6, 6, 2]), rng.normal(size=(4, 3))
+    scores = rng.integers(0, 3, (18, 3)).astype(float)
+    tags, margins = recogniser.ragged_paths(scores, size, moves)
+    ends = np.cumsum(size)
+    alone = [recogniser.best_paths(scores[None, b - n : b], moves) for n, b in zip(size, ends, strict=True)]
+    assert tags.tolist() == np.concatenate([t[0] for t, _ in alone]).tolist()
+    assert np.allclose(margins, np.concatenate([m[0] for _, m in alone]))
+
+
+def test_texts_are_tokenised_once(spark, tmp_path):
+    """Rounds read the written steps, not the texts."""
+    calls = str(tmp_path / "calls")
+
+    @F.udf("string")
+    def read(text):
+        with open(calls, "a") as f:
+            f.write("x")
+        return text
+
+    docs = spark.createDataFrame(sentences(1, invented(1, 20), 40), SCHEMA).withColumn("text", read("text"))
+    assert len(recogniser.fit(docs, rounds=3).tags) == 3
+    with open(calls) as f:
+        assert len(f.read()) <= 2 * 43
