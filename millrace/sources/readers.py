@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import basename, parse_payload, parse_score
+from millrace.sources import writers
 
 # The nested layouts of the documents and capture files.
 STATISTICS = "features array<struct<name:string,numerical_statistics:struct<mean:double,std:double,min:double,max:double>>>"
@@ -38,6 +39,13 @@ def documents(spark: SparkSession, path: str, suffix: str = "*.txt") -> DataFram
     return files.select(F.col("_metadata.file_path").alias("document"), F.col("value").alias("text"))
 
 
+def packed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(document, text): the whole texts that `writers.packed_documents` wrote; a large file is read by many tasks."""
+    record = writers.unescaped(F.col("value"))
+    files = spark.read.text(path, lineSep=writers.DOCUMENT_END)
+    return files.select(F.substring_index(record, "\n", 1).alias("document"), F.substr(record, F.locate("\n", record) + 1).alias("text"))
+
+
 def listing(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
     """(path, name, size_bytes, modified) of the files below a prefix; contents are
     not read, directories are not listed."""

@@ -79,3 +79,20 @@ def captures(df: DataFrame, path: str, key: str, time: Column, features: Sequenc
         ).alias("eventMetadata"),
         F.date_format(time, "yyyy-MM-dd-HH").alias("hour"),
     ).repartitionByRange(parts, "hour", "eventMetadata.eventId").write.mode("overwrite").partitionBy("hour").json(path)
+
+
+# Ends a document in a packed file; within documents it is written as an escape.
+DOCUMENT_END, _ESCAPE = "\x1e", "\x1d"
+
+
+def packed_documents(df: DataFrame, path: str, key: str, text: str) -> None:
+    """Whole texts as records of few large text files, whatever their number: name, line end, text, `DOCUMENT_END`. A NULL
+    text is written as an empty one."""
+    row = F.concat_ws("\n", F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+    safe = F.replace(F.replace(row, F.lit(_ESCAPE), F.lit(_ESCAPE + "A")), F.lit(DOCUMENT_END), F.lit(_ESCAPE + "B"))
+    df.select(safe.alias("value")).write.mode("overwrite").option("lineSep", DOCUMENT_END).text(path)
+
+
+def unescaped(record: Column) -> Column:
+    """The text of a record as it was before it was packed."""
+    return F.replace(F.replace(record, F.lit(_ESCAPE + "B"), F.lit(DOCUMENT_END)), F.lit(_ESCAPE + "A"), F.lit(_ESCAPE))

@@ -91,3 +91,12 @@ def test_scratch_is_below_the_named_folder(spark):
     assert shared_dir(spark) == base and scratch_path(spark, "x") != scratch_path(spark, "x")
     kept = written(spark.range(5), "t")
     assert kept.count() == 5 and all(base in f for f in kept.inputFiles())
+
+
+def test_packed_documents(spark, tmp_path):
+    """Any text comes back whole from a few files, whatever it holds."""
+    texts = ["one\ntwo\n", "", None, "\x1e", "\x1dB\x1e\x1dA", "\r\nü\x1d\x1d\x1e漢\n", "\n"] + [f"text {i}" for i in range(500)]
+    writers.packed_documents(spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(2), str(tmp_path / "p"), "id", "text")
+    got = {int(r.document): r.text for r in readers.packed_documents(spark, str(tmp_path / "p")).collect()}
+    assert got == {i: t or "" for i, t in enumerate(texts)}
+    assert len(list((tmp_path / "p").glob("**/part-*"))) == 2
