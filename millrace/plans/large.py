@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 from millrace.operators import documents as dx, drift, feature_store, relational
 from millrace.operators.ordered import exact_quantiles
 from millrace.plans import aggregates, documents, monitoring, ordering  # noqa: F401  (their checks are used here)
-from millrace.plans.documents import CUT
+from millrace.plans.documents import moods
 from millrace.plans.monitoring import halves
 from millrace.plans.registry import ORACLES, query
-from millrace.session import written
 
 ROWS = 1_000
 
@@ -37,8 +36,7 @@ def key_phrases_shuffled(t):
 
 @query("DOC3", ORACLES["document_sentiment"])
 def document_sentiment_shuffled(t):
-    docs = t.spread("documents", "doc_id")
-    return dx.sentiment(docs, written(dx.learn_lexicon(docs, t.labels, "quality"), "lexicon"), CUT, limit=0)
+    return moods(t, limit=0)
 
 
 @query(

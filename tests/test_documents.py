@@ -8,6 +8,7 @@ import regex
 from pyspark.sql import functions as F
 
 from millrace.operators import documents as dx
+from millrace.plans import documents as plans, large
 from tests.conftest import rows
 
 TEXTS = {
@@ -179,3 +180,29 @@ def test_routing(spark, spoken):
     assert held.columns == ["doc_id", "text", "lang", "route"] and held.where("lang <> route").count() == 0
     other = spark.createDataFrame([(1, "", "aa"), (2, None, "bb")], "doc_id int, text string, lang string")
     assert {r.route for r in dx.routed(other, model).collect()} <= set(LANGUAGES)
+
+
+class Counted:
+    """Tables whose texts leave a mark each time they are read."""
+
+    def __init__(self, spark, path):
+        @F.udf("string")
+        def read(text):
+            with open(path, "a") as f:
+                f.write("x")
+            return text
+
+        texts = [(i, "good day. " * (i % 3) + "bad rain falls" * (i % 2)) for i in range(40)]
+        self.spark, self.docs = spark, spark.createDataFrame(texts, "doc_id long, text string").repartition(2).select("doc_id", read("text").alias("text"))
+        self.labels = spark.createDataFrame([(i, i % 2) for i in range(0, 40, 3)], "doc_id long, quality int")
+
+    def spread(self, name, key):
+        return self.docs
+
+
+@pytest.mark.parametrize("name", ["document_sentiment", "document_sentiment_shuffled", "sentiment_distribution", "sentiment_trend", "extreme_sentiments", "negative_alerts"])
+def test_texts_are_read_once_for_moods(spark, tmp_path, name):
+    path = tmp_path / "read"
+    plan = getattr(plans, name, None) or getattr(large, name)
+    assert plan(Counted(spark, str(path))).count() >= 0
+    assert len(path.read_text()) == 40
