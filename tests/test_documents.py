@@ -206,3 +206,18 @@ def test_texts_are_read_once_for_moods(spark, tmp_path, name):
     plan = getattr(plans, name, None) or getattr(large, name)
     assert plan(Counted(spark, str(path))).count() >= 0
     assert len(path.read_text()) == 40
+
+
+def test_key_phrases_of_settled_and_other_documents(spark, monkeypatch):
+    """Copies, repeated ids, ids that are NULL and ties: the same rows whether frequencies are looked up for a part or for all."""
+    words = lambda i, n: " ".join(f"{chr(97 + (i * 7 + j * j) % 26)}{chr(97 + (i + j * 11) % 26)}{chr(97 + j % 13)}" for j in range(n))
+    texts = [(i, words(i, 10 * (i % 9))) for i in range(40)] + [(100 + i, words(i, 60)) for i in (3, 3, 5)] + [(200, words(70, 50)), (200, words(71, 50)), (None, words(9, 80)), (300, "zz yy " * 30 + words(80, 60))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    looked = []
+    real = dx.lookup_join
+    monkeypatch.setattr(dx, "lookup_join", lambda fact, *a, **s: looked.append(fact.count()) or real(fact, *a, **s))
+    got = rows(dx.key_phrases(docs, 2, limit=0))
+    # Looked up: a part of all, and then all of some documents.
+    every = dx.phrase_counts(docs).count()
+    assert len(looked) == 2 and looked[0] < every and 0 < looked[1] < every
+    assert got == rows(dx.key_phrases(docs, 2)) and len({r[0] for r in got}) > 30
