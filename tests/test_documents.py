@@ -221,3 +221,12 @@ def test_key_phrases_of_settled_and_other_documents(spark, monkeypatch):
     every = dx.phrase_counts(docs).count()
     assert len(looked) == 2 and looked[0] < every and 0 < looked[1] < every
     assert got == rows(dx.key_phrases(docs, 2)) and len({r[0] for r in got}) > 30
+
+
+def test_totals_learn_no_moods(spark, tmp_path, monkeypatch):
+    def none(*_, **__):
+        raise AssertionError("no total needs a lexicon")
+
+    monkeypatch.setattr(dx, "learn_lexicon", none)
+    got = plans.corpus_totals(Counted(spark, str(tmp_path / "read"))).first()
+    assert (got.documents, got.total_words) == (40, sum(2 * (i % 3) + 3 * (i % 2) for i in range(40)))
