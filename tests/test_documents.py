@@ -230,3 +230,10 @@ def test_totals_learn_no_moods(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(dx, "learn_lexicon", none)
     got = plans.corpus_totals(Counted(spark, str(tmp_path / "read"))).first()
     assert (got.documents, got.total_words) == (40, sum(2 * (i % 3) + 3 * (i % 2) for i in range(40)))
+
+
+def test_texts_are_read_once_for_languages(spark, tmp_path):
+    tables, path = Counted(spark, str(tmp_path / "read")), tmp_path / "read"
+    tables.docs = tables.docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").when(F.col("doc_id") % 3 == 0, "de"))
+    plans.language_guess(tables).collect()
+    assert len(path.read_text()) == 40
