@@ -31,6 +31,9 @@ GROUP_ROWS = 1_000_000
 # Ranges a shuffle is cut into at most; beyond, chunks grow with the table.
 MAX_CHUNKS = 100_000
 
+# Rows a chunk may always have, however low the limit: a range costs a task and a file.
+CHUNK_ROWS = 50_000
+
 # Value buckets per round of a quantile selection.
 BUCKETS = 1_000
 
@@ -46,12 +49,12 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 def chunks_needed(df: DataFrame, keys: Sequence[str], limit: int) -> int:
     """0 when every key group has at most `limit` rows, else the number of chunks
-    that brings a chunk down to that (MAX_CHUNKS at most). The row count, which Parquet answers from
+    that brings a chunk down to that or to CHUNK_ROWS (MAX_CHUNKS at most). The row count, which Parquet answers from
     its footers, settles small tables without a look at the keys."""
     rows = df.count()
     if rows <= limit or (keys and largest_group(df, keys) <= limit):
         return 0
-    return min(-(-rows // limit), MAX_CHUNKS)
+    return min(-(-rows // max(limit, CHUNK_ROWS)), MAX_CHUNKS)
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int) -> DataFrame:

@@ -165,3 +165,10 @@ def test_chunks_split_a_hot_key(data):
     _, df = data
     sizes = ordered.chunked(df, ["k"], ["t"], 20).groupBy("_chunk").count()
     assert sizes.agg(F.max("count")).first()[0] < 150
+
+
+def test_a_low_limit_makes_no_tiny_chunks(spark):
+    df = spark.range(120_000).withColumn("k", F.lit(1))
+    assert ordered.chunks_needed(df, ["k"], 60) == 3
+    assert ordered.chunks_needed(df, ["k"], 120_000) == 0
+    assert ordered.chunks_needed(df, ["k"], 100_000) == 2
