@@ -1,6 +1,6 @@
 """Boosted trees of second order on histograms, grown level by level over a Spark table.
 
-Features are cut into bins once, at quantiles, and the binned rows are written. A pass over them gives
+Features are cut into bins once, at quantiles, and the binned rows are written, a batch of rows as one row of arrays. A pass over them gives
 every level of every tree of a round: each partition adds up slopes and curvatures of the loss by
 (class, node, feature, bin), the sums of all partitions meet by (class, node, block of features), and only the
 best cut of each comes to the driver. Trees of all classes of a round grow together (softmax); with two classes there is
@@ -32,9 +32,11 @@ from millrace.session import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BINS, BLOCK_FEATURES, KEPT_ROUNDS = 64, 64, 10
+BINS, BLOCK_FEATURES, KEPT_ROUNDS = 64, 64, 5
 UNIT = float(1 << 24)  # slopes and curvatures are counted in 1 / UNIT
 ROWS_PER_TASK = 100_000
+WORK_PER_TASK = 4_000_000  # rows x margins x (features + WALK): what a level costs
+WALK = 32  # a row's way through the trees, in features
 
 
 @dataclass
@@ -61,17 +63,31 @@ class Tree:
         self.bin, self.cut, self.missing_left = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
         self.value, self.gain = np.zeros(n), np.zeros(n)
 
-    def leaves(self, x: np.ndarray, missing: np.ndarray, binned: bool, levels: int | None = None) -> np.ndarray:
-        """The node each row ends in, after at most `levels` steps."""
-        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-        limit = self.bin if binned else self.cut
-        for _ in range(self.depth if levels is None else levels):
+    def leaves(self, x: np.ndarray, missing: np.ndarray | int, binned: bool, levels: int | None = None) -> np.ndarray:
+        """The node each row ends in, after at most `levels` steps. Of binned rows, `missing` is the bin of missing values."""
+        steps, rows = self.depth if levels is None else levels, np.arange(len(x))
+        node = np.zeros(len(x), np.int64)
+        if binned:
+            bins, width = np.ascontiguousarray(x.T), missing + 1
+            follows, start = self._follows(width), np.maximum(self.feature, 0) * len(x)
+            for step in range(steps):
+                at = bins.reshape(-1).take(start.take(node) + rows) if step else bins[max(self.feature[0], 0)]
+                node = follows.take(node * width + at)
+            return node
+        for _ in range(steps):
             f = self.feature[node]
             inner = f >= 0
-            left = np.where(missing[rows, f], self.missing_left[node], x[rows, f] <= limit[node])
+            left = np.where(missing[rows, f], self.missing_left[node], x[rows, f] <= self.cut[node])
             node = np.where(inner, 2 * node + 2 - left, node)
         return node
 
+    def _follows(self, width: int) -> np.ndarray:
+        """By node and bin, the node that comes next."""
+        node = np.arange(len(self.feature))[:, None]
+        left = np.arange(width) <= self.bin[:, None]
+        left[:, -1] = self.missing_left
+        return np.where(self.feature[:, None] >= 0, 2 * node + 2 - left, node).reshape(-1)
+
 
 @dataclass
 class Booster:
@@ -103,7 +119,7 @@ class Booster:
         return total / total.sum() if total.sum() else total
 
 
-def _added(rounds: list[list[Tree]], x: np.ndarray, missing: np.ndarray, binned: bool, out: np.ndarray) -> np.ndarray:
+def _added(rounds: list[list[Tree]], x: np.ndarray, missing: np.ndarray | int, binned: bool, out: np.ndarray) -> np.ndarray:
     for trees in rounds:
         for k, tree in enumerate(trees):
             out[:, k] += tree.value[tree.leaves(x, missing, binned)]
@@ -155,7 +171,8 @@ def feature_cuts(rows: DataFrame, d: int, bins: int) -> list[np.ndarray]:
     return cuts
 
 
-_BINNED = "key long, y int, bins binary, margin binary"
+# A batch of rows: keys, labels, bins (features x rows) and scores (margins x rows).
+_BINNED = "key binary, y binary, bins binary, margin binary"
 _BINNED_NAMES = ["key", "y", "bins", "margin"]
 
 
@@ -165,31 +182,35 @@ def _binned(cuts: list[np.ndarray], margins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch["x"], len(cuts))
-            bins = np.empty(x.shape, np.uint8)
+            bins = np.empty(x.T.shape, np.uint8)
             for f, c in enumerate(cuts):
-                bins[:, f] = np.where(np.isnan(x[:, f]), missing, np.searchsorted(c, x[:, f], "left"))
-            yield _packed(batch["key"], batch["y"], bins, np.zeros((len(x), margins)))
+                bins[f] = np.where(np.isnan(x[:, f]), missing, np.searchsorted(c, x[:, f], "left"))
+            if len(x):
+                yield _packed(batch["key"].to_numpy(), batch["y"].to_numpy(), bins, np.zeros((margins, len(x))))
 
     return run
 
 
-def _packed(key, y, bins: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([key, y, pa.array([b.tobytes() for b in bins], pa.binary()), pa.array([m.tobytes() for m in margin], pa.binary())], _BINNED_NAMES)
+def _packed(*arrays: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], _BINNED_NAMES)
 
 
-def _unpacked(batch: pa.RecordBatch, d: int, margins: int) -> tuple[np.ndarray, np.ndarray]:
-    bins = np.frombuffer(b"".join(batch["bins"].to_pylist()), np.uint8).reshape(-1, d)
-    return bins, np.frombuffer(b"".join(batch["margin"].to_pylist())).reshape(-1, margins).copy()
+def _unpacked(batches: Iterator[pa.RecordBatch], d: int, margins: int) -> Iterator[tuple]:
+    """Keys, labels, bins and scores of each batch of rows; scores may be changed."""
+    for batch in batches:
+        for row in zip(*(batch[c] for c in _BINNED_NAMES), strict=True):
+            key, y, bins, margin = (np.frombuffer(v.as_buffer(), t) for v, t in zip(row, (np.int64, np.int32, np.uint8, np.float64), strict=True))
+            yield key, y, bins.reshape(d, len(key)), margin.reshape(margins, len(key)).copy()
 
 
 def _renewed(booster: Booster, recent: list[list[Tree]]):
     """The rows with the scores of the recent rounds added."""
-    missing = max(map(len, booster.cuts), default=0) + 1
+    d, margins, missing = booster.n_features, booster.margins, max(map(len, booster.cuts), default=0) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bins, margin = _unpacked(batch, booster.n_features, booster.margins)
-            yield _packed(batch["key"], batch["y"], bins, _added(recent, bins, bins == missing, True, margin))
+        for key, y, bins, margin in _unpacked(batches, d, margins):
+            _added(recent, bins.T, missing, True, margin.T)
+            yield _packed(key, y, bins, margin)
 
     return run
 
@@ -204,27 +225,36 @@ _SPLIT_NAMES = [c.split()[0] for c in _SPLITS.split(", ")]
 
 def _level_sums(booster: Booster, recent: list[list[Tree]], growing: list[Tree], level: int, round_: int):
     """Slopes and curvatures of the partition's rows by (tree, node, feature, bin)."""
-    d, width, nodes = booster.n_features, max(map(len, booster.cuts), default=0) + 2, 1 << level
+    # The trees of earlier rounds stay on the driver.
+    d, margins, settings = booster.n_features, booster.margins, booster.settings
+    width, nodes = max(map(len, booster.cuts), default=0) + 2, 1 << level
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((booster.margins, nodes, d, width, 2))
-        for batch in batches:
-            bins, margin = _unpacked(batch, d, booster.margins)
-            missing = bins == width - 1
-            g, h = slopes(_added(recent, bins, missing, True, margin), batch["y"].to_numpy())
-            use = taken(batch["key"].to_numpy(), round_, booster.settings)
+        sums = np.zeros((margins, d, 2, nodes * width))
+        for key, y, bins, margin in _unpacked(batches, d, margins):
+            slope = [x.T for x in slopes(_added(recent, bins.T, width - 1, True, margin.T), y)]
+            use = taken(key, round_, settings)
             for k, tree in enumerate(growing):
-                node = tree.leaves(bins, missing, True, level) - (nodes - 1)
-                mine = np.flatnonzero(use & (node >= 0))
-                at = node[mine] * width
+                node = tree.leaves(bins.T, width - 1, True, level) - (nodes - 1)
+                mine = use & (node >= 0)
+                own = bins
+                g, h = (x[k] for x in slope)
+                if not mine.all():
+                    node, own, g, h = node[mine], bins[:, mine], g[mine], h[mine]
+                at = node * width
                 for f in range(d):
-                    place = at + bins[mine, f]
-                    for j, x in enumerate((g, h)):
-                        sums[k, :, f, :, j] += np.bincount(place, x[mine, k], nodes * width).reshape(nodes, width)
-        for k, node in zip(*np.nonzero(sums[:, :, 0, :, 1].sum(2)), strict=True):
-            for block, first in enumerate(range(0, d, BLOCK_FEATURES)):
-                part = sums[k, node, first : first + BLOCK_FEATURES].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.array([int(v)], pa.int32()) for v in (k, node, block)), pa.array([part.tobytes()])], ["tree", "node", "block", "sums"])
+                    place = at + own[f]
+                    sums[k, f, 0] += np.bincount(place, g, nodes * width)
+                    sums[k, f, 1] += np.bincount(place, h, nodes * width)
+        sums = sums.reshape(margins, d, 2, nodes, width)
+        for k in range(margins):
+            rows = []
+            for node in np.flatnonzero(sums[k, 0, 1].sum(1)).tolist():
+                for block, first in enumerate(range(0, d, BLOCK_FEATURES)):
+                    part = sums[k, first : first + BLOCK_FEATURES, :, node].transpose(0, 2, 1).astype(np.int64)
+                    rows.append((k, node, block, part.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["tree", "node", "block", "sums"])
 
     return run
 
@@ -314,9 +344,12 @@ def fit(df: DataFrame, features: str = "features", label: str = "label", classes
     if not facts.n or facts.d != facts.most or facts.low < 0 or facts.high >= classes:
         raise ValueError("rows with features of one length and labels from 0 to classes - 1 are needed")
     booster = Booster(classes, facts.d, feature_cuts(rows, facts.d, bins), Settings(**settings))
-    tasks = math.ceil(facts.n / ROWS_PER_TASK)
-    table = rows.mapInArrow(_binned(booster.cuts, booster.margins), _BINNED)
-    table = written(table.coalesce(tasks) if tasks <= df.sparkSession.sparkContext.defaultParallelism else table, "binned")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    work = math.ceil(facts.n * booster.margins * (facts.d + WALK) / WORK_PER_TASK)
+    tasks = max(math.ceil(facts.n / ROWS_PER_TASK), min(cores, work))
+    if tasks <= cores:  # as many files as tasks
+        rows = rows.repartition(tasks)
+    table = written(rows.mapInArrow(_binned(booster.cuts, booster.margins), _BINNED), "binned")
     recent: list[list[Tree]] = []
     for round_ in range(booster.settings.rounds):
         trees = _grow(booster, table, recent, round_, tasks)

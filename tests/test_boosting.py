@@ -140,3 +140,17 @@ def test_wrong_input(spark):
         boosting.fit(spark.createDataFrame([([1.0], 2)], "features array<double>, label int"))
     with pytest.raises(ValueError):
         boosting.fit(spark.createDataFrame([([1.0], 1), ([1.0, 2.0], 0)], "features array<double>, label int"))
+
+
+def test_binned_rows_travel_in_batches(spark):
+    """A batch of rows is one row of arrays, and the way by bins ends where the way by values does."""
+    x, y = planted(300, d=3)
+    model = boosting.fit(table(spark, x, y), rounds=2, depth=3)
+    rows = table(spark, x, y, 2).select(F.col("id").cast("long").alias("key"), F.col("label").alias("y"), F.col("features").alias("x"))
+    binned = rows.mapInArrow(boosting._binned(model.cuts, 1), boosting._BINNED)
+    assert binned.count() == 2
+    missing = max(map(len, model.cuts)) + 1
+    for key, _, bins, _ in boosting._unpacked(binned.toArrow().to_batches(), 3, 1):
+        own = x[key]
+        for tree in (t for trees in model.rounds for t in trees):
+            assert np.array_equal(tree.leaves(bins.T, missing, True), tree.leaves(own, np.isnan(own), False))
