@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassificationModel, RandomForestClassifier,
@@ -21,6 +23,9 @@ from millrace.operators.boosting import Booster
 from millrace.operators.relational import lookup_join
 from millrace.session import scratch_path
 
+# Configurations that are fitted side by side.
+TOGETHER = 8
+
 
 def assembled(df: DataFrame, features: Sequence[str], label: str, name: str = "features") -> DataFrame:
     """Adds the feature vector; rows with a missing feature are an error, impute first."""
@@ -103,17 +108,19 @@ def importances(model: Model | Booster, features: Sequence[str]) -> list[tuple[s
 
 
 def compare_variants(train: DataFrame, test: DataFrame, variants: Mapping[str, Mapping], fit=fit_boosted) -> DataFrame:
-    """(variant, params, metrics, seconds) for each named configuration. The loop is
-    over configurations; every fit and evaluation is a Spark job on persisted rows."""
+    """(variant, params, metrics, seconds) for each named configuration. Configurations go side by
+    side, so that the small jobs of one fill the gaps of another; every fit and evaluation is a Spark job on persisted rows."""
     train, test = train.persist(), test.persist()
-    rows = []
+
+    def row(variant):
+        (name, params), began = variant, time.monotonic()
+        model = fit(train, **params)
+        m = evaluate.binary_metrics(scored(model, test), "label", "pred").first()
+        return name, str(dict(params)), m.accuracy, m.precision, m.recall, m.f1_score, m.samples_evaluated, time.monotonic() - began
+
     try:
-        for name, params in variants.items():
-            began = time.monotonic()
-            model = fit(train, **params)
-            m = evaluate.binary_metrics(scored(model, test), "label", "pred").first()
-            rows.append((name, str(dict(params)), m.accuracy, m.precision, m.recall, m.f1_score,
-                         m.samples_evaluated, time.monotonic() - began))
+        with ThreadPoolExecutor(TOGETHER) as pool:
+            rows = list(pool.map(inheritable_thread_target(train.sparkSession)(row), variants.items()))
     finally:
         train.unpersist()
         test.unpersist()
