@@ -67,3 +67,24 @@ def test_a_planted_phrase_comes_out_whole(spark):
 def test_nothing_is_frequent(spark):
     found, places = phrases.mined(table(spark, [(1, "a b c"), (2, None)]), least=2)
     assert found.collect() == [] and places.collect() == []
+
+
+def test_hashes_decide_nothing(spark, monkeypatch):
+    """Runs that share a hash and a bitmap that lets all pass: the same counts."""
+    rows = corpus(n=30)
+    monkeypatch.setattr(phrases, "_FACTOR", phrases.np.uint64(0))
+    monkeypatch.setattr(phrases, "LEAST_BITS", 64)
+    monkeypatch.setattr(phrases, "MOST_BITS", 64)
+    found, places = phrases.mined(table(spark, rows), least=5, longest=3)
+    assert {r.phrase: r.n for r in found.collect()} == brute(rows, 5, 3)
+    placed = places.collect()
+    assert sum(r.n for r in placed) == sum(brute(rows, 5, 3).values())
+    assert len({(r.doc_id, r.phrase) for r in placed if r.doc_id != 902}) == sum(r.doc_id != 902 for r in placed)
+
+
+def test_places_are_not_shuffled(spark):
+    """A round sends runs with their counts, added up before: few rows for many places."""
+    docs = table(spark, [(i, "one two three four " * 50) for i in range(40)]).coalesce(1)
+    live = phrases._hashed(docs.select(phrases.tx.terms(phrases.F.col("text")).alias("terms")))
+    sent = live.mapInArrow(phrases._counted(2), "phrase string, n long").collect()
+    assert sorted((r.phrase, r.n) for r in sent) == [("four one", 1960), ("one two", 2000), ("three four", 2000), ("two three", 2000)]
