@@ -1,5 +1,7 @@
 """Training and scoring."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,17 @@ def test_registered_models_have_their_whole_size(spark, monkeypatch):
     with pytest.raises(ZeroDivisionError):
         QUERIES["fitted_model_facts"](spark, "/root/testdata/sf0.001")
     assert asked == [{"rounds": 100, "depth": 5, "key": "vec_id"}, {"trees": 100, "depth": 10}, {"rounds": 100, "depth": 5, "eta": 0.2, "key": "doc_id"}]
+
+
+def test_variants_are_fitted_side_by_side(spark):
+    # Each fit waits for the other one: one after the other, the barrier would break.
+    meet = threading.Barrier(2)
+    table = spark.createDataFrame([([float(i)], float(i > 20)) for i in range(40)], "x array<double>, label double")
+    table = mx.vector_column(table, "x").select("features", "label")
+
+    def fit(df, **params):
+        meet.wait(timeout=60)
+        return mx.fit_boosted(df, **params)
+
+    got = mx.compare_variants(table, table, {"a": {"rounds": 1, "depth": 1}, "b": {"rounds": 2, "depth": 1}}, fit)
+    assert [r.variant for r in got.collect()] == ["a", "b"]
