@@ -1,13 +1,14 @@
 """Language-model scores by online logistic mixing of hashed contexts.
 
 A text is a sequence of bytes and an end. A byte is a leaf of a Huffman tree (the most common
-symbols; the others share an escape leaf and a fixed cost), so that it takes about four binary
+symbols; the others share an escape leaf and their shares of it), so that it takes about four binary
 decisions instead of eight. Each decision is predicted by several contexts (two, three and five symbols
 back, and the word so far), hashed to `SLOTS` rows each: a row's counts below a tree node give
 that context's log odds. The odds are mixed with weights chosen by a gate (the tree node, and whether the
 longest context is known there), and refined by an adaptive map from (node, mixed odds) to probability. The
-weights and the map are learned over all training texts. They go on learning within a text, after each block of
-`BLOCK` symbols; every text begins from the same state, so its score does not depend on its neighbours.
+weights and the map are learned over all training texts. They go on learning within every text, after each block of
+`BLOCK` symbols, as do the shares of the rarer bytes. Every text begins from the same state and has weights and a map of its
+own, so its score does not depend on its neighbours; `LANES` texts of about the same length are walked side by side.
 
 Fitting: symbols and context rows are counted over all training texts, whatever their number and length
 (map-side arrays, summed in two rounds, the first one salted); the tables have a fixed size (`SLOTS` x 64
@@ -41,7 +42,7 @@ from millrace.session import written
 
 LEAVES, SLOTS, CHUNK = 64, 1 << 16, 1024
 CONTEXTS, LONGEST, GATES = 4, 2, 2 * LEAVES
-BLOCK, TOGETHER, TEXT_SLICE = 4096, 8192, 500_000
+BLOCK, LANES, TEXT_SLICE, SCORE_SLICE = 160, 32, 500_000, 1_000_000
 SCALE, PRIOR = 12.0, 0.3
 PARTS, STEP_SYMBOLS, LEARNING, FADING, DAMP = 4, 4096, 1.0, 0.95, 8.0
 # Mixed odds are whole multiples of 1 / UNIT; the map has a cell for 2**CELL_BITS of them.
@@ -124,7 +125,7 @@ class Symbols:
         self.slots = [x.astype(np.int32) for x in (two, three >> shift, five >> shift, prefix >> shift)]
 
     def costs(self, a: int, b: int) -> np.ndarray:
-        """Bits that the bytes at positions a to b need beyond their leaves."""
+        """Bits that the bytes at positions a to b need beyond their leaves at the start of a text."""
         return np.append(self.tree.cost, 0.0).take(self.code[a:b])
 
 
@@ -218,29 +219,34 @@ class Mixer:
         self.map = np.tile(1 / (1 + np.exp(-middle)), (LEAVES, 1))
         self.curves = np.zeros((CONTEXTS, GATES))
 
-    def decisions(self, s: Symbols, a: int, b: int) -> tuple:
-        """Decisions per position; node and bit of the decisions of positions a to b."""
-        leaf = s.leaf[a:b]
+    def decisions(self, s: Symbols, at: np.ndarray | slice) -> tuple:
+        """Decisions per position; node and bit of the decisions of these positions."""
+        leaf = s.leaf[at]
         size = self.tree.size.take(leaf)
-        at = ranges_to_bytes(self.tree.start.take(leaf), size)
-        return size, self.tree.node.take(at), self.tree.bit.take(at)
+        path = ranges_to_bytes(self.tree.start.take(leaf), size)
+        return size, self.tree.node.take(path), self.tree.bit.take(path)
 
     def inputs(self, s: Symbols, a: int, b: int) -> tuple:
         """Decisions per position; node, bit, log odds by context and gate of the decisions of positions a to b."""
-        size, node, bit = self.decisions(s, a, b)
+        return self.inputs_at(s, slice(a, b))
+
+    def inputs_at(self, s: Symbols, at: np.ndarray | slice) -> tuple:
+        size, node, bit = self.decisions(s, at)
         x = np.empty((CONTEXTS, len(node)), np.float32)
         for k in range(CONTEXTS):
-            cell = np.repeat(s.slots[k][a:b].astype(np.intp) * LEAVES, size)
+            cell = np.repeat(s.slots[k][at].astype(np.intp) * LEAVES, size)
             cell += node
             np.multiply(self.tables[k].take(cell), np.float32(1 / SCALE), out=x[k])
         return size, node, bit, x, 2 * node + (x[LONGEST] == 0)
 
-    def step(self, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weights: np.ndarray, odds: np.ndarray) -> None:
+    @staticmethod
+    def step(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weights: np.ndarray, odds: np.ndarray) -> None:
         """One online step of the weights, in place, of the gates that the decisions use."""
-        error = bit - 1 / (1 + np.exp(-np.clip(odds, -12, 12)))
-        n = np.bincount(gate, minlength=GATES)
+        error = (bit - 1 / (1 + np.exp(-np.clip(odds, -12, 12)))).astype(np.float32)
+        gates = weights.shape[1]
+        rate = RATE / (1 + np.bincount(gate, minlength=gates) / 32)
         for k in range(CONTEXTS):
-            weights[k] += RATE * np.bincount(gate, error * x[k], GATES) / (1 + n / 32)
+            weights[k] += rate * np.bincount(gate, error * x[k], gates)
 
     @staticmethod
     def _places(node: np.ndarray, odds: np.ndarray) -> np.ndarray:
@@ -249,18 +255,40 @@ class Mixer:
         whole = np.rint(odds * np.float32(UNIT)).astype(np.int32)
         return node * CELLS + ((np.clip(whole, -most, most - 1) + most) >> CELL_BITS)
 
-    def text_bits(self, s: Symbols, a: int, b: int, costs: np.ndarray) -> float:
-        """Cost of the text at positions a to b; weights and map learn after each block."""
-        total, seen, weights = float(s.costs(a, b).sum()), np.zeros(2 * self.map.size), self.weights.copy()
-        for i in range(a, b, BLOCK):
-            _, node, bit, x, gate = self.inputs(s, i, min(i + BLOCK, b))
+    def text_bits(self, s: Symbols, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Cost of the texts at positions `first` to `last`, the longest one first. They go on block by block, side by side;
+        after each block a text's own weights, map and shares of the rarer bytes learn from it."""
+        n, cells, here, total = len(first), 2 * self.map.size, first.copy(), np.zeros(len(first))
+        told = (MAP_PRIOR * np.stack([1 - self.map, self.map], axis=-1)).astype(np.float32).reshape(-1)
+        weights, seen = np.tile(self.weights, n), np.tile(told, n)  # a text's gates and places lie side by side
+        shares, rare = np.tile(MAP_PRIOR * 2.0**-self.tree.cost, n), np.full(n, MAP_PRIOR)
+        while n:
+            upto = np.minimum(here[:n] + BLOCK, last[:n])
+            length = upto - here[:n]
+            at, stop = ranges_to_bytes(here[:n], length), np.cumsum(length)
+            count, node, bit, x, gate = self.inputs_at(s, at)
+            ends = np.cumsum(count)[stop - 1]  # of the decisions of each text
+            many = np.diff(ends, prepend=0)
+            text = np.repeat(np.arange(n), many)
+            gate += text * GATES
             odds = self.mixed(x, gate, weights)
-            place = 2 * self._places(node, odds) + bit
-            total += costs.take(place).sum()
-            if i + BLOCK < b:
-                self.step(x, gate, bit, weights, odds)
-                seen += np.bincount(place, minlength=len(seen))
-                costs = _costs(self._learned(seen))
+            text *= cells
+            own = 2 * self._places(node, odds) + bit + text
+            p = seen.take(own)
+            p /= p + seen.take(own ^ 1)
+            total[:n] -= np.add.reduceat(np.log2(np.clip(p, 1e-6, 1 - 1e-6, out=p)), ends - many)
+            far = np.flatnonzero(s.leaf.take(at) == self.tree.escape)
+            whose = np.searchsorted(stop, far, "right")
+            byte = whose * 256 + s.code.take(at.take(far))
+            total[:n] -= np.bincount(whose, np.log2(shares.take(byte) / rare.take(whose)), n)
+            here[:n] = upto
+            n = int((upto < last[:n]).sum())  # the longer ones stand first
+            if n:
+                used = slice(0, ends[n - 1])
+                self.step(x[:, used], gate[used], bit[used], weights[:, : n * GATES], odds[used])
+                np.add.at(seen, own[used], np.float32(1))
+                np.add.at(shares, byte, 1.0)
+                rare[: len(upto)] += np.bincount(whose, minlength=len(upto))
         return total
 
     @staticmethod
@@ -299,24 +327,12 @@ class Mixer:
         return np.concatenate([used.reshape(-1), n, seen])
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text. Texts of one block have nothing to learn from and are taken together."""
-        s, costs = Symbols(self.tree, data, offsets), _costs(self.map.reshape(-1))
-        size, out, i = np.diff(s.bounds), np.zeros(len(offsets) - 1), 0
-        while i < len(size):
-            if size[i] > BLOCK:
-                out[i] = self.text_bits(s, s.bounds[i], s.bounds[i + 1], costs)
-                i += 1
-                continue
-            j = i + 1
-            while j < len(size) and size[j] <= BLOCK and s.bounds[j + 1] - s.bounds[i] <= TOGETHER:
-                j += 1
-            a, b = s.bounds[i], s.bounds[j]
-            count, node, bit, x, gate = self.inputs(s, a, b)
-            place = 2 * self._places(node, self.mixed(x, gate, self.weights)) + bit
-            # Sum per position first, then per text.
-            per = np.add.reduceat(costs.take(place), np.cumsum(count) - count) + s.costs(a, b)
-            out[i:j] = np.add.reduceat(per, s.bounds[i:j] - a)
-            i = j
+        """Bits of each text; texts of about the same length are taken together."""
+        s = Symbols(self.tree, data, offsets)
+        order, out = np.argsort(-np.diff(s.bounds), kind="stable"), np.zeros(len(offsets) - 1)
+        for i in range(0, len(order), LANES):
+            some = order[i : i + LANES]
+            out[some] = self.text_bits(s, s.bounds[some], s.bounds[some + 1])
         return out
 
 
@@ -345,7 +361,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         tables[r.part, r.k, r.c] = np.frombuffer(r.odds, np.int8)
     tables = tables.reshape(PARTS + 1, CONTEXTS, -1)
     mixer = Mixer(tree, tables[-1].copy())
-    learn_mixing(mixer, texts, shared, [share(spark, t) for t in tables[:-1]])
+    learn_mixing(mixer, texts, shared, [share(spark, _Packed(t)) for t in tables[:-1]])
     return mixer
 
 
@@ -373,7 +389,7 @@ def _learned(tree, tables):
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
             for a, b in slices(offsets, TEXT_SLICE):
-                own = own or Mixer(tree(), tables())
+                own = own or Mixer(tree(), tables().tables())
                 total = total + own.learn(Symbols(own.tree, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
         if own is not None:
             place = np.flatnonzero(total)
@@ -388,20 +404,31 @@ def scored(docs: DataFrame, mixer: Mixer, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = state()
-        own = Mixer(tree(), held.tables)
+        own = Mixer(tree(), held.packed.tables())
         own.weights, own.map = held.weights, held.map
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
-            for a, b in slices(offsets, TEXT_SLICE):
+            for a, b in slices(offsets, SCORE_SLICE):
                 bits = own.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 yield pa.RecordBatch.from_arrays([batch["doc"].slice(a, b - a), batch["tag"].slice(a, b - a), pa.array(bits), pa.array(np.diff(offsets[a : b + 1]))], ["doc", "tag", "bits", "n_bytes"])
 
     return keyed(docs, id_col, text_col).mapInArrow(run, "doc long, tag long, bits double, n_bytes long")
 
 
+class _Packed:
+    """Tables as they travel: a copy of what is broadcast lies on the disk of the driver and of every executor."""
+
+    def __init__(self, tables: np.ndarray):
+        self.shape, self.data = tables.shape, pa.compress(np.ascontiguousarray(tables), codec="zstd", asbytes=True)
+
+    def tables(self) -> np.ndarray:
+        size = int(np.prod(self.shape))
+        return np.frombuffer(pa.decompress(self.data, size, codec="zstd", asbytes=True), np.int8).reshape(self.shape)
+
+
 class _State:
     def __init__(self, mixer: Mixer):
-        self.tables, self.weights, self.map = mixer.tables, mixer.weights, mixer.map
+        self.packed, self.weights, self.map = _Packed(mixer.tables), mixer.weights, mixer.map
 
 
 # ---------------------------------------------------------------- unigram base

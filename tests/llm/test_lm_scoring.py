@@ -189,6 +189,53 @@ def test_score_equals_a_plain_loop(trained):
         assert bits(mixer, [text])[0] == pytest.approx(total, rel=1e-3)
 
 
+def plain_bits(mixer, text):
+    """Cost of a text whose weights and map learn after each block, decision by decision."""
+    s = lm.Symbols(mixer.tree, *text_buffers(pa.array([text])))
+    weights, seen, rare, total = mixer.weights.astype(float), np.zeros((lm.LEAVES, lm.CELLS, 2)), Counter(), 0.0
+    most = lm.CELLS * 2**lm.CELL_BITS // 2
+    for a in range(0, len(s.leaf), lm.BLOCK):
+        slope, n, met = np.zeros((lm.CONTEXTS, lm.GATES)), np.zeros(lm.GATES), []
+        escaped = [int(s.code[i]) for i in range(a, min(a + lm.BLOCK, len(s.leaf))) if s.leaf[i] == mixer.tree.escape]
+        for c in escaped:
+            total -= math.log2((lm.MAP_PRIOR * 2.0 ** -mixer.tree.cost[c] + rare[c]) / (lm.MAP_PRIOR + rare.total()))
+        rare.update(escaped)
+        for i in range(a, min(a + lm.BLOCK, len(s.leaf))):
+            path = slice(mixer.tree.start[s.leaf[i]], mixer.tree.start[s.leaf[i]] + mixer.tree.size[s.leaf[i]])
+            for node, bit in zip(mixer.tree.node[path].tolist(), mixer.tree.bit[path].tolist(), strict=True):
+                x = np.array([mixer.tables[k][int(s.slots[k][i]) * lm.LEAVES + node] / lm.SCALE for k in range(lm.CONTEXTS)])
+                gate = 2 * node + int(x[lm.LONGEST] == 0)
+                odds = float(x @ weights[:, gate])
+                cell = (min(max(int(np.rint(odds * lm.UNIT)), -most), most - 1) + most) >> lm.CELL_BITS
+                zero, one = seen[node, cell]
+                p = (lm.MAP_PRIOR * mixer.map[node, cell] + one) / (lm.MAP_PRIOR + zero + one)
+                total -= math.log2(min(max(p if bit else 1 - p, 1e-6), 1 - 1e-6))
+                slope[:, gate] += (bit - 1 / (1 + math.exp(-min(max(odds, -12), 12)))) * x
+                n[gate] += 1
+                met.append((node, cell, bit))
+        weights += lm.RATE * slope / (1 + n / 32)
+        for place in met:
+            seen[place] += 1
+    return total
+
+
+def test_texts_of_every_length_learn_while_they_are_scored(trained, monkeypatch):
+    """Far below 4,096 symbols, and together with texts that end earlier or later."""
+    _, mixer = trained
+    texts = [prose(700, 100), "x", prose(701, 40), prose(702, 330), "", prose(703, 60) + "zq" * 200]
+    got = bits(mixer, texts)
+    assert max(map(len, texts)) < 4096 and np.allclose(got, [plain_bits(mixer, t) for t in texts], rtol=1e-3)
+    monkeypatch.setattr(lm, "RATE", 0.0)
+    longer = np.array([len(t) >= lm.BLOCK for t in texts])
+    assert ((abs(bits(mixer, texts) - got) > 1e-6) == longer).all()
+
+
+def test_tables_travel_compressed(trained):
+    _, mixer = trained
+    packed = lm._Packed(mixer.tables)
+    assert (packed.tables() == mixer.tables).all() and len(packed.data) < mixer.tables.size / 2
+
+
 def test_odd_rows_and_no_training(spark, trained):
     docs, mixer = trained
     out = lm.scored(frame(spark), mixer).collect()
