@@ -96,3 +96,27 @@ def test_leading_terms_query_shape(spark):
 def test_no_vocabulary(spark):
     with pytest.raises(ValueError):
         topics.begin(table(spark, [(1, "alone"), (2, None)]))
+
+
+def test_a_round_shuffles_masses_and_no_counts(spark):
+    """Three shuffles: masses to their buckets, to the slices and back. Counts and terms are read where they lie."""
+    model = topics.refine(topics.begin(table(spark, corpus()), k=2))
+    plan = topics._summed(model)._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 3 and "Bucketed: true" in plan
+
+
+def test_topics_do_not_depend_on_slices(spark):
+    """Also with ids that are repeated or missing."""
+    rows = corpus(24) + [(3, "seaa seab breada"), (None, "seac rareaa"), (None, "breadb the"), (950, "1 2 3")]
+    found = []
+    for chars in (topics.SLICE_CHARS, 300):
+        model = topics.begin(table(spark, rows), k=3, slice_chars=chars)
+        for _ in range(2):
+            model = topics.refine(model)
+        found.append((model, {(kind, r.key): [r.m0, r.m1, r.m2] for kind in (topics.DOC, topics.TERM) for r in model.side(kind).collect()}))
+    (one, a), (two, b) = found
+    assert one.packed.select("place").distinct().count() < two.packed.select("place").distinct().count()
+    assert a.keys() == b.keys() and (topics.DOC, "") in a and (topics.DOC, "950") not in a
+    assert all(abs(x - y) < 1e-6 for key in a for x, y in zip(a[key], b[key], strict=True))
+    tokens = {r.key: r.tokens for r in one.of_documents().collect()}
+    assert tokens["3"] == pytest.approx(sum(r.n for r in one.cells.where("doc = '3'").join(one.side(topics.TERM).selectExpr("key AS term"), "term").collect()))
