@@ -8,7 +8,9 @@ that context's log odds. The odds are mixed with weights chosen by a gate (the t
 longest context is known there), and refined by an adaptive map from (node, mixed odds) to probability. The
 weights and the map are learned over all training texts. They go on learning within every text, after each block of
 `BLOCK` symbols, as do the shares of the rarer bytes. Every text begins from the same state and has weights and a map of its
-own, so its score does not depend on its neighbours; `LANES` texts of about the same length are walked side by side.
+own, so its score does not depend on its neighbours; `LANES` texts are walked side by side, and a lane that is through with its text takes the next one.
+Decisions are taken node by node: positions in the order of their leaves' paths have those below a node in one range, and a row of
+a table is read in pieces of `WORD` nodes that lie together in the tree.
 
 Fitting: symbols and context rows are counted over all training texts, whatever their number and length
 (map-side arrays, summed in two rounds, the first one salted); the tables have a fixed size (`SLOTS` x 64
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER, SPACE, Words, crc_fold, given_id, grouped, keyed, mix, partitions, ranges_to_bytes, runs, share, slices, text_buffers
+from millrace.llm.common import LOWER, SPACE, Words, crc_fold, given_id, grouped, keyed, mix, partitions, runs, share, slices, text_buffers
 from millrace.session import written
 
-LEAVES, SLOTS, CHUNK = 64, 1 << 16, 1024
+LEAVES, SLOTS, CHUNK, WORD = 64, 1 << 16, 1024, 8
+WORD_BITS = (LEAVES // WORD).bit_length() - 1
 CONTEXTS, LONGEST, GATES = 4, 2, 2 * LEAVES
-BLOCK, LANES, TEXT_SLICE, SCORE_SLICE = 160, 32, 500_000, 1_000_000
+BLOCK, LANES, TEXT_SLICE, SCORE_SLICE, SYMBOL_SLICE = 160, 64, 500_000, 4_000_000, 50_000
 SCALE, PRIOR = 12.0, 0.3
 PARTS, STEP_SYMBOLS, LEARNING, FADING, DAMP = 4, 4096, 1.0, 0.95, 8.0
 # Mixed odds are whole multiples of 1 / UNIT; the map has a cell for 2**CELL_BITS of them.
@@ -51,6 +54,7 @@ SALT = 16
 BUCKETS_PER_PARTITION = 8
 END = 256
 _SYMBOL = mix(np.arange(1, LEAVES + 1, dtype=np.uint64)).astype(np.uint32)
+_BITS = np.tile(np.arange(2), LEAVES - 1)
 _POWER = np.cumprod(np.full(4096, 0x9E3779B1, np.uint32), dtype=np.uint32)
 
 
@@ -69,39 +73,82 @@ class Tree:
         self.blank[0] = True
         self.blank[self.leaf[SPACE & (self.leaf != self.escape)]] = True
         self.of = np.append(self.leaf, np.int32(self.end))  # by code: a byte, or END
-        self.mark = np.where(self.blank, np.uint32(0), _SYMBOL)
+        self.mark = np.where(self.blank, np.uint32(0), _SYMBOL).take(self.of)
+        self.parts = self.blank.take(self.of)
         weight = np.append(counts[common], counts[rare].sum())
         heap = [(int(w) + 1, i, i + 1) for i, w in enumerate(weight)] + [(int(counts.sum()) // 1000 + 1, len(weight), 0)]
         heapq.heapify(heap)
         below: dict[int, list[int]] = {i: [i] for i in range(LEAVES)}
         paths: list[list[tuple[int, int]]] = [[] for _ in range(LEAVES)]
-        self.zero, self.one = np.zeros((LEAVES, LEAVES), np.float64), np.zeros((LEAVES, LEAVES), np.float64)
+        inner: list[tuple] = []  # of a node, its weight and the nodes right below it
         for node in range(LEAVES - 1):
             (wa, _, a), (wb, _, b) = heapq.heappop(heap), heapq.heappop(heap)
-            for bit, child, table in ((0, a, self.zero), (1, b, self.one)):
+            for bit, child in ((0, a), (1, b)):
                 for leaf in below[child]:
                     paths[leaf].append((node, bit))
-                    table[leaf, node] = 1
             below[LEAVES + node] = below[a] + below[b]
+            inner.append((wa + wb, [x - LEAVES for x in (a, b) if x >= LEAVES]))
             heapq.heappush(heap, (wa + wb, LEAVES + node, LEAVES + node))
+        pieces = _pieces(inner)
+        number = {node: i for i, node in enumerate(sum(pieces, []))}
+        paths = [[(number[node], bit) for node, bit in path] for path in paths]
+        self.zero, self.one = np.zeros((LEAVES, LEAVES), np.float64), np.zeros((LEAVES, LEAVES), np.float64)
+        for leaf, path in enumerate(paths):
+            for node, bit in path:
+                (self.one if bit else self.zero)[leaf, node] = 1
         self.size = np.array([len(p) for p in paths], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.node = np.array([n for p in paths for n, _ in p], np.intp)
         self.bit = np.array([b for p in paths for _, b in p], np.intp)
+        # In the order of their paths from the root, the leaves below a node stand together: from `low` to `high`, those with bit 1 from `middle`.
+        order = sorted(range(LEAVES), key=lambda leaf: [b for _, b in reversed(paths[leaf])])
+        self.rank = np.argsort(order).astype(np.uint8)
+        spans = [[[int(self.rank[leaf]) for leaf in np.flatnonzero(table[:, node])] for table in (self.zero, self.one)] for node in range(LEAVES - 1)]
+        self.low, self.middle, self.high = np.array([(min(z), min(o), max(o) + 1) for z, o in spans], np.intp).T
+        # Nodes that are read together: of one piece of the tree, and in the same `WORD` bytes of a row.
+        groups: dict[tuple, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            for node in piece:
+                groups.setdefault((i, number[node] // WORD), []).append(number[node])
+        self.read = [(word, int(self.low[nodes].min()), int(self.high[nodes].max()), nodes) for (_, word), nodes in groups.items()]
+
+
+def _pieces(inner: list[tuple]) -> list[list[int]]:
+    """The nodes as connected pieces of up to `WORD` nodes, the heaviest ones together and whole pieces first."""
+    tops, pieces = [(-inner[-1][0], len(inner) - 1)], []
+    while tops:
+        near, piece = [heapq.heappop(tops)], []
+        while near and len(piece) < WORD:
+            _, node = heapq.heappop(near)
+            piece.append(node)
+            for child in inner[node][1]:
+                heapq.heappush(near, (-inner[child][0], child))
+        for top in near:
+            heapq.heappush(tops, top)
+        pieces.append(piece)
+    return sorted(pieces, key=len, reverse=True)
 
 
 class Symbols:
     """Texts as leaves, each followed by the end, with the context rows of every position."""
 
     def __init__(self, tree: Tree, data: np.ndarray, offsets: np.ndarray):
-        n = len(offsets) - 1
         self.tree, self.bounds = tree, np.append(0, np.cumsum(np.diff(offsets) + 1))
-        total = len(data) + n
-        self.code = np.full(total, END, np.uint16)
-        self.code[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets))] = data
-        self.leaf = tree.of.take(self.code)
+        self.code, self.leaf = np.empty(self.bounds[-1], np.uint16), np.empty(self.bounds[-1], np.uint8)
+        self.rows = np.empty((self.bounds[-1], CONTEXTS), np.int32)  # of a position side by side: where rows begin, in words
+        for a, b in slices(offsets, SYMBOL_SLICE):  # no more at once than caches hold
+            self._fill(data[offsets[a] : offsets[b]], np.diff(offsets[a : b + 1]), self.bounds[a : b + 1])
+
+    def _fill(self, data: np.ndarray, length: np.ndarray, bounds: np.ndarray) -> None:
+        tree, part = self.tree, slice(bounds[0], bounds[-1])
+        bounds = bounds - bounds[0]
+        total = bounds[-1]
+        code, inside = np.full(total, END, np.intp), np.ones(total, bool)
+        inside[bounds[1:] - 1] = False
+        code[inside] = data
+        leaf = tree.of.take(code, mode="clip")
         one, five = np.zeros(total, np.uint32), np.zeros(total, np.uint32)  # the five symbols before, the last one lowest
-        one[1:] = self.leaf[:-1]
+        one[1:] = leaf[:-1]
         five[:] = one
         five[1:] |= one[:-1] << np.uint32(6)
         five[2:] |= five[:-2] << np.uint32(12)
@@ -109,20 +156,29 @@ class Symbols:
         five[4:] |= one[:-4] << np.uint32(24)
         # Before a text stand ends only (leaf 0), not the text before.
         for j in range(5):
-            at = self.bounds[:-1] + j
-            five[at[at < self.bounds[1:]]] &= np.uint32((1 << 6 * j) - 1)
-        index = np.arange(total, dtype=np.int32)
-        word = np.zeros(total, np.int32)  # first position after the last blank
-        word[1:] = np.maximum.accumulate(np.where(tree.blank.take(self.leaf), index + np.int32(1), np.int32(0)))[:-1]
+            at = bounds[:-1] + j
+            five[at[at < bounds[1:]]] &= np.uint32((1 << 6 * j) - 1)
+        index = np.arange(total + 1)
+        word = np.zeros(total, np.intp)  # first position after the last blank
+        np.maximum.accumulate((index[1:] * tree.parts.take(code, mode="clip"))[:-1], out=word[1:])
         summed = np.zeros(total + 1, np.uint32)
-        np.cumsum(tree.mark.take(self.leaf) * _POWER.take((index - word) & 4095), out=summed[1:])
-        prefix = summed[:-1] - summed.take(word)
+        index = index[:-1] - word
+        index &= 4095
+        np.cumsum(tree.mark.take(code, mode="clip") * _POWER.take(index, mode="clip"), out=summed[1:])
+        prefix = summed[:-1] - summed.take(word, mode="clip")
         two = five & np.uint32((1 << 12) - 1)
         three = (five & np.uint32((1 << 18) - 1)) * np.uint32(0x9E3779B1)
         five *= np.uint32(0x9E3779B1)
         prefix = (prefix ^ (prefix >> np.uint32(15))) * np.uint32(0x85EBCA6B)
         shift = np.uint32(32 - SLOTS.bit_length() + 1)
-        self.slots = [x.astype(np.int32) for x in (two, three >> shift, five >> shift, prefix >> shift)]
+        self.code[part], self.leaf[part] = code, leaf
+        for k, x in enumerate((two, three >> shift, five >> shift, prefix >> shift)):
+            np.add(x << np.uint32(WORD_BITS), np.uint32(k * SLOTS << WORD_BITS), out=self.rows[part, k], casting="unsafe")
+
+    @cached_property
+    def slots(self) -> np.ndarray:
+        """Context rows by context and position."""
+        return (self.rows.T >> WORD_BITS) & (SLOTS - 1)
 
     def costs(self, a: int, b: int) -> np.ndarray:
         """Bits that the bytes at positions a to b need beyond their leaves at the start of a text."""
@@ -141,7 +197,7 @@ def _symbol_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _context_counts(tree, part: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts, any_row = tree(), [np.zeros(SLOTS * LEAVES, np.uint32) for _ in range(CONTEXTS)], False
+        own, counts, any_row = tree(), np.zeros((CONTEXTS, SLOTS * LEAVES), np.uint32), False
         one = np.uint32(1)
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
@@ -149,7 +205,9 @@ def _context_counts(tree, part: int):
                 s = Symbols(own, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 any_row = True
                 for k in range(CONTEXTS):
-                    np.add.at(counts[k], s.slots[k].astype(np.intp) * LEAVES + s.leaf, one)
+                    cell = s.rows[:, k] * np.intp(WORD)
+                    cell += s.leaf
+                    np.add.at(counts.reshape(-1), cell, one)
         if any_row:
             salt = TaskContext.get().partitionId() % SALT
             for k in range(CONTEXTS):
@@ -218,33 +276,51 @@ class Mixer:
         middle = ((np.arange(CELLS) + 0.5 - CELLS / 2) * 2**CELL_BITS) / UNIT
         self.map = np.tile(1 / (1 + np.exp(-middle)), (LEAVES, 1))
         self.curves = np.zeros((CONTEXTS, GATES))
-
-    def decisions(self, s: Symbols, at: np.ndarray | slice) -> tuple:
-        """Decisions per position; node and bit of the decisions of these positions."""
-        leaf = s.leaf[at]
-        size = self.tree.size.take(leaf)
-        path = ranges_to_bytes(self.tree.start.take(leaf), size)
-        return size, self.tree.node.take(path), self.tree.bit.take(path)
+        self.escaped = int(tree.rank[tree.escape])
 
     def inputs(self, s: Symbols, a: int, b: int) -> tuple:
-        """Decisions per position; node, bit, log odds by context and gate of the decisions of positions a to b."""
-        return self.inputs_at(s, slice(a, b))
-
-    def inputs_at(self, s: Symbols, at: np.ndarray | slice) -> tuple:
-        size, node, bit = self.decisions(s, at)
-        x = np.empty((CONTEXTS, len(node)), np.float32)
-        for k in range(CONTEXTS):
-            cell = np.repeat(s.slots[k][at].astype(np.intp) * LEAVES, size)
-            cell += node
-            np.multiply(self.tables[k].take(cell), np.float32(1 / SCALE), out=x[k])
-        return size, node, bit, x, 2 * node + (x[LONGEST] == 0)
+        """First decision of each node that has some; node, bit, log odds by context (times `SCALE`) and gate of the decisions of positions a to b."""
+        _, _, spans, *found = self.inputs_at(s, np.arange(a, b))
+        return np.array([start for _, start, _, _ in spans]), *found
+
+    def inputs_at(self, s: Symbols, at: np.ndarray, lane: np.ndarray | None = None, lanes: int = 1) -> tuple:
+        """The positions in the order of their leaves' paths; where leaves begin in it; by node that has decisions: the node, where they
+        begin, and the range of their positions; and node, bit, log odds and gate of the decisions, node by node. If texts
+        lie in `lanes`, each has nodes and gates of its own: those of a tree node stand side by side."""
+        tree = self.tree
+        rank = tree.rank.take(s.leaf.take(at, mode="clip"), mode="clip")
+        order, upto = np.argsort(rank, kind="stable"), np.append(0, np.cumsum(np.bincount(rank, minlength=LEAVES)))
+        low, middle, high = upto.take(tree.low), upto.take(tree.middle), upto.take(tree.high)
+        size = high - low
+        bit = np.repeat(_BITS, np.stack([middle - low, high - middle], axis=1).reshape(-1))
+        rows = s.rows.view(np.complex128).reshape(-1).take(at.take(order, mode="clip"), mode="clip").view(np.int32).reshape(-1, CONTEXTS)
+        first = rows.T.astype(np.intp, order="C")
+        words = self.tables.reshape(-1).view(np.int64)
+        x = np.empty((CONTEXTS, len(bit)), np.float32)
+        node = np.repeat(np.arange(LEAVES - 1) * lanes, size)
+        if lane is not None:
+            lane = lane.take(order, mode="clip")
+        spans = list(zip(range(LEAVES - 1), (np.cumsum(size) - size).tolist(), low.tolist(), high.tolist(), strict=True))
+        for word, least, most, nodes in tree.read:
+            begin, stop = int(upto[least]), int(upto[most])
+            if begin < stop:
+                found = words.take(first[:, begin:stop] + word, mode="clip").view(np.int8).reshape(CONTEXTS, stop - begin, WORD)
+                for i in nodes:
+                    _, a, b, c = spans[i]
+                    if b < c:
+                        x[:, a : a + c - b] = found[:, b - begin : c - begin, i % WORD]
+                        if lane is not None:
+                            node[a : a + c - b] += lane[b:c]
+        spans = [span for span in spans if span[2] < span[3]]
+        gate = 2 * node
+        gate += x[LONGEST] == 0
+        return order, upto, spans, node, bit, x, gate
 
     @staticmethod
     def step(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weights: np.ndarray, odds: np.ndarray) -> None:
         """One online step of the weights, in place, of the gates that the decisions use."""
-        error = (bit - 1 / (1 + np.exp(-np.clip(odds, -12, 12)))).astype(np.float32)
-        gates = weights.shape[1]
-        rate = RATE / (1 + np.bincount(gate, minlength=gates) / 32)
+        error, gates = bit.astype(np.float32) - _probability(odds), weights.shape[1]
+        rate = RATE / SCALE / (1 + np.bincount(gate, minlength=gates) / 32)
         for k in range(CONTEXTS):
             weights[k] += rate * np.bincount(gate, error * x[k], gates)
 
@@ -252,50 +328,78 @@ class Mixer:
     def _places(node: np.ndarray, odds: np.ndarray) -> np.ndarray:
         """Place in the map of decisions with these mixed odds."""
         most = CELLS * 2**CELL_BITS // 2  # beyond, odds count as the map's last cell
-        whole = np.rint(odds * np.float32(UNIT)).astype(np.int32)
-        return node * CELLS + ((np.clip(whole, -most, most - 1) + most) >> CELL_BITS)
+        whole = odds * np.float32(UNIT)
+        np.clip(np.rint(whole, out=whole), -most, most - 1, out=whole)
+        whole += most
+        cell = whole.astype(np.int32)
+        cell >>= CELL_BITS
+        place = node * CELLS
+        place += cell
+        return place
 
     def text_bits(self, s: Symbols, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Cost of the texts at positions `first` to `last`, the longest one first. They go on block by block, side by side;
-        after each block a text's own weights, map and shares of the rarer bytes learn from it."""
-        n, cells, here, total = len(first), 2 * self.map.size, first.copy(), np.zeros(len(first))
-        told = (MAP_PRIOR * np.stack([1 - self.map, self.map], axis=-1)).astype(np.float32).reshape(-1)
-        weights, seen = np.tile(self.weights, n), np.tile(told, n)  # a text's gates and places lie side by side
-        shares, rare = np.tile(MAP_PRIOR * 2.0**-self.tree.cost, n), np.full(n, MAP_PRIOR)
-        while n:
-            upto = np.minimum(here[:n] + BLOCK, last[:n])
-            length = upto - here[:n]
-            at, stop = ranges_to_bytes(here[:n], length), np.cumsum(length)
-            count, node, bit, x, gate = self.inputs_at(s, at)
-            ends = np.cumsum(count)[stop - 1]  # of the decisions of each text
-            many = np.diff(ends, prepend=0)
-            text = np.repeat(np.arange(n), many)
-            gate += text * GATES
-            odds = self.mixed(x, gate, weights)
-            text *= cells
-            own = 2 * self._places(node, odds) + bit + text
-            p = seen.take(own)
-            p /= p + seen.take(own ^ 1)
-            total[:n] -= np.add.reduceat(np.log2(np.clip(p, 1e-6, 1 - 1e-6, out=p)), ends - many)
-            far = np.flatnonzero(s.leaf.take(at) == self.tree.escape)
-            whose = np.searchsorted(stop, far, "right")
-            byte = whose * 256 + s.code.take(at.take(far))
-            total[:n] -= np.bincount(whose, np.log2(shares.take(byte) / rare.take(whose)), n)
-            here[:n] = upto
-            n = int((upto < last[:n]).sum())  # the longer ones stand first
-            if n:
-                used = slice(0, ends[n - 1])
-                self.step(x[:, used], gate[used], bit[used], weights[:, : n * GATES], odds[used])
-                np.add.at(seen, own[used], np.float32(1))
-                np.add.at(shares, byte, 1.0)
-                rare[: len(upto)] += np.bincount(whose, minlength=len(upto))
+        """Cost of the texts at positions `first` to `last`. They go on block by block in up to `LANES` lanes, side by side; a lane that is through with its text takes
+        the next one. After each block a text's own weights, map and shares of the rarer bytes learn from it."""
+        total, lanes = np.zeros(len(first)), min(LANES, len(first))
+        # What a text begins with; the lanes of a node stand side by side.
+        start = np.ascontiguousarray(self.weights.T).reshape(LEAVES, 1, 2, CONTEXTS)
+        told = (MAP_PRIOR * np.stack([1 - self.map, self.map], axis=-1)).astype(np.float32).reshape(LEAVES, 1, -1)
+        usual, ahead = MAP_PRIOR * 2.0**-self.tree.cost, np.arange(BLOCK)[:, None]
+        weights, seen, shares, rare = np.repeat(start, lanes, 1), np.repeat(told, lanes, 1), np.tile(usual, (lanes, 1)), np.full(lanes, MAP_PRIOR)
+        text, following = np.arange(lanes), lanes
+        here, end = first[:lanes].copy(), last[:lanes].copy()
+        while lanes:
+            upto = np.minimum(here + BLOCK, end)
+            at = here + ahead  # first symbols of all texts, then second ones
+            within = np.flatnonzero(at < upto)
+            at, lane = at.reshape(-1).take(within, mode="clip"), within % lanes
+            order, ranks, spans, node, bit, x, gate = self.inputs_at(s, at, lane, lanes)
+            lane = lane.take(order, mode="clip")
+            mixing = weights.reshape(-1, CONTEXTS).T
+            odds = self.mixed(x, gate, mixing)
+            own = self._places(node, odds)
+            own *= 2
+            own += bit
+            counts = seen.reshape(-1)
+            p = counts.take(own, mode="clip")
+            p /= p + counts.take(own ^ 1, mode="clip")
+            np.log2(np.clip(p, 1e-6, 1 - 1e-6, out=p), out=p)
+            cost = np.zeros(len(at), np.float32)  # of a position, all its decisions
+            for _, i, j, k in spans:
+                cost[j:k] += p[i : i + k - j]
+            bits = np.bincount(lane, cost, lanes)
+            far = slice(*ranks[self.escaped : self.escaped + 2])
+            whose = lane[far]
+            byte = whose * 256 + s.code.take(at.take(order[far]))
+            bits += np.bincount(whose, np.log2(shares.reshape(-1).take(byte) / rare.take(whose)), lanes)
+            total[text] -= bits
+            through, here = np.flatnonzero((upto == end) & (here < end)), upto
+            alive = here < end
+            if alive.any():
+                self.step(x, gate, bit, mixing, odds)
+                np.add.at(counts, own, np.float32(1))
+                np.add.at(shares.reshape(-1), byte, 1.0)
+                rare += np.bincount(whose, minlength=lanes)
+            fresh = through[: len(first) - following]
+            if len(fresh):
+                text[fresh] = np.arange(following, following + len(fresh))
+                here[fresh], end[fresh], alive[fresh] = first[text[fresh]], last[text[fresh]], True
+                weights[:, fresh], seen[:, fresh], shares[fresh], rare[fresh] = start, told, usual, MAP_PRIOR
+                following += len(fresh)
+            if 2 * alive.sum() <= lanes:
+                text, here, end, shares, rare = (v[alive] for v in (text, here, end, shares, rare))
+                weights, seen, lanes = weights.compress(alive, 1), seen.compress(alive, 1), len(text)
         return total
 
     @staticmethod
     def mixed(x: np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        odds = x[0] * weights[0].take(gate)
+        """Mixed odds. The weights of a gate are taken at once, as one item of 16 bytes."""
+        items = np.ascontiguousarray(weights.T).view(np.complex128).reshape(-1)
+        taken = items.take(gate, mode="clip").view(np.float32).reshape(-1, CONTEXTS)
+        odds = x[0] * taken[:, 0]
         for k in range(1, CONTEXTS):
-            odds += x[k] * weights[k].take(gate)
+            odds += x[k] * taken[:, k]
+        odds *= np.float32(1 / SCALE)
         return odds
 
     def _learned(self, seen: np.ndarray) -> np.ndarray:
@@ -307,35 +411,55 @@ class Mixer:
         """Go over all positions once, learning weights on the way: after each `STEP_SYMBOLS` they move along the slope of
         the log likelihood, by no more than what its curvature of late allows. Returns, laid end to
         end, the weights times the decisions they were used for, these decisions by gate, and the decisions by place in the map and bit."""
-        used, n, seen = np.zeros((CONTEXTS, GATES)), np.zeros(GATES), np.zeros(2 * self.map.size)
+        used, n, seen = np.zeros((CONTEXTS, GATES)), np.zeros(GATES), np.zeros(2 * self.map.size, np.int64)
         for a in range(0, len(s.leaf), STEP_SYMBOLS):
-            _, node, bit, x, gate = self.inputs(s, a, min(a + STEP_SYMBOLS, len(s.leaf)))
+            first, node, bit, x, gate = self.inputs(s, a, min(a + STEP_SYMBOLS, len(s.leaf)))
             odds = self.mixed(x, gate, self.weights)
-            seen += np.bincount(2 * self._places(node, odds) + bit, minlength=len(seen))
-            p = 1 / (1 + np.exp(-np.clip(odds, -12, 12)))
-            error, many = bit.astype(np.float32) - p, np.bincount(gate, minlength=GATES)
-            used += self.weights * many
-            n += many
+            place = self._places(node, odds)
+            place *= 2
+            place += bit
+            seen += np.bincount(place, minlength=len(seen))
+            p = _probability(odds)
+            error = bit.astype(np.float32)
+            error -= p
             # |x_k| times the sum of all |x| bounds the curvature, whatever the contexts share.
-            size = np.abs(x)
-            bent = p * (1 - p) * size.sum(0)
-            self.curves *= FADING
-            for k in range(CONTEXTS):
-                self.curves[k] += np.bincount(gate, bent * size[k], GATES)
-            for k in range(CONTEXTS):
-                self.weights[k] += LEARNING * np.bincount(gate, error * x[k], GATES) / (self.curves[k] + DAMP)
+            sums = np.empty((2 * CONTEXTS, len(node)), np.float32)
+            most = np.abs(x, out=sums[CONTEXTS:])
+            bent = most[0] + most[1]
+            for k in range(2, CONTEXTS):
+                bent += most[k]
+            bent *= p
+            bent *= np.subtract(1, p, out=p)
+            most *= bent
+            np.multiply(x, error, out=sums[:CONTEXTS])
+            # A node has two gates: the unknown decisions, few as a rule, are summed first, the others as they stand, node by node.
+            unknown = np.flatnonzero(x[LONGEST] == 0)
+            theirs, gates = gate.take(unknown), 2 * node[first]
+            found = np.array([np.bincount(theirs, v, GATES) for v in [np.ones(len(unknown)), *sums.take(unknown, axis=1)]])
+            sums[:, unknown] = 0
+            found[0, gates] = np.diff(first, append=len(node)) - found[0, gates + 1]
+            found[1:, gates] = np.add.reduceat(sums, first, axis=1)
+            used += self.weights * found[0]
+            n += found[0]
+            self.curves = FADING * self.curves + found[1 + CONTEXTS :] / SCALE**2
+            self.weights += LEARNING / SCALE * found[1 : 1 + CONTEXTS] / (self.curves + DAMP)
         return np.concatenate([used.reshape(-1), n, seen])
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text; texts of about the same length are taken together."""
+        """Bits of each text; the longest ones are begun first."""
         s = Symbols(self.tree, data, offsets)
         order, out = np.argsort(-np.diff(s.bounds), kind="stable"), np.zeros(len(offsets) - 1)
-        for i in range(0, len(order), LANES):
-            some = order[i : i + LANES]
-            out[some] = self.text_bits(s, s.bounds[some], s.bounds[some + 1])
+        out[order] = self.text_bits(s, s.bounds[order], s.bounds[order + 1])
         return out
 
 
+def _probability(odds: np.ndarray) -> np.ndarray:
+    p = np.clip(odds, -12, 12)
+    np.exp(np.negative(p, out=p), out=p)
+    p += 1
+    return np.divide(1, p, out=p)
+
+
 def _costs(probability: np.ndarray) -> np.ndarray:
     """Bits of a 0 and of a 1 at every place of the map."""
     p = np.clip(probability, 1e-6, 1 - 1e-6)

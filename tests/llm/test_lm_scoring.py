@@ -230,6 +230,18 @@ def test_texts_of_every_length_learn_while_they_are_scored(trained, monkeypatch)
     assert ((abs(bits(mixer, texts) - got) > 1e-6) == longer).all()
 
 
+def test_a_lane_that_is_through_takes_the_next_text(trained, monkeypatch):
+    """One long text beside twelve short ones: no more blocks are walked than the long one has, and scores stay the plain ones."""
+    _, mixer = trained
+    texts = [prose(800, 500)[: 12 * lm.BLOCK - 1], *(prose(801 + i, 100)[: 2 * lm.BLOCK - 1] for i in range(12))]
+    blocks, walk = [], lm.Mixer.inputs_at
+    monkeypatch.setattr(lm, "LANES", 4)
+    monkeypatch.setattr(lm.Mixer, "inputs_at", lambda *a: (blocks.append(1), walk(*a))[1])
+    got = bits(mixer, texts)
+    assert [-(-(len(t) + 1) // lm.BLOCK) for t in texts] == [12, *[2] * 12] and len(blocks) == 12
+    assert np.allclose(got, [plain_bits(mixer, t) for t in texts], rtol=1e-3)
+
+
 def test_tables_travel_compressed(trained):
     _, mixer = trained
     packed = lm._Packed(mixer.tables)
