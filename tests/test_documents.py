@@ -7,7 +7,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from millrace.operators import documents as dx
+from millrace.operators import blocks, documents as dx
 from millrace.plans import documents as plans, large
 from tests.conftest import rows
 
@@ -237,3 +237,31 @@ def test_texts_are_read_once_for_languages(spark, tmp_path):
     tables.docs = tables.docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").when(F.col("doc_id") % 3 == 0, "de"))
     plans.language_guess(tables).collect()
     assert len(path.read_text()) == 40
+
+
+def test_key_phrases_in_blocks(spark, monkeypatch):
+    """Blocks of few terms and many slices give the rows of the plan by text, and store leading phrases only."""
+    words = lambda i, n: " ".join(f"{chr(97 + (i * 7 + j * j) % 26)}{chr(97 + (i + j * 11) % 26)}{chr(233 + j % 13)}" for j in range(n))
+    texts = [(i, words(i, 10 * (i % 9))) for i in range(40)] + [(100 + i, words(i, 60)) for i in (3, 3, 5)] + [(200, words(70, 50)), (200, words(71, 50)), (None, words(9, 80)), (None, words(9, 80)), (300, "zz yy " * 30 + words(80, 60))]
+    docs = spark.createDataFrame([*texts, (400, None), (401, ""), (402, "one"), (403, "A a, a")], "doc_id long, text string").repartition(4)
+    stored, real = {}, blocks.written
+
+    def written(df, label):
+        out = real(df, label)
+        stored[label] = out.count()
+        return out
+
+    want = rows(dx.key_phrases(docs, 3))
+    monkeypatch.setattr(dx, "PLAIN_CHARACTERS", 0)
+    monkeypatch.setattr(dx, "written", written)
+    monkeypatch.setattr(blocks, "written", written)
+    for terms, bits in ((1 << 19, 8), (100, 2), (1, 0)):
+        monkeypatch.setattr(blocks, "BLOCK_TERMS", terms)
+        monkeypatch.setattr(blocks, "LEAST_BITS", bits)
+        assert rows(dx.key_phrases(docs, 3)) == want
+    assert set(stored) == {"blocks", "leading"} and stored["blocks"] > 40
+    assert stored["leading"] < 1.5 * 3 * docs.count() < dx.phrase_counts(docs).count()
+    none = docs.where("doc_id = 400")
+    assert dx.key_phrases(none).count() == 0 and dx.key_phrases(docs.where("doc_id = 403")).count() == 1
+    monkeypatch.setattr(dx, "PLAIN_CHARACTERS", -1)
+    assert dx.key_phrases(none).count() == 0 and dx.key_phrases(docs.limit(0)).schema == dx.key_phrases(docs).schema
