@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
+from millrace.operators.blocks import batches_of, pieces
 from millrace.operators.relational import BROADCAST_ROWS, lookup_join
 from millrace.session import written
 
@@ -30,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bits of a bitmap: so many a run, within these limits.
 BITS, LEAST_BITS, MOST_BITS = 32, 1 << 16, 1 << 28
+# Terms that are counted at once, and rows that are handed over at once.
+PIECE_TERMS, ROWS = 1 << 18, 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,6 +50,14 @@ def _flat(batch: pa.RecordBatch) -> tuple:
     return batch["terms"].flatten(), batch["hashes"].flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(size)), size)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `PIECE_TERMS` terms, or of one longer row: the memory of a task does not follow the lengths of its texts."""
+    for batch in batches:
+        size = pc.list_value_length(batch["terms"]).to_numpy(zero_copy_only=False)
+        for first, last in pieces(size, PIECE_TERMS):
+            yield batch.slice(first, last - first)
+
+
 def _set(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     at = hashed & np.uint64(64 * len(bitmap) - 1)
     return (bitmap.take((at >> np.uint64(6)).astype(np.int64)) >> (at & np.uint64(63))) & np.uint64(1) > 0
@@ -56,7 +67,7 @@ def _counted(length: int, bitmap=None, of: int = 0, doc: str | None = None):
     """Runs of `length` terms whose runs of `of` terms are all in the bitmap, with their counts in the batch; with `doc`, by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             terms, term, row = _flat(batch)
             places = max(len(term) - length + 1, 0)
             ok = row[:places] == row[length - 1 :]
@@ -121,7 +132,8 @@ def mined(docs: DataFrame, least: int = 10, longest: int = 6, doc_id: str = "doc
     found, places, shorter, bitmap = None, None, None, None
     for length in range(1, longest + 1):
         runs = live.mapInArrow(_counted(length, bitmap, length - 1), "phrase string, n long")
-        counts = written(runs.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent")
+        with batches_of(docs.sparkSession, ROWS):
+            counts = written(runs.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent")
         if not counts.limit(1).count():
             break
         bitmap = _bitmap(counts, length)

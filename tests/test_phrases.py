@@ -88,3 +88,21 @@ def test_places_are_not_shuffled(spark):
     live = phrases._hashed(docs.select(phrases.tx.terms(phrases.F.col("text")).alias("terms")))
     sent = live.mapInArrow(phrases._counted(2), "phrase string, n long").collect()
     assert sorted((r.phrase, r.n) for r in sent) == [("four one", 1960), ("one two", 2000), ("three four", 2000), ("two three", 2000)]
+
+
+def test_long_batches_are_counted_in_pieces(spark, monkeypatch):
+    """A task counts so many terms at once, however long the texts of a batch are; sums and places are the same."""
+    seen, real = [], phrases._flat
+    monkeypatch.setattr(phrases, "_flat", lambda batch: seen.append(len(batch["terms"].flatten())) or real(batch))
+    monkeypatch.setattr(phrases, "PIECE_TERMS", 70)
+    docs = [["alpha", "beta", "gamma"] * 10] * 9 + [[], ["alpha"], ["beta"] * 200]
+    table_ = phrases.pa.table({"doc_id": list(range(12)), "terms": docs, "hashes": [[hash(w) for w in d] for d in docs]})
+    out = Counter()
+    for batch in phrases._counted(2)(iter(table_.to_batches())):
+        for phrase, n in zip(batch["phrase"].to_pylist(), batch["n"].to_pylist(), strict=True):
+            out[phrase] += n
+    assert out == {"alpha beta": 90, "beta gamma": 90, "gamma alpha": 81, "beta beta": 199}
+    assert max(seen) == 200 and sorted(seen)[-2] <= 70
+    placed = [r for b in phrases._counted(2, doc="doc_id")(iter(table_.to_batches())) for r in b.to_pylist()]
+    assert len(placed) == 28 and {r["n"] for r in placed if r["doc_id"] == 4} == {9, 10}
+    assert {r.phrase: r.n for r in phrases.mined(table(spark, corpus()), least=8)[0].collect()} == brute(corpus(), 8, 6)
