@@ -13,6 +13,8 @@ The score of an entity comes from its margin: by how much the best path loses if
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import pickle
 import re
 import sys
@@ -32,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NONE = ""
 FEATURES, LONGEST, TOGETHER, STEP, MOST_SEEN = 1 << 16, 120, 256, 32, 1 << 17
+# Tokens whose features are made at once, and steps that are tagged together.
+AT_ONCE, MOST_STEPS = 1 << 16, 64
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 ENDS = frozenset(".!?")
 
@@ -65,6 +69,24 @@ def sequences(text: str) -> list[list[tuple[int, int]]]:
     return [*out, own] if own else out
 
 
+def cut(text: str) -> tuple[list[tuple[int, int]], list[str], list[int]]:
+    """Places and texts of all tokens, and the sizes of the same sequences."""
+    places = [m.span() for m in TOKEN.finditer(text)]
+    tokens = [text[a:b] for a, b in places]
+    sizes, first = [], 0
+    for i in [i for i, t in enumerate(tokens) if t in ENDS]:
+        while i - first >= LONGEST:
+            sizes.append(LONGEST)
+            first += LONGEST
+        if i + 1 - first == LONGEST or not (i > first and len(tokens[i - 1]) <= 3 and tokens[i - 1][0].isupper()):
+            sizes.append(i + 1 - first)
+            first = i + 1
+    while len(tokens) - first > LONGEST:
+        sizes.append(LONGEST)
+        first += LONGEST
+    return places, tokens, [*sizes, len(tokens) - first] if first < len(tokens) else sizes
+
+
 def _shape(token: str) -> str:
     kinds = "".join("X" if c.isupper() else "x" if c.islower() else "9" if c.isdigit() else "." for c in token)
     return re.sub(r"(.)\1+", r"\1+", kinds)
@@ -80,23 +102,68 @@ def _own(token: str) -> tuple[str, tuple[int, ...], int, int]:
     return shape, (_hash(f"w{low}"), _hash(f"s{shape}"), _hash(f"p{low[:3]}"), _hash(f"e{low[-3:]}")), _hash(f"b{low}"), _hash(f"a{low}")
 
 
-def token_features(tokens: Sequence[str], seen: dict | None = None) -> np.ndarray:
-    """Hashed features of each token: itself, its shape and ends, and its neighbours. `seen` keeps those of earlier tokens."""
-    seen = {} if seen is None else seen
+class _Seen(dict):
+    """Numbers of tokens; `table` holds the hashed features of each, and its shape's number, once `rows` are taken in. `<` and `>` stand around a sequence."""
+
+    def __init__(self):
+        self.shapes: dict[str, int] = {}
+        self.pairs: dict[int, tuple[int, int]] = {}
+        self.rows: list[tuple[int, ...]] = []
+        self.table = np.zeros((0, 7), np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.pairs.clear()
+        self.shapes = {"<": 0, ">": 1}
+        self.rows, self.table = [(0, 0, 0, 0, _hash("b<"), 0, 0), (0, 0, 0, 0, 0, _hash("a>"), 1)], self.table[:0]
+
+    def __missing__(self, token: str) -> int:
+        shape, own, before, after = _own(token)
+        self.rows.append((*own, before, after, self.shapes.setdefault(shape, len(self.shapes))))
+        self[token] = number = len(self.table) + len(self.rows) - 1
+        return number
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        if self.rows:
+            self.table = np.concatenate([self.table, np.array(self.rows, np.int64)])
+            self.rows = []
+        return self.table[numbers]
+
+    def neighbours(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of pairs of neighbouring shapes: what they are to the second token, and to the first."""
+        pair, at = np.unique(first * (1 << 32) + second, return_inverse=True)
+        new = [p for p in pair.tolist() if p not in self.pairs]
+        if new:
+            names = list(self.shapes)
+            for p in new:
+                x, y = names[p >> 32], names[p & 0xFFFFFFFF]
+                self.pairs[p] = _hash(f"B{x} {y}"), _hash(f"A{y} {x}")
+        both = np.array([self.pairs[p] for p in pair.tolist()], np.uint16).reshape(-1, 2)[at]
+        return both[:, 0], both[:, 1]
+
+
+def sequence_features(tokens: Sequence[str], size: np.ndarray, seen: _Seen) -> np.ndarray:
+    """Hashed features of each token of sequences of these sizes laid end to end: itself, its shape and ends, and its neighbours. `seen` keeps
+    those of earlier tokens."""
     if len(seen) > MOST_SEEN:
         seen.clear()
+    size = np.asarray(size, np.int64)
+    place = np.arange(len(tokens)) + 2 * np.repeat(np.arange(len(size)), size) + 1
+    number = np.zeros(len(tokens) + 2 * len(size), np.int64)
+    number[np.cumsum(size + 2) - 1] = 1
+    number[place] = np.fromiter(map(seen.__getitem__, tokens), np.int64, len(tokens))
+    rows = seen.of(number)
+    to_second, to_first = seen.neighbours(rows[:-1, 6], rows[1:, 6])
+    out = np.empty((len(tokens), 9), np.uint16)
+    out[:, :4], out[:, 4], out[:, 5] = rows[place, :4], rows[place - 1, 4], rows[place + 1, 5]
+    out[:, 6], out[:, 7], out[:, 8] = to_second[place - 1], to_first[place], _hash("1")
+    return out
 
-    def kept(key, make, *of):
-        found = seen.get(key)
-        if found is None:
-            found = seen[key] = make(*of)
-        return found
 
-    own = [("<", (), _hash("b<"), 0), *(kept(t, _own, t) for t in tokens), (">", (), 0, _hash("a>"))]
-    before = [kept((a[0], b[0], True), _hash, f"B{a[0]} {b[0]}") for a, b in zip(own, own[1:-1])]
-    after = [kept((a[0], b[0], False), _hash, f"A{b[0]} {a[0]}") for a, b in zip(own[1:], own[2:])]
-    one = _hash("1")
-    return np.array([(*x[1], p[2], n[3], b, a, one) for p, x, n, b, a in zip(own, own[1:], own[2:], before, after)], np.int64)
+def token_features(tokens: Sequence[str], seen: _Seen | None = None) -> np.ndarray:
+    """The same for one sequence."""
+    return sequence_features(tokens, np.array([len(tokens)]), _Seen() if seen is None else seen).astype(np.int64)
 
 
 def _by_first_token(hits: Sequence[tuple[str, str]]) -> dict[str, list[tuple[str, str]]]:
@@ -121,6 +188,19 @@ def _gold(text: str, places: list[tuple[int, int]], known: dict[str, list[tuple[
     return out
 
 
+def _gold_of_all(text: str, places: list[tuple[int, int]], tokens: list[str], sizes: list[int], known: dict[str, list[tuple[str, str]]], tags: Sequence[str]) -> np.ndarray:
+    """The same for all sequences of a text, laid end to end."""
+    out = np.zeros(len(places), np.int64)
+    found = [(-len(part), kind, part, i) for i, t in enumerate(tokens) if t in known for kind, part in known[t] if text.startswith(part, places[i][0])]
+    if found:
+        last, ends = {b: i for i, (_, b) in enumerate(places)}, list(itertools.accumulate(sizes))
+        for size, kind, _, i in sorted(found):
+            end = last.get(places[i][0] - size)
+            if end is not None and end < ends[bisect.bisect_right(ends, i)] and not out[i : end + 1].any():
+                out[i : end + 1] = tags.index(kind)
+    return out
+
+
 def gold_tags(text: str, places: list[tuple[int, int]], hits: Sequence[tuple[str, str]], tags: Sequence[str]) -> np.ndarray:
     """Tags of the tokens that known (type, text) pairs cover wherever they stand; longer texts first."""
     return _gold(text, places, _by_first_token(hits), tags)
@@ -182,7 +262,10 @@ def best_paths(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def tagged(model: Recogniser, features: np.ndarray, size: np.ndarray, margins: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
     """Tags and margins of the tokens of sequences laid end to end, by token features."""
-    return ragged_paths(model.features[features].sum(1), size, model.moves, margins)
+    scores = model.features[features[:, 0]]
+    for i in range(1, features.shape[1]):
+        scores += model.features[features[:, i]]
+    return ragged_paths(scores, size, model.moves, margins)
 
 
 # ---------------------------------------------------------------- learning
@@ -195,10 +278,13 @@ class _Learner:
         self.model, self.steps = Recogniser(model.tags, model.features.copy(), model.moves.copy()), 0
         self.late = [np.zeros_like(model.features), np.zeros_like(model.moves)]  # corrections times the step they came with
 
-    def learn(self, features: np.ndarray, size: np.ndarray, gold: np.ndarray) -> None:
-        """One step: every weight moves by at most 1, whatever the number of sequences that ask for it."""
+    def learn(self, features: np.ndarray, size: np.ndarray, gold: np.ndarray, tags: np.ndarray | None = None) -> None:
+        """One step: every weight moves by at most 1, whatever the number of sequences that ask for it. `tags` are those of the
+        best paths, if they are known."""
         start = k = len(self.model.tags)
-        tags, _ = tagged(self.model, features, size, margins=False)
+        features = features.astype(np.int64)
+        if tags is None:
+            tags, _ = tagged(self.model, features, size, margins=False)
         wrong, begin = tags != gold, np.cumsum(size) - size
         if wrong.any():
             missed = np.repeat(np.add.reduceat(wrong, begin) > 0, size)
@@ -215,6 +301,24 @@ class _Learner:
                 late.ravel()[at] += change * self.steps
         self.steps += 1
 
+    def learn_all(self, steps: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """One step after the other. Weights stay as they are while steps are right, so the next ones are tagged together, up to the first wrong one."""
+        at, many = 0, 1
+        while at < len(steps):
+            features, size, gold = (np.concatenate(x) for x in zip(*steps[at : at + many], strict=True))
+            tags, _ = tagged(self.model, features, size, margins=False)
+            wrong = np.flatnonzero(tags != gold)
+            if not len(wrong):
+                self.steps += len(steps[at : at + many])
+                at, many = at + many, min(many * 2, MOST_STEPS)
+                continue
+            ends = np.cumsum([len(x[2]) for x in steps[at : at + many]])
+            right = int(np.searchsorted(ends, wrong[0], "right"))
+            self.steps += right
+            begin = int(ends[right] - len(steps[at + right][2]))
+            self.learn(*steps[at + right], tags[begin : ends[right]])
+            at, many = at + right + 1, max(min(many, 2 * right), 1)
+
     def mean(self) -> np.ndarray:
         n = max(self.steps, 1)
         return np.concatenate([(own - late / n).ravel() for own, late in ((self.model.features, self.late[0]), (self.model.moves, self.late[1]))])
@@ -225,26 +329,36 @@ _STEPS = "sizes binary, features binary, kinds array<string>, gold binary"
 
 def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of `STEP` sequences each: their sizes, hashed token features and known tags, as places in `kinds`."""
-    seen: dict = {}
+    seen = _Seen()
     for batch in batches:
-        rows, sizes, features, gold, kinds = [], [], [], [], [NONE]
-
-        def close() -> None:
-            rows.append((np.array(sizes, np.uint8).tobytes(), np.concatenate(features).astype(np.uint16).tobytes(), list(kinds), np.concatenate(gold).astype(np.uint8).tobytes()))
-            for x in (sizes, features, gold):
-                x.clear()
+        rows, kinds = [], [NONE]
+        sizes, tokens, gold = [], [], []
+
+        def close(last: bool) -> None:
+            """All full steps; with `last`, the rest as well."""
+            steps = range(0, len(sizes) if last else len(sizes) // STEP * STEP, STEP)
+            many = [sum(sizes[i : i + STEP]) for i in steps]
+            upto = sum(many)
+            used = min(len(steps) * STEP, len(sizes))
+            features, tags = sequence_features(tokens[:upto], np.array(sizes[:used], np.int64), seen), np.concatenate([*gold, np.zeros(0, np.int64)])
+            at = 0
+            for i, n in zip(steps, many, strict=True):
+                rows.append((np.array(sizes[i : i + STEP], np.uint8).tobytes(), features[at : at + n].tobytes(), list(kinds), tags[at : at + n].astype(np.uint8).tobytes()))
+                at += n
+            del sizes[:used], tokens[:upto]
+            gold[:] = [tags[upto:]]
 
         for text, hits in zip(batch["text"].to_pylist(), batch["hits"].to_pylist(), strict=True):
             known = _by_first_token([(h["type"], h["text"]) for h in hits or [] if h["text"]])
             kinds += sorted({kind for own in known.values() for kind, _ in own} - set(kinds))
-            for places in sequences(text or ""):
-                sizes.append(len(places))
-                features.append(token_features([text[a:b] for a, b in places], seen))
-                gold.append(_gold(text, places, known, kinds))
-                if len(sizes) == STEP:
-                    close()
+            places, own, cuts = cut(text or "")
+            sizes += cuts
+            tokens += own
+            gold.append(_gold_of_all(text, places, own, cuts, known, kinds) if known else np.zeros(len(own), np.int64))
+            if len(tokens) >= AT_ONCE and len(sizes) >= STEP:
+                close(False)
         if sizes:
-            close()
+            close(True)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, (pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary()), strict=True)], ["sizes", "features", "kinds", "gold"])
 
 
@@ -252,12 +366,13 @@ def _round(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner, tokens = _Learner(pickle.loads(shared.value)), 0
         for batch in batches:
+            steps = []
             for sizes, features, kinds, gold in zip(*(batch[c].to_pylist() for c in ("sizes", "features", "kinds", "gold")), strict=True):
                 size = np.frombuffer(sizes, np.uint8).astype(np.int64)
                 tags = np.array([learner.model.tags.index(x) for x in kinds], np.int64)
-                own = np.frombuffer(features, np.uint16).astype(np.int64).reshape(int(size.sum()), -1)
-                learner.learn(own, size, tags[np.frombuffer(gold, np.uint8)])
-                tokens += len(own)
+                steps.append((np.frombuffer(features, np.uint16).reshape(int(size.sum()), -1), size, tags[np.frombuffer(gold, np.uint8)]))
+                tokens += int(size.sum())
+            learner.learn_all(steps)
         if tokens:
             mean = learner.mean()
             place = np.flatnonzero(mean)
@@ -297,22 +412,33 @@ def recognised(docs: DataFrame, model: Recogniser, doc_id: str = "doc_id", text:
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = pickle.loads(shared.value), {}
+        own, seen = pickle.loads(shared.value), _Seen()
         for batch in batches:
-            rows, where, sizes, features = [], [], [], []
-            for i, t in enumerate(batch["text"].to_pylist()):
-                for places in sequences(t or ""):
-                    where.append((i, t, places))
-                    sizes.append(len(places))
-                    features.append(token_features([t[a:b] for a, b in places], seen))
-            for first in range(0, len(where), TOGETHER):
-                some = slice(first, first + TOGETHER)
-                tags, margins = tagged(own, np.concatenate(features[some]), np.array(sizes[some]))
+            rows, where, sizes, tokens = [], [], [], []
+
+            def tag() -> None:
+                """Entities of the sequences at hand."""
+                tags, margins = tagged(own, sequence_features(tokens, np.array(sizes), seen), np.array(sizes))
                 at = 0
-                for i, t, places in where[some]:
+                for i, t, places in where:
                     if tags[at : at + len(places)].any():
-                        rows += _found(own.tags, i, t, places, tags[at : at + len(places)], margins[at : at + len(places)])
+                        rows.extend(_found(own.tags, i, t, places, tags[at : at + len(places)], margins[at : at + len(places)]))
                     at += len(places)
+                for x in (where, sizes, tokens):
+                    x.clear()
+
+            for i, t in enumerate(batch["text"].to_pylist()):
+                places, words, cuts = cut(t or "")
+                at = 0
+                for n in cuts:
+                    where.append((i, t, places[at : at + n]))
+                    at += n
+                sizes += cuts
+                tokens += words
+                if len(sizes) >= TOGETHER:
+                    tag()
+            if sizes:
+                tag()
             at, kinds, texts, scores = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(at, pa.int64())), pa.array(kinds, pa.string()), pa.array(texts, pa.string()), pa.array(scores, pa.float64())], ["id", "type", "text", "score"])
 

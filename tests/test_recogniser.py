@@ -106,3 +106,46 @@ def test_texts_are_tokenised_once(spark, tmp_path):
     assert len(recogniser.fit(docs, rounds=3).tags) == 3
     with open(calls) as f:
         assert len(f.read()) <= 2 * 43
+
+
+def odd_texts():
+    draw = random.Random(5)
+    parts = ["Dr. Ann Lee", "paid", "$5.", "She left!", "U.S.", "Naïve 漢字_x", "it?", "A.", "B!", "...", "12.5%", "word " * 130, "no end " * 61, "<", ">"]
+    return [None, "", "!", "Mr.", *(" ".join(draw.choice(parts) for _ in range(draw.randrange(1, 30))) for _ in range(60))]
+
+
+def test_texts_are_cut_at_once():
+    """Sequences of a whole text, their known tags, and the features of many are those that each gets alone."""
+    hits = [("P", "Ann Lee"), ("P", "Ann"), ("Q", "5"), ("Q", "12"), ("R", "left!"), ("R", "x it"), ("R", "word word")]
+    kinds, known, seen = ["", "P", "Q", "R"], recogniser._by_first_token(hits), recogniser._Seen()
+    for text in odd_texts():
+        text = text or ""
+        one = recogniser.sequences(text)
+        places, tokens, sizes = recogniser.cut(text)
+        assert sizes == [len(x) for x in one] and places == [p for x in one for p in x] and tokens == [text[a:b] for a, b in places]
+        assert recogniser._gold_of_all(text, places, tokens, sizes, known, kinds).tolist() == [t for x in one for t in recogniser.gold_tags(text, x, hits, kinds)]
+        alone = [recogniser.token_features([text[a:b] for a, b in x]) for x in one]
+        assert recogniser.sequence_features(tokens, np.array(sizes, int), seen).tolist() == [f for x in alone for f in x.tolist()]
+
+
+def test_right_steps_are_tagged_together(monkeypatch):
+    """The weights are those of one step after the other, with far fewer searches for paths."""
+    texts = odd_texts() * 12
+    hits = [[{"type": k, "text": p} for k, p in (("P", "Ann Lee"), ("Q", "12.5%"), ("R", "left!")) if p in (t or "")] for t in texts]
+    batch = recogniser.pa.table({"text": texts, "hits": hits}).to_batches()
+    monkeypatch.setattr(recogniser, "AT_ONCE", 500)
+    rows = [r for b in recogniser._steps(iter(batch)) for r in b.to_pylist()]
+    steps = []
+    for r in rows:
+        size = np.frombuffer(r["sizes"], np.uint8).astype(np.int64)
+        assert len(size) == recogniser.STEP or r is rows[-1]
+        steps.append((np.frombuffer(r["features"], np.uint16).reshape(int(size.sum()), -1), size, np.array([["", "P", "Q", "R"].index(k) for k in r["kinds"]])[np.frombuffer(r["gold"], np.uint8)]))
+    assert sum(int(s.sum()) for _, s, _ in steps) == sum(len(x) for t in texts for x in recogniser.sequences(t or ""))
+    one, all_ = (recogniser._Learner(recogniser.Recogniser.blank("PQR")) for _ in range(2))
+    for features, size, gold in steps * 3:
+        one.learn(features, size, gold)
+    calls, real = [], recogniser.tagged
+    monkeypatch.setattr(recogniser, "tagged", lambda *a, **b: calls.append(1) or real(*a, **b))
+    all_.learn_all(steps * 3)
+    assert one.steps == all_.steps == 3 * len(steps) and (one.mean() == all_.mean()).all() and one.mean().any()
+    assert len(calls) < len(steps)
