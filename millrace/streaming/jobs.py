@@ -325,26 +325,60 @@ def outcome_salts(outcomes: DataFrame, key: str, parts: int = 256) -> DataFrame:
 
 def joined_outcomes(predictions: DataFrame, outcomes: DataFrame, key: str, predicted_at: str, observed_at: str,
                     outcome_id: Column, within: str, delay: str, salts: DataFrame | None = None) -> DataFrame:
-    """Predictions joined to the outcomes of the same request seen within a bound.
+    """Predictions joined to the outcomes of the same request seen within a bound, as a stream of the joined rows.
 
     A request may have many outcomes. `salts` (key, salts) names the hot ones: their
     outcomes are dealt by id, and only their predictions are kept once per salt.
+
+    Both streams are run to their end here, batch by batch: the rows of a batch are stored, and joined as tables with each other and with those stored rows that may
+    still find a partner, so that no row waits in the memory of a task. As in a stateful join, a row comes too late if its time is not after the
+    watermark: the newest time of the stream that is behind less `delay`, by all batches but the last two.
     """
     if salts is None:
         salts = predictions.sparkSession.createDataFrame([], f"{key} {predictions.schema[key].dataType.simpleString()}, salts int")
     salts = F.broadcast(salts)
     count = F.coalesce("salts", F.lit(1))
-    left = predictions.withWatermark(predicted_at, delay).join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1))).drop("salts")
-    right = (
-        outcomes.withWatermark(observed_at, delay)
-        .join(salts, key, "left")
-        .withColumn("_rsalt", F.pmod(F.xxhash64(outcome_id), count).cast("int"))
-        .drop("salts")
-        .withColumnRenamed(key, "_key")
-    )
-    on = (
-        (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_rsalt"))
-        & (F.col(observed_at) >= F.col(predicted_at))
-        & (F.col(observed_at) <= F.col(predicted_at) + F.expr(f"INTERVAL {within}"))
-    )
-    return left.join(right, on).drop("_salt", "_rsalt", "_key")
+    spark, path = predictions.sparkSession, scratch_path(predictions.sparkSession, "outcomes")
+    sides = {"_p": (predictions, predicted_at), "_o": (outcomes, observed_at)}
+    kinds = {side: F.struct(*[F.col(f"`{c}`") for c in df.columns]) for side, (df, _) in sides.items()}
+    none = {side: F.lit(None).cast(T.StructType(df.schema.fields)) for side, (df, _) in sides.items()}
+    both = predictions.select(kinds["_p"].alias("_p"), none["_o"].alias("_o")).unionByName(outcomes.select(none["_p"].alias("_p"), kinds["_o"].alias("_o")))
+    newest: list[dict[str, int | None]] = []  # by batch, micros of each side
+
+    def write(batch: DataFrame, number: int) -> None:
+        del newest[number:]
+        ends = [max((x[side] for x in newest[: max(number - 1, 0)] if x[side] is not None), default=None) for side in sides]
+        mark = None if None in ends else F.timestamp_micros(F.lit(min(ends))) - F.expr(f"INTERVAL {delay}")
+        newest.append({})
+        for side, (df, time) in sides.items():
+            rows = batch.where(F.col(side).isNotNull()).select(f"{side}.*")
+            (rows if mark is None else rows.where(F.col(time) > mark)).write.mode("overwrite").parquet(f"{path}/{side}/batch={number}")
+            newest[number][side] = spark.read.schema(df.schema).parquet(f"{path}/{side}/batch={number}").agg(F.max(F.unix_micros(F.col(time).cast("timestamp")))).first()[0]
+
+        def stored(side: str) -> DataFrame:
+            df, time = sides[side]
+            read = lambda some: spark.read.schema(df.schema).parquet(*[f"{path}/{side}/batch={k}" for k in some])
+            now = read([number]).withColumn(f"{side}_new", F.lit(True))
+            if not number:
+                return now
+            before = read(range(number)).withColumn(f"{side}_new", F.lit(False))
+            if mark is not None:  # earlier predictions are waited for until `within` has passed, outcomes wait for nothing earlier
+                before = before.where(F.col(time) >= (mark - F.expr(f"INTERVAL {within}") if side == "_p" else mark))
+            return now.unionByName(before)
+
+        left = stored("_p").join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1))).drop("salts")
+        right = stored("_o").join(salts, key, "left").withColumn("_rsalt", F.pmod(F.xxhash64(outcome_id), count).cast("int")).drop("salts").withColumnRenamed(key, "_key")
+        on = (
+            (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_rsalt"))
+            & (F.col(observed_at) >= F.col(predicted_at))
+            & (F.col(observed_at) <= F.col(predicted_at) + F.expr(f"INTERVAL {within}"))
+            & (F.col("_p_new") | F.col("_o_new"))
+        )
+        left.join(right, on).select(*columns).write.mode("overwrite").parquet(f"{path}/joined/batch={number}")
+
+    columns = [key, *[c for c in predictions.columns if c != key], *[c for c in outcomes.columns if c != key]]
+    fields = {**{f.name: f for f in outcomes.schema.fields}, **{f.name: f for f in predictions.schema.fields}}
+    schema = T.StructType([T.StructField(c, fields[c].dataType) for c in columns])
+    spark.createDataFrame([], schema).write.parquet(f"{path}/joined/batch=none")
+    _each_batch(both, write, "outcomes")
+    return arriving(spark, f"{path}/joined/*", schema)

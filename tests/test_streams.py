@@ -1,6 +1,7 @@
 """Streams over several files per trigger against the same rows in a batch."""
 
 import datetime as dt
+import glob
 import time
 from collections import Counter
 
@@ -277,3 +278,24 @@ def test_late_parts_round_seconds_as_sql_does(spark, tmp_path):
     con.execute(f"COPY events TO '{tmp_path}/events.parquet'")
     got = sorted((r.event_id, r.late) for r in QUERIES["late_side_output"](spark, str(tmp_path)).collect())
     assert got == sorted(con.execute(ORACLES["late_side_output"]).fetchall()) and sum(late for _, late in got) == 2
+
+
+def test_outcomes_wait_in_tables(spark, tmp_path):
+    """Rows meet those of earlier batches, late ones are left out, and no state is kept in the memory of tasks."""
+    hour = lambda h: START + dt.timedelta(hours=h)
+    p = [[(1, hour(0)), (9, hour(3))], [(2, hour(100))], [(3, hour(200))], [(4, hour(1)), (5, hour(250))]]
+    o = [[(10, 1, hour(1))], [(11, 2, hour(101)), (12, 1, hour(2)), (13, 1, hour(9))], [(14, 3, hour(201)), (15, 9, hour(4))], [(16, 4, hour(2)), (17, 5, hour(251)), (18, 3, hour(203)), (19, 9, hour(5))]]
+    for k in range(4):
+        for name, rows, schema in (("p", p, "request bigint, at timestamp"), ("o", o, "oid bigint, request bigint, seen timestamp")):
+            spark.createDataFrame(rows[k], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        time.sleep(1.1)  # files come in the order of their times
+
+    def live(name, at):
+        return jobs.arriving(spark, str(tmp_path / name), spark.read.parquet(str(tmp_path / name)).schema, files_per_trigger=1, time=at)
+
+    before = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/*/state"))
+    got = jobs.drain(jobs.joined_outcomes(live("p", "at"), live("o", "seen"), "request", "at", "seen", F.col("oid"), "3 HOURS", "1 hour"), "late")
+    # Batch 2 goes by the first batch, whose mark is the least newest time, 1 h, less 1 h; batch 3 by the first two, 100 h less 1 h.
+    assert sorted((r.oid, r.request) for r in got.collect()) == [(10, 1), (11, 2), (12, 1), (14, 3), (15, 9), (17, 5), (18, 3)]
+    assert got.columns == ["request", "at", "oid", "seen"]
+    assert set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/*/state")) == before
