@@ -265,3 +265,16 @@ def test_key_phrases_in_blocks(spark, monkeypatch):
     assert dx.key_phrases(none).count() == 0 and dx.key_phrases(docs.where("doc_id = 403")).count() == 1
     monkeypatch.setattr(dx, "PLAIN_CHARACTERS", -1)
     assert dx.key_phrases(none).count() == 0 and dx.key_phrases(docs.limit(0)).schema == dx.key_phrases(docs).schema
+
+
+@pytest.mark.parametrize("name", ["key_phrases", "key_phrases_shuffled", "report_phrases", "corpus_totals", "nested_results", "nested_results_flat", "document_reports", "corpus_report"])
+def test_queries_store_no_table_of_all_phrases(spark, tmp_path, monkeypatch, name):
+    """Phrases of long corpora stay in blocks in every query that uses them; the rows are those of the plan by text."""
+    tables = Counted(spark, str(tmp_path / "read"))
+    plan = getattr(plans, name, None) or getattr(large, name)
+    want, stored = rows(plan(tables)), []
+    for module in (dx, blocks):
+        monkeypatch.setattr(module, "written", lambda df, label, real=module.written: stored.append(label) or real(df, label))
+    monkeypatch.setattr(dx, "PLAIN_CHARACTERS", 0)
+    assert rows(plan(tables)) == want
+    assert {"blocks", "leading"} <= set(stored) and not {"phrases", "frequencies", "unsettled"} & set(stored)
