@@ -278,3 +278,19 @@ def test_queries_store_no_table_of_all_phrases(spark, tmp_path, monkeypatch, nam
     monkeypatch.setattr(dx, "PLAIN_CHARACTERS", 0)
     assert rows(plan(tables)) == want
     assert {"blocks", "leading"} <= set(stored) and not {"phrases", "frequencies", "unsettled"} & set(stored)
+
+
+@pytest.mark.parametrize("limit", [0, 3, 12])
+def test_common_terms_are_told_where_they_are_read(spark, monkeypatch, limit):
+    """Beyond the limit only the counts of rarer terms are looked up; scores are the same."""
+    texts = [(i, " ".join(["so", "so", "and", *(["fine"] * (i % 3)), *(["bad"] * (i % 4)), f"w{'abcdefghijklmnop'[i % 16]}"])) for i in range(60)] + [(70, None), (71, ""), (3, "fine unknown")]
+    docs = spark.createDataFrame([*texts, (None, "bad fine")], "doc_id long, text string").repartition(3)
+    terms = [("so", 0.1, 60), ("and", 0.0, 60), ("fine", 1.0, 40), ("bad", -1.0, 45), *((f"w{c}", 0.5 if c < "h" else -0.5, 4) for c in "abcdefghijklmnop")]
+    lexicon = spark.createDataFrame(terms, "term string, weight double, size long")
+    looked, real = [], dx.lookup_join
+    want = rows(dx.sentiment(docs, lexicon, 0.25))
+    monkeypatch.setattr(dx, "lookup_join", lambda fact, *a, **s: looked.append({r.term for r in fact.select("term").collect()}) or real(fact, *a, **s))
+    assert rows(dx.sentiment(docs, lexicon, 0.25, limit=limit)) == want
+    known = [t for t, _, _ in sorted(terms, key=lambda x: (-x[2], x[0]))[:limit]]
+    assert len(looked) == 1 and not looked[0] & set(known) and {"unknown", "wp"} <= looked[0]
+    assert rows(dx.sentiment(docs, lexicon.drop("size"), 0.25, limit=limit)) == want
